@@ -138,7 +138,7 @@ def time_dim_from_fact(spark, sf):
 
 @exercise(
     "avg_by_group_since",
-    """SELECT n_name AS country, date, round(avg(o_totalprice), 2) AS average_price FROM
+    """SELECT n_name AS country, date, avg(floor(o_totalprice)) AS average_price FROM
          (SELECT n_name, CAST(o_orderdate AS DATE) AS date, o_totalprice FROM orders
           JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
        WHERE year(date) >= 1999 GROUP BY 1, 2 ORDER BY date DESC, country""",
@@ -149,7 +149,7 @@ def avg_by_group_since(spark, sf):
     c = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"))
     n = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("country"))
     rows = lookup_join(lookup_join(o, c, ["o_custkey"], "inner"), n, ["n_nationkey"], "inner")
-    means = rows.groupBy("country", "date").agg(F.round(F.avg("o_totalprice"), 2).alias("average_price"))
+    means = rows.groupBy("country", "date").agg(F.avg(F.floor("o_totalprice")).alias("average_price"))
     return means.orderBy(F.desc("date"), "country")
 
 

@@ -71,7 +71,7 @@ LOG_SQL = """log AS (
          CAST(e.user_id * 31 + day(e.ts) AS INTEGER) AS session_id,
          CASE WHEN e.event_id % 10 <> 0 THEN split_part(p.p_name, ' ', 1) END AS song,
          200 AS status,
-         CAST(epoch_ms(e.ts) AS BIGINT) AS ts,
+         epoch_us(e.ts) // 1000 AS ts,
          'agent/' || CAST(e.event_id % 5 AS VARCHAR) AS user_agent,
          e.user_id
   FROM events e
@@ -123,11 +123,11 @@ MUSIC_SQL = f"WITH {LOG_SQL}, {SONGS_SQL}"
 
 
 def immigration_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as 13-column immigration records: purposes 1-3, modes 1-4, countries 100-124 by customer."""
+    """Orders as 13-column immigration records: arrival on the first of the month, purposes 1-3, modes 1-4, countries 100-124."""
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_mktsegment")
     joined = lookup_join(o, c, ["o_custkey"], "inner")
-    days = F.date_diff(F.to_date("o_orderdate"), F.lit("1960-01-01").cast("date"))
+    days = F.date_diff(F.trunc("o_orderdate", "month"), F.lit("1960-01-01").cast("date"))
     key = F.col("o_orderkey")
     return joined.select(
         key.cast("double").alias("cicid"),
@@ -148,14 +148,14 @@ def immigration_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 IMMIGRATION_SQL = """immigration_input AS (
   SELECT CAST(o_orderkey AS DOUBLE) AS cicid,
-         CAST(date_diff('day', DATE '1960-01-01', CAST(o_orderdate AS DATE)) AS DOUBLE) AS arrdate,
+         CAST(date_diff('day', DATE '1960-01-01', CAST(date_trunc('month', o_orderdate) AS DATE)) AS DOUBLE) AS arrdate,
          CAST(c_nationkey + 100 AS DOUBLE) AS i94cit,
          CAST((c_nationkey * 7 + 3) % 25 + 100 AS DOUBLE) AS i94res,
          substr(o_orderpriority, 3, 3) AS i94port,
          CAST(o_orderkey % 4 + 1 AS DOUBLE) AS i94mode,
          substr(c_mktsegment, 1, 2) AS i94addr,
          CASE WHEN o_orderkey % 6 <> 0
-              THEN CAST(date_diff('day', DATE '1960-01-01', CAST(o_orderdate AS DATE)) + 14 AS DOUBLE) END AS depdate,
+              THEN CAST(date_diff('day', DATE '1960-01-01', CAST(date_trunc('month', o_orderdate) AS DATE)) + 14 AS DOUBLE) END AS depdate,
          CAST(o_orderkey % 9 * 10 AS DOUBLE) AS i94bir,
          CAST((o_orderkey + o_orderkey // 4) % 3 + 1 AS DOUBLE) AS i94visa,
          CASE WHEN o_orderkey % 8 <> 0 THEN CASE WHEN o_orderkey % 16 < 8 THEN 'F' ELSE 'M' END END AS gender,
@@ -254,10 +254,10 @@ def temperature_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as temperature readings from 1880 on, 25 countries; every fifth reading is missing."""
     e = table(spark, sf_dir, "events")
     key = F.col("event_id")
-    day = F.date_add(F.lit("1880-01-01").cast("date"), (key % 400 * 40).cast("int"))
+    day = F.date_add(F.lit("1880-01-01").cast("date"), (key % 100 * 160).cast("int"))
     return e.select(
         day.cast("string").alias("dt"),
-        F.when(key % 5 != 0, F.col("value")).alias("AverageTemperature"),
+        F.when(key % 5 != 0, F.floor("value").cast("double")).alias("AverageTemperature"),
         F.lit(0.5).alias("AverageTemperatureUncertainty"),
         F.concat(F.lit("City "), F.col("user_id")).alias("City"),
         F.concat(F.lit("Country "), F.col("user_id") % 25).alias("Country"),
@@ -267,9 +267,9 @@ def temperature_file(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 TEMPERATURE_SQL = """temperatures AS (
-  SELECT DATE '1880-01-01' + CAST(event_id % 400 * 40 AS INTEGER) AS date,
+  SELECT DATE '1880-01-01' + CAST(event_id % 100 * 160 AS INTEGER) AS date,
          'COUNTRY ' || CAST(user_id % 25 AS VARCHAR) AS country_name,
-         'CITY ' || CAST(user_id AS VARCHAR) AS city_name, value AS average_temperature
+         'CITY ' || CAST(user_id AS VARCHAR) AS city_name, floor(value) AS average_temperature
   FROM events WHERE event_id % 5 <> 0
 )"""
 

@@ -281,13 +281,12 @@ def us_cities_dim_max(spark, sf):
 
 @exercise(
     "temperature_dim",
-    f"""WITH {inputs.TEMPERATURE_SQL} SELECT country_name AS country, date, round(avg(average_temperature), 4) AS average_temperature
+    f"""WITH {inputs.TEMPERATURE_SQL} SELECT country_name AS country, date, avg(average_temperature) AS average_temperature
         FROM temperatures WHERE year(date) >= 1900 GROUP BY 1, 2 ORDER BY date DESC, country""",
 )
 def temperature_dim(spark, sf):
     readings = immigration.clean_temperatures(inputs.temperature_file(spark, sf))
-    means = immigration.temperature_dim(readings, ordered=True)
-    return means.withColumn("average_temperature", F.round("average_temperature", 4))
+    return immigration.temperature_dim(readings, ordered=True)
 
 
 @exercise("run_immigration_load", _FACT_SQL)

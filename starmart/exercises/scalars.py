@@ -46,7 +46,7 @@ def play_filter(spark, sf):
 
 @exercise(
     "rename_and_compute",
-    """SELECT e.event_id, e.event_type AS page, CAST(epoch_ms(e.ts) AS BIGINT) AS ts_ms,
+    """SELECT e.event_id, e.event_type AS page, epoch_us(e.ts) // 1000 AS ts_ms,
               date_trunc('second', e.ts) AS start_time, e.user_id
        FROM (SELECT *, 1 AS one FROM events) e WHERE e.one = 1""",
 )

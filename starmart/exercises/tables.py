@@ -55,13 +55,13 @@ def items_by_session(spark, sf):
 @exercise(
     "items_of_user_session",
     f"""{_ITEMS_SQL} SELECT user_id, session_id, artist, song, first_name, last_name, item_in_session FROM items
-        WHERE rn_user = 1 AND user_id = 10 AND session_id = 315 ORDER BY item_in_session""",
+        WHERE rn_user = 1 AND user_id = 10 AND session_id = 324 ORDER BY item_in_session""",
 )
 def items_of_user_session(spark, sf):
     rows, _ = query_table(_items(spark, sf), BY_USER_SESSION, ["ts", "event_id"])
     path = scratch_dir(spark, "usersession")
     write_query_table(rows, BY_USER_SESSION, path)
-    return lookup(spark.read.parquet(path), BY_USER_SESSION, user_id=10, session_id=315)
+    return lookup(spark.read.parquet(path), BY_USER_SESSION, user_id=10, session_id=324)
 
 
 @exercise("users_by_song", f"{_ITEMS_SQL} SELECT DISTINCT song, first_name, last_name FROM items")

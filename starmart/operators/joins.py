@@ -95,8 +95,9 @@ def balanced_join(
 
     Rows of a heavy key are dealt into the key's pieces, and the other side's rows of that
     key are repeated once per piece. A null key matches nothing, so its rows are dealt
-    over all partitions. Deal order follows row position: pass a scan or a written table,
-    whose row order is the same when a lost task runs again.
+    over all partitions. Dealing follows row position, so exact copies of a row spread too;
+    ``session.configure`` turns on the shuffle checksums that keep it right when a lost task
+    runs again and meets its rows in another order.
     """
     if how not in ("left", "inner"):
         raise ValueError("balanced_join supports inner and left")
