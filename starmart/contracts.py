@@ -41,9 +41,9 @@ class TableContract:
 
 def in_order(df: DataFrame, contract: TableContract) -> DataFrame:
     """Columns in contract order and type, by name; a missing column becomes null, an extra one goes."""
-    out = []
+    out, present = [], set(df.columns)
     for name, type_text in contract.columns.items():
-        c = F.col(f"`{name}`") if name in df.columns else F.lit(None)
+        c = F.col(f"`{name}`") if name in present else F.lit(None)
         out.append(c.cast(type_text).alias(name))
     return df.select(*out)
 
@@ -66,9 +66,9 @@ def clean(df: DataFrame, contract: TableContract) -> DataFrame:
     return clean_strings(df, contract.widths)
 
 
-def _cast(df: DataFrame, name: str, target: DataType) -> Column:
+def _cast(schema: StructType, name: str, target: DataType) -> Column:
     c = F.col(f"`{name}`")
-    return c if df.schema[name].dataType == target else c.try_cast(target)
+    return c if schema[name].dataType == target else c.try_cast(target)
 
 
 def split_rows(df: DataFrame, contract: TableContract) -> tuple[DataFrame, DataFrame]:
@@ -77,7 +77,8 @@ def split_rows(df: DataFrame, contract: TableContract) -> tuple[DataFrame, DataF
     A row is rejected when a value does not cast, or a required column is null. Rejects
     keep the raw columns and name the failing ones in ``reject_reason``.
     """
-    casts = {n: _cast(df, n, contract.type_of(n)) for n in contract.columns if n in df.columns}
+    schema = df.schema
+    casts = {n: _cast(schema, n, contract.type_of(n)) for n in contract.columns if n in schema.names}
     reasons = []
     for name, value in casts.items():
         malformed = F.col(f"`{name}`").isNotNull() & value.isNull()

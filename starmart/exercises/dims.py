@@ -87,30 +87,34 @@ def append_new_only(spark, sf):
 
 # -- grouped ------------------------------------------------------------------
 
-_TEN_KEYS = ["l_returnflag", "l_linestatus", "l_linenumber", "l_shipyear", "o_orderstatus", "o_orderpriority",
-             "o_orderyear", "c_mktsegment", "c_nationkey", "big"]
+_TEN_KEYS = ["l_returnflag", "l_linestatus", "l_shipyear", "big", "odd_line", "o_orderstatus", "o_orderpriority",
+             "first_half", "c_mktsegment", "west"]
 
 
 @exercise(
     "count_by_10",
     f"""SELECT {', '.join(_TEN_KEYS)}, count(*) AS "count" FROM
-        (SELECT l_returnflag, l_linestatus, l_linenumber, CAST(year(l_shipdate) AS INTEGER) AS l_shipyear, o_orderstatus,
-                o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS o_orderyear, c_mktsegment, c_nationkey,
-                CASE WHEN l_quantity > 10 THEN l_quantity > 40 END AS big
+        (SELECT l_returnflag, l_linestatus, CAST(year(l_shipdate) AS INTEGER) AS l_shipyear,
+                CASE WHEN l_quantity > 10 THEN l_quantity > 40 END AS big, l_linenumber % 2 = 1 AS odd_line, o_orderstatus,
+                o_orderpriority, month(o_orderdate) <= 6 AS first_half, c_mktsegment, c_nationkey < 13 AS west
          FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey)
         GROUP BY 1, 2, 3, 4, 5, 6, 7, 8, 9, 10""",
 )
 def count_by_10(spark, sf):
     l = table(spark, sf, "lineitem").select(
-        F.col("l_orderkey").alias("o_orderkey"), "l_returnflag", "l_linestatus", "l_linenumber",
+        F.col("l_orderkey").alias("o_orderkey"), "l_returnflag", "l_linestatus",
         F.year("l_shipdate").alias("l_shipyear"),
         F.when(F.col("l_quantity") > 10, F.col("l_quantity") > 40).alias("big"),
+        (F.col("l_linenumber") % 2 == 1).alias("odd_line"),
     )
     o = table(spark, sf, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", F.year("o_orderdate").alias("o_orderyear")
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", (F.month("o_orderdate") <= 6).alias("first_half")
     )
-    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment", "c_nationkey")
-    rows = lookup_join(lookup_join(l, o, ["o_orderkey"], "inner"), c, ["o_custkey"], "inner")
+    c = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), "c_mktsegment", (F.col("c_nationkey") < 13).alias("west")
+    )
+    rows = lookup_join(l, o, ["o_orderkey"], "inner", right_unique=True)
+    rows = lookup_join(rows, c, ["o_custkey"], "inner", right_unique=True, heavy_from=o)
     return rows.groupBy(*_TEN_KEYS).agg(F.count(F.lit(1)).alias("count"))
 
 
@@ -148,7 +152,8 @@ def avg_by_group_since(spark, sf):
     o = o.select("o_custkey", "o_totalprice", F.to_date("o_orderdate").alias("date"))
     c = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"))
     n = table(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("country"))
-    rows = lookup_join(lookup_join(o, c, ["o_custkey"], "inner"), n, ["n_nationkey"], "inner")
+    rows = lookup_join(o, c, ["o_custkey"], "inner", right_unique=True)
+    rows = lookup_join(rows, n, ["n_nationkey"], "inner", right_unique=True, heavy_from=c)
     means = rows.groupBy("country", "date").agg(F.avg(F.floor("o_totalprice")).alias("average_price"))
     return means.orderBy(F.desc("date"), "country")
 

@@ -20,7 +20,7 @@ def _plays(spark, sf):
     p = table(spark, sf, "part").select(
         "p_partkey", song_title().alias("song"), artist_number().alias("artist"), F.col("p_retailprice").alias("length")
     )
-    return lookup_join(l, p, ["p_partkey"], "inner")
+    return lookup_join(l, p, ["p_partkey"], "inner", right_unique=True)
 
 
 def _songs(spark, sf, *keys):
@@ -119,7 +119,7 @@ def balanced_join_hot_key(spark, sf):
     )
     r = table(spark, sf, "part").filter((F.col("p_size") > 10) | (F.col("p_partkey") == 7))
     r = r.select(F.col("p_partkey").alias("k"), "p_brand", "p_size")
-    return balanced_join(l, r, ["k"], "left", min_rows=0)
+    return balanced_join(l, r, ["k"], "left", min_rows=0, right_unique=True)
 
 
 @exercise(
@@ -134,7 +134,7 @@ def dimension_join(spark, sf):
         (F.col("p_partkey") % 100 + F.col("p_size") % 3).alias("artist_id"),
     )
     s = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("artist_id"), F.col("s_name").alias("artist"))
-    return lookup_join(p, s, ["artist_id"], "inner").select("song_id", "title", "artist")
+    return lookup_join(p, s, ["artist_id"], "inner", right_unique=True).select("song_id", "title", "artist")
 
 
 _ROLES_SQL = """WITH codes AS (SELECT n_nationkey, n_name FROM nation WHERE n_nationkey % 6 <> 0),
@@ -149,8 +149,9 @@ def _roles(spark, sf, label):
     o = table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("c_custkey"))
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     s = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
-    lines = lookup_join(l, o, ["o_orderkey"], "inner")
-    lines = lookup_join(lookup_join(lines, c, ["c_custkey"], "inner"), s, ["s_suppkey"], "inner")
+    lines = lookup_join(l, o, ["o_orderkey"], "inner", right_unique=True)
+    lines = lookup_join(lines, c, ["c_custkey"], "inner", right_unique=True, heavy_from=o)
+    lines = lookup_join(lines, s, ["s_suppkey"], "inner", right_unique=True, heavy_from=l)
     codes = table(spark, sf, "nation").filter(F.col("n_nationkey") % 6 != 0).select("n_nationkey", "n_name")
     roles = {"c_nationkey": "residency_country", "s_nationkey": "origin_country"}
     return two_role_lookup(lines, codes, "n_nationkey", roles, label).withColumnRenamed("o_orderkey", "l_orderkey")
@@ -193,7 +194,7 @@ def lookup_using_not_null(spark, sf):
     segment = F.when(F.col("s_suppkey") % 2 == 0, "BUILDING").otherwise("MACHINERY")
     codes = table(spark, sf, "supplier").groupBy(F.col("s_nationkey").alias("nation"), segment.alias("segment"))
     codes = codes.agg(F.min("s_name").alias("code"))
-    return lookup_join(totals, codes, ["nation", "segment"], "inner").select(
+    return lookup_join(totals, codes, ["nation", "segment"], "inner", right_unique=True).select(
         "code", "nation", "segment", "n_customers", "key_sum"
     )
 
@@ -207,6 +208,6 @@ def lookup_using_not_null(spark, sf):
 def code_map_left(spark, sf):
     r = table(spark, sf, "region").filter(F.col("r_regionkey") < 3).select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
     n = table(spark, sf, "nation")
-    codes = lookup_join(n, r, ["n_regionkey"], "left").select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "r_name")
+    codes = lookup_join(n, r, ["n_regionkey"], "left", right_unique=True).select(F.col("n_nationkey").alias("c_nationkey"), "n_name", "r_name")
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    return lookup_join(c, codes, ["c_nationkey"], "left", [n]).select("c_custkey", "c_nationkey", "n_name", "r_name")
+    return lookup_join(c, codes, ["c_nationkey"], "left", [n], right_unique=True).select("c_custkey", "c_nationkey", "n_name", "r_name")

@@ -27,7 +27,8 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events").withColumn("p_partkey", F.get_json_object("props", "$.k").cast("long"))
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"), "c_name", "c_mktsegment")
-    joined = lookup_join(lookup_join(e, p, ["p_partkey"], "inner"), c, ["user_id"], "inner")
+    joined = lookup_join(e, p, ["p_partkey"], "inner", right_unique=True)
+    joined = lookup_join(joined, c, ["user_id"], "inner", right_unique=True, heavy_from=e)
     song_event = F.col("event_id") % 10 != 0
     return joined.select(
         "event_id",
@@ -126,7 +127,7 @@ def immigration_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as 13-column immigration records: arrival on the first of the month, purposes 1-3, modes 1-4, countries 100-124."""
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_mktsegment")
-    joined = lookup_join(o, c, ["o_custkey"], "inner")
+    joined = lookup_join(o, c, ["o_custkey"], "inner", right_unique=True)
     days = F.date_diff(F.trunc("o_orderdate", "month"), F.lit("1960-01-01").cast("date"))
     key = F.col("o_orderkey")
     return joined.select(

@@ -44,17 +44,17 @@ _RELATIONAL_PLAYS = f"""{inputs.MUSIC_SQL}, {_ARTISTS_FIRST},
          first_value(gender) OVER f AS gender, first_value(level) OVER l AS level, row_number() OVER f AS rn FROM plays
   WINDOW f AS (PARTITION BY user_id ORDER BY ts, event_id), l AS (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)) WHERE rn = 1""")
 def relational_users(spark, sf):
-    return music.relational_mart(*_inputs(spark, sf), ORDER)["users"]
+    return music.users_latest(plays_of(inputs.log(spark, sf)), ORDER)
 
 
 @exercise("relational_songs", f"{inputs.MUSIC_SQL} SELECT song_id, title, artist_id, year, duration FROM song_records")
 def relational_songs(spark, sf):
-    return music.relational_mart(*_inputs(spark, sf), ORDER)["songs"]
+    return music.songs_first(inputs.songs(spark, sf), ["song_id"])
 
 
 @exercise("relational_artists", f"{inputs.MUSIC_SQL}, {_ARTISTS_FIRST} SELECT * FROM artists")
 def relational_artists(spark, sf):
-    return music.relational_mart(*_inputs(spark, sf), ORDER)["artists"]
+    return music.artists_first(inputs.songs(spark, sf), ["song_id"])
 
 
 @exercise(
@@ -62,7 +62,7 @@ def relational_artists(spark, sf):
     f"{inputs.MUSIC_SQL} " + _calendar_sql(f"(SELECT {_MS} AS start_time FROM plays p)", "isodow(start_time) - 1"),
 )
 def relational_time(spark, sf):
-    return music.relational_mart(*_inputs(spark, sf), ORDER)["time"]
+    return music.time_of_plays(plays_of(inputs.log(spark, sf)), "millis", "monday")
 
 
 @exercise(
@@ -82,7 +82,7 @@ _WAREHOUSE = f"""{inputs.MUSIC_SQL} SELECT {_SEC} AS start_time, {_FACT} FROM pl
 
 @exercise("warehouse_songplays", _WAREHOUSE)
 def warehouse_songplays(spark, sf):
-    return music.warehouse_mart(*_inputs(spark, sf))["songplays"]
+    return music.songplays_matched(plays_of(inputs.log(spark, sf)), inputs.songs(spark, sf))
 
 
 @exercise(
@@ -90,7 +90,7 @@ def warehouse_songplays(spark, sf):
     f"{inputs.MUSIC_SQL} SELECT DISTINCT user_id, first_name, last_name, gender, level FROM plays",
 )
 def warehouse_users(spark, sf):
-    return music.warehouse_mart(*_inputs(spark, sf))["users"]
+    return music.users_distinct(plays_of(inputs.log(spark, sf)), ["user_id", "first_name", "last_name"])
 
 
 @exercise(
@@ -98,7 +98,7 @@ def warehouse_users(spark, sf):
     f"{inputs.MUSIC_SQL} " + _calendar_sql(f"(SELECT {_SEC} AS start_time FROM plays p)", "dayofweek(start_time)"),
 )
 def warehouse_time(spark, sf):
-    return music.warehouse_mart(*_inputs(spark, sf))["time"]
+    return music.time_of_plays(plays_of(inputs.log(spark, sf)), "seconds", "sunday")
 
 
 # -- data lake ----------------------------------------------------------------
@@ -110,7 +110,7 @@ _LAKE = f"""{inputs.MUSIC_SQL} SELECT row_number() OVER (ORDER BY p.ts, p.event_
 
 @exercise("lake_songplays", _LAKE)
 def lake_songplays(spark, sf):
-    return music.lake_mart(*_inputs(spark, sf), ORDER)["songplays"]
+    return music.songplays_by_title(plays_of(inputs.log(spark, sf)), inputs.songs(spark, sf), ORDER)
 
 
 @exercise(
@@ -142,7 +142,7 @@ _SCHEDULED = f"""{inputs.MUSIC_SQL}, fact AS (
 
 @exercise("scheduled_songplays", f"{_SCHEDULED} SELECT * FROM fact")
 def scheduled_songplays(spark, sf):
-    return music.scheduled_mart(*_inputs(spark, sf))["songplays"]
+    return music.songplays_rounded(plays_of(inputs.log(spark, sf)), inputs.songs(spark, sf))
 
 
 @exercise("scheduled_time", f"{_SCHEDULED} " + _calendar_sql("fact", "dayofweek(start_time)"))
@@ -268,15 +268,18 @@ def immigration_dates(spark, sf):
 
 @exercise("us_cities_dim", _CITY_SQL.format(f="sum"))
 def us_cities_dim(spark, sf):
-    raw = inputs.city_file(spark, sf).withColumnsRenamed(immigration.CITY_COLUMNS)
-    return immigration.us_cities(immigration.clean_cities(raw), immigration.cities_of(inputs.catalogues(spark, sf)))
+    return _cities(spark, sf, "sum")
 
 
 @exercise("us_cities_dim_max", _CITY_SQL.format(f="max"))
 def us_cities_dim_max(spark, sf):
-    raw = inputs.city_file(spark, sf).withColumnsRenamed(immigration.CITY_COLUMNS)
-    codes = immigration.cities_of(inputs.catalogues(spark, sf))
-    return immigration.us_cities(immigration.clean_cities(raw), codes, how="max")
+    return _cities(spark, sf, "max")
+
+
+def _cities(spark, sf, how):
+    rows = immigration.clean_cities(inputs.city_file(spark, sf).withColumnsRenamed(immigration.CITY_COLUMNS))
+    texts = inputs.catalogues(spark, sf)
+    return immigration.us_cities(rows, immigration.cities_of(texts), how, built_from=[texts])
 
 
 @exercise(

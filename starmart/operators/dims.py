@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmart.operators.joins import fits_broadcast
+
 
 def distinct_rows(df: DataFrame, cols: list[str]) -> DataFrame:
     return df.select(*cols).distinct()
@@ -19,15 +21,18 @@ def distinct_rows(df: DataFrame, cols: list[str]) -> DataFrame:
 def _ranked(order: list[str], values: list[str]) -> Column:
     """A struct comparing by the order columns, then by the values."""
     ranks = [F.col(c).alias(f"o{i}") for i, c in enumerate(order)]
-    return F.struct(*ranks, F.struct(*values).alias("r"))
+    return F.struct(*ranks, *([F.struct(*values).alias("r")] if values else []))
 
 
 def _extreme(df: DataFrame, key: list[str], order: list[str], reduce) -> DataFrame:
-    rest = [c for c in df.columns if c not in key]
-    if not rest:
+    names = df.columns
+    order = [c for c in order if c not in key]
+    rest = [c for c in names if c not in key and c not in order]
+    if not order and not rest:
         return df.distinct()
-    pick = reduce(_ranked(order, rest))
-    return df.groupBy(*key).agg(pick.alias("_p")).select(*key, "_p.r.*").select(*df.columns)
+    out = df.groupBy(*key).agg(reduce(_ranked(order, rest)).alias("_p"))
+    picked = {c: F.col(f"_p.o{i}").alias(c) for i, c in enumerate(order)} | {c: F.col(f"_p.r.{c}") for c in rest}
+    return out.select(*[picked.get(c, F.col(c)) for c in names])
 
 
 def first_wins(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
@@ -52,19 +57,50 @@ def upsert_type1(df: DataFrame, key: list[str], update: list[str], order: list[s
     return out.select(*[picked[c].alias(c) if c in picked else F.col(c) for c in names])
 
 
+def _key_join(left: DataFrame, right: DataFrame, key: list[str], how: str) -> DataFrame:
+    """Semi or anti join on a key in which null is a value like any other."""
+    renamed = right.select(*[F.col(c).alias(f"_k_{c}") for c in key])
+    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in key]
+    condition = same[0]
+    for c in same[1:]:
+        condition = condition & c
+    return left.join(F.broadcast(renamed) if fits_broadcast(right) else renamed, condition, how)
+
+
+def rows_without(target: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame:
+    """Target rows whose key is not in the batch."""
+    return _key_join(target, batch, key, "left_anti")
+
+
 def new_rows_only(batch: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
-    """Batch rows whose key the target does not hold."""
-    return batch.join(target.select(*key), key, "left_anti").select(*batch.columns)
+    """Batch rows whose key the target does not hold.
+
+    For a batch within the broadcast threshold the target is first cut to the batch's keys
+    where it is scanned, so the target does not shuffle.
+    """
+    known = target.select(*key)
+    if fits_broadcast(batch):
+        known = _key_join(known, batch, key, "left_semi")
+    return _key_join(batch, known, key, "left_anti")
 
 
 def merge_type1(
     target: DataFrame, batch: DataFrame, key: list[str], update: list[str], order: list[str]
 ) -> DataFrame:
-    """The target after an upsert of a batch: target rows come before every batch row."""
+    """The target after an upsert of a batch: target rows come before every batch row.
+
+    With a batch within the broadcast threshold only the target rows it touches are
+    shuffled; the others pass through.
+    """
     names = target.columns
+    touched, untouched = target, None
+    if fits_broadcast(batch):
+        touched = _key_join(target, batch, key, "left_semi")
+        untouched = _key_join(target, batch, key, "left_anti")
     ranks = {f"_rank{i}": F.col(c) for i, c in enumerate(order)}
-    old = target.select(
+    old = touched.select(
         *names, F.lit(0).alias("_age"), *[F.lit(None).cast(batch.schema[c].dataType).alias(r) for r, c in zip(ranks, order)]
     )
     new = batch.select(*names, F.lit(1).alias("_age"), *[c.alias(r) for r, c in ranks.items()])
-    return upsert_type1(old.unionByName(new), key, update, ["_age", *ranks]).select(*names)
+    merged = upsert_type1(old.unionByName(new), key, update, ["_age", *ranks]).select(*names)
+    return merged if untouched is None else untouched.unionByName(merged)

@@ -42,16 +42,19 @@ def lookup_join(
     on: list[str],
     how: str = "left",
     built_from: list[DataFrame] | None = None,
+    right_unique: bool = False,
+    heavy_from: DataFrame | None = None,
 ) -> DataFrame:
     """Join a large frame to a lookup: broadcast when its size is checked, else a balanced shuffle join.
 
     ``built_from`` names the inputs of a lookup that holds at most one row per row of its
     first input (a join on a unique key, a per-key reduction); their sizes stand for it,
-    since the optimizer multiplies sizes over a join.
+    since the optimizer multiplies sizes over a join. ``right_unique`` and ``heavy_from``
+    are those of ``balanced_join``.
     """
     if fits_broadcast(*(built_from or [right])):
         return left.join(F.broadcast(right), on, how)
-    return balanced_join(left, right, on, how)
+    return balanced_join(left, right, on, how, right_unique=right_unique, heavy_from=heavy_from)
 
 
 def _key_text(df: DataFrame, on: list[str]) -> Column:
@@ -90,9 +93,15 @@ def balanced_join(
     how: str = "left",
     partitions: int | None = None,
     min_rows: int = 100_000,
+    right_unique: bool = False,
+    heavy_from: DataFrame | None = None,
 ) -> DataFrame:
     """Inner or left equi-join with heavy keys cut into pieces on both sides.
 
+    A right side with unique keys (``right_unique``) has no heavy ones and is not examined.
+    ``heavy_from`` is a frame to read the left side's heavy keys from, such as the table the
+    key comes from when ``left`` is itself a join; it steers the balance only.
+
     Rows of a heavy key are dealt into the key's pieces, and the other side's rows of that
     key are repeated once per piece. A null key matches nothing, so its rows are dealt
     over all partitions. Dealing follows row position, so exact copies of a row spread too;
@@ -106,8 +115,8 @@ def balanced_join(
             raise TypeError(f"join key {name} has two types")
     spark = left.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    left_heavy = heavy_keys(left, on, partitions, min_rows)
-    right_heavy = heavy_keys(right, on, partitions, min_rows)
+    left_heavy = heavy_keys(left if heavy_from is None else heavy_from, on, partitions, min_rows)
+    right_heavy = {} if right_unique else heavy_keys(right, on, partitions, min_rows)
 
     deal = F.monotonically_increasing_id()
     null_key = F.greatest(*[F.col(c).isNull() for c in on]) if len(on) > 1 else F.col(on[0]).isNull()
@@ -162,7 +171,7 @@ def lookup_first(
     built_from: list[DataFrame] | None = None,
 ) -> DataFrame:
     """Left join giving every left row at most one match."""
-    return lookup_join(left, one_per_key(lookup, on, values), on, "left", built_from or [lookup])
+    return lookup_join(left, one_per_key(lookup, on, values), on, "left", built_from or [lookup], right_unique=True)
 
 
 def two_role_lookup(
@@ -175,11 +184,13 @@ def two_role_lookup(
     """Join one code table under several roles, dropping rows a role does not match.
 
     ``roles`` maps a code column of ``df`` to the name its label gets. Without ``label``
-    the codes only filter (the label is not added).
+    the codes only filter (the label is not added). Codes are unique in ``codes``.
     """
+    base = df
     for column, name in roles.items():
         wanted = [F.col(code).alias(column)] + ([F.col(label).alias(name)] if label else [])
         side = codes.select(*wanted)
         side = side if label else side.distinct()
-        df = lookup_join(df, side, [column], "inner", [codes]).select(*df.columns, *([name] if label else []))
+        joined = lookup_join(df, side, [column], "inner", [codes], right_unique=True, heavy_from=base)
+        df = joined.select(*df.columns, *([name] if label else []))
     return df

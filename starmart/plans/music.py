@@ -105,6 +105,7 @@ def song_lookup(songs: DataFrame, artists: DataFrame) -> DataFrame:
         artists.select("artist_id", F.col("name").alias("artist")),
         ["artist_id"],
         "inner",
+        right_unique=True,
     )
     return named.select("song", "artist", "length", "song_id", "artist_id")
 

@@ -50,13 +50,13 @@ def clean_items(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return nonempty(raw, "artist").select(*SESSION_ITEMS.columns)
 
 
-def _table_contract(table: dict) -> TableContract:
-    """Each table asks only for its own columns to be well formed."""
+def _table_contract(table: dict, order_types: dict[str, str]) -> TableContract:
+    """Each table asks only for its own columns to be well formed; order columns keep their type."""
     sources = table["columns"].values()
     columns = {c: t for c, t in SESSION_ITEMS.columns.items() if c in sources}
     key_sources = [table["columns"][c] for c in [*table["key"], *table["cluster"]]]
     required = [c for c in columns if c in key_sources or columns[c] != "string"]
-    return TableContract("query_table", columns, required=required)
+    return TableContract("query_table", {**order_types, **columns}, required=required)
 
 
 def query_table(items: DataFrame, table: dict, order: list[str]) -> tuple[DataFrame, DataFrame]:
@@ -64,18 +64,15 @@ def query_table(items: DataFrame, table: dict, order: list[str]) -> tuple[DataFr
 
     A row whose number does not parse, or whose key is null, is set aside.
     """
-    sources = list(dict.fromkeys(table["columns"].values()))
-    good, rejects = split_rows(items.select(*sources, *[c for c in order if c not in sources]), _with_order(table, items, order))
-    named = good.select(*[F.col(s).alias(c) for c, s in table["columns"].items()], *[F.col(c).alias(f"_o_{c}") for c in order])
-    full_key = [*table["key"], *table["cluster"]]
-    rows = last_wins(named, full_key, [f"_o_{c}" for c in order]).select(*table["columns"])
-    return rows, rejects
-
-
-def _with_order(table: dict, items: DataFrame, order: list[str]) -> TableContract:
-    contract = _table_contract(table)
-    extra = {c: items.schema[c].dataType.simpleString() for c in order if c not in contract.columns}
-    return TableContract(contract.name, {**contract.columns, **extra}, required=contract.required)
+    columns = table["columns"]
+    sources = list(dict.fromkeys([*columns.values(), *order]))
+    schema = items.schema
+    contract = _table_contract(table, {c: schema[c].dataType.simpleString() for c in order})
+    good, rejects = split_rows(items.select(*sources), contract)
+    ranks = {f"_o{i}": F.col(c) for i, c in enumerate(order)}
+    named = good.select(*[F.col(s).alias(c) for c, s in columns.items()], *[c.alias(r) for r, c in ranks.items()])
+    rows = last_wins(named, [*table["key"], *table["cluster"]], list(ranks))
+    return rows.select(*columns), rejects
 
 
 def write_query_table(rows: DataFrame, table: dict, path: str, partitions: int | None = None) -> None:

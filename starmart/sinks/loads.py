@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.functions.keys import sequence_id
-from starmart.operators.dims import first_wins, last_wins, merge_type1, new_rows_only, upsert_type1
+from starmart.operators.dims import first_wins, last_wins, merge_type1, new_rows_only, rows_without, upsert_type1
 
 
 def _versions(spark: SparkSession, root: str) -> tuple[list[int], list[int]]:
@@ -104,5 +104,5 @@ def write_last_wins(df: DataFrame, root: str, key: list[str], order: list[str],
     path = current_version(spark, root)
     if path is None:
         return truncate_insert(batch, root)
-    kept = spark.read.parquet(path).join(batch.select(*key), key, "left_anti").select(*cols)
+    kept = rows_without(spark.read.parquet(path), batch, key).select(*cols)
     return truncate_insert(kept.unionByName(batch), root)

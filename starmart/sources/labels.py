@@ -63,6 +63,6 @@ def city_codes(ports: DataFrame, states: DataFrame) -> DataFrame:
     """``(city_code, city_name, state_code, state_name)``; a port without a known state keeps null."""
     cities = split_city(ports).select(F.col("code").alias("city_code"), "city_name", "state_code")
     names = states.select(F.col("code").alias("state_code"), F.col("label").alias("state_name"))
-    return lookup_join(cities, names, ["state_code"], "left").select(
+    return lookup_join(cities, names, ["state_code"], "left", right_unique=True).select(
         "city_code", "city_name", "state_code", "state_name"
     )
