@@ -15,6 +15,7 @@ from pyspark.sql.types import DoubleType, FloatType
 
 SKETCH_ITEMS = 10_000  # counters of the heavy-hitter sketch
 SKETCH_TOP = 1_000  # most keys a side may report as heavy
+FINENESS = 4  # left pieces per average partition, so that pieces meeting in one partition even out
 
 
 def broadcast_limit(df: DataFrame) -> int:
@@ -59,10 +60,10 @@ def lookup_join(
 
 def _key_text(df: DataFrame, on: list[str]) -> Column:
     """One text per key, equal exactly for keys that join (0.0 and -0.0 do)."""
-    parts = []
+    parts, schema = [], df.schema
     for name in on:
         c = F.col(name)
-        if isinstance(df.schema[name].dataType, (DoubleType, FloatType)):
+        if isinstance(schema[name].dataType, (DoubleType, FloatType)):
             c = c + F.lit(0.0)
         parts.append(c.alias(name))
     return F.to_json(F.struct(*parts))
@@ -110,19 +111,22 @@ def balanced_join(
     """
     if how not in ("left", "inner"):
         raise ValueError("balanced_join supports inner and left")
+    left_schema, right_schema = left.schema, right.schema
     for name in on:
-        if left.schema[name].dataType != right.schema[name].dataType:
+        if left_schema[name].dataType != right_schema[name].dataType:
             raise TypeError(f"join key {name} has two types")
     spark = left.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     left_heavy = heavy_keys(left if heavy_from is None else heavy_from, on, partitions, min_rows)
     right_heavy = {} if right_unique else heavy_keys(right, on, partitions, min_rows)
 
-    deal = F.monotonically_increasing_id()
+    left_heavy = {k: n * FINENESS for k, n in left_heavy.items()}
+
+    deal, null_pieces = F.monotonically_increasing_id(), partitions * FINENESS
     null_key = F.greatest(*[F.col(c).isNull() for c in on]) if len(on) > 1 else F.col(on[0]).isNull()
-    out_cols = left.columns + [c for c in right.columns if c not in on]
+    out_cols = left_schema.names + [c for c in right_schema.names if c not in on]
     if not left_heavy and not right_heavy:
-        dealt = left.withColumn("_piece", F.when(null_key, deal % partitions).otherwise(F.lit(0)))
+        dealt = left.withColumn("_piece", F.when(null_key, deal % null_pieces).otherwise(F.lit(0)))
         return dealt.join(right.withColumn("_piece", F.lit(0).cast("long")), [*on, "_piece"], how).select(*out_cols)
 
     pieces = [(k, left_heavy.get(k, 1), right_heavy.get(k, 1)) for k in {**left_heavy, **right_heavy}]
@@ -138,7 +142,7 @@ def balanced_join(
 
     dealt_left = (
         marked(left)
-        .withColumn("_piece", F.when(null_key, deal % partitions).otherwise(deal % F.col("_lp")))
+        .withColumn("_piece", F.when(null_key, deal % null_pieces).otherwise(deal % F.col("_lp")))
         .withColumn("_copy", each("_rp"))
         .drop("_key", "_lp")
     )

@@ -28,8 +28,10 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g") -> SparkSession:
-    """A session for tests and benchmarks on one machine."""
+def local_session(
+    cores: int | str = "*", partitions: int = 8, memory: str = "8g", shared: str | None = None
+) -> SparkSession:
+    """A session for tests and benchmarks on one machine; ``shared`` sets the shared folder."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("starmart")
@@ -40,6 +42,8 @@ def local_session(cores: int | str = "*", partitions: int = 8, memory: str = "8g
     )
     for key, value in RUNTIME_SETTINGS.items():
         builder = builder.config(key, value)
+    if shared:
+        builder = builder.config("spark.checkpoint.dir", shared)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
@@ -55,9 +59,8 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="starmart-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="starmart-"))
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
