@@ -82,8 +82,8 @@ LOG_SQL = """log AS (
 
 
 def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log under its JSON key names; ``event_id`` stays as a key no contract knows."""
-    staged = log(spark, sf_dir)
+    """The log under its JSON key names, user ids as text; ``event_id`` stays as a key no contract knows."""
+    staged = log(spark, sf_dir).withColumn("user_id", F.col("user_id").cast("string"))
     return staged.withColumnsRenamed({column: path for path, column in EVENT_PATHS.items()})
 
 

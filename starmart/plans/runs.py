@@ -110,12 +110,17 @@ def write_lake_mart(mart: dict[str, DataFrame], root: str) -> None:
     write_parquet(mart["songplays"], f"{root}/songplays", ["year", "month"], replace_only_written=True)
 
 
+def _written(mart: dict[str, DataFrame], name: str, root: str) -> DataFrame:
+    """A table read back under its own schema, which a folder without files cannot give."""
+    return mart[name].sparkSession.read.schema(mart[name].schema).parquet(f"{root}/{name}")
+
+
 def write_immigration_mart(mart: dict[str, DataFrame], root: str) -> None:
     """The fact by arrival date and temperatures by date; the arrival dates are read off the written fact."""
     write_parquet(mart["immigration_fact"], f"{root}/immigration_fact", ["arrival_date"])
     write_parquet(mart["us_cities_dim"], f"{root}/us_cities_dim")
     write_parquet(mart["temperature_dim"], f"{root}/temperature_dim", ["date"])
-    fact = mart["immigration_fact"].sparkSession.read.parquet(f"{root}/immigration_fact")
+    fact = _written(mart, "immigration_fact", root)
     write_parquet(immigration.arrival_dates(fact), f"{root}/time_dim")
 
 
@@ -136,6 +141,6 @@ def run_immigration(
         read_catalogue(spark, catalogue_path),
     )
     write_immigration_mart(mart, root)
-    report = run_checks({t: spark.read.parquet(f"{root}/{t}") for t in mart}, [TableCheck(t) for t in mart])
+    report = run_checks({t: _written(mart, t, root) for t in mart}, [TableCheck(t) for t in mart])
     enforce(report)
     return report

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from starmart.contracts import IMMIGRATION, IMMIGRATION_INPUT, TableContract, clean, in_order
+from starmart.contracts import IMMIGRATION, IMMIGRATION_INPUT, TableContract, clean, in_order, split_rows
 from starmart.functions.times import millis_to_timestamp
 from starmart.operators.filters import whole_number_is
 
@@ -53,35 +53,62 @@ def read_csv_files(
     return df.withColumnsRenamed(rename) if rename else df
 
 
-def _nested_schema(mapping: dict[str, str], contract: TableContract) -> StructType:
-    """The JSON schema that holds exactly the mapped paths."""
+def _text_schema(paths: list[str]) -> StructType:
+    """The JSON schema that holds exactly the given paths, every leaf as text."""
     tree: dict = {}
-    for path, column in mapping.items():
+    for path in paths:
         *parents, leaf = path.split(".")
         node = tree
         for p in parents:
             node = node.setdefault(p, {})
-        node[leaf] = contract.type_of(column)
+        node[leaf] = None
 
     def build(node: dict) -> StructType:
         out = StructType()
-        for name, value in node.items():
-            out.add(name, build(value) if isinstance(value, dict) else value)
+        for name, below in node.items():
+            out.add(name, build(below) if below else "string")
         return out
 
     return build(tree)
 
 
+def _loaded(
+    text: DataFrame, contract: TableContract, epoch_columns: list[str], malformed: str
+) -> DataFrame | tuple[DataFrame, DataFrame]:
+    """Text columns cleaned, then typed. A blank is null for every type."""
+    cleaned = clean(text, contract)
+    counted = contract
+    for c in epoch_columns:
+        counted = counted.typed(c, "bigint")
+
+    def timed(df: DataFrame) -> DataFrame:
+        times = {c: millis_to_timestamp(c) for c in epoch_columns}
+        return in_order(df.withColumns(times) if times else df, contract)
+
+    if malformed == "reject":
+        good, rejects = split_rows(cleaned, counted)
+        return timed(good), rejects
+    if malformed != "fail":
+        raise ValueError(f"unknown treatment {malformed}")
+    return timed(in_order(cleaned, counted))
+
+
 def read_json_paths(
-    spark: SparkSession, paths: str | list[str], mapping: dict[str, str], contract: TableContract
-) -> DataFrame:
+    spark: SparkSession,
+    paths: str | list[str],
+    mapping: dict[str, str],
+    contract: TableContract,
+    malformed: str = "fail",
+) -> DataFrame | tuple[DataFrame, DataFrame]:
     """Bulk load through a path list: each JSON path (``a.b`` for a nested key) fills one table column.
 
-    Blank text becomes null and text is cut to the contract's widths.
+    Values are read as text, so a number given as ``"10"`` loads like ``10``. Blank text becomes
+    null, text is cut to the contract's widths, and the rest is cast. A value that does not
+    cast fails the load; with ``malformed="reject"`` the result is ``(good, rejects)``.
     """
-    raw = spark.read.schema(_nested_schema(mapping, contract)).json(paths)
+    raw = spark.read.schema(_text_schema(list(mapping))).json(paths)
     named = raw.select(*[F.col(".".join(f"`{p}`" for p in path.split("."))).alias(c) for path, c in mapping.items()])
-    return clean(in_order(named, contract), contract)
+    return _loaded(named, contract, [], malformed)
 
 
 def read_json_auto(
@@ -89,18 +116,15 @@ def read_json_auto(
     paths: str | list[str],
     contract: TableContract,
     epoch_columns: list[str] | None = None,
-) -> DataFrame:
+    malformed: str = "fail",
+) -> DataFrame | tuple[DataFrame, DataFrame]:
     """Bulk load by name: JSON keys fill the columns of the same name; other keys are ignored, missing ones null.
 
-    ``epoch_columns`` are timestamps written as epoch milliseconds.
+    ``epoch_columns`` are timestamps written as epoch milliseconds. Text, blanks and
+    malformed values are treated as in ``read_json_paths``.
     """
-    epoch_columns = epoch_columns or []
-    schema = StructType()
-    for name in contract.columns:
-        schema.add(name, "long" if name in epoch_columns else contract.type_of(name))
-    raw = spark.read.schema(schema).json(paths)
-    raw = raw.withColumns({c: millis_to_timestamp(c) for c in epoch_columns}) if epoch_columns else raw
-    return clean(in_order(raw, contract), contract)
+    raw = spark.read.schema(_text_schema(list(contract.columns))).json(paths)
+    return _loaded(raw, contract, epoch_columns or [], malformed)
 
 
 def expand_paths(template: str, contexts: list[dict] | dict) -> list[str]:

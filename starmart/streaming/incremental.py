@@ -23,7 +23,7 @@ def staged_stream(spark: SparkSession, folder: str) -> DataFrame:
     reader = spark.readStream.schema(EVENT_RECORDS.schema).option("pathGlobFilter", "*.json")
     raw = reader.option("recursiveFileLookup", True).json(folder)
     named = raw.select(*[F.col(path).alias(column) for path, column in EVENT_PATHS.items()])
-    return clean(in_order(named, STAGED_EVENTS), STAGED_EVENTS)
+    return in_order(clean(named, STAGED_EVENTS), STAGED_EVENTS)
 
 
 def load_new_events(

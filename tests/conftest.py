@@ -13,6 +13,7 @@ def spark(tmp_path_factory):
     from starmart.session import local_session
 
     session = local_session(4, partitions=4, memory="4g", shared=str(tmp_path_factory.mktemp("shared")))
+    session.conf.set("spark.sql.maxMetadataStringLength", "5000")  # whole PushedFilters in plans
     yield session
     session.stop()
 

@@ -68,6 +68,17 @@ def test_bulk_load_by_paths(spark, tmp_path):
     assert [tuple(r) for r in df.collect()] == [(5, None, "x", None)]
 
 
+def test_numbers_as_text_blanks_and_malformed_values(spark, tmp_path, rows):
+    put(tmp_path / "s.json", {"k": "10"}, {"k": 11}, {"k": " "})
+    contract = TableContract("t", {"k": "int"})
+    assert rows(read_json_auto(spark, str(tmp_path), contract)) == [(None,), (10,), (11,)]
+    put(tmp_path / "t.json", {"k": "ten"})
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        read_json_auto(spark, str(tmp_path), contract).collect()
+    good, rejects = read_json_auto(spark, str(tmp_path), contract, malformed="reject")
+    assert rows(good) == [(None,), (10,), (11,)] and rows(rejects) == [("ten", "k: malformed")]
+
+
 def test_epoch_columns(spark, tmp_path):
     put(tmp_path / "s.json", {"t": 1541990258796})
     df = read_json_auto(spark, str(tmp_path), TableContract("t", {"t": "timestamp"}), ["t"])
