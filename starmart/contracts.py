@@ -71,15 +71,16 @@ def _cast(schema: StructType, name: str, target: DataType) -> Column:
     return c if schema[name].dataType == target else c.try_cast(target)
 
 
-def split_rows(df: DataFrame, contract: TableContract) -> tuple[DataFrame, DataFrame]:
+def split_rows(df: DataFrame, contract: TableContract, record: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Cast to the contract and split into ``(good, rejects)``; together they are the input.
 
     A row is rejected when a value does not cast, or a required column is null. Rejects
-    keep the raw columns and name the failing ones in ``reject_reason``.
+    keep the raw columns and name the failing ones in ``reject_reason``. ``record`` names a
+    column holding the text of a record that could not be parsed at all.
     """
     schema = df.schema
     casts = {n: _cast(schema, n, contract.type_of(n)) for n in contract.columns if n in schema.names}
-    reasons = []
+    reasons = [F.when(F.col(record).isNotNull(), F.lit("record: malformed"))] if record else []
     for name, value in casts.items():
         malformed = F.col(f"`{name}`").isNotNull() & value.isNull()
         reasons.append(F.when(malformed, F.lit(f"{name}: malformed")))

@@ -29,6 +29,7 @@ from starmart.sources import (
     code_map,
     expand_paths,
     first_per_file,
+    line_count,
     read_csv_files,
     read_immigration,
     read_json_auto,
@@ -172,6 +173,29 @@ def src_json_auto(spark, sf):
     return rows.select("doc_id", F.md5("text").alias("text_md5"), "lang", "seen", "missing")
 
 
+@exercise(
+    "src_json_rejects",
+    """SELECT event_id, CASE WHEN event_id % 4 = 0 THEN event_type ELSE CAST(user_id AS VARCHAR) END AS user,
+              CASE WHEN event_id % 4 = 0 THEN 'user: malformed' ELSE 'good' END AS outcome
+       FROM events WHERE event_id % 5 <> 0
+       UNION ALL SELECT NULL, NULL, 'record: malformed' FROM events WHERE event_id % 5 = 0""",
+)
+def src_json_rejects(spark, sf):
+    """Lines that are not JSON and values that do not cast are set aside; good and rejected rows are the input."""
+    root = scratch_dir(spark, "rejects")
+    e = table(spark, sf, "events")
+    user = F.when(F.col("event_id") % 4 == 0, F.col("event_type")).otherwise(F.col("user_id").cast("string"))
+    record = F.to_json(F.struct("event_id", user.alias("user")))
+    line = F.when(F.col("event_id") % 5 == 0, F.concat(record, F.lit("}"))).otherwise(record)
+    line = F.when(F.col("event_id") % 5 == 0, F.substring(line, 2, 100)).otherwise(line)
+    e.select(line.alias("value")).write.text(root)
+    contract = TableContract("t", {"event_id": "bigint", "user": "bigint"})
+    good, rejects = read_json_auto(spark, root, contract, malformed="reject")
+    good = good.select("event_id", F.col("user").cast("string").alias("user"), F.lit("good").alias("outcome"))
+    rejects = rejects.select(F.col("event_id").cast("bigint"), "user", F.col("reject_reason").alias("outcome"))
+    return good.unionByName(rejects)
+
+
 @exercise(
     "src_templated_path",
     """SELECT o_orderkey, o_totalprice FROM orders WHERE strftime(o_orderdate, '%Y/%m') IN ('1997/02', '1997/11')""",
@@ -285,15 +309,14 @@ def snk_date_partition(spark, sf):
     """SELECT doc_id, md5(text) AS text_md5, CASE WHEN doc_id % 3 <> 0 THEN lang END AS lang, source FROM documents""",
 )
 def snk_quoted_csv(spark, sf):
-    """Texts with quotes and line breaks survive; null and empty text both come back as null."""
+    """Texts with quotes and line breaks survive; null and empty text are both written as an empty field."""
     path = scratch_dir(spark, "quoted")
     d = table(spark, sf, "documents").select(
         F.col("doc_id").cast("string").alias("doc_id"), "text",
         F.when(F.col("doc_id") % 3 == 1, F.col("lang")).when(F.col("doc_id") % 3 == 2, F.col("lang")).alias("lang"), "source",
     )
     write_quoted_csv(d, path)
-    back = spark.read.schema(d.schema).option("header", True).option("multiLine", True).option("escape", '"')
-    back = back.option("lineSep", "\n").csv(path)
+    back = read_csv_files(spark, path, d.schema, multiline=True)
     return back.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.md5("text").alias("text_md5"), F.nullif("lang", F.lit("")).alias("lang"), "source"
     )
@@ -425,6 +448,13 @@ def ddl_views(spark, sf):
     )
 
 
+@exercise("src_line_count", "SELECT count(*) AS n_lines FROM orders")
+def src_line_count(spark, sf):
+    root = scratch_dir(spark, "lines")
+    table(spark, sf, "orders").select("o_orderkey", "o_totalprice").write.json(root)
+    return line_count(spark, root)
+
+
 _PATHS_SQL = ", ".join(f"{c}" for c in ["artist", "level", "page", "session_id", "song", "ts", "user_id"])
 
 

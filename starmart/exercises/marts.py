@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from starmart.contracts import EVENT_RECORDS
 from starmart.exercises import inputs
 from starmart.exercises.registry import exercise
 from starmart.operators.filters import plays_of
@@ -12,6 +13,7 @@ from starmart.plans.runs import run_immigration, run_lake, run_relational, run_s
 from starmart.session import scratch_dir
 from starmart.sinks import read_current
 from starmart.sources.files import immigration_records
+from starmart.streaming.incremental import load_new_events
 
 ORDER = ["ts", "event_id"]
 _MS = "epoch_ms(p.ts)"
@@ -219,6 +221,27 @@ def run_lake_load(spark, sf):
     )
 
 
+@exercise(
+    "stream_new_files",
+    f"""{_SCHEDULED} SELECT count(*) AS n_plays, count(song_id) AS n_matched, min(start_time) AS first_time,
+          max(start_time) AS last_time FROM fact WHERE day(start_time) IN (5, 6)""",
+)
+def stream_new_files(spark, sf):
+    """Two incremental runs, the second after new files arrived: each takes only the files that are new."""
+    root = _music_files(spark, sf, "stream")
+    songs, out = inputs.songs(spark, sf), f"{root}/out"
+    for day in (5, 6):
+        rows = spark.read.schema(EVENT_RECORDS.schema).json(f"{root}/in/log/dir={day}")
+        rows.write.json(f"{root}/arrived/{day}")
+        load_new_events(spark, f"{root}/arrived", songs, out, f"{root}/checkpoint").awaitTermination()
+    return read_current(spark, f"{out}/songplays").agg(
+        F.count(F.lit(1)).alias("n_plays"),
+        F.count("song_id").alias("n_matched"),
+        F.min("start_time").alias("first_time"),
+        F.max("start_time").alias("last_time"),
+    )
+
+
 # -- immigration --------------------------------------------------------------
 
 _COUNTRIES = "countries AS (SELECT DISTINCT CAST(s_nationkey + 100 AS VARCHAR) AS code FROM supplier)"

@@ -15,6 +15,7 @@ from pyspark.sql.types import DoubleType, FloatType
 
 SKETCH_ITEMS = 10_000  # counters of the heavy-hitter sketch
 SKETCH_TOP = 1_000  # most keys a side may report as heavy
+HEAVY_MIN_ROWS = 100_000  # a side with fewer rows is never cut
 FINENESS = 4  # left pieces per average partition, so that pieces meeting in one partition even out
 
 
@@ -93,7 +94,7 @@ def balanced_join(
     on: list[str],
     how: str = "left",
     partitions: int | None = None,
-    min_rows: int = 100_000,
+    min_rows: int | None = None,
     right_unique: bool = False,
     heavy_from: DataFrame | None = None,
 ) -> DataFrame:
@@ -117,6 +118,7 @@ def balanced_join(
             raise TypeError(f"join key {name} has two types")
     spark = left.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    min_rows = HEAVY_MIN_ROWS if min_rows is None else min_rows
     left_heavy = heavy_keys(left if heavy_from is None else heavy_from, on, partitions, min_rows)
     right_heavy = {} if right_unique else heavy_keys(right, on, partitions, min_rows)
 

@@ -3,6 +3,7 @@
 from starmart.sources.files import (
     expand_paths,
     first_per_file,
+    line_count,
     preview,
     read_csv_files,
     read_immigration,
@@ -20,6 +21,7 @@ __all__ = [
     "code_map_from_dict",
     "expand_paths",
     "first_per_file",
+    "line_count",
     "preview",
     "read_catalogue",
     "read_csv_files",

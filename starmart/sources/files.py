@@ -40,14 +40,17 @@ def read_csv_files(
     columns: list[str] | StructType,
     sep: str = ",",
     rename: dict[str, str] | None = None,
+    multiline: bool = False,
 ) -> DataFrame:
     """Headered CSV files as one frame; the header line of each file is skipped.
 
-    ``columns`` gives names by position (all text) or a full schema.
+    ``columns`` gives names by position (all text) or a full schema. ``multiline`` allows
+    line breaks inside quoted fields; a file is then read by one task instead of in splits.
     """
     schema = columns if isinstance(columns, StructType) else ", ".join(f"`{c}` string" for c in columns)
     reader = spark.read.schema(schema).option("header", True).option("sep", sep).option("encoding", "UTF-8")
-    # quotes inside quoted fields are doubled, and fields may hold line breaks
+    reader = reader.option("multiLine", multiline)
+    # quotes inside quoted fields are doubled
     reader = reader.option("quote", '"').option("escape", '"').option("enforceSchema", True)
     df = reader.csv(paths)
     return df.withColumnsRenamed(rename) if rename else df
@@ -72,6 +75,20 @@ def _text_schema(paths: list[str]) -> StructType:
     return build(tree)
 
 
+CORRUPT = "_corrupt_record"
+
+
+def _json_as_text(spark: SparkSession, files: str | list[str], paths: list[str], malformed: str) -> DataFrame:
+    """The given JSON paths as text. A line that is not JSON fails the scan, or is kept aside to be rejected."""
+    schema = _text_schema(paths)
+    if malformed == "fail":
+        return spark.read.schema(schema).option("mode", "FAILFAST").json(files)
+    if malformed == "reject":
+        schema = schema.add(CORRUPT, "string")
+        return spark.read.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).json(files)
+    raise ValueError(f"unknown treatment {malformed}")
+
+
 def _loaded(
     text: DataFrame, contract: TableContract, epoch_columns: list[str], malformed: str
 ) -> DataFrame | tuple[DataFrame, DataFrame]:
@@ -86,10 +103,8 @@ def _loaded(
         return in_order(df.withColumns(times) if times else df, contract)
 
     if malformed == "reject":
-        good, rejects = split_rows(cleaned, counted)
+        good, rejects = split_rows(cleaned, counted, record=CORRUPT)
         return timed(good), rejects
-    if malformed != "fail":
-        raise ValueError(f"unknown treatment {malformed}")
     return timed(in_order(cleaned, counted))
 
 
@@ -104,10 +119,12 @@ def read_json_paths(
 
     Values are read as text, so a number given as ``"10"`` loads like ``10``. Blank text becomes
     null, text is cut to the contract's widths, and the rest is cast. A value that does not
-    cast fails the load; with ``malformed="reject"`` the result is ``(good, rejects)``.
+    cast, or a line that is not JSON, fails the load; with ``malformed="reject"`` the result
+    is ``(good, rejects)``.
     """
-    raw = spark.read.schema(_text_schema(list(mapping))).json(paths)
-    named = raw.select(*[F.col(".".join(f"`{p}`" for p in path.split("."))).alias(c) for path, c in mapping.items()])
+    raw = _json_as_text(spark, paths, list(mapping), malformed)
+    named = [F.col(".".join(f"`{p}`" for p in path.split("."))).alias(c) for path, c in mapping.items()]
+    named = raw.select(*named, *([CORRUPT] if malformed == "reject" else []))
     return _loaded(named, contract, [], malformed)
 
 
@@ -123,7 +140,7 @@ def read_json_auto(
     ``epoch_columns`` are timestamps written as epoch milliseconds. Text, blanks and
     malformed values are treated as in ``read_json_paths``.
     """
-    raw = spark.read.schema(_text_schema(list(contract.columns))).json(paths)
+    raw = _json_as_text(spark, paths, list(contract.columns), malformed)
     return _loaded(raw, contract, epoch_columns or [], malformed)
 
 
@@ -160,6 +177,11 @@ def immigration_records(raw: DataFrame, visa: int = 2, mode: int = 1) -> DataFra
     return in_order(kept.withColumns({**codes, **whole}), IMMIGRATION)
 
 
+def line_count(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Number of text lines, header lines included."""
+    return spark.read.text(paths).agg(F.count(F.lit(1)).alias("n_lines"))
+
+
 def read_table(spark: SparkSession, path: str, contract: TableContract | None = None) -> DataFrame:
     """A written Parquet table; with a contract, its columns in contract order."""
     df = spark.read.parquet(path)

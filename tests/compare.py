@@ -1,4 +1,7 @@
-"""Run registered queries and their SQL side by side: ``python tests/compare.py [folder] [name ...]``."""
+"""Run registered queries and their SQL side by side: ``python tests/compare.py [--shuffle] [folder] [name ...]``.
+
+``--shuffle`` switches broadcasts off and cuts heavy keys at any size, as large tables would have it.
+"""
 
 from __future__ import annotations
 
@@ -78,9 +81,15 @@ def main():
     import __spark_entry__ as e
     from starmart.session import local_session
 
-    args = sys.argv[1:]
+    args = [a for a in sys.argv[1:] if a != "--shuffle"]
     sf_dir = args[0] if args else "/root/testdata/sf0.01"
     spark = local_session(8)
+    if "--shuffle" in sys.argv:
+        from starmart.operators import joins
+
+        joins.HEAVY_MIN_ROWS = 0
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     con = duck(sf_dir)
     sqls, bad = e.oracle_sql(), 0
     for name, fn in e.queries().items():
