@@ -22,7 +22,7 @@ from starmart.operators.checks import TableCheck, run_checks
 from starmart.operators.filters import plays_of
 from starmart.operators.numbering import dense_id
 from starmart.plans import music
-from starmart.session import local_session, stage
+from starmart.session import local_session, scratch_dir, stage
 
 HEADLINE = [
     "play_filter", "epoch_timestamps", "time_dim_monday0", "dim_distinct", "dim_first_wins", "dim_scd1_upsert",
@@ -65,49 +65,49 @@ def our_dense(spark, sf):
 
 
 def naive_lookup(spark, sf):
-    QUERIES["fact_left_join_2key"](spark, sf).write.format("noop").mode("overwrite").save()
+    write(QUERIES["fact_left_join_2key"](spark, sf))
 
 
 def our_lookup(spark, sf):
-    QUERIES["fact_lookup_top1"](spark, sf).write.format("noop").mode("overwrite").save()
+    write(QUERIES["fact_lookup_top1"](spark, sf))
+
+
+MART = {
+    "songs": lambda plays, songs: music.songs_distinct(songs),
+    "artists": lambda plays, songs: music.artists_distinct(songs),
+    "users": lambda plays, songs: music.users_distinct(plays),
+    "time": lambda plays, songs: music.time_with_epoch(plays),
+    "songplays": lambda plays, songs: music.songplays_rounded(plays, songs),
+}
 
 
 def naive_tables(spark, sf):
-    """Each table of a mart rebuilt from the raw JSON."""
-    paths = _raw(spark, sf)
-    for name in ("users", "time", "songplays"):
-        log, songs = (spark.read.json(p) for p in paths)
-        plays = plays_of(log)
-        if name == "users":
-            write(music.users_distinct(plays))
-        elif name == "time":
-            write(music.time_with_epoch(plays))
-        else:
-            write(music.songplays_rounded(plays, songs))
+    """Each table of a mart from the raw JSON, schema inferred, as separate scans."""
+    log_path, songs_path, _, _ = _raw(spark, sf)
+    log, songs = spark.read.json(log_path), spark.read.json(songs_path)
+    for build in MART.values():
+        write(build(plays_of(log), songs))
 
 
 def our_tables(spark, sf):
-    """The raw JSON parsed once under a schema and staged."""
-    log_path, songs_path = _raw(spark, sf)
-    log = stage(spark.read.schema(inputs.log(spark, sf).schema).json(log_path), "log")
-    songs = stage(spark.read.schema(inputs.songs(spark, sf).schema).json(songs_path), "songs")
-    plays = plays_of(log)
-    write(music.users_distinct(plays))
-    write(music.time_with_epoch(plays))
-    write(music.songplays_rounded(plays, songs))
+    """The raw JSON parsed once under a schema and staged as Parquet."""
+    log_path, songs_path, log_schema, songs_schema = _raw(spark, sf)
+    log = stage(spark.read.schema(log_schema).json(log_path), "log")
+    songs = stage(spark.read.schema(songs_schema).json(songs_path), "songs")
+    for build in MART.values():
+        write(build(plays_of(log), songs))
 
 
-_RAW: dict[str, tuple[str, str]] = {}
+_RAW: dict[str, tuple] = {}
 
 
 def _raw(spark, sf):
-    from starmart.session import scratch_dir
-
     if sf not in _RAW:
         root = scratch_dir(spark, "benchraw")
-        inputs.log(spark, sf).write.json(f"{root}/log")
-        inputs.songs(spark, sf).write.json(f"{root}/songs")
-        _RAW[sf] = (f"{root}/log", f"{root}/songs")
+        log, songs = inputs.log(spark, sf), inputs.songs(spark, sf)
+        log.write.json(f"{root}/log")
+        songs.write.json(f"{root}/songs")
+        _RAW[sf] = (f"{root}/log", f"{root}/songs", log.schema, songs.schema)
     return _RAW[sf]
 
 

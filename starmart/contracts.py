@@ -7,6 +7,8 @@ malformed rows aside) and checked by ``operators.checks``.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,21 +82,18 @@ def split_rows(df: DataFrame, contract: TableContract, record: str | None = None
     """
     schema = df.schema
     casts = {n: _cast(schema, n, contract.type_of(n)) for n in contract.columns if n in schema.names}
-    reasons = [F.when(F.col(record).isNotNull(), F.lit("record: malformed"))] if record else []
+    faults = [("record: malformed", F.col(record).isNotNull())] if record else []
     for name, value in casts.items():
-        malformed = F.col(f"`{name}`").isNotNull() & value.isNull()
-        reasons.append(F.when(malformed, F.lit(f"{name}: malformed")))
+        raw = F.col(f"`{name}`")
+        if schema[name].dataType != contract.type_of(name):
+            faults.append((f"{name}: malformed", raw.isNotNull() & value.isNull()))
         if name in contract.required:
-            reasons.append(F.when(F.col(f"`{name}`").isNull(), F.lit(f"{name}: null")))
-    for name in contract.required:
-        if name not in casts:
-            reasons.append(F.lit(f"{name}: missing"))
-    reason = F.concat_ws("; ", *reasons) if reasons else F.lit("")
-    marked = df.withColumn("reject_reason", reason)
-    good = in_order(
-        marked.filter(F.col("reject_reason") == "").select(*[v.alias(n) for n, v in casts.items()]), contract
-    )
-    return good, marked.filter(F.col("reject_reason") != "")
+            faults.append((f"{name}: null", raw.isNull()))
+    faults += [(f"{name}: missing", F.lit(True)) for name in contract.required if name not in casts]
+    bad = reduce(or_, [condition for _, condition in faults], F.lit(False))
+    reason = F.concat_ws("; ", *[F.when(condition, F.lit(text)) for text, condition in faults])
+    good = in_order(df.filter(~bad).select(*[v.alias(n) for n, v in casts.items()]), contract)
+    return good, df.filter(bad).withColumn("reject_reason", reason)
 
 
 # ---------------------------------------------------------------------------

@@ -180,12 +180,12 @@ def two_role_filter(spark, sf):
 
 @exercise(
     "lookup_using_not_null",
-    """WITH totals AS (SELECT c_nationkey AS nation, c_mktsegment AS segment, count(*) AS n_customers,
-                              CAST(sum(c_custkey) AS BIGINT) AS key_sum FROM customer GROUP BY 1, 2),
-            codes AS (SELECT s_nationkey AS nation, CASE WHEN s_suppkey % 2 = 0 THEN 'BUILDING' ELSE 'MACHINERY' END AS segment,
-                             min(s_name) AS code FROM supplier GROUP BY 1, 2)
-       SELECT code, nation, segment, n_customers, key_sum FROM totals LEFT JOIN codes USING (nation, segment)
-       WHERE code IS NOT NULL""",
+    """SELECT s.code, c.c_nationkey AS nation, c.c_mktsegment AS segment, count(*) AS n_customers,
+              CAST(sum(c.c_custkey) AS BIGINT) AS key_sum
+       FROM customer c JOIN (SELECT s_nationkey, CASE WHEN s_suppkey % 2 = 0 THEN 'BUILDING' ELSE 'MACHINERY' END AS segment,
+                                    min(s_name) AS code FROM supplier GROUP BY 1, 2) s
+         ON s.s_nationkey = c.c_nationkey AND s.segment = c.c_mktsegment
+       GROUP BY 1, 2, 3""",
 )
 def lookup_using_not_null(spark, sf):
     totals = table(spark, sf, "customer").groupBy(

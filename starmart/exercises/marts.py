@@ -247,15 +247,15 @@ def stream_new_files(spark, sf):
 _COUNTRIES = "countries AS (SELECT DISTINCT CAST(s_nationkey + 100 AS VARCHAR) AS code FROM supplier)"
 _KNOWN = f"""WITH {inputs.IMMIGRATION_SQL}, {_COUNTRIES}, known AS (SELECT * FROM records
   WHERE i94cit IN (SELECT code FROM countries) AND i94res IN (SELECT code FROM countries))"""
-_FACT_SQL = f"""{_KNOWN} SELECT arrival_date, i94cit AS origin_country, i94res AS residency_country, i94port AS arrival_city_code,
-  i94mode AS travel_mode, i94bir AS age, i94visa AS reason, gender, airline, visatype AS visa_type, count(*) AS "count"
-  FROM known GROUP BY ALL"""
-_CITY_SQL = f"""WITH {inputs.CITIES_SQL}, {inputs.CITY_CODES_SQL}, city_pop AS (
-  SELECT state_code, city_name, CAST({{f}}(male_population) AS BIGINT) AS male_population,
-         CAST({{f}}(female_population) AS BIGINT) AS female_population, CAST({{f}}(total_population) AS BIGINT) AS total_population,
-         CAST({{f}}(foreign_born) AS BIGINT) AS foreign_born FROM cities GROUP BY 1, 2)
-  SELECT city_code, city_name, state_code, state_name, male_population, female_population, total_population, foreign_born
-  FROM city_pop LEFT JOIN city_map USING (city_name, state_code) WHERE city_code IS NOT NULL"""
+_FACT_SQL = (
+    f"{_KNOWN} SELECT "
+    + ", ".join(f"{column} AS {name}" for column, name in immigration.FACT_COLUMNS.items())
+    + ', count(*) AS "count" FROM known GROUP BY ALL'
+)
+_CITY_SQL = f"WITH {inputs.CITIES_SQL}, {inputs.CITY_CODES_SQL} SELECT m.*, " + ", ".join(
+    f"CAST({{f}}(c.{p}) AS BIGINT) AS {p}" for p in immigration.POPULATIONS
+) + """ FROM cities c JOIN city_map m ON m.city_name = c.city_name AND m.state_code = c.state_code
+  GROUP BY m.city_code, m.city_name, m.state_code, m.state_name"""
 
 
 def _records(spark, sf, names=False):

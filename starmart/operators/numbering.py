@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.session import stage
+from starmart.session import range_partitions, stage
 
 
 def dense_id(df: DataFrame, order: list[str], name: str, partitions: int | None = None) -> DataFrame:
@@ -17,8 +17,7 @@ def dense_id(df: DataFrame, order: list[str], name: str, partitions: int | None
     may cut the ranges elsewhere. The partition sizes, one number per partition, then give each
     partition its offset. ``order`` must identify a row.
     """
-    spark = df.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = partitions or range_partitions(df)
     row = F.monotonically_increasing_id()
     placed = (
         df.repartitionByRange(partitions, *order)

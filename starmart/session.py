@@ -73,3 +73,16 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files and frames a plan reads, after pruning; runs no job."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
+def range_partitions(df: DataFrame, target_bytes: int = 512 * 2**20, most: int = 50_000) -> int:
+    """Partitions for a range shuffle, which the adaptive planner does not resize: by input size, never
+    fewer than the session's shuffle partitions."""
+    fewest = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(fewest, min(most, -(-input_bytes(df) // target_bytes)))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from starmart.session import range_partitions
+
 
 def write_parquet(
     df: DataFrame,
@@ -52,5 +54,5 @@ def write_clustered(
     one key with a large share of the rows spans several files, still in order.
     """
     columns = [*key, *(cluster or [])]
-    ranged = df.repartitionByRange(partitions, *columns) if partitions else df.repartitionByRange(*columns)
+    ranged = df.repartitionByRange(partitions or range_partitions(df), *columns)
     ranged.sortWithinPartitions(*columns).write.mode("overwrite").parquet(path)

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from starmart.operators.numbering import dense_id
+from starmart.session import input_bytes, range_partitions
 
 
 def test_dense_ids_are_one_to_n_in_order(spark):
@@ -22,3 +23,13 @@ def test_no_rows(spark):
 
 def test_no_single_task(spark, plan):
     assert "SinglePartition" not in plan(dense_id(spark.range(100), ["id"], "n"))
+
+
+def test_partitions_follow_the_input(spark, tmp_path):
+    spark.range(100_000).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    assert range_partitions(df) == 4
+    n = input_bytes(df)
+    assert range_partitions(df, target_bytes=n // 10) in (10, 11)
+    assert range_partitions(df.join(df, "id"), target_bytes=n // 10) in (20, 21, 22)
+    assert range_partitions(df, target_bytes=n // 10, most=7) == 7
