@@ -219,7 +219,7 @@ def src_immigration_files(spark, sf):
     """Records in several folders, read in one scan with the purpose and mode filter pushed to it."""
     root = scratch_dir(spark, "immigration")
     rows = inputs.immigration_input(spark, sf)
-    half = F.col("i94bir") > 40
+    half = F.col("i94bir") > 30
     rows.filter(half).write.parquet(f"{root}/a")
     rows.filter(~half).write.parquet(f"{root}/b")
     return read_immigration(spark, [f"{root}/a", f"{root}/b"]).drop("arrdate", "depdate")

@@ -124,24 +124,24 @@ MUSIC_SQL = f"WITH {LOG_SQL}, {SONGS_SQL}"
 
 
 def immigration_input(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as 13-column immigration records: arrival on the first of the month, purposes 1-3, modes 1-4, countries 100-124."""
+    """Orders as 13-column immigration records: arrival on the first of the year, purposes 1-3, modes 1-4, countries 100-124."""
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey", "c_mktsegment")
     joined = lookup_join(o, c, ["o_custkey"], "inner", right_unique=True)
-    days = F.date_diff(F.trunc("o_orderdate", "month"), F.lit("1960-01-01").cast("date"))
+    days = F.date_diff(F.trunc("o_orderdate", "year"), F.lit("1960-01-01").cast("date"))
     key = F.col("o_orderkey")
     return joined.select(
         key.cast("double").alias("cicid"),
         days.cast("double").alias("arrdate"),
         (F.col("c_nationkey") + 100).cast("double").alias("i94cit"),
         ((F.col("c_nationkey") * 7 + 3) % 25 + 100).cast("double").alias("i94res"),
-        F.substring("o_orderpriority", 3, 3).alias("i94port"),
+        F.when(F.col("o_orderpriority") < "3", "NYC").otherwise("LOS").alias("i94port"),
         (key % 4 + 1).cast("double").alias("i94mode"),
         F.substring("c_mktsegment", 1, 2).alias("i94addr"),
-        F.when(key % 6 != 0, (days + 14).cast("double")).alias("depdate"),
-        (key % 9 * 10).cast("double").alias("i94bir"),
+        F.when(key % 7 != 0, (days + 14).cast("double")).alias("depdate"),
+        (F.floor(key / 12) % 2 * 30 + 20).cast("double").alias("i94bir"),
         ((key + F.floor(key / 4)) % 3 + 1).cast("double").alias("i94visa"),
-        F.when(key % 8 != 0, F.when(key % 16 < 8, "F").otherwise("M")).alias("gender"),
+        F.when(key % 5 != 0, F.when(key % 3 == 0, "F").otherwise("M")).alias("gender"),
         F.col("o_orderstatus").alias("airline"),
         F.concat(F.lit("B"), F.col("o_custkey") % 2 + 1).alias("visatype"),
     )
@@ -149,17 +149,17 @@ def immigration_input(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 IMMIGRATION_SQL = """immigration_input AS (
   SELECT CAST(o_orderkey AS DOUBLE) AS cicid,
-         CAST(date_diff('day', DATE '1960-01-01', CAST(date_trunc('month', o_orderdate) AS DATE)) AS DOUBLE) AS arrdate,
+         CAST(date_diff('day', DATE '1960-01-01', CAST(date_trunc('year', o_orderdate) AS DATE)) AS DOUBLE) AS arrdate,
          CAST(c_nationkey + 100 AS DOUBLE) AS i94cit,
          CAST((c_nationkey * 7 + 3) % 25 + 100 AS DOUBLE) AS i94res,
-         substr(o_orderpriority, 3, 3) AS i94port,
+         CASE WHEN o_orderpriority < '3' THEN 'NYC' ELSE 'LOS' END AS i94port,
          CAST(o_orderkey % 4 + 1 AS DOUBLE) AS i94mode,
          substr(c_mktsegment, 1, 2) AS i94addr,
-         CASE WHEN o_orderkey % 6 <> 0
-              THEN CAST(date_diff('day', DATE '1960-01-01', CAST(date_trunc('month', o_orderdate) AS DATE)) + 14 AS DOUBLE) END AS depdate,
-         CAST(o_orderkey % 9 * 10 AS DOUBLE) AS i94bir,
+         CASE WHEN o_orderkey % 7 <> 0
+              THEN CAST(date_diff('day', DATE '1960-01-01', CAST(date_trunc('year', o_orderdate) AS DATE)) + 14 AS DOUBLE) END AS depdate,
+         CAST(o_orderkey // 12 % 2 * 30 + 20 AS DOUBLE) AS i94bir,
          CAST((o_orderkey + o_orderkey // 4) % 3 + 1 AS DOUBLE) AS i94visa,
-         CASE WHEN o_orderkey % 8 <> 0 THEN CASE WHEN o_orderkey % 16 < 8 THEN 'F' ELSE 'M' END END AS gender,
+         CASE WHEN o_orderkey % 5 <> 0 THEN CASE WHEN o_orderkey % 3 = 0 THEN 'F' ELSE 'M' END END AS gender,
          o_orderstatus AS airline,
          'B' || CAST(o_custkey % 2 + 1 AS VARCHAR) AS visatype
   FROM orders JOIN customer ON c_custkey = o_custkey

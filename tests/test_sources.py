@@ -76,7 +76,18 @@ def test_numbers_as_text_blanks_and_malformed_values(spark, tmp_path, rows):
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         read_json_auto(spark, str(tmp_path), contract).collect()
     good, rejects = read_json_auto(spark, str(tmp_path), contract, malformed="reject")
-    assert rows(good) == [(None,), (10,), (11,)] and rows(rejects) == [("ten", "k: malformed")]
+    assert rows(good) == [(None,), (10,), (11,)]
+    assert rows(rejects.select("k", "reject_reason")) == [("ten", "k: malformed")]
+
+
+def test_line_that_is_not_json(spark, tmp_path, rows):
+    (tmp_path / "s.json").write_text('{"k": 1}\nnot json\n')
+    contract = TableContract("t", {"k": "int"})
+    with pytest.raises(Exception, match="MALFORMED_RECORD|FAILED_READ_FILE"):
+        read_json_auto(spark, str(tmp_path), contract).collect()
+    good, rejects = read_json_auto(spark, str(tmp_path), contract, malformed="reject")
+    assert rows(good) == [(1,)]
+    assert rows(rejects) == [(None, "not json", "record: malformed")]
 
 
 def test_epoch_columns(spark, tmp_path):
