@@ -4,12 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from starmart.contracts import EVENT_RECORDS
+from starmart.contracts import EVENT_CSV_COLUMNS, EVENT_RECORDS
 from starmart.exercises import inputs
 from starmart.exercises.registry import exercise
 from starmart.operators.filters import plays_of
 from starmart.plans import immigration, music
-from starmart.plans.runs import run_immigration, run_lake, run_relational, run_scheduled
+from starmart.plans.runs import (
+    run_immigration,
+    run_lake,
+    run_query_tables,
+    run_relational,
+    run_scheduled,
+    run_warehouse,
+)
 from starmart.session import scratch_dir
 from starmart.sinks import read_current
 from starmart.sources.files import immigration_records
@@ -202,6 +209,43 @@ def run_relational_load(spark, sf):
     return read_current(spark, f"{root}/out/songplays").drop("songplay_id")
 
 
+@exercise(
+    "run_warehouse_load",
+    f"""{inputs.MUSIC_SQL}, fact AS (SELECT {_SEC} AS start_time FROM plays p
+          JOIN song_records s ON p.song = s.title AND p.artist = s.artist_name WHERE day({_SEC}) <= 5)
+        SELECT 'songplays' AS table_name, count(*) AS n_rows, count(*) AS n_keys FROM fact
+        UNION ALL SELECT 'users', count(DISTINCT (user_id, level)), count(DISTINCT user_id) FROM plays p WHERE day({_SEC}) <= 5
+        UNION ALL SELECT 'time', count(DISTINCT {_SEC}), count(DISTINCT {_SEC}) FROM plays p WHERE day({_SEC}) <= 5""",
+)
+def run_warehouse_load(spark, sf):
+    """The first five days loaded twice (tables are replaced): rows and distinct keys of three tables."""
+    root = _music_files(spark, sf, "warehouse")
+    for _ in range(2):
+        run_warehouse(spark, [f"{root}/in/log/dir={d}" for d in range(1, 6)], f"{root}/in/songs", f"{root}/out")
+    keys = {"songplays": "songplay_id", "users": "user_id", "time": "start_time"}
+    counts = [
+        read_current(spark, f"{root}/out/{t}").agg(
+            F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows"), F.count_distinct(k).alias("n_keys")
+        )
+        for t, k in keys.items()
+    ]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
+@exercise(
+    "run_query_tables_load",
+    f"""WITH {inputs.LOG_SQL}, items AS (SELECT *, row_number() OVER (PARTITION BY session_id, item_in_session ORDER BY ts DESC, artist DESC,
+          first_name DESC, gender DESC, last_name DESC, length DESC) AS rn FROM log WHERE artist IS NOT NULL)
+        SELECT session_id, item_in_session, artist, song, length FROM items WHERE rn = 1""",
+)
+def run_query_tables_load(spark, sf):
+    """The log as headered event CSV files, loaded into the three query tables; the first one read back."""
+    root = scratch_dir(spark, "querytables")
+    inputs.raw_log(spark, sf).select(*EVENT_CSV_COLUMNS).write.option("header", True).csv(f"{root}/in")
+    run_query_tables(spark, f"{root}/in", f"{root}/out", ["ts"])
+    return spark.read.parquet(f"{root}/out/by_session_item")
+
+
 @exercise(
     "run_lake_load",
     f"""{inputs.MUSIC_SQL} SELECT count(*) AS n_rows, count(*) AS last_id, count(s.song_id) AS n_matched,

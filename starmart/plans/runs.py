@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.contracts import EVENT_PATHS, STAGED_EVENTS, STAGED_SONGS
+from starmart.contracts import EVENT_PATHS, SESSION_ITEMS, STAGED_EVENTS, STAGED_SONGS
+from starmart.functions.keys import sequence_id
 from starmart.operators.checks import TableCheck, enforce, run_checks
-from starmart.plans import immigration, music
-from starmart.sinks.files import write_parquet, write_songs
+from starmart.plans import immigration, music, session_items
+from starmart.session import stage
+from starmart.sinks.files import write_parquet, write_quoted_csv, write_songs
 from starmart.sinks.loads import (
     append_new,
     insert_first_wins,
@@ -88,6 +90,17 @@ def run_relational(
     insert_numbered(music.songplays_lookup(plays, stored_songs, stored_artists), f"{root}/songplays", "songplay_id")
 
 
+def run_warehouse(
+    spark: SparkSession, event_paths: str | list[str], song_paths: str | list[str], root: str, action: str = "NextSong"
+) -> None:
+    """Stage both inputs and replace the five tables; plays get a generated number."""
+    events, songs = stage_music(spark, event_paths, song_paths, root)
+    mart = music.warehouse_mart(events, songs, action)
+    numbered = mart["songplays"].select(sequence_id().alias("songplay_id"), "*")
+    for name, df in {**mart, "songplays": numbered}.items():
+        truncate_insert(df, f"{root}/{name}")
+
+
 def run_lake(
     spark: SparkSession,
     event_paths: str | list[str],
@@ -96,9 +109,28 @@ def run_lake(
     order: list[str],
     action: str = "NextSong",
 ) -> None:
-    """Raw JSON to the partitioned data-lake tables; the JSON is parsed once."""
-    events, songs = stage_music(spark, event_paths, song_paths, root)
-    write_lake_mart(music.lake_mart(events, songs, order, action), root)
+    """Raw JSON to the partitioned data-lake tables.
+
+    The plays are filtered and pruned while the JSON is parsed, once, and staged for the five tables.
+    """
+    events = read_json_paths(spark, event_paths, EVENT_PATHS, STAGED_EVENTS)
+    needed = [*music.USER_COLUMNS, "page", "ts", "song", "artist", "session_id", "location", "user_agent", *order]
+    plays = stage(music.plays_of(events, action).select(*dict.fromkeys(needed)), "plays")
+    songs = stage(read_json_auto(spark, song_paths, STAGED_SONGS), "songs")
+    write_lake_mart(music.lake_mart(plays, songs, order, action), root)
+
+
+def run_query_tables(
+    spark: SparkSession, event_paths: str | list[str], root: str, order: list[str] | None = None
+) -> None:
+    """Event CSV files to the cleaned file and the three query tables, each with its rejected rows beside it."""
+    order = order or []
+    items = stage(session_items.clean_items(spark, event_paths, order), "items")
+    write_quoted_csv(items.select(*SESSION_ITEMS.columns), f"{root}/cleaned")
+    for name, table in session_items.TABLES.items():
+        rows, rejects = session_items.query_table(items, table, order)
+        session_items.write_query_table(rows, table, f"{root}/{name}")
+        write_parquet(rejects, f"{root}/rejects/{name}")
 
 
 def write_lake_mart(mart: dict[str, DataFrame], root: str) -> None:

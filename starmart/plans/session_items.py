@@ -44,10 +44,14 @@ BY_SONG = {
 TABLES = {"by_session_item": BY_SESSION_ITEM, "by_user_session": BY_USER_SESSION, "by_song": BY_SONG}
 
 
-def clean_items(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """The cleaned 11-column event file, as text: events without an artist are left out."""
-    raw = read_csv_files(spark, paths, EVENT_CSV_COLUMNS)
-    return nonempty(raw, "artist").select(*SESSION_ITEMS.columns)
+def clean_items(spark: SparkSession, paths: str | list[str], order: list[str] | None = None) -> DataFrame:
+    """The cleaned 11-column event file, as text: events without an artist are left out.
+
+    ``order`` adds further file columns, as numbers, to put the writes of one key in sequence.
+    """
+    raw = nonempty(read_csv_files(spark, paths, EVENT_CSV_COLUMNS), "artist")
+    extra = [c for c in order or [] if c not in SESSION_ITEMS.columns]
+    return raw.select(*SESSION_ITEMS.columns, *[F.col(c).try_cast("double").alias(c) for c in extra])
 
 
 def _table_contract(table: dict, order_types: dict[str, str]) -> TableContract:

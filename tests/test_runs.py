@@ -2,6 +2,8 @@ import json
 
 import pytest
 
+from starmart.__main__ import main, parser
+from starmart.contracts import EVENT_CSV_COLUMNS
 from starmart.operators.checks import QualityError, TableCheck
 from starmart.plans import music
 from starmart.plans.runs import run_lake, run_relational, run_scheduled, stage_music
@@ -109,3 +111,26 @@ def test_stream_takes_new_files_only(spark, files, rows):
     put(files / "log" / "2018" / "12" / "14.json", event(DAY2 + 9, item=7, level="free"), event(DAY2, level="paid"))
     assert run() == 4  # the repeated event adds nothing
     assert rows(read_current(spark, f"{root}/users").select("user_id", "level")) == [(10, "free")]
+
+
+def test_command_line(spark, files, rows):
+    events, songs, out = str(files / "log" / "2018" / "*"), str(files / "songs"), str(files / "out")
+    main(["warehouse", "--events", events, "--songs", songs, "--out", out])
+    assert read_current(spark, f"{out}/songplays").count() == 4
+    main(["scheduled", "--events", str(files / "log" / "{y}" / "*"), "--songs", songs, "--out", f"{out}2", "--run", "y=2018"])
+    assert read_current(spark, f"{out}2/songplays").count() == 3
+    assert parser().parse_args(["lake", "--events", "a", "--songs", "b", "--out", "c"]).order[0] == "ts"
+
+
+def test_query_tables_run(spark, tmp_path, rows):
+    header = ",".join(EVENT_CSV_COLUMNS)
+    line = "A,in,Ann,F,{item},Lee,{length},free,Rome,PUT,NextSong,1,182,{song},200,{ts},10"
+    lines = [line.format(item=0, length=1.5, song="Late", ts=9), line.format(item=0, length=1.5, song="Early", ts=1),
+             line.format(item="x", length=1.5, song="Bad", ts=1)]
+    (tmp_path / "e.csv").write_text("\n".join([header, *lines]) + "\n")
+    main(["query-tables", "--events", str(tmp_path / "e.csv"), "--out", str(tmp_path / "out"), "--order", "ts"])
+    out = str(tmp_path / "out")
+    assert rows(spark.read.parquet(f"{out}/by_session_item")) == [(182, 0, "A", "Late", 1.5)]
+    assert spark.read.parquet(f"{out}/by_song").count() == 3
+    assert spark.read.parquet(f"{out}/rejects/by_session_item").first()["reject_reason"] == "itemInSession: malformed"
+    assert spark.read.text(f"{out}/cleaned").first()[0].startswith('"artist","firstName","gender","itemInSession"')
