@@ -8,6 +8,9 @@ its reducer one row per task.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,13 +27,13 @@ def _ranked(order: list[str], values: list[str]) -> Column:
     return F.struct(*ranks, *([F.struct(*values).alias("r")] if values else []))
 
 
-def _extreme(df: DataFrame, key: list[str], order: list[str], reduce) -> DataFrame:
+def _extreme(df: DataFrame, key: list[str], order: list[str], pick) -> DataFrame:
     names = df.columns
     order = [c for c in order if c not in key]
     rest = [c for c in names if c not in key and c not in order]
     if not order and not rest:
         return df.distinct()
-    out = df.groupBy(*key).agg(reduce(_ranked(order, rest)).alias("_p"))
+    out = df.groupBy(*key).agg(pick(_ranked(order, rest)).alias("_p"))
     picked = {c: F.col(f"_p.o{i}").alias(c) for i, c in enumerate(order)} | {c: F.col(f"_p.r.{c}") for c in rest}
     return out.select(*[picked.get(c, F.col(c)) for c in names])
 
@@ -60,11 +63,8 @@ def upsert_type1(df: DataFrame, key: list[str], update: list[str], order: list[s
 def _key_join(left: DataFrame, right: DataFrame, key: list[str], how: str) -> DataFrame:
     """Semi or anti join on a key in which null is a value like any other."""
     renamed = right.select(*[F.col(c).alias(f"_k_{c}") for c in key])
-    same = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in key]
-    condition = same[0]
-    for c in same[1:]:
-        condition = condition & c
-    return left.join(F.broadcast(renamed) if fits_broadcast(right) else renamed, condition, how)
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in key])
+    return left.join(F.broadcast(renamed) if fits_broadcast(right) else renamed, same, how)
 
 
 def rows_without(target: DataFrame, batch: DataFrame, key: list[str]) -> DataFrame:
@@ -84,23 +84,33 @@ def new_rows_only(batch: DataFrame, target: DataFrame, key: list[str]) -> DataFr
     return _key_join(batch, known, key, "left_anti")
 
 
-def merge_type1(
-    target: DataFrame, batch: DataFrame, key: list[str], update: list[str], order: list[str]
-) -> DataFrame:
-    """The target after an upsert of a batch: target rows come before every batch row.
+def merge_rows(target: DataFrame, batch: DataFrame, key: list[str], update: list[str]) -> DataFrame:
+    """The target with the ``update`` columns of the batch's rows, and the batch rows of new keys. Both hold a key once.
 
-    With a batch within the broadcast threshold only the target rows it touches are
-    shuffled; the others pass through.
+    A batch within the broadcast threshold is joined to the target where it is scanned,
+    without a shuffle; a larger one meets it in one full outer join.
     """
     names = target.columns
-    touched, untouched = target, None
-    if fits_broadcast(batch):
-        touched = _key_join(target, batch, key, "left_semi")
-        untouched = _key_join(target, batch, key, "left_anti")
-    ranks = {f"_rank{i}": F.col(c) for i, c in enumerate(order)}
-    old = touched.select(
-        *names, F.lit(0).alias("_age"), *[F.lit(None).cast(batch.schema[c].dataType).alias(r) for r, c in zip(ranks, order)]
+    renamed = batch.select(*[F.col(c).alias(f"_b_{c}") for c in names], F.lit(True).alias("_hit"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_b_{c}")) for c in key])
+    if not fits_broadcast(batch):
+        both = target.withColumn("_old", F.lit(True)).join(renamed, same, "full_outer")
+        known, hit = F.col("_old").isNotNull(), F.col("_hit").isNotNull()
+        return both.select(
+            *[
+                F.when(known & ~hit if c in update else known, F.col(c)).otherwise(F.col(f"_b_{c}")).alias(c)
+                for c in names
+            ]
+        )
+    side = renamed.select(*[f"_b_{c}" for c in [*key, *update]], "_hit")
+    updated = target.join(F.broadcast(side), same, "left").select(
+        *[F.when(F.col("_hit"), F.col(f"_b_{c}")).otherwise(F.col(c)).alias(c) if c in update else F.col(c) for c in names]
     )
-    new = batch.select(*names, F.lit(1).alias("_age"), *[c.alias(r) for r, c in ranks.items()])
-    merged = upsert_type1(old.unionByName(new), key, update, ["_age", *ranks]).select(*names)
-    return merged if untouched is None else untouched.unionByName(merged)
+    return updated.unionByName(new_rows_only(batch.select(*names), target, key))
+
+
+def merge_type1(
+    target: DataFrame, batch: DataFrame, key: list[str], update: list[str], order: list[str]
+) -> DataFrame:
+    """The target after an upsert of a batch: target rows come before every batch row."""
+    return merge_rows(target, upsert_type1(batch, key, update, order), key, update)

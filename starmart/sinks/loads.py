@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.functions.keys import sequence_id
-from starmart.operators.dims import first_wins, last_wins, merge_type1, new_rows_only, rows_without, upsert_type1
+from starmart.operators.dims import first_wins, last_wins, merge_rows, new_rows_only, rows_without, upsert_type1
+from starmart.session import stage
 
 
 def _versions(spark: SparkSession, root: str) -> tuple[list[int], list[int]]:
@@ -61,13 +62,16 @@ def append(df: DataFrame, root: str) -> str:
 
 
 def append_new(df: DataFrame, root: str, key: list[str], order: list[str] | None = None) -> str:
-    """Insert the rows whose key is not there yet, one per key; running it twice adds nothing."""
+    """Insert the rows whose key is not there yet, one per key; running it twice adds nothing.
+
+    The reduced batch is staged, as the comparison with the table reads it more than once.
+    """
     spark = df.sparkSession
     batch = first_wins(df, key, order or [])
     path = current_version(spark, root)
     if path is None:
         return truncate_insert(batch, root)
-    return append(new_rows_only(batch, spark.read.parquet(path), key), root)
+    return append(new_rows_only(stage(batch, "batch"), spark.read.parquet(path), key), root)
 
 
 def insert_first_wins(df: DataFrame, root: str, key: list[str], order: list[str]) -> str:
@@ -89,9 +93,10 @@ def upsert(df: DataFrame, root: str, key: list[str], update: list[str], order: l
     """Insert new keys; for known keys set only the ``update`` columns, to their last value."""
     spark = df.sparkSession
     path = current_version(spark, root)
+    batch = upsert_type1(df, key, update, order)
     if path is None:
-        return truncate_insert(upsert_type1(df, key, update, order), root)
-    return truncate_insert(merge_type1(spark.read.parquet(path), df, key, update, order), root)
+        return truncate_insert(batch, root)
+    return truncate_insert(merge_rows(spark.read.parquet(path), stage(batch, "batch"), key, update), root)
 
 
 def write_last_wins(df: DataFrame, root: str, key: list[str], order: list[str], cols: list[str]) -> str:
@@ -104,5 +109,6 @@ def write_last_wins(df: DataFrame, root: str, key: list[str], order: list[str],
     path = current_version(spark, root)
     if path is None:
         return truncate_insert(batch, root)
+    batch = stage(batch, "batch")
     kept = rows_without(spark.read.parquet(path), batch, key).select(*cols)
     return truncate_insert(kept.unionByName(batch), root)
