@@ -81,8 +81,9 @@ def input_bytes(df: DataFrame) -> int:
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
-def range_partitions(df: DataFrame, target_bytes: int = 512 * 2**20, most: int = 50_000) -> int:
-    """Partitions for a range shuffle, which the adaptive planner does not resize: by input size, never
-    fewer than the session's shuffle partitions."""
-    fewest = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def range_partitions(df: DataFrame, target_bytes: int = 128 * 2**20, most: int = 50_000) -> int:
+    """Partitions for a range shuffle, which the adaptive planner does not resize: by input size, with a
+    lower bound of the session's shuffle partitions or cores, whichever are fewer."""
+    spark = df.sparkSession
+    fewest = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     return max(fewest, min(most, -(-input_bytes(df) // target_bytes)))
