@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from starmart.llm import decontam, langid, licenses, mixing, quality, sharding, simhash, syncmers, warc
+from starmart.llm import decontam, langid, licenses, mixing, quality, sharding, simhash, suffix_dedup, syncmers, warc
 from starmart.llm.common import LOWER, UPPER, held_out, read
 from starmart.llm.quality import THRESHOLD
 
@@ -21,6 +21,13 @@ def query(fn):
     return fn
 
 
+@query
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.without_repeats(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(read(spark, sf_dir, "documents")).drop("text", "n_chars")
