@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.common import code_points, mix64, partitions
-from starmart.session import stage
+from starmart.session import scratch_dir
 
 K, S, REGISTERS = 12, 5, 64
 #: Matches count up to this many code points from the common shift.
@@ -174,7 +174,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     ordered = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("_h"))
     by = [F.col("doc_id").desc_nulls_last(), F.col("_h"), F.col("text")]
     dealt = ordered.repartitionByRange(partitions(docs), *by[:2]).sortWithinPartitions(*by)
-    staged = stage(dealt.select("doc_id", "text").mapInArrow(_consecutive, SCHEMA), "syncmers")
+    path = scratch_dir(docs.sparkSession, "syncmers")
+    dealt.select("doc_id", "text").mapInArrow(_consecutive, SCHEMA).write.option("compression", "zstd").parquet(path)
+    staged = docs.sparkSession.read.schema(SCHEMA).parquet(path)
     # which partition follows which: one small row per partition, never a text
     parts = sorted(r["part"] for r in staged.filter("kind = 'first'").select("part").collect())
     done = staged.filter("kind = 'done'")
