@@ -6,6 +6,10 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmart.session import input_bytes
+
+#: What the optimizer says of a frame whose size it does not know, or more.
+_UNKNOWN_BYTES = 1 << 60
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 DOC_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: Rows of an Arrow batch: whole texts travel in it, so fewer than Spark's default.
@@ -26,10 +30,10 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 
 def partitions(df: DataFrame, bytes_each: int = 16 << 20) -> int:
-    """A number of shuffle partitions by input size, the session's own at least."""
-    from starmart.session import input_bytes
-
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes(df) // bytes_each))
+    """A number of shuffle partitions by the size of the files a frame reads, the session's own at least."""
+    size = input_bytes(df)
+    known = size if size < _UNKNOWN_BYTES else 0
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-known // bytes_each))
 
 
 def mix64(h: np.ndarray) -> np.ndarray:

@@ -3,9 +3,10 @@
 1. The word n-grams of the test items are the only ones that can seed a match. Each task looks up the hashed n-grams
    of its texts among them and cuts out the passage around every place where an item's n-grams gather.
 2. The passages are written once. Over all of them the document frequency of every item n-gram is counted; an item's
-   seeds are the rarer half of its n-grams, so a passage that only shares stock phrases has no seed and goes. (The
-   half is taken within each item: an item copied into a third of all documents keeps its seeds.)
-3. Passages that hold a seed are aligned with the item, word by word. The score is that of the best local alignment
+   seeds are its rare n-grams, those that are not several times as frequent as its n-grams usually are, so a passage
+   that shares a stock phrase has no seed and goes. (Rare is meant within each item: an item copied into a third of all
+   documents keeps its seeds. And a passage with a good part of the item's n-grams stays, rare or not.)
+3. Passages that are left are aligned with the item, word by word. The score is that of the best local alignment
    over that of a perfect one, so replaced, missing and added words cost, and word order counts.
 
 The items travel to the tasks in blocks of bounded size; more items than a block holds take more passes.
@@ -28,6 +29,10 @@ from starmart.session import stage
 
 N = 4
 MIN_SCORE = 0.5
+#: An n-gram is rare up to this many times the median document frequency of its item's n-grams.
+RARE = 4
+#: The part of an item's n-grams with which a passage is aligned whatever their frequency.
+ENOUGH = 0.2
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Bytes of item text that one pass sends to the tasks.
 BLOCK_BYTES = 8 << 20
@@ -191,9 +196,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, n: int = N, min_score: float
         passages = stage(_passages(docs, items, n), "passages")
         spread = passages.select("item_id", "key", F.explode("grams").alias("gram")).distinct()
         spread = spread.groupBy("item_id", "gram").agg(F.count(F.lit(1)).alias("df"))
-        half = spread.groupBy("item_id").agg(F.expr("percentile(df, 0.5)").alias("half"))
-        seeds = spread.join(half, "item_id").filter("df <= half").groupBy("item_id").agg(F.collect_set("gram").alias("seeds"))
-        seeded = passages.join(F.broadcast(seeds), "item_id").filter(F.arrays_overlap("grams", "seeds")).drop("seeds", "grams")
+        usual = spread.groupBy("item_id").agg(F.expr("percentile(df, 0.5)").alias("usual"), F.count(F.lit(1)).alias("n_grams"))
+        seeds = spread.join(usual, "item_id").groupBy("item_id", "n_grams").agg(
+            F.collect_set(F.when(F.col("df") <= RARE * F.col("usual"), F.col("gram"))).alias("seeds")
+        )
+        chosen = F.arrays_overlap("grams", "seeds") | (F.size("grams") >= ENOUGH * F.col("n_grams"))
+        seeded = passages.join(F.broadcast(seeds), "item_id").filter(chosen).drop("seeds", "n_grams", "grams")
         n_tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         found = _aligned(seeded.repartition(n_tasks), items, min_score)
         found = found.groupBy("doc_id", "key", "item_id").agg(
