@@ -119,7 +119,25 @@ def balanced_join_hot_key(spark, sf):
     )
     r = table(spark, sf, "part").filter((F.col("p_size") > 10) | (F.col("p_partkey") == 7))
     r = r.select(F.col("p_partkey").alias("k"), "p_brand", "p_size")
-    return balanced_join(l, r, ["k"], "left", min_rows=0, right_unique=True)
+    return balanced_join(l, r, ["k"], "left", right_unique=True)
+
+
+@exercise(
+    "balanced_join_timestamp_key",
+    """WITH hot AS (SELECT min(ts) AS ts FROM events),
+       l AS (SELECT event_id, ts AS k FROM events UNION ALL SELECT -1, ts FROM hot UNION ALL SELECT -2, ts + INTERVAL 1 MICROSECOND FROM hot),
+       r AS (SELECT event_id AS r_id, CASE WHEN event_id % 3 = 0 THEN hot.ts ELSE events.ts END AS k FROM events, hot)
+       SELECT l.event_id, l.k, r.r_id FROM l LEFT JOIN r ON l.k = r.k""",
+)
+def balanced_join_timestamp_key(spark, sf):
+    """A time that a third of the right rows share; a left row has that time, another the next microsecond."""
+    e = table(spark, sf, "events").select("event_id", F.col("ts").alias("k"))
+    hot = e.agg(F.min("k").alias("hot"))
+    near = hot.select(F.lit(-2).cast("long").alias("event_id"), (F.col("hot") + F.expr("INTERVAL '0.000001' SECOND")).alias("k"))
+    l = e.unionByName(hot.select(F.lit(-1).cast("long").alias("event_id"), F.col("hot").alias("k"))).unionByName(near)
+    third = F.col("event_id") % 3 == 0
+    r = e.join(F.broadcast(hot)).select(F.col("event_id").alias("r_id"), F.when(third, F.col("hot")).otherwise(F.col("k")).alias("k"))  # one row
+    return balanced_join(l, r, ["k"], "left")
 
 
 @exercise(

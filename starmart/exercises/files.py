@@ -24,6 +24,7 @@ from starmart.sinks import (
     write_songs,
 )
 from starmart.sinks.tables import drop_table, insert_into, register_views, reset
+from starmart.sources.files import read_csv_by_position
 from starmart.sources import (
     city_codes,
     code_map,
@@ -96,7 +97,7 @@ def src_first_per_file(spark, sf):
 @exercise(
     "src_event_csv",
     f"""{_MUSIC_LOG} SELECT artist, first_name AS "firstName", gender, CAST(item_in_session AS VARCHAR) AS "itemInSession",
-          last_name AS "lastName", level, location, CAST(session_id AS VARCHAR) AS "sessionId", song,
+          last_name AS "lastName", length, level, location, CAST(session_id AS VARCHAR) AS "sessionId", song,
           CAST(user_id AS VARCHAR) AS "userId" FROM log WHERE artist IS NOT NULL""",
 )
 def src_event_csv(spark, sf):
@@ -104,7 +105,7 @@ def src_event_csv(spark, sf):
     root = scratch_dir(spark, "csv")
     raw = inputs.raw_log(spark, sf).select(*EVENT_CSV_COLUMNS)
     raw.write.option("header", True).partitionBy().csv(root)
-    return clean_items(spark, root).drop("length")
+    return clean_items(spark, root).withColumn("length", F.col("length").cast("double"))
 
 
 @exercise(
@@ -117,6 +118,45 @@ def src_csv_semicolon(spark, sf):
     return city_records(spark, root)
 
 
+@exercise(
+    "src_csv_reordered",
+    f"WITH {inputs.CITIES_SQL} SELECT city_name, state_code, race, male_population, female_population, total_population, foreign_born FROM cities",
+)
+def src_csv_reordered(spark, sf):
+    """Two folders whose files hold the city columns in other orders, one with a column of its own."""
+    root = scratch_dir(spark, "reordered")
+    cities = inputs.city_file(spark, sf)
+    first = F.col("State Code") < "ST2"
+    backwards = cities.select(*reversed(cities.columns))
+    backwards.filter(first).write.option("header", True).option("sep", ";").csv(f"{root}/a")
+    cities.filter(~first).withColumn("Mayor", F.lit("x")).write.option("header", True).option("sep", ";").csv(f"{root}/b")
+    return city_records(spark, [f"{root}/a", f"{root}/b"])
+
+
+@exercise(
+    "src_csv_line_breaks",
+    """SELECT doc_id, md5(text) AS text_md5, 'good' AS outcome FROM documents WHERE doc_id % 7 <> 0
+       UNION ALL SELECT NULL, NULL, 'record: not 3 fields' FROM documents WHERE doc_id % 7 = 0""",
+)
+def src_csv_line_breaks(spark, sf):
+    """Texts with quotes and line breaks as fields, read by position; records of two fields are set aside."""
+    root = scratch_dir(spark, "breaks")
+    d = table(spark, sf, "documents")
+    quoted = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    short = F.col("doc_id") % 7 == 0
+    line = F.when(short, F.concat_ws(",", "doc_id", "lang")).otherwise(F.concat_ws(",", "doc_id", quoted, "lang"))
+    # every file begins with a header line: each tenth of the documents is a file
+    part = (F.col("doc_id") % 10).alias("part")
+    header = d.select(part).distinct().select("part", F.lit("id,text,lang").alias("line"), F.lit(0).alias("n"))
+    rows = d.select(part, line.alias("line"), F.lit(1).alias("n")).unionByName(header)
+    rows = rows.repartition(10, "part").sortWithinPartitions("part", "n")
+    rows.select("part", "line").write.partitionBy("part").text(f"{root}/in")
+    good, rejects = read_csv_by_position(spark, f"{root}/in/*", ["id", "text", "lang"])
+    good = good.select(F.col("id").cast("long").alias("doc_id"), F.md5("text").alias("text_md5"), F.lit("good").alias("outcome"))
+    aside = rejects.select(F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("string").alias("text_md5"), F.col("reject_reason").alias("outcome"))
+    return good.unionByName(aside)
+
+
 @exercise(
     "src_csv_comma",
     f"""WITH {inputs.TEMPERATURE_SQL} SELECT date, country_name, city_name, average_temperature, CAST(0.5 AS DOUBLE) AS average_temperature_uncertainty,
@@ -153,17 +193,16 @@ def src_json_paths(spark, sf):
 _AUTO = TableContract(
     "auto",
     {"doc_id": "bigint", "text": "string", "lang": "string", "seen": "timestamp", "missing": "int"},
-    widths={"text": 256},
 )
 
 
 @exercise(
     "src_json_auto",
-    """SELECT doc_id, md5(substr(text, 1, 256)) AS text_md5, CASE WHEN doc_id % 4 <> 0 THEN lang END AS lang,
+    """SELECT doc_id, md5(text) AS text_md5, CASE WHEN doc_id % 4 <> 0 THEN lang END AS lang,
               epoch_ms(CAST(doc_id * 1000003 AS BIGINT)) AS seen, CAST(NULL AS INTEGER) AS missing FROM documents""",
 )
 def src_json_auto(spark, sf):
-    """Keys matched by name, one extra and one missing, text cut to width, an epoch-milliseconds time."""
+    """Keys matched by name, one extra and one missing, whole texts, an epoch-milliseconds time."""
     root = scratch_dir(spark, "auto")
     table(spark, sf, "documents").select(
         "n_chars", "text", F.when(F.col("doc_id") % 4 == 0, "").otherwise(F.col("lang")).alias("lang"),
@@ -186,9 +225,9 @@ def src_json_rejects(spark, sf):
     e = table(spark, sf, "events")
     user = F.when(F.col("event_id") % 4 == 0, F.col("event_type")).otherwise(F.col("user_id").cast("string"))
     record = F.to_json(F.struct("event_id", user.alias("user")))
-    line = F.when(F.col("event_id") % 5 == 0, F.concat(record, F.lit("}"))).otherwise(record)
-    line = F.when(F.col("event_id") % 5 == 0, F.substring(line, 2, 100)).otherwise(line)
-    e.select(line.alias("value")).write.text(root)
+    broken = F.col("event_id") % 5 == 0
+    lines = e.select(F.when(broken, F.concat(record, F.lit("}"))).otherwise(record).alias("value"), broken.alias("broken"))
+    lines.select(F.when(F.col("broken"), F.expr("substr(value, 2)")).otherwise(F.col("value")).alias("value")).write.text(root)
     contract = TableContract("t", {"event_id": "bigint", "user": "bigint"})
     good, rejects = read_json_auto(spark, root, contract, malformed="reject")
     good = good.select("event_id", F.col("user").cast("string").alias("user"), F.lit("good").alias("outcome"))
@@ -213,7 +252,7 @@ def src_templated_path(spark, sf):
 
 @exercise(
     "src_immigration_files",
-    f"WITH {inputs.IMMIGRATION_SQL} SELECT cicid, i94cit, i94res, i94port, i94mode, i94addr, i94bir, i94visa, gender, airline, visatype FROM records",
+    f"WITH {inputs.IMMIGRATION_SQL} SELECT cicid, CAST(arrival_date - DATE '1960-01-01' AS DOUBLE) AS arrdate, i94cit, i94res, i94port, i94mode, i94addr, CAST(departure_date - DATE '1960-01-01' AS DOUBLE) AS depdate, i94bir, i94visa, gender, airline, visatype FROM records",
 )
 def src_immigration_files(spark, sf):
     """Records in several folders, read in one scan with the purpose and mode filter pushed to it."""
@@ -222,7 +261,7 @@ def src_immigration_files(spark, sf):
     half = F.col("i94bir") > 30
     rows.filter(half).write.parquet(f"{root}/a")
     rows.filter(~half).write.parquet(f"{root}/b")
-    return read_immigration(spark, [f"{root}/a", f"{root}/b"]).drop("arrdate", "depdate")
+    return read_immigration(spark, [f"{root}/a", f"{root}/b"])
 
 
 @exercise(
@@ -279,6 +318,15 @@ def snk_songs_by_year(spark, sf):
     return spark.read.parquet(path)
 
 
+@exercise("snk_songs_year_artist", f"WITH {inputs.SONGS_SQL} SELECT song_id, title, artist_id, duration, year FROM song_records")
+def snk_songs_year_artist(spark, sf):
+    """One folder per year and artist."""
+    path = scratch_dir(spark, "songsartist")
+    songs = inputs.songs(spark, sf).select("song_id", "title", "artist_id", "year", "duration")
+    write_songs(songs, path, folder_per_artist=True)
+    return spark.read.schema(songs.schema).parquet(path)
+
+
 @exercise(
     "snk_year_month_rerun",
     """SELECT o_orderkey, CASE WHEN year(o_orderdate) = 1997 THEN 'rerun' ELSE o_orderpriority END AS o_orderpriority,
@@ -455,7 +503,7 @@ def src_line_count(spark, sf):
     return line_count(spark, root)
 
 
-_PATHS_SQL = ", ".join(f"{c}" for c in ["artist", "level", "page", "session_id", "song", "ts", "user_id"])
+_PATHS_SQL = ", ".join(STAGED_EVENTS.columns)
 
 
 @exercise("src_staged_events", f"{_MUSIC_LOG} SELECT {_PATHS_SQL} FROM log")
@@ -463,7 +511,7 @@ def src_staged_events(spark, sf):
     """The log's JSON files loaded through the event path list into the staging contract."""
     root = scratch_dir(spark, "staged")
     inputs.raw_log(spark, sf).write.json(root)
-    return read_json_paths(spark, root, EVENT_PATHS, STAGED_EVENTS).select(*_PATHS_SQL.split(", "))
+    return read_json_paths(spark, root, EVENT_PATHS, STAGED_EVENTS)
 
 
 @exercise("src_parquet_csv_columns", "SELECT c_custkey, c_name, c_acctbal FROM customer")

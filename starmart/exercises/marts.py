@@ -110,6 +110,20 @@ def warehouse_time(spark, sf):
     return music.time_of_plays(plays_of(inputs.log(spark, sf)), "seconds", "sunday")
 
 
+@exercise("warehouse_songs", f"{inputs.MUSIC_SQL} SELECT DISTINCT song_id, title, artist_id, year, duration FROM song_records WHERE title IS NOT NULL")
+def warehouse_songs(spark, sf):
+    return music.warehouse_mart(*_inputs(spark, sf))["songs"]
+
+
+@exercise(
+    "warehouse_artists",
+    f"""{inputs.MUSIC_SQL} SELECT DISTINCT artist_id, artist_name AS name, artist_location AS location,
+        artist_latitude AS latitude, artist_longitude AS longitude FROM song_records""",
+)
+def warehouse_artists(spark, sf):
+    return music.warehouse_mart(*_inputs(spark, sf))["artists"]
+
+
 # -- data lake ----------------------------------------------------------------
 
 _LAKE = f"""{inputs.MUSIC_SQL} SELECT row_number() OVER (ORDER BY p.ts, p.event_id, s.song_id NULLS FIRST, s.artist_id) AS songplay_id,
@@ -140,6 +154,16 @@ def lake_artists(spark, sf):
     return music.artists_distinct(inputs.songs(spark, sf))
 
 
+@exercise("lake_songs", f"{inputs.MUSIC_SQL} SELECT DISTINCT song_id, title, artist_id, year, duration FROM song_records")
+def lake_songs(spark, sf):
+    return music.lake_mart(*_inputs(spark, sf), ORDER)["songs"]
+
+
+@exercise("lake_users", f"{inputs.MUSIC_SQL} SELECT DISTINCT user_id, first_name, last_name, gender, level FROM plays")
+def lake_users(spark, sf):
+    return music.users_distinct(plays_of(inputs.log(spark, sf)))
+
+
 # -- content keys -------------------------------------------------------------
 
 _SCHEDULED = f"""{inputs.MUSIC_SQL}, fact AS (
@@ -159,6 +183,25 @@ def scheduled_time(spark, sf):
     return music.scheduled_mart(*_inputs(spark, sf))["time"]
 
 
+@exercise("scheduled_users", f"{inputs.MUSIC_SQL} SELECT DISTINCT user_id, first_name, last_name, gender, level FROM plays")
+def scheduled_users(spark, sf):
+    return music.scheduled_mart(*_inputs(spark, sf))["users"]
+
+
+@exercise("scheduled_songs", f"{inputs.MUSIC_SQL} SELECT DISTINCT song_id, title, artist_id, year, duration FROM song_records")
+def scheduled_songs(spark, sf):
+    return music.scheduled_mart(*_inputs(spark, sf))["songs"]
+
+
+@exercise(
+    "scheduled_artists",
+    f"""{inputs.MUSIC_SQL} SELECT DISTINCT artist_id, artist_name AS name, artist_location AS location,
+        artist_latitude AS latitude, artist_longitude AS longitude FROM song_records""",
+)
+def scheduled_artists(spark, sf):
+    return music.scheduled_mart(*_inputs(spark, sf))["artists"]
+
+
 # -- whole runs over files ----------------------------------------------------
 
 
@@ -171,65 +214,48 @@ def _music_files(spark, sf, label):
     return root
 
 
-@exercise(
-    "run_scheduled_twice",
-    f"""{_SCHEDULED}, first AS (SELECT count(*) AS n FROM plays WHERE day(epoch_ms(ts)) IN (3, 4))
-        SELECT 'artists' AS table_name, count(DISTINCT (artist_id, artist_name, artist_location, artist_latitude, artist_longitude)) AS n_rows
-        FROM song_records
-        UNION ALL SELECT 'songplays', count(*) FROM fact WHERE day(start_time) IN (3, 4)
-        UNION ALL SELECT 'songs', count(*) FROM song_records
-        UNION ALL SELECT 'time', count(DISTINCT start_time) FROM fact WHERE day(start_time) IN (3, 4)
-        UNION ALL SELECT 'users', count(DISTINCT (user_id, level)) FROM plays WHERE day(epoch_ms(ts)) = 4""",
-)
+_FACT_NAMES = ["start_time", *[c.split(".")[1] for c in _FACT.split(", ")]]
+_FACT_ROWS = f"{_SCHEDULED} SELECT {', '.join(_FACT_NAMES)} FROM fact"
+
+
+@exercise("run_scheduled_twice", _FACT_ROWS)
 def run_scheduled_twice(spark, sf):
-    """Two days loaded by templated path, the second one twice: row counts of the five tables."""
+    """All days loaded by templated path in two runs, the second one repeated; the fact without its key."""
     root = _music_files(spark, sf, "scheduled")
-    for day in (3, 4, 4):
+    for day in ("?", "??", "??"):
         run_scheduled(spark, root + "/in/log/dir={day}", f"{root}/in/songs", f"{root}/out", {"day": day})
-    counts = [
-        read_current(spark, f"{root}/out/{t}").agg(F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows"))
-        for t in ("artists", "songplays", "songs", "time", "users")
-    ]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
-    return out
+    return read_current(spark, f"{root}/out/songplays").select(*_FACT_NAMES)
+
+
+@exercise("run_scheduled_late_songs", _FACT_ROWS)
+def run_scheduled_late_songs(spark, sf):
+    """The same events loaded before and after half of the song records arrived: the fact follows the records."""
+    root = _music_files(spark, sf, "latesongs")
+    inputs.songs(spark, sf).filter(F.crc32("song_id") % 2 == 0).write.json(f"{root}/in/early")
+    for songs in ("early", "songs"):
+        run_scheduled(spark, f"{root}/in/log/*", f"{root}/in/{songs}", f"{root}/out")
+    return read_current(spark, f"{root}/out/songplays").select(*_FACT_NAMES)
 
 
 @exercise(
     "run_relational_load",
     f"""{_RELATIONAL_PLAYS} SELECT {_MS} AS start_time, {_FACT} FROM plays p
-        LEFT JOIN s ON p.song = s.title AND p.artist = s.name AND p.length = s.duration WHERE day({_MS}) <= 9""",
+        LEFT JOIN s ON p.song = s.title AND p.artist = s.name AND p.length = s.duration""",
 )
 def run_relational_load(spark, sf):
-    """The first nine days loaded from JSON into keyed tables; the numbered fact without its number."""
+    """All days loaded from JSON into keyed tables; the numbered fact without its number."""
     root = _music_files(spark, sf, "relational")
-    days = [f"{root}/in/log/dir={d}" for d in range(1, 10)]
-    run_relational(spark, days, f"{root}/in/songs", f"{root}/out", ["ts", "session_id", "item_in_session"])
+    run_relational(spark, f"{root}/in/log/*", f"{root}/in/songs", f"{root}/out", ["ts", "session_id", "item_in_session"])
     return read_current(spark, f"{root}/out/songplays").drop("songplay_id")
 
 
-@exercise(
-    "run_warehouse_load",
-    f"""{inputs.MUSIC_SQL}, fact AS (SELECT {_SEC} AS start_time FROM plays p
-          JOIN song_records s ON p.song = s.title AND p.artist = s.artist_name WHERE day({_SEC}) <= 5)
-        SELECT 'songplays' AS table_name, count(*) AS n_rows, count(*) AS n_keys FROM fact
-        UNION ALL SELECT 'users', count(DISTINCT (user_id, level)), count(DISTINCT user_id) FROM plays p WHERE day({_SEC}) <= 5
-        UNION ALL SELECT 'time', count(DISTINCT {_SEC}), count(DISTINCT {_SEC}) FROM plays p WHERE day({_SEC}) <= 5""",
-)
+@exercise("run_warehouse_load", _WAREHOUSE)
 def run_warehouse_load(spark, sf):
-    """The first five days loaded twice (tables are replaced): rows and distinct keys of three tables."""
+    """All days loaded twice (tables are replaced); the numbered fact without its number."""
     root = _music_files(spark, sf, "warehouse")
     for _ in range(2):
-        run_warehouse(spark, [f"{root}/in/log/dir={d}" for d in range(1, 6)], f"{root}/in/songs", f"{root}/out")
-    keys = {"songplays": "songplay_id", "users": "user_id", "time": "start_time"}
-    counts = [
-        read_current(spark, f"{root}/out/{t}").agg(
-            F.lit(t).alias("table_name"), F.count(F.lit(1)).alias("n_rows"), F.count_distinct(k).alias("n_keys")
-        )
-        for t, k in keys.items()
-    ]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+        run_warehouse(spark, f"{root}/in/log/*", f"{root}/in/songs", f"{root}/out")
+    return read_current(spark, f"{root}/out/songplays").drop("songplay_id")
 
 
 @exercise(
@@ -246,44 +272,39 @@ def run_query_tables_load(spark, sf):
     return spark.read.parquet(f"{root}/out/by_session_item")
 
 
-@exercise(
-    "run_lake_load",
-    f"""{inputs.MUSIC_SQL} SELECT count(*) AS n_rows, count(*) AS last_id, count(s.song_id) AS n_matched,
-          min({_MS}) AS first_time, max({_MS}) AS last_time
-        FROM plays p LEFT JOIN song_records s ON p.artist = s.artist_name AND p.song = s.title""",
-)
+_LAKE_ROWS = f"""{inputs.MUSIC_SQL} SELECT {_MS} AS start_time, {_FACT}, CAST(month({_MS}) AS INTEGER) AS month,
+  CAST(year({_MS}) AS INTEGER) AS year
+  FROM plays p LEFT JOIN song_records s ON p.artist = s.artist_name AND p.song = s.title"""
+_LAKE_ORDER = ["ts", "session_id", "item_in_session", "user_agent"]
+
+
+@exercise("run_lake_load", _LAKE_ROWS)
 def run_lake_load(spark, sf):
+    """All days into the partitioned tables; the fact without its number."""
     root = _music_files(spark, sf, "lake")
-    order = ["ts", "session_id", "item_in_session", "user_agent"]
-    run_lake(spark, f"{root}/in/log/*", f"{root}/in/songs", f"{root}/out", order)
-    return spark.read.parquet(f"{root}/out/songplays").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.max("songplay_id").alias("last_id"),
-        F.count("song_id").alias("n_matched"),
-        F.min("start_time").alias("first_time"),
-        F.max("start_time").alias("last_time"),
-    )
+    run_lake(spark, f"{root}/in/log/*", f"{root}/in/songs", f"{root}/out", _LAKE_ORDER)
+    return spark.read.parquet(f"{root}/out/songplays").drop("songplay_id")
 
 
-@exercise(
-    "stream_new_files",
-    f"""{_SCHEDULED} SELECT count(*) AS n_plays, count(song_id) AS n_matched, min(start_time) AS first_time,
-          max(start_time) AS last_time FROM fact WHERE day(start_time) IN (5, 6)""",
-)
+@exercise("run_lake_reload", f"SELECT * FROM ({_LAKE_ROWS}) x WHERE day(start_time) > 9")
+def run_lake_reload(spark, sf):
+    """Two loads of other days into one root: each replaces all tables, so the fact holds the later one."""
+    root = _music_files(spark, sf, "lakereload")
+    for days in ("dir=?", "dir=??"):
+        run_lake(spark, f"{root}/in/log/{days}", f"{root}/in/songs", f"{root}/out", _LAKE_ORDER)
+    return spark.read.parquet(f"{root}/out/songplays").drop("songplay_id")
+
+
+@exercise("stream_new_files", _FACT_ROWS)
 def stream_new_files(spark, sf):
     """Two incremental runs, the second after new files arrived: each takes only the files that are new."""
     root = _music_files(spark, sf, "stream")
     songs, out = inputs.songs(spark, sf), f"{root}/out"
-    for day in (5, 6):
-        rows = spark.read.schema(EVENT_RECORDS.schema).json(f"{root}/in/log/dir={day}")
-        rows.write.json(f"{root}/arrived/{day}")
+    for part, days in enumerate(("dir=?", "dir=??")):
+        rows = spark.read.schema(EVENT_RECORDS.schema).json(f"{root}/in/log/{days}")
+        rows.write.json(f"{root}/arrived/{part}")
         load_new_events(spark, f"{root}/arrived", songs, out, f"{root}/checkpoint").awaitTermination()
-    return read_current(spark, f"{out}/songplays").agg(
-        F.count(F.lit(1)).alias("n_plays"),
-        F.count("song_id").alias("n_matched"),
-        F.min("start_time").alias("first_time"),
-        F.max("start_time").alias("last_time"),
-    )
+    return read_current(spark, f"{out}/songplays").select(*_FACT_NAMES)
 
 
 # -- immigration --------------------------------------------------------------

@@ -52,6 +52,20 @@ def items_by_session(spark, sf):
     return query_table(_items(spark, sf), BY_SESSION_ITEM, ["ts", "event_id"])[0]
 
 
+@exercise(
+    "users_of_song",
+    f"""WITH {inputs.LOG_SQL} SELECT DISTINCT song, first_name, last_name FROM log
+        WHERE artist IS NOT NULL AND song = (SELECT min(song) FROM log WHERE artist IS NOT NULL) ORDER BY first_name, last_name""",
+)
+def users_of_song(spark, sf):
+    """Everyone who heard one song, looked up by its title in the written table."""
+    rows, _ = query_table(_items(spark, sf), BY_SONG, [])
+    path = scratch_dir(spark, "songusers")
+    write_query_table(rows, BY_SONG, path)
+    written = spark.read.schema(rows.schema).parquet(path)
+    return lookup(written, BY_SONG, song=written.agg(F.min("song")).first()[0])
+
+
 @exercise(
     "items_of_user_session",
     f"""{_ITEMS_SQL} SELECT user_id, session_id, artist, song, first_name, last_name, item_in_session FROM items

@@ -11,12 +11,12 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import ArrayType, DataType, DoubleType, FloatType, MapType, StringType, StructType
+
+from starmart.session import stage
 
-SKETCH_ITEMS = 10_000  # counters of the heavy-hitter sketch
-SKETCH_TOP = 1_000  # most keys a side may report as heavy
-HEAVY_MIN_ROWS = 100_000  # a side with fewer rows is never cut
 FINENESS = 4  # left pieces per average partition, so that pieces meeting in one partition even out
+MAX_TRACKED = 1_000_000  # Spark's own limit on the counters of a sketch
 
 
 def broadcast_limit(df: DataFrame) -> int:
@@ -59,42 +59,64 @@ def lookup_join(
     return balanced_join(left, right, on, how, right_unique=right_unique, heavy_from=heavy_from)
 
 
-def _key_text(df: DataFrame, on: list[str]) -> Column:
-    """One text per key, equal exactly for keys that join (0.0 and -0.0 do)."""
+def _collated(kind: DataType) -> bool:
+    return isinstance(kind, StringType) and kind != StringType()
+
+
+def _sketchable(kind: DataType) -> bool:
+    """Whether keys of a type that are equal surely have equal hashes (nested collated text has not)."""
+    if isinstance(kind, StructType):
+        return all(not _collated(f.dataType) and _sketchable(f.dataType) for f in kind.fields)
+    if isinstance(kind, ArrayType):
+        return not _collated(kind.elementType) and _sketchable(kind.elementType)
+    return not isinstance(kind, MapType)
+
+
+def _key_hash(df: DataFrame, on: list[str]) -> Column:
+    """One number per key, equal for keys that join: 0.0 and -0.0 do, and texts that their collation takes as equal."""
     parts, schema = [], df.schema
     for name in on:
-        c = F.col(name)
-        if isinstance(schema[name].dataType, (DoubleType, FloatType)):
-            c = c + F.lit(0.0)
-        parts.append(c.alias(name))
-    return F.to_json(F.struct(*parts))
+        c, kind = F.col(name), schema[name].dataType
+        if isinstance(kind, (DoubleType, FloatType)):
+            c = F.when(F.isnan(c), F.lit(float("nan")).cast(kind)).otherwise(c + F.lit(0.0).cast(kind))
+        parts.append(F.call_function("collation_key", c) if _collated(kind) else c)
+    return F.xxhash64(*parts)
 
 
-def heavy_keys(df: DataFrame, on: list[str], partitions: int, min_rows: int = 0) -> dict[str, int]:
-    """Keys holding more rows than an average shuffle partition, with the number of pieces to cut them in.
+def heavy_keys(df: DataFrame, on: list[str], partitions: int) -> dict[int, int]:
+    """Hashes of the keys that hold more rows than an average shuffle partition, with the pieces to cut them in.
 
     One pass over the key columns; each task keeps a bounded sketch, so no key is shuffled.
-    At most ``partitions`` keys can pass the threshold. Which keys are found steers only
-    the balance of the join, never its rows.
+    At most ``partitions`` keys can pass the threshold, and as many can be reported. Which
+    keys are found steers only the balance of the join, never its rows.
     """
+    schema = df.schema
+    if not all(_sketchable(schema[name].dataType) for name in on):
+        return {}
     keyed = df.select(*on).dropna(subset=on)
-    top = F.call_function(
-        "approx_top_k", _key_text(keyed, on), F.lit(min(partitions, SKETCH_TOP)), F.lit(SKETCH_ITEMS)
-    )
+    most = min(partitions, MAX_TRACKED)
+    tracked = min(MAX_TRACKED, max(10_000, 10 * most))
+    top = F.call_function("approx_top_k", _key_hash(keyed, on), F.lit(most), F.lit(tracked))
     row = keyed.agg(F.count(F.lit(1)).alias("n"), top.alias("top")).first()
-    if not row["n"] or row["n"] < min_rows:
+    if not row["n"]:
         return {}
     share = row["n"] / partitions
     return {r["item"]: math.ceil(r["count"] / share) for r in row["top"] if r["count"] > share}
 
 
+def _pieces(df: DataFrame, on: list[str], heavy: dict[int, int], name: str) -> DataFrame:
+    """``on`` and ``name``: the heavy keys themselves, as ``df`` has them, with their pieces."""
+    counts = F.broadcast(df.sparkSession.createDataFrame(list(heavy.items()), f"_hash long, {name} long"))
+    keyed = df.select(*on).dropna(subset=on).withColumn("_hash", _key_hash(df, on))
+    return keyed.join(counts, "_hash").groupBy(*on).agg(F.max(name).alias(name))
+
+
 def balanced_join(
     left: DataFrame,
     right: DataFrame,
     on: list[str],
     how: str = "left",
     partitions: int | None = None,
-    min_rows: int | None = None,
     right_unique: bool = False,
     heavy_from: DataFrame | None = None,
 ) -> DataFrame:
@@ -106,9 +128,10 @@ def balanced_join(
 
     Rows of a heavy key are dealt into the key's pieces, and the other side's rows of that
     key are repeated once per piece. A null key matches nothing, so its rows are dealt
-    over all partitions. Dealing follows row position, so exact copies of a row spread too;
-    ``session.configure`` turns on the shuffle checksums that keep it right when a lost task
-    runs again and meets its rows in another order.
+    over all partitions. Pieces are matched on the typed key columns, exactly as the join
+    itself matches them. Dealing follows row position, so exact copies of a row spread too;
+    it needs the shuffle checksums that ``session.configure`` turns on, which keep it right
+    when a lost task runs again and meets its rows in another order.
     """
     if how not in ("left", "inner"):
         raise ValueError("balanced_join supports inner and left")
@@ -118,11 +141,11 @@ def balanced_join(
             raise TypeError(f"join key {name} has two types")
     spark = left.sparkSession
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    min_rows = HEAVY_MIN_ROWS if min_rows is None else min_rows
-    left_heavy = heavy_keys(left if heavy_from is None else heavy_from, on, partitions, min_rows)
-    right_heavy = {} if right_unique else heavy_keys(right, on, partitions, min_rows)
-
-    left_heavy = {k: n * FINENESS for k, n in left_heavy.items()}
+    if spark.conf.get("spark.sql.shuffle.orderIndependentChecksum.enabled", "false").lower() != "true":
+        raise ValueError("call session.configure first: dealing by row position needs the shuffle checksums")
+    source = left if heavy_from is None else heavy_from
+    left_heavy = {k: n * FINENESS for k, n in heavy_keys(source, on, partitions).items()}
+    right_heavy = {} if right_unique else heavy_keys(right, on, partitions)
 
     deal, null_pieces = F.monotonically_increasing_id(), partitions * FINENESS
     null_key = F.greatest(*[F.col(c).isNull() for c in on]) if len(on) > 1 else F.col(on[0]).isNull()
@@ -131,12 +154,19 @@ def balanced_join(
         dealt = left.withColumn("_piece", F.when(null_key, deal % null_pieces).otherwise(F.lit(0)))
         return dealt.join(right.withColumn("_piece", F.lit(0).cast("long")), [*on, "_piece"], how).select(*out_cols)
 
-    pieces = [(k, left_heavy.get(k, 1), right_heavy.get(k, 1)) for k in {**left_heavy, **right_heavy}]
-    # at most 2 x partitions rows
-    pieces = F.broadcast(spark.createDataFrame(pieces, "_key string, _lp long, _rp long"))
+    # at most as many keys as partitions on either side
+    cuts = []
+    if left_heavy:
+        cuts.append(_pieces(source, on, left_heavy, "_lp").withColumn("_rp", F.lit(1).cast("long")))
+    if right_heavy:
+        cuts.append(_pieces(right, on, right_heavy, "_rp").select(*on, F.lit(1).cast("long").alias("_lp"), "_rp"))
+    pieces = cuts[0].select(*on, "_lp", "_rp")
+    if len(cuts) > 1:
+        pieces = pieces.unionByName(cuts[1]).groupBy(*on).agg(F.max("_lp").alias("_lp"), F.max("_rp").alias("_rp"))
+    pieces = F.broadcast(stage(pieces, "pieces"))
 
     def marked(df: DataFrame) -> DataFrame:
-        keyed = df.withColumn("_key", _key_text(df, on)).join(pieces, "_key", "left")
+        keyed = df.join(pieces, on, "left")
         return keyed.withColumns({"_lp": F.coalesce("_lp", F.lit(1)), "_rp": F.coalesce("_rp", F.lit(1))})
 
     def each(count: str) -> Column:
@@ -146,14 +176,14 @@ def balanced_join(
         marked(left)
         .withColumn("_piece", F.when(null_key, deal % null_pieces).otherwise(deal % F.col("_lp")))
         .withColumn("_copy", each("_rp"))
-        .drop("_key", "_lp")
+        .drop("_lp")
     )
     dealt_right = (
         marked(right)
         .withColumn("_copy", deal % F.col("_rp"))
         .withColumn("_piece", each("_lp"))
         .withColumn("_hit", F.lit(True))
-        .drop("_key", "_lp", "_rp")
+        .drop("_lp", "_rp")
     )
     joined = dealt_left.join(dealt_right, [*on, "_piece", "_copy"], how)
     if how == "left":

@@ -29,10 +29,10 @@ def dense_id(df: DataFrame, order: list[str], name: str, partitions: int | None
     part, place = F.shiftright("_row", 33).cast("int"), F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = {r["p"]: r["n"] for r in placed.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
     offsets, total = [], 0
-    for p in range(max(sizes, default=-1) + 1):
-        offsets.append(total)
-        total += sizes.get(p, 0)
-    if not offsets:
-        return placed.select(*df.columns, F.lit(None).cast("long").alias(name))
-    start = F.element_at(F.lit(offsets).cast("array<long>"), part + 1)
-    return placed.select(*df.columns, (start + place + 1).alias(name))
+    for p in sorted(sizes):
+        offsets.append((p, total))
+        total += sizes[p]
+    # one row per range
+    starts = F.broadcast(df.sparkSession.createDataFrame(offsets, "_part int, _start long"))
+    numbered = placed.withColumn("_part", part).join(starts, "_part")
+    return numbered.select(*df.columns, (F.col("_start") + place + 1).alias(name))

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from starmart.contracts import (
     CITY_COLUMNS,
-    CITY_FILE_COLUMNS,
     LABEL_SECTIONS,
     TEMPERATURE_INPUT,
     VISA_CLASSES,
@@ -79,7 +78,7 @@ def arrival_dates(records: DataFrame, ordered: bool = False) -> DataFrame:
 
 def city_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """City demographics: the used columns, names upper case, counts as whole numbers."""
-    return clean_cities(read_csv_files(spark, paths, CITY_FILE_COLUMNS, sep=";", rename=CITY_COLUMNS))
+    return clean_cities(read_csv_files(spark, paths, list(CITY_COLUMNS), sep=";", rename=CITY_COLUMNS))
 
 
 def clean_cities(raw: DataFrame) -> DataFrame:

@@ -157,7 +157,8 @@ def songplays_rounded(plays: DataFrame, songs: DataFrame, key: str = "session_se
     """Left join on title, artist and length in whole seconds, with an md5 key.
 
     ``key`` is ``session_second`` (session id and second, as the warehouse had it; two plays
-    in one session-second share it) or ``wide`` (also the millisecond, item and song).
+    in one session-second share it) or ``wide``, the play itself: user, session, millisecond and item. A play
+    that several songs match has a row for each, under one key.
     """
     rounded = "decimal(18,0)"
     sides = plays.withColumn("length", F.col("length").cast(rounded))
@@ -167,7 +168,7 @@ def songplays_rounded(plays: DataFrame, songs: DataFrame, key: str = "session_se
     )
     ids = {
         "session_second": md5_of("session_id", F.date_format("start_time", KEY_TIME_FORMAT)),
-        "wide": wide_key("session_id", "ts", "item_in_session", "song_id"),
+        "wide": wide_key("user_id", "session_id", "ts", "item_in_session"),
     }
     return joined.select(ids[key].alias("songplay_id"), *FACT_COLUMNS)
 

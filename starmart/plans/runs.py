@@ -4,17 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.contracts import EVENT_PATHS, SESSION_ITEMS, STAGED_EVENTS, STAGED_SONGS
+from starmart.contracts import (
+    EVENT_PATHS,
+    SESSION_ITEMS,
+    STAGED_EVENTS,
+    STAGED_SONGS,
+    WAREHOUSE_SONG_WIDTHS,
+    fit_widths,
+)
 from starmart.functions.keys import sequence_id
 from starmart.operators.checks import TableCheck, enforce, run_checks
 from starmart.plans import immigration, music, session_items
 from starmart.session import stage
 from starmart.sinks.files import write_parquet, write_quoted_csv, write_songs
 from starmart.sinks.loads import (
-    append_new,
     insert_first_wins,
     insert_numbered,
     read_current,
+    replace_by_key,
     truncate_insert,
     upsert,
 )
@@ -49,13 +56,13 @@ def run_scheduled(
 ) -> DataFrame:
     """One scheduled run: stage both inputs, load the fact, then the four dimensions, then the checks.
 
-    The fact takes only plays it does not hold, by content key, so a repeated run adds
-    nothing. Dimensions are replaced. The time dimension is read off the loaded fact.
+    Plays are identified by user, session, time and item; a repeated run replaces the plays of its
+    events, so song records that arrived meanwhile count. Dimensions are replaced. The time dimension is read off the loaded fact.
     Returns the check report, and raises when a check fails.
     """
     events, songs = stage_music(spark, event_paths, song_paths, root, run)
     plays = music.plays_of(events, action)
-    append_new(music.songplays_rounded(plays, songs, key="wide"), f"{root}/songplays", ["songplay_id"])
+    replace_by_key(music.songplays_rounded(plays, songs, key="wide"), f"{root}/songplays", ["songplay_id"])
     fact = read_current(spark, f"{root}/songplays")
     truncate_insert(music.users_distinct(plays), f"{root}/users")
     truncate_insert(music.songs_distinct(songs), f"{root}/songs")
@@ -91,14 +98,26 @@ def run_relational(
 
 
 def run_warehouse(
-    spark: SparkSession, event_paths: str | list[str], song_paths: str | list[str], root: str, action: str = "NextSong"
-) -> None:
-    """Stage both inputs and replace the five tables; plays get a generated number."""
+    spark: SparkSession,
+    event_paths: str | list[str],
+    song_paths: str | list[str],
+    root: str,
+    action: str = "NextSong",
+    too_wide: str = "fail",
+) -> int:
+    """Stage both inputs and replace the five tables; plays get a generated number.
+
+    Song texts have a width here. Returns how many song records were over it, set aside under ``rejects/songs``
+    (``too_wide="reject"``) or cut (``"cut"``); by default the first one fails the run.
+    """
     events, songs = stage_music(spark, event_paths, song_paths, root)
+    songs, aside = fit_widths(songs, WAREHOUSE_SONG_WIDTHS, too_wide)
+    write_parquet(aside, f"{root}/rejects/songs")
     mart = music.warehouse_mart(events, songs, action)
     numbered = mart["songplays"].select(sequence_id().alias("songplay_id"), "*")
     for name, df in {**mart, "songplays": numbered}.items():
         truncate_insert(df, f"{root}/{name}")
+    return spark.read.schema(aside.schema).parquet(f"{root}/rejects/songs").count()
 
 
 def run_lake(
@@ -131,15 +150,16 @@ def run_query_tables(
         rows, rejects = session_items.query_table(items, table, order)
         session_items.write_query_table(rows, table, f"{root}/{name}")
         write_parquet(rejects, f"{root}/rejects/{name}")
+    write_parquet(session_items.rejected_items(spark, event_paths), f"{root}/rejects/records")
 
 
 def write_lake_mart(mart: dict[str, DataFrame], root: str) -> None:
-    """The data-lake layout: songs by year, time and songplays by year and month."""
+    """The data-lake layout, each table replaced as a whole: songs by year, time and songplays by year and month."""
     write_songs(mart["songs"], f"{root}/songs")
     write_parquet(mart["artists"], f"{root}/artists")
     write_parquet(mart["users"], f"{root}/users")
     write_parquet(mart["time"], f"{root}/time", ["year", "month"])
-    write_parquet(mart["songplays"], f"{root}/songplays", ["year", "month"], replace_only_written=True)
+    write_parquet(mart["songplays"], f"{root}/songplays", ["year", "month"])
 
 
 def _written(mart: dict[str, DataFrame], name: str, root: str) -> DataFrame:

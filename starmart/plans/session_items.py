@@ -9,7 +9,7 @@ from starmart.contracts import EVENT_CSV_COLUMNS, SESSION_ITEMS, TableContract,
 from starmart.operators.dims import last_wins
 from starmart.operators.filters import nonempty
 from starmart.sinks.files import write_clustered
-from starmart.sources.files import read_csv_files
+from starmart.sources.files import read_csv_by_position
 
 # Each table's key, clustering columns and all columns, with the source name of each.
 BY_SESSION_ITEM = {
@@ -47,13 +47,19 @@ TABLES = {"by_session_item": BY_SESSION_ITEM, "by_user_session": BY_USER_SESSION
 def clean_items(spark: SparkSession, paths: str | list[str], order: list[str] | None = None) -> DataFrame:
     """The cleaned 11-column event file, as text: events without an artist are left out.
 
-    ``order`` adds further file columns, as numbers, to put the writes of one key in sequence.
+    ``order`` adds further file columns, as numbers, to put the writes of one key in sequence. Records with a wrong
+    number of fields are left out, too: ``rejected_items`` has them.
     """
-    raw = nonempty(read_csv_files(spark, paths, EVENT_CSV_COLUMNS), "artist")
+    raw = nonempty(read_csv_by_position(spark, paths, EVENT_CSV_COLUMNS)[0], "artist")
     extra = [c for c in order or [] if c not in SESSION_ITEMS.columns]
     return raw.select(*SESSION_ITEMS.columns, *[F.col(c).try_cast("double").alias(c) for c in extra])
 
 
+def rejected_items(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """Records of the event files that do not have the files' number of fields, as text."""
+    return read_csv_by_position(spark, paths, EVENT_CSV_COLUMNS)[1]
+
+
 def _table_contract(table: dict, order_types: dict[str, str]) -> TableContract:
     """Each table asks only for its own columns to be well formed; order columns keep their type."""
     sources = table["columns"].values()

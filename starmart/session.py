@@ -75,15 +75,18 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+UNKNOWN_BYTES = 2**60  # an estimate of this size or more means that the optimizer has none
+
+
 def input_bytes(df: DataFrame) -> int:
     """Bytes of the files and frames a plan reads, after pruning; runs no job."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
-def range_partitions(df: DataFrame, target_bytes: int = 128 * 2**20, most: int = 50_000) -> int:
+def range_partitions(df: DataFrame, target_bytes: int = 128 * 2**20) -> int:
     """Partitions for a range shuffle, which the adaptive planner does not resize: by input size, with a
     lower bound of the session's shuffle partitions or cores, whichever are fewer."""
-    spark = df.sparkSession
+    spark, size = df.sparkSession, input_bytes(df)
     fewest = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    return max(fewest, min(most, -(-input_bytes(df) // target_bytes)))
+    return max(fewest, -(-size // target_bytes)) if size < UNKNOWN_BYTES else max(fewest, spark.sparkContext.defaultParallelism)

@@ -29,8 +29,10 @@ def _versions(spark: SparkSession, root: str) -> tuple[list[int], list[int]]:
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:
-    """Path of the newest finished version, or None."""
-    _, done = _versions(spark, root)
+    """Path of the newest finished version, or None; raises when there are versions but none that counts as finished."""
+    numbers, done = _versions(spark, root)
+    if numbers and not done:
+        raise RuntimeError(f"no version under {root} is marked as finished: success markers must be on")
     return f"{root}/v{max(done)}" if done else None
 
 
@@ -74,6 +76,23 @@ def append_new(df: DataFrame, root: str, key: list[str], order: list[str] | None
     return append(new_rows_only(stage(batch, "batch"), spark.read.parquet(path), key), root)
 
 
+def replace_by_key(df: DataFrame, root: str, key: list[str]) -> str:
+    """Insert a batch whose keys may have several rows each, in place of the stored rows of those keys.
+
+    Loading a batch again gives the same table, also when its rows have changed. A batch of new keys is appended;
+    only one that meets stored keys makes a new version.
+    """
+    spark = df.sparkSession
+    path = current_version(spark, root)
+    if path is None:
+        return truncate_insert(df, root)
+    batch, stored = stage(df, "batch"), spark.read.parquet(path)
+    keys = batch.select(*key).distinct()
+    if not stored.join(keys, key, "left_semi").limit(1).count():
+        return append(batch, root)
+    return truncate_insert(rows_without(stored, keys, key).select(*df.columns).unionByName(batch), root)
+
+
 def insert_first_wins(df: DataFrame, root: str, key: list[str], order: list[str]) -> str:
     """Insert, doing nothing for a key that exists; within the batch the first in order is taken."""
     return append_new(df, root, key, order)

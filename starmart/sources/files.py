@@ -11,6 +11,10 @@ from pyspark.sql.types import StructType
 from starmart.contracts import IMMIGRATION, IMMIGRATION_INPUT, TableContract, clean, in_order, split_rows
 from starmart.functions.times import millis_to_timestamp
 from starmart.operators.filters import whole_number_is
+from starmart.session import stage
+
+
+CORRUPT = "_corrupt_record"
 
 
 def read_json_tree(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
@@ -34,6 +38,12 @@ def first_per_file(df: DataFrame, order: list[str]) -> DataFrame:
     return df.groupBy(F.col("_metadata.file_path").alias("_file")).agg(pick.alias("_p")).select("_p.r.*")
 
 
+def _csv_reader(spark: SparkSession, sep: str, multiline: bool):
+    reader = spark.read.option("header", True).option("sep", sep).option("encoding", "UTF-8")
+    # quotes inside quoted fields are doubled
+    return reader.option("multiLine", multiline).option("quote", '"').option("escape", '"')
+
+
 def read_csv_files(
     spark: SparkSession,
     paths: str | list[str],
@@ -42,20 +52,42 @@ def read_csv_files(
     rename: dict[str, str] | None = None,
     multiline: bool = False,
 ) -> DataFrame:
-    """Headered CSV files as one frame; the header line of each file is skipped.
+    """Columns of headered CSV files by name, as one frame; the files may hold them in any order and others beside.
 
-    ``columns`` gives names by position (all text) or a full schema. ``multiline`` allows
-    line breaks inside quoted fields; a file is then read by one task instead of in splits.
+    ``columns`` gives names (text) or typed fields; a value that does not parse as its type fails the scan. A name
+    that a path's header lacks raises. Every path is read under the header of its own files, which must agree.
+    ``multiline`` allows line breaks inside quoted fields; a file is then read by one task instead of in splits.
     """
-    schema = columns if isinstance(columns, StructType) else ", ".join(f"`{c}` string" for c in columns)
-    reader = spark.read.schema(schema).option("header", True).option("sep", sep).option("encoding", "UTF-8")
-    reader = reader.option("multiLine", multiline)
-    # quotes inside quoted fields are doubled
-    reader = reader.option("quote", '"').option("escape", '"').option("enforceSchema", True)
-    df = reader.csv(paths)
+    wanted = {f.name: f.dataType for f in columns.fields} if isinstance(columns, StructType) else dict.fromkeys(columns)
+    frames = []
+    for path in [paths] if isinstance(paths, str) else paths:
+        raw = _csv_reader(spark, sep, multiline).option("enforceSchema", False).csv(path)
+        missing = [c for c in wanted if c not in raw.columns]
+        if missing:
+            raise ValueError(f"{path} has no column {', '.join(missing)}")
+        frames.append(raw.select(*[F.col(f"`{c}`").cast(t).alias(c) if t else F.col(f"`{c}`") for c, t in wanted.items()]))
+    df = frames[0]
+    for frame in frames[1:]:
+        df = df.unionByName(frame)
     return df.withColumnsRenamed(rename) if rename else df
 
 
+def read_csv_by_position(
+    spark: SparkSession, paths: str | list[str], columns: list[str], sep: str = ",", multiline: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """``(rows, rejects)`` of headered CSV files whose columns are given by position, all text.
+
+    Line breaks inside quoted fields belong to the field. A record with more or fewer fields than ``columns`` is set
+    aside as its text, with ``reject_reason``. Files are parsed once, for both.
+    """
+    schema = ", ".join(f"`{c}` string" for c in [*columns, CORRUPT])
+    reader = _csv_reader(spark, sep, multiline).schema(schema).option("columnNameOfCorruptRecord", CORRUPT)
+    df = stage(reader.option("enforceSchema", True).csv(paths), "records")
+    bad = F.col(CORRUPT).isNotNull()
+    reason = F.lit(f"record: not {len(columns)} fields").alias("reject_reason")
+    return df.filter(~bad).select(*columns), df.filter(bad).select(F.col(CORRUPT).alias("record"), reason)
+
+
 def _text_schema(paths: list[str]) -> StructType:
     """The JSON schema that holds exactly the given paths, every leaf as text."""
     tree: dict = {}
@@ -75,9 +107,6 @@ def _text_schema(paths: list[str]) -> StructType:
     return build(tree)
 
 
-CORRUPT = "_corrupt_record"
-
-
 def _json_as_text(spark: SparkSession, files: str | list[str], paths: list[str], malformed: str) -> DataFrame:
     """The given JSON paths as text. A line that is not JSON fails the scan, or is kept aside to be rejected."""
     schema = _text_schema(paths)
@@ -118,7 +147,7 @@ def read_json_paths(
     """Bulk load through a path list: each JSON path (``a.b`` for a nested key) fills one table column.
 
     Values are read as text, so a number given as ``"10"`` loads like ``10``. Blank text becomes
-    null, text is cut to the contract's widths, and the rest is cast. A value that does not
+    null, text is cut to the contract's widths if it has any, and the rest is cast. A value that does not
     cast, or a line that is not JSON, fails the load; with ``malformed="reject"`` the result
     is ``(good, rejects)``.
     """

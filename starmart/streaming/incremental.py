@@ -2,7 +2,7 @@
 
 Structured Streaming keeps the list of files already taken in its checkpoint. A run
 processes what is there and stops (``availableNow``), which fits an hourly schedule. A
-batch that is repeated after a failure adds nothing, since the fact takes new keys only.
+batch that is repeated after a failure adds nothing, since its plays replace those with their keys.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from starmart.contracts import EVENT_PATHS, EVENT_RECORDS, STAGED_EVENTS, clean,
 from starmart.operators.filters import plays_of
 from starmart.plans.music import songplays_rounded, users_latest
 from starmart.session import stage
-from starmart.sinks.loads import append_new, upsert
+from starmart.sinks.loads import replace_by_key, upsert
 
 
 def staged_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -36,7 +36,7 @@ def load_new_events(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         plays = stage(plays_of(batch, action), "plays")  # parsed once, read by both loads
-        append_new(songplays_rounded(plays, songs, key="wide"), f"{root}/songplays", ["songplay_id"])
+        replace_by_key(songplays_rounded(plays, songs, key="wide"), f"{root}/songplays", ["songplay_id"])
         known = plays.select("user_id", "first_name", "last_name", "gender", "level", "ts", "item_in_session")
         users = users_latest(known, ["ts", "item_in_session"]).withColumn("_batch", F.lit(batch_id))
         upsert(users, f"{root}/users", ["user_id"], ["level"], ["_batch"])

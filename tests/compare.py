@@ -1,6 +1,6 @@
 """Run registered queries and their SQL side by side: ``python tests/compare.py [--shuffle] [folder] [name ...]``.
 
-``--shuffle`` switches broadcasts off and cuts heavy keys at any size, as large tables would have it.
+``--shuffle`` switches broadcasts off, as large tables would have it.
 """
 
 from __future__ import annotations
@@ -85,9 +85,6 @@ def main():
     sf_dir = args[0] if args else "/root/testdata/sf0.01"
     spark = local_session(8)
     if "--shuffle" in sys.argv:
-        from starmart.operators import joins
-
-        joins.HEAVY_MIN_ROWS = 0
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     con = duck(sf_dir)

@@ -32,4 +32,3 @@ def test_partitions_follow_the_input(spark, tmp_path):
     n = input_bytes(df)
     assert range_partitions(df, target_bytes=n // 10) in (10, 11)
     assert range_partitions(df.join(df, "id"), target_bytes=n // 10) in (20, 21, 22)
-    assert range_partitions(df, target_bytes=n // 10, most=7) == 7

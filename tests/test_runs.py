@@ -6,7 +6,7 @@ from starmart.__main__ import main, parser
 from starmart.contracts import EVENT_CSV_COLUMNS
 from starmart.operators.checks import QualityError, TableCheck
 from starmart.plans import music
-from starmart.plans.runs import run_lake, run_relational, run_scheduled, stage_music
+from starmart.plans.runs import run_lake, run_relational, run_scheduled, run_warehouse, stage_music
 from starmart.sinks import read_current
 from starmart.streaming.incremental import load_new_events
 
@@ -134,3 +134,49 @@ def test_query_tables_run(spark, tmp_path, rows):
     assert spark.read.parquet(f"{out}/by_song").count() == 3
     assert spark.read.parquet(f"{out}/rejects/by_session_item").first()["reject_reason"] == "itemInSession: malformed"
     assert spark.read.text(f"{out}/cleaned").first()[0].startswith('"artist","firstName","gender","itemInSession"')
+
+
+def test_late_song_records_replace_the_plays(spark, files):
+    root, logs = str(files / "out"), str(files / "log" / "*" / "*")
+    put(files / "early" / "a.json", song("S9", duration=1.0))
+    for songs in ("early", "songs", "songs"):
+        run_scheduled(spark, logs, str(files / songs), root, checks=[TableCheck("songplays")])
+    plays = read_current(spark, f"{root}/songplays")
+    assert sorted(str(r["song_id"]) for r in plays.collect()) == ["None", "S1", "S1"]
+
+
+def test_play_identity_holds_the_user(spark, files):
+    put(files / "two" / "a.json", event(DAY1, user="10"), event(DAY1, user="11"))
+    root = str(files / "out")
+    run_scheduled(spark, str(files / "two"), str(files / "songs"), root, checks=[TableCheck("songplays")])
+    assert sorted(r["user_id"] for r in read_current(spark, f"{root}/songplays").collect()) == [10, 11]
+
+
+def test_lake_reload_replaces_everything(spark, files):
+    root = str(files / "out")
+    for month in ("11", "12"):
+        run_lake(spark, str(files / "log" / "2018" / month), str(files / "songs"), root, ["ts", "session_id", "item_in_session"])
+    ids = [r["songplay_id"] for r in spark.read.parquet(f"{root}/songplays").collect()]
+    assert sorted(ids) == list(range(1, len(ids) + 1))
+    assert spark.read.parquet(f"{root}/time").select("month").distinct().count() == 1
+
+
+def test_long_texts_stay_whole(spark, files):
+    title = "t" * 257
+    put(files / "log" / "long" / "a.json", *[event(DAY1 + i, item=i, song=title + str(i), location="l" * 300) for i in range(3)])
+    put(files / "songs" / "long.json", song("S7", title=title + "1"))
+    root = str(files / "out")
+    run_lake(spark, str(files / "log" / "long"), str(files / "songs"), root, ["ts", "session_id", "item_in_session"])
+    rows = spark.read.parquet(f"{root}/songplays").collect()
+    assert {len(r["location"]) for r in rows} == {300} and sorted(str(r["song_id"]) for r in rows) == ["None", "None", "S7"]
+    with pytest.raises(Exception, match="title: over 256 characters"):
+        run_warehouse(spark, str(files / "log" / "*" / "*"), str(files / "songs"), f"{root}/w")
+    assert run_warehouse(spark, str(files / "log" / "*" / "*"), str(files / "songs"), f"{root}/w", too_wide="reject") == 1
+    assert read_current(spark, f"{root}/w/songs").filter("song_id = 'S7'").count() == 0
+
+
+def test_unfinished_versions_raise(spark, tmp_path):
+    spark.range(1).write.parquet(f"{tmp_path}/t/v1")
+    (tmp_path / "t" / "v1" / "_SUCCESS").unlink()
+    with pytest.raises(RuntimeError, match="finished"):
+        read_current(spark, f"{tmp_path}/t")

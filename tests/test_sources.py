@@ -3,7 +3,7 @@ import json
 
 import pytest
 
-from starmart.contracts import EVENT_CSV_COLUMNS, SONG_RECORDS, STAGED_SONGS, TableContract
+from starmart.contracts import EVENT_CSV_COLUMNS, SONG_RECORDS, STAGED_SONGS, TableContract, fit_widths
 from starmart.sinks import write_quoted_csv
 from starmart.sources import (
     city_codes,
@@ -19,12 +19,11 @@ from starmart.sources import (
     read_json_tree,
     section_codes,
 )
+from starmart.sources.files import read_csv_by_position
 
-# The one record its publishers print.
 RECORD = {
-    "num_songs": 1, "artist_id": "ARJIE2Y1187B994AB7", "artist_latitude": None, "artist_longitude": None,
-    "artist_location": "", "artist_name": "Line Renaud", "song_id": "SOUPIRU12A6D4FA1E1",
-    "title": "Der Kleine Dompfaff", "duration": 152.92036, "year": 0,
+    "num_songs": 1, "artist_id": "AR77", "artist_latitude": None, "artist_longitude": None, "artist_location": "",
+    "artist_name": "The Kettles", "song_id": "SO42", "title": "Boiling", "duration": 152.92036, "year": 0,
 }
 
 CATALOGUE = """value i94prtl
@@ -51,14 +50,14 @@ def test_tree_and_glob(spark, tmp_path):
     put(tmp_path / "y.json", {"song_id": "S2"})
     tree = read_json_tree(spark, str(tmp_path), SONG_RECORDS.schema)
     assert tree.columns == list(SONG_RECORDS.columns)
-    assert {r["song_id"]: r["artist_name"] for r in tree.collect()} == {RECORD["song_id"]: "Line Renaud", "S2": None}
+    assert {r["song_id"]: r["artist_name"] for r in tree.collect()} == {RECORD["song_id"]: "The Kettles", "S2": None}
     assert [r["song_id"] for r in read_json_glob(spark, str(tmp_path), SONG_RECORDS.schema).collect()] == ["S2"]
 
 
 def test_bulk_load_by_name_cleans(spark, tmp_path):
     put(tmp_path / "s.json", {**RECORD, "title": "x" * 300, "extra": 5})
     row = read_json_auto(spark, str(tmp_path), STAGED_SONGS).first()
-    assert row["artist_location"] is None and len(row["title"]) == 256 and row["duration"] == 152.92036
+    assert row["artist_location"] is None and row["title"] == "x" * 300 and row["duration"] == RECORD["duration"]
 
 
 def test_bulk_load_by_paths(spark, tmp_path):
@@ -148,3 +147,32 @@ def test_constant_codes_and_preview(spark, rows):
 def test_no_python_worker(spark, plan, tmp_path):
     put(tmp_path / "s.json", RECORD)
     assert "Python" not in plan(read_json_auto(spark, str(tmp_path), STAGED_SONGS))
+
+
+def test_csv_by_name(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('b,"c c",a\n1,"x, y",q\n')
+    (tmp_path / "b.csv").write_text("a,b,c c\nr,2,\n")
+    paths = [str(tmp_path / "a.csv"), str(tmp_path / "b.csv")]
+    got = read_csv_files(spark, paths, ["a", "c c"], rename={"c c": "c"})
+    assert got.columns == ["a", "c"] and sorted(map(str, got.collect())) == ["Row(a='q', c='x, y')", "Row(a='r', c=None)"]
+    with pytest.raises(ValueError, match="no column nowhere"):
+        read_csv_files(spark, paths, ["a", "nowhere"])
+
+
+def test_csv_by_position_with_line_breaks(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('h1,h2,h3\n1,"two\nlines, ""quoted""",3\n4,5\n6,7,8,9\n')
+    rows, rejects = read_csv_by_position(spark, str(tmp_path), ["x", "y", "z"])
+    assert [tuple(r) for r in rows.collect()] == [("1", 'two\nlines, "quoted"', "3")]
+    assert sorted((r["record"].strip(), r["reject_reason"]) for r in rejects.collect()) == [("4,5", "record: not 3 fields"), ("6,7,8,9", "record: not 3 fields")]
+
+
+def test_widths(spark):
+    df = spark.createDataFrame([("abcdef", 1), ("ab", 2), (None, 3)], "t string, n int")
+    with pytest.raises(Exception, match="t: over 3 characters"):
+        fit_widths(df, {"t": 3})[0].collect()
+    rows, aside = fit_widths(df, {"t": 3}, "reject")
+    assert sorted(r["n"] for r in rows.collect()) == [2, 3] and [r["reject_reason"] for r in aside.collect()] == ["t: over 3 characters"]
+    rows, aside = fit_widths(df, {"t": 3}, "cut")
+    assert {r["n"]: r["t"] for r in rows.collect()} == {1: "abc", 2: "ab", 3: None} and aside.count() == 1
+    with pytest.raises(ValueError):
+        fit_widths(df, {"t": 3}, "other")
