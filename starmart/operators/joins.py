@@ -59,27 +59,25 @@ def lookup_join(
     return balanced_join(left, right, on, how, right_unique=right_unique, heavy_from=heavy_from)
 
 
-def _collated(kind: DataType) -> bool:
-    return isinstance(kind, StringType) and kind != StringType()
-
-
 def _sketchable(kind: DataType) -> bool:
-    """Whether keys of a type that are equal surely have equal hashes (nested collated text has not)."""
+    """Whether keys of a type that are equal surely have equal hashes; texts under a collation have not."""
+    if isinstance(kind, StringType):
+        return kind == StringType()
     if isinstance(kind, StructType):
-        return all(not _collated(f.dataType) and _sketchable(f.dataType) for f in kind.fields)
+        return all(_sketchable(f.dataType) for f in kind.fields)
     if isinstance(kind, ArrayType):
-        return not _collated(kind.elementType) and _sketchable(kind.elementType)
+        return _sketchable(kind.elementType)
     return not isinstance(kind, MapType)
 
 
 def _key_hash(df: DataFrame, on: list[str]) -> Column:
-    """One number per key, equal for keys that join: 0.0 and -0.0 do, and texts that their collation takes as equal."""
+    """One number per key, equal for keys that join (0.0 and -0.0 do)."""
     parts, schema = [], df.schema
     for name in on:
         c, kind = F.col(name), schema[name].dataType
         if isinstance(kind, (DoubleType, FloatType)):
             c = F.when(F.isnan(c), F.lit(float("nan")).cast(kind)).otherwise(c + F.lit(0.0).cast(kind))
-        parts.append(F.call_function("collation_key", c) if _collated(kind) else c)
+        parts.append(c)
     return F.xxhash64(*parts)
 
 
@@ -87,7 +85,7 @@ def heavy_keys(df: DataFrame, on: list[str], partitions: int) -> dict[int, int]:
     """Hashes of the keys that hold more rows than an average shuffle partition, with the pieces to cut them in.
 
     One pass over the key columns; each task keeps a bounded sketch, so no key is shuffled.
-    At most ``partitions`` keys can pass the threshold, and as many can be reported. Which
+    Keys with collated text have no common hash and are left to the adaptive planner. At most ``partitions`` keys can pass the threshold, and as many can be reported. Which
     keys are found steers only the balance of the join, never its rows.
     """
     schema = df.schema
