@@ -6,7 +6,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starmart.session import stage
+
 _SPACE = 1 << 30
+#: Labels whose rates are broadcast; with more of them the rows are shuffled by label.
+MOST_LABELS = 100_000
 
 
 def bounded_sample(labelled: DataFrame, label: str, per_label: int, key: str = "doc_id") -> DataFrame:
@@ -16,7 +20,9 @@ def bounded_sample(labelled: DataFrame, label: str, per_label: int, key: str = "
     the same on every run. Rows with a null label are left out.
     """
     known = labelled.filter(F.col(label).isNotNull())
-    counts = known.groupBy(label).agg((F.lit(float(per_label)) / F.count(F.lit(1))).alias("_rate"))
+    counts = stage(known.groupBy(label).agg((F.lit(float(per_label)) / F.count(F.lit(1))).alias("_rate")), "rates")
+    if counts.count() <= MOST_LABELS:
+        counts = F.broadcast(counts)
     draw = F.pmod(F.xxhash64(F.col(key), F.col("text"), F.lit("sample")), F.lit(_SPACE)) / float(_SPACE)
     return known.join(counts, label).filter(draw < F.col("_rate")).drop("_rate")
 
