@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import mix64
+from starmart.llm.common import mix64, release
 from starmart.session import stage
 
 SEED = 42
@@ -322,239 +322,79 @@ def _text_hash() -> Column:
     return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
 
 
-def _similar(docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """One row per distinct text: ``th`` (its hash), ``component_id``, ``root`` (its group), ``least`` (its smallest
-    doc_id) and ``copies`` (rows with that text and id)."""
+_WIDE = [f"w{i}" for i in range(WORDS)]
+
+
+def _distinct_texts(docs: DataFrame) -> DataFrame:
+    """One row per distinct text, staged: ``at`` (its hash), ``least``, ``copies`` and its wide fingerprint."""
 
     def prints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = np.array([wide(shingle_hashes(raw, FEATURE_WORDS)) for raw in _binary(batch.column(1))], np.int64).reshape(-1, WORDS)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), *(pa.array(rows[:, i]) for i in range(WORDS))],
-                names=["doc_id", "th", *(f"w{i}" for i in range(WORDS))],
+                [batch.column(0), batch.column(2), *(pa.array(rows[:, i]) for i in range(WORDS))], names=["doc_id", "at", *_WIDE]
             )
 
-    w = [f"w{i}" for i in range(WORDS)]
-    fps = docs.select(F.col("doc_id").cast("long"), "text", _text_hash().alias("th")).mapInArrow(
-        prints, "doc_id long, th long, w0 long, w1 long, w2 long, w3 long"
-    )
-    # equal texts are one from here on
-    rows = fps.groupBy("th", "doc_id").agg(F.count(F.lit(1)).alias("copies"), *[F.min(x).alias(x) for x in w])
-    uniq = rows.groupBy(F.col("th").alias("at")).agg(
-        F.min("doc_id").alias("least"), F.coalesce(F.min_by("copies", "doc_id"), F.max("copies")).alias("copies"), *[F.min(x).alias(x) for x in w]
+    fps = docs.select(F.col("doc_id").cast("long"), "text", _text_hash().alias("at")).mapInArrow(
+        prints, "doc_id long, at long, " + ", ".join(f"{w} long" for w in _WIDE)
     )
-    uniq = stage(uniq, "fingerprints")
-    byte = lambda p: F.shiftrightunsigned(w[p // 8], 8 * (p % 8)).bitwiseAND(F.lit(255))
-    keys = F.array(*[F.xxhash64(F.lit(i), *[byte(p) for p in c]) for i, c in enumerate(position_sets())])
-    posted = uniq.select(F.explode(keys).alias("key"), "at", *w)
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = posted.repartition(n, "key").sortWithinPartitions("key", "at").mapInArrow(_candidates(MOST_BITS), "a long, b long, star boolean")
-    pairs = stage(pairs.groupBy("a", "b").agg(F.max("star").alias("star")), "candidates")
-    # the sets of candidates only; of equal texts one
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("th")).distinct()
-    texts = docs.select("text", _text_hash().alias("th")).join(wanted, "th", "left_semi").select("text", "th")
-
-    def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = [np.unique(shingle_hashes(raw, shingle)).view(np.int64) for raw in _binary(batch.column(0))]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(own, pa.list_(pa.int64()))], names=["at", "shingles"])
-
-    held = texts.mapInArrow(sets, "at long, shingles array<long>").groupBy("at").agg(F.first("shingles").alias("shingles"))
-    held = stage(held, "shingles")
-
-    def verified(some: DataFrame) -> DataFrame:
-        joined = some.select("a", "b").join(held.select(F.col("at").alias("a"), F.col("shingles").alias("sa")), "a").join(
-            held.select(F.col("at").alias("b"), F.col("shingles").alias("sb")), "b"
-        )
-        shared = F.size(F.array_intersect("sa", "sb"))
-        alike = joined.filter(shared >= F.lit(similarity) * (F.size("sa") + F.size("sb") - shared))
-        return stage(alike.select("a", "b"), "alike")
-
-    # pairs with the centres of their lists first; of the others only those that would join two groups
-    first = verified(pairs.filter("star"))
-    group = components(first)
-    open_ = pairs.filter("NOT star").join(group.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(
-        group.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left"
-    ).filter(F.coalesce("ra", "a") != F.coalesce("rb", "b"))
-    edges = first.unionByName(verified(open_))
-    found = components(edges)
-    rooted = uniq.join(found, uniq[key] == found["node"], "left").select(key, "least", F.coalesce("root", key).alias("root"))
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    ids = rooted.select(key, "root").join(ids, "root").select(key, "component_id")
-    return fps.join(ids, key)
-
-
-def linked(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` of every row: the 64 bits as 16 hex digits, and the smallest doc_id that
-    can be reached over fingerprints at most ``max_bits`` apart (its own included).
-
-    Null and empty texts have fingerprint zero, which links like any other. Rows with a null doc_id take part in
-    linking; a component without any id has a null one. Repeated rows come back repeated. Only ``doc_id`` and
-    ``text`` are read; no rows in, no rows out.
-    """
-    fps = stage(fingerprints(docs, shingle), "fingerprints")
-    uniq = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
-    out = _with_component(fps, uniq, links(uniq.select("fp"), max_bits), "fp")
-    return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-# ---------------------------------------------------------------------------
-# Similarity of shingle sets.
-
-WORDS = 4  # 64-bit words of a wide fingerprint
-TABLES, KEY_BYTES = 64, 3
-#: Wide fingerprints further apart than this cannot be of sets as alike as 0.8, but for one pair in thousands.
-MOST_BITS = 52
-#: Members of a posting list that one spanning tree joins.
-TREE_ROWS = 256
-#: Neighbours of each member that are verified with it.
-NEAREST = 8
-#: Words of a feature of the wide fingerprint: an edit changes fewer pairs than longer shingles, so fewer bits.
-FEATURE_WORDS = 2
-
-
-def wide(h: np.ndarray) -> list[int]:
-    """A 256-bit SimHash of a set of hashes, as four signed words."""
-    h = np.unique(h)
-    salted = [h] + [mix64(h + np.uint64(0x9E3779B97F4A7C15 * i % 2**64)) for i in range(1, WORDS)]
-    return [int(np.uint64(majority_bits(x)).astype(np.int64)) for x in salted]
-
-
-def position_sets(tables: int = TABLES, size: int = KEY_BYTES, width: int = 8 * WORDS, seed: int = 5) -> list[list[int]]:
-    """Distinct sets of byte positions, each position used about equally often."""
-    rng, out = np.random.default_rng(seed), []
-    while len(out) < tables:
-        turn = rng.permutation(width)
-        for i in range(0, width - size + 1, size):
-            c = sorted(turn[i : i + size].tolist())
-            if c not in out and len(out) < tables:
-                out.append(c)
-    return out
-
-
-def spanning_edges(words: np.ndarray) -> Iterator[tuple[int, int]]:
-    """The edges of a least spanning tree over the bit distances of some rows: it joins whatever links at any distance
-    join, by as many edges as there are rows, less one."""
-    left = np.arange(1, len(words))
-    away, nearest = np.bitwise_count(words[left] ^ words[0]).sum(1), np.zeros(len(left), np.int64)
-    while len(left):
-        k = int(away.argmin())
-        new = left[k]
-        yield int(nearest[k]), int(new)
-        left, away, nearest = np.delete(left, k), np.delete(away, k), np.delete(nearest, k)
-        other = np.bitwise_count(words[left] ^ words[new]).sum(1)
-        closer = other < away
-        away, nearest = np.where(closer, other, away), np.where(closer, new, nearest)
-
+    first = [F.min(x).alias(x) for x in _WIDE]
+    rows = fps.groupBy("at", "doc_id").agg(F.count(F.lit(1)).alias("copies"), *first)
+    copies = F.coalesce(F.min_by("copies", "doc_id"), F.max("copies")).alias("copies")
+    return stage(rows.groupBy("at").agg(F.min("doc_id").alias("least"), copies, *first), "fingerprints")
 
-def run_pairs(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a posting list to verify, in number linear in its members.
 
-    First each member with the one nearest to the majority of all: a text that others were copied from. Then, in the
-    order of that distance and within every ``TREE_ROWS`` consecutive ones, a least spanning tree, and each member
-    with its ``NEAREST`` nearest.
-    """
-    bits = np.unpackbits(words.view(np.uint8).reshape(len(words), -1), axis=1)
-    middle = np.packbits(2 * bits.sum(0, dtype=np.int64) > len(words)).view(np.uint64)
-    order = np.argsort(np.bitwise_count(words ^ middle).sum(1), kind="stable")
-    star = np.stack([np.full(len(order) - 1, order[0]), order[1:]], 1)
-    rest = []
-    for i in range(0, len(order), TREE_ROWS):
-        part = order[i : i + TREE_ROWS]
-        if len(part) < 2:
-            continue
-        w = words[part]
-        rest.append(part[np.array(list(spanning_edges(w)))])
-        away = np.bitwise_count(w[:, None, :] ^ w[None, :, :]).sum(2)
-        k = min(NEAREST + 1, len(part))
-        near = np.argpartition(away, k - 1, axis=1)[:, :k]
-        rest.append(np.stack([np.repeat(part, k), part[near.ravel()]], 1))
-    return star, np.concatenate(rest)
-
-
-def _candidates(most_bits: int):
-    def emit(key, at, words):
-        edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
-        length = np.diff(edges)
-        two = edges[:-1][length == 2]
-        pairs, stars = [np.stack([two, two + 1], 1)], [np.ones(len(two), bool)]
-        for i in np.flatnonzero(length > 2):
-            star, rest = run_pairs(np.ascontiguousarray(words[edges[i] : edges[i + 1]]))
-            pairs += [star + edges[i], rest + edges[i]]
-            stars += [np.ones(len(star), bool), np.zeros(len(rest), bool)]
-        x, y = np.concatenate(pairs).T
-        star = np.concatenate(stars)
-        near = (np.bitwise_count(words[x] ^ words[y]).sum(1) <= most_bits) & (x != y)
-        a, b = at[x[near]], at[y[near]]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(star[near])], names=["a", "b", "star"]
-        )
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, at, words = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, WORDS), np.uint64)
-        for batch in batches:
-            got = [c.to_numpy() for c in batch.columns]
-            key, at = np.concatenate([key, got[0]]), np.concatenate([at, got[1]])
-            words = np.concatenate([words, np.stack(got[2:], 1).view(np.uint64)])
-            last = int(np.searchsorted(key, key[-1])) if len(key) else 0
-            if last:
-                yield emit(key[:last], at[:last], words[:last])
-                key, at, words = key[last:], at[last:], words[last:]
-        if len(key):
-            yield emit(key, at, words)
-
-    return run
-
-
-def _text_hash() -> Column:
-    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+def _candidate_pairs(uniq: DataFrame) -> DataFrame:
+    """Pairs of texts to verify, staged: ``a, b, star``."""
+    byte = lambda p: F.shiftrightunsigned(_WIDE[p // 8], 8 * (p % 8)).bitwiseAND(F.lit(255))
+    keys = F.array(*[F.xxhash64(F.lit(i), *[byte(p) for p in c]) for i, c in enumerate(position_sets())])
+    posted = uniq.select(F.explode(keys).alias("key"), "at", *_WIDE)
+    n = int(uniq.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lists = posted.repartition(n, "key").sortWithinPartitions("key", "at")
+    pairs = lists.mapInArrow(_candidates(MOST_BITS), "a long, b long, star boolean")
+    return stage(pairs.groupBy("a", "b").agg(F.max("star").alias("star")), "candidates")
 
 
-def _similar(docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """One row per distinct text: ``th`` (its hash), ``component_id``, ``root`` (its group), ``least`` (its smallest
-    doc_id) and ``copies`` (rows with that text and id)."""
+def _shingle_sets(docs: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
+    """The shingle sets of the texts in pairs, of equal texts one, staged: ``at, shingles``."""
 
-    def prints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = np.array([wide(shingle_hashes(raw, FEATURE_WORDS)) for raw in _binary(batch.column(1))], np.int64).reshape(-1, WORDS)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), *(pa.array(rows[:, i]) for i in range(WORDS))],
-                names=["doc_id", "th", *(f"w{i}" for i in range(WORDS))],
-            )
+            own = [np.unique(shingle_hashes(raw, shingle)).view(np.int64) for raw in _binary(batch.column(0))]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(own, pa.list_(pa.int64()))], names=["at", "shingles"])
 
-    w = [f"w{i}" for i in range(WORDS)]
-    fps = docs.select(F.col("doc_id").cast("long"), "text", _text_hash().alias("th")).mapInArrow(
-        prints, "doc_id long, th long, w0 long, w1 long, w2 long, w3 long"
-    )
-    # equal texts are one from here on
-    rows = fps.groupBy("th", "doc_id").agg(F.count(F.lit(1)).alias("copies"), *[F.min(x).alias(x) for x in w])
-    uniq = rows.groupBy(F.col("th").alias("at")).agg(
-        F.min("doc_id").alias("least"), F.coalesce(F.min_by("copies", "doc_id"), F.max("copies")).alias("copies"), *[F.min(x).alias(x) for x in w]
-    )
-    uniq = stage(uniq, "fingerprints")
-    byte = lambda p: F.shiftrightunsigned(w[p // 8], 8 * (p % 8)).bitwiseAND(F.lit(255))
-    keys = F.array(*[F.xxhash64(F.lit(i), *[byte(p) for p in c]) for i, c in enumerate(position_sets())])
-    posted = uniq.select(F.explode(keys).alias("key"), "at", *w)
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    pairs = posted.repartition(n, "key").sortWithinPartitions("key", "at").mapInArrow(_candidates(MOST_BITS), "a long, b long, star boolean")
-    pairs = stage(pairs.groupBy("a", "b").agg(F.max("star").alias("star")), "candidates")
-    # the sets of candidates only; of equal texts one
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("th")).distinct()
     texts = docs.select("text", _text_hash().alias("th")).join(wanted, "th", "left_semi").select("text", "th")
+    held = texts.mapInArrow(sets, "at long, shingles array<long>")
+    return stage(held.groupBy("at").agg(F.first("shingles").alias("shingles")), "shingles")
 
-    def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = [np.unique(shingle_hashes(raw, shingle)).view(np.int64) for raw in _binary(batch.column(0))]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(own, pa.list_(pa.int64()))], names=["at", "shingles"])
 
-    held = texts.mapInArrow(sets, "at long, shingles array<long>").groupBy("at").agg(F.first("shingles").alias("shingles"))
-    held = stage(held, "shingles")
-    joined = pairs.join(held.select(F.col("at").alias("a"), F.col("shingles").alias("sa")), "a").join(
+def _verified(pairs: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
+    """The pairs whose sets are alike, staged."""
+    joined = pairs.select("a", "b").join(held.select(F.col("at").alias("a"), F.col("shingles").alias("sa")), "a").join(
         held.select(F.col("at").alias("b"), F.col("shingles").alias("sb")), "b"
     )
     shared = F.size(F.array_intersect("sa", "sb"))
-    edges = joined.filter(shared >= F.lit(similarity) * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
-    found = components(edges)
+    alike = joined.filter(shared >= F.lit(similarity) * (F.size("sa") + F.size("sb") - shared))
+    return stage(alike.select("a", "b"), "alike")
+
+
+def _similar(docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """One row per distinct text: ``th`` (its hash), ``component_id``, ``root`` (its group), ``least`` (its smallest
+    doc_id), ``copies`` (rows with that text and id) and ``stays``."""
+    spark = docs.sparkSession
+    uniq = _distinct_texts(docs)
+    pairs = _candidate_pairs(uniq)
+    release(spark)
+    held = _shingle_sets(docs, pairs, shingle)
+    release(spark)
+    # pairs with the centres of their lists first; of the others only those that would join two groups
+    first = _verified(pairs.filter("star"), held, similarity)
+    group = components(first)
+    open_ = pairs.filter("NOT star").join(group.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(
+        group.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left"
+    ).filter(F.coalesce("ra", "a") != F.coalesce("rb", "b"))
+    found = components(first.unionByName(_verified(open_, held, similarity)))
     rooted = uniq.join(found, uniq["at"] == found["node"], "left").select(
         F.col("at").alias("th"), "least", "copies", F.coalesce("root", "at").alias("root")
     )
@@ -586,6 +426,7 @@ def one_of_each(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> D
     """
     ids = _similar(docs, shingle, similarity).filter("stays")
     ids = stage(ids.select(F.col("th").alias("_th"), F.col("least").alias("_least"), F.col("copies").alias("_copies")), "stays")
+    release(docs.sparkSession)
     kept = docs.withColumn("_th", _text_hash()).join(ids, "_th").filter(F.col("doc_id").eqNullSafe(F.col("_least")))
     if ids.filter("_copies > 1").limit(1).count():
         kept = kept.dropDuplicates(["_th"])
