@@ -31,7 +31,8 @@ HEADLINE = [
     "balanced_join_hot_key", "two_role_lookup", "two_role_filter", "lookup_using_not_null", "dense_id", "md5_key",
     "cast_good", "cast_rejects", "blank_to_null", "src_label_catalogue", "items_by_session", "users_by_song",
     "relational_users", "relational_songplays", "warehouse_songplays", "lake_songplays", "scheduled_songplays",
-    "immigration_fact", "us_cities_dim", "temperature_dim",
+    "immigration_fact", "us_cities_dim", "temperature_dim", "snk_upsert", "snk_append_new_twice", "src_json_rejects",
+    "run_scheduled_twice", "run_lake_load", "balanced_join_timestamp_key",
 ]
 RUNS = 3
 

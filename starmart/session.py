@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -57,7 +58,7 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):  # local-cluster has executors of its own
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="starmart-"))
     return spark.sparkContext.getCheckpointDir()
@@ -65,7 +66,18 @@ def shared_root(spark: SparkSession) -> str:
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no other call uses."""
-    return f"{shared_root(spark)}/starmart/{label}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/starmart/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete everything this application has staged in the shared folder; frames read from there end with it."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:

@@ -43,6 +43,23 @@ def read_current(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def prune_versions(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
+    """Delete all but the newest ``keep`` finished versions, and unfinished ones that an older load left behind.
+
+    Returns the numbers deleted. Never the current version, nor one above it, which a load may be writing.
+    """
+    numbers, done = _versions(spark, root)
+    if keep < 1 or not done:
+        return []
+    kept = set(sorted(done)[-keep:])
+    old = sorted(n for n in numbers if n not in kept and n < max(done))
+    jvm = spark.sparkContext._jvm
+    for n in old:
+        path = jvm.org.apache.hadoop.fs.Path(f"{root}/v{n}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return old
+
+
 def truncate_insert(df: DataFrame, root: str, partition_by: list[str] | None = None) -> str:
     """Replace the table's rows. ``df`` may read the table itself."""
     spark = df.sparkSession

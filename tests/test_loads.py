@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starmart.contracts import SONGS, TIME
+from starmart.session import clear_scratch, stage
 from starmart.sinks import (
     append,
     append_new,
@@ -16,6 +17,7 @@ from starmart.sinks import (
     write_parquet,
     write_songs,
 )
+from starmart.sinks.loads import prune_versions, replace_by_key
 from starmart.sinks.tables import create_table, drop_table, insert_into, register_views, reset
 
 
@@ -142,3 +144,30 @@ def test_tables(spark, tmp_path):
         drop_table(spark, "songs")
         drop_table(spark, "time")
     assert not spark.catalog.tableExists("songs")
+
+
+def test_old_versions_are_pruned(spark, tmp_path):
+    root = str(tmp_path / "t")
+    for n in range(4):
+        truncate_insert(spark.range(n + 1), root)
+    (tmp_path / "t" / "v2" / "_SUCCESS").unlink()  # a load that broke off
+    assert prune_versions(spark, root, keep=2) == [1, 2]
+    assert read_current(spark, root).count() == 4 and prune_versions(spark, root, keep=2) == []
+    assert prune_versions(spark, str(tmp_path / "nothing")) == []
+
+
+def test_replace_by_key(spark, tmp_path):
+    root = str(tmp_path / "t")
+    rows = lambda *r: spark.createDataFrame(list(r), "k int, v string")
+    replace_by_key(rows((1, "a"), (1, "b"), (2, "c")), root, ["k"])
+    replace_by_key(rows((3, "d")), root, ["k"])
+    for _ in range(2):
+        replace_by_key(rows((1, "x"), (4, "y")), root, ["k"])
+    assert sorted(map(tuple, read_current(spark, root).collect())) == [(1, "x"), (2, "c"), (3, "d"), (4, "y")]
+
+
+def test_scratch_is_cleared(spark):
+    staged = stage(spark.range(3))
+    assert staged.count() == 3 and clear_scratch(spark)
+    with pytest.raises(Exception):
+        spark.read.parquet(staged.inputFiles()[0])
