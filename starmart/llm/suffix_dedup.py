@@ -16,8 +16,8 @@ Texts are packed into blocks, rows of some megabytes, in a table bucketed by blo
 once to the name's range and gets a bit per name back, so a name that a third of the corpus holds costs each range one
 entry per block; texts are never shuffled. Whole texts that are equal are named too, and one of each speaks for all.
 
-Names are 64 bits wide, and names are compared within a range that a second hash chooses: two different strings
-meet with a chance under 2^-70 per pair.
+Names of starts are 64 bits wide and compared within a range that a second hash chooses: two different strings
+meet with a chance under 2^-70 per pair. Names of samples only choose candidates.
 """
 
 from __future__ import annotations
@@ -144,8 +144,10 @@ class Block:
 
     def samples(self):
         where = sample_places(self.starts, self.length)
+        # distinct by all 64 bits; a message carries the lower six bytes, and two names that share those in one range
+        # only leave a candidate too many
         name = sample_names(self.buffer, where, self.first, self.length)
-        return where, ranged(name & np.uint64(2 ** (8 * _SAMPLE_BYTES) - 1), name >> np.uint64(8 * _SAMPLE_BYTES), self.buckets)
+        return where, ranged(name, mix64(name), self.buckets)
 
     def whole(self):
         """Names of the whole texts that are long enough; 0 and -1 stand for shorter ones."""
