@@ -88,14 +88,15 @@ def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def songs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Song records of the larger parts, four parts to an artist; a third have a slightly longer duration."""
-    p = table(spark, sf_dir, "part").filter(F.col("p_size") > 10)
+    """Song records of all parts, four parts to an artist. A third have a slightly longer duration, and those of the
+    smaller parts another artist name, so that some plays match no song."""
+    p = table(spark, sf_dir, "part")
     return p.select(
         F.concat(F.lit("A"), artist_number()).alias("artist_id"),
         (F.col("p_size") * 1.5).cast("double").alias("artist_latitude"),
         F.col("p_type").alias("artist_location"),
         F.when(F.col("p_size") % 5 != 0, (F.col("p_size") * -2.5).cast("double")).alias("artist_longitude"),
-        F.concat(F.lit("Artist "), artist_number()).alias("artist_name"),
+        F.concat(F.when(F.col("p_size") > 10, "Artist ").otherwise("Band "), artist_number()).alias("artist_name"),
         F.when(F.col("p_partkey") % 3 == 0, F.col("p_retailprice") + F.lit(0.04))
         .otherwise(F.col("p_retailprice"))
         .alias("duration"),
@@ -111,13 +112,13 @@ SONGS_SQL = """song_records AS (
          CAST(p_size * 1.5 AS DOUBLE) AS artist_latitude,
          p_type AS artist_location,
          CASE WHEN p_size % 5 <> 0 THEN CAST(p_size * -2.5 AS DOUBLE) END AS artist_longitude,
-         'Artist ' || CAST(p_partkey // 4 AS VARCHAR) AS artist_name,
+         CASE WHEN p_size > 10 THEN 'Artist ' ELSE 'Band ' END || CAST(p_partkey // 4 AS VARCHAR) AS artist_name,
          CASE WHEN p_partkey % 3 = 0 THEN p_retailprice + CAST(0.04 AS DOUBLE) ELSE p_retailprice END AS duration,
          1 AS num_songs,
          'S' || CAST(p_partkey AS VARCHAR) AS song_id,
          split_part(p_name, ' ', 1) AS title,
          CAST(p_size + 1980 AS INTEGER) AS year
-  FROM part WHERE p_size > 10
+  FROM part
 )"""
 
 MUSIC_SQL = f"WITH {LOG_SQL}, {SONGS_SQL}"

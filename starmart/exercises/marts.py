@@ -17,7 +17,7 @@ from starmart.plans.runs import (
     run_scheduled,
     run_warehouse,
 )
-from starmart.session import scratch_dir
+from starmart.session import scratch_dir, stage
 from starmart.sinks import read_current
 from starmart.sources.files import immigration_records
 from starmart.streaming.incremental import load_new_events
@@ -366,8 +366,7 @@ def us_cities_dim_max(spark, sf):
 
 def _cities(spark, sf, how):
     rows = immigration.clean_cities(inputs.city_file(spark, sf).withColumnsRenamed(immigration.CITY_COLUMNS))
-    texts = inputs.catalogues(spark, sf)
-    return immigration.us_cities(rows, immigration.cities_of(texts), how, built_from=[texts])
+    return immigration.us_cities(rows, stage(immigration.cities_of(inputs.catalogues(spark, sf)), "cities"), how)
 
 
 @exercise(

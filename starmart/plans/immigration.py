@@ -14,6 +14,7 @@ from starmart.contracts import (
 from starmart.functions.times import calendar, sas_days_to_date
 from starmart.operators.filters import present, since_year
 from starmart.operators.joins import lookup_join, two_role_lookup
+from starmart.session import stage
 from starmart.sources.files import read_csv_files
 from starmart.sources.labels import city_codes, code_map, code_map_from_dict, section_codes
 
@@ -90,19 +91,16 @@ def clean_cities(raw: DataFrame) -> DataFrame:
     )
 
 
-def us_cities(
-    cities: DataFrame, city_map: DataFrame, how: str = "sum", built_from: list[DataFrame] | None = None
-) -> DataFrame:
+def us_cities(cities: DataFrame, city_map: DataFrame, how: str = "sum") -> DataFrame:
     """Populations by city, for the cities with a code.
 
     ``how="sum"`` adds the rows of a city; ``"max"`` takes the largest, for input whose
-    race rows each repeat the city's total. ``built_from`` names what the city map was
-    read from, for its size.
+    race rows each repeat the city's total. A staged city map is broadcast by its own size.
     """
     reduce = {"sum": F.sum, "max": F.max}[how]
     totals = cities.groupBy("state_code", "city_name").agg(*[reduce(c).cast("long").alias(c) for c in POPULATIONS])
     coded = present(city_map, ["city_code"])
-    return lookup_join(totals, coded, ["city_name", "state_code"], "inner", built_from).select(*CITY_OUTPUT)
+    return lookup_join(totals, coded, ["city_name", "state_code"], "inner").select(*CITY_OUTPUT)
 
 
 def temperature_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
@@ -140,7 +138,7 @@ def immigration_mart(
     cleaned = clean_records(records, countries(catalogues))
     return {
         "immigration_fact": immigration_fact(cleaned),
-        "us_cities_dim": us_cities(cities, cities_of(catalogues), built_from=[catalogues]),
+        "us_cities_dim": us_cities(cities, stage(cities_of(catalogues), "cities")),
         "temperature_dim": temperature_dim(temperatures),
         "time_dim": arrival_dates(cleaned),
     }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 
 from starmart.contracts import (
@@ -29,17 +31,34 @@ from starmart.sources.files import expand_paths, read_immigration, read_json_aut
 from starmart.sources.labels import read_catalogue
 
 
+def _parsed(read, malformed: str, name: str, root: str) -> DataFrame:
+    """Rows of a bulk load; rejected ones, if they are to be set aside, are written under ``rejects``."""
+    if malformed != "reject":
+        return read(malformed=malformed)
+    good, rejects = read(malformed=malformed)
+    write_parquet(rejects, f"{root}/rejects/{name}")
+    return good
+
+
 def stage_music(
-    spark: SparkSession, event_paths: str | list[str], song_paths: str | list[str], root: str, run: dict | None = None
+    spark: SparkSession,
+    event_paths: str | list[str],
+    song_paths: str | list[str],
+    root: str,
+    run: dict | None = None,
+    malformed: str = "fail",
 ) -> tuple[DataFrame, DataFrame]:
-    """Raw JSON to staged Parquet, replaced on every run; paths may be templates filled from ``run``."""
+    """Raw JSON to staged Parquet, replaced on every run; paths may be templates filled from ``run``.
+
+    ``malformed="reject"`` sets lines and values that do not parse aside, under ``rejects``.
+    """
 
     def paths(given: str | list[str]) -> list[str]:
         given = [given] if isinstance(given, str) else given
         return [p for g in given for p in expand_paths(g, run or {})]
 
-    events = read_json_paths(spark, paths(event_paths), EVENT_PATHS, STAGED_EVENTS)
-    songs = read_json_auto(spark, paths(song_paths), STAGED_SONGS)
+    events = _parsed(partial(read_json_paths, spark, paths(event_paths), EVENT_PATHS, STAGED_EVENTS), malformed, "staging_events", root)
+    songs = _parsed(partial(read_json_auto, spark, paths(song_paths), STAGED_SONGS), malformed, "staging_songs", root)
     truncate_insert(events, f"{root}/staging_events")
     truncate_insert(songs, f"{root}/staging_songs")
     return read_current(spark, f"{root}/staging_events"), read_current(spark, f"{root}/staging_songs")
@@ -53,6 +72,7 @@ def run_scheduled(
     run: dict | None = None,
     checks: list[TableCheck] | None = None,
     action: str = "NextSong",
+    malformed: str = "fail",
 ) -> DataFrame:
     """One scheduled run: stage both inputs, load the fact, then the four dimensions, then the checks.
 
@@ -60,7 +80,7 @@ def run_scheduled(
     events, so song records that arrived meanwhile count. Dimensions are replaced. The time dimension is read off the loaded fact.
     Returns the check report, and raises when a check fails.
     """
-    events, songs = stage_music(spark, event_paths, song_paths, root, run)
+    events, songs = stage_music(spark, event_paths, song_paths, root, run, malformed)
     plays = music.plays_of(events, action)
     replace_by_key(music.songplays_rounded(plays, songs, key="wide"), f"{root}/songplays", ["songplay_id"])
     fact = read_current(spark, f"{root}/songplays")
@@ -81,12 +101,13 @@ def run_relational(
     root: str,
     order: list[str],
     action: str = "NextSong",
+    malformed: str = "fail",
 ) -> None:
     """One load into keyed tables: songs and artists before the plays that look them up.
 
     ``order`` are the staged event columns that put one user's events in sequence.
     """
-    events, songs = stage_music(spark, event_paths, song_paths, root)
+    events, songs = stage_music(spark, event_paths, song_paths, root, malformed=malformed)
     plays = music.plays_of(events, action)
     insert_first_wins(music.songs_first(songs, ["song_id"]), f"{root}/songs", ["song_id"], [])
     insert_first_wins(music.artists_first(songs, ["song_id"]), f"{root}/artists", ["artist_id"], [])
@@ -104,13 +125,14 @@ def run_warehouse(
     root: str,
     action: str = "NextSong",
     too_wide: str = "fail",
+    malformed: str = "fail",
 ) -> int:
     """Stage both inputs and replace the five tables; plays get a generated number.
 
     Song texts have a width here. Returns how many song records were over it, set aside under ``rejects/songs``
     (``too_wide="reject"``) or cut (``"cut"``); by default the first one fails the run.
     """
-    events, songs = stage_music(spark, event_paths, song_paths, root)
+    events, songs = stage_music(spark, event_paths, song_paths, root, malformed=malformed)
     songs, aside = fit_widths(songs, WAREHOUSE_SONG_WIDTHS, too_wide)
     write_parquet(aside, f"{root}/rejects/songs")
     mart = music.warehouse_mart(events, songs, action)
@@ -127,15 +149,16 @@ def run_lake(
     root: str,
     order: list[str],
     action: str = "NextSong",
+    malformed: str = "fail",
 ) -> None:
     """Raw JSON to the partitioned data-lake tables.
 
     The plays are filtered and pruned while the JSON is parsed, once, and staged for the five tables.
     """
-    events = read_json_paths(spark, event_paths, EVENT_PATHS, STAGED_EVENTS)
+    events = _parsed(partial(read_json_paths, spark, event_paths, EVENT_PATHS, STAGED_EVENTS), malformed, "events", root)
     needed = [*music.USER_COLUMNS, "page", "ts", "song", "artist", "session_id", "location", "user_agent", *order]
     plays = stage(music.plays_of(events, action).select(*dict.fromkeys(needed)), "plays")
-    songs = stage(read_json_auto(spark, song_paths, STAGED_SONGS), "songs")
+    songs = stage(_parsed(partial(read_json_auto, spark, song_paths, STAGED_SONGS), malformed, "songs", root), "songs")
     write_lake_mart(music.lake_mart(plays, songs, order, action), root)
 
 

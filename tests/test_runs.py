@@ -180,3 +180,15 @@ def test_unfinished_versions_raise(spark, tmp_path):
     (tmp_path / "t" / "v1" / "_SUCCESS").unlink()
     with pytest.raises(RuntimeError, match="finished"):
         read_current(spark, f"{tmp_path}/t")
+
+
+@pytest.mark.parametrize("run", [run_lake, run_relational])
+def test_malformed_lines_are_set_aside(spark, files, run):
+    (files / "log" / "2018" / "11" / "bad.json").write_text('{"broken": \n' + json.dumps(event(DAY1 + 9, item=2, length="long")))
+    root, order = str(files / "out"), ["ts", "session_id", "item_in_session"]
+    arguments = (spark, str(files / "log" / "*" / "*"), str(files / "songs"), root, order)
+    with pytest.raises(Exception):
+        run(*arguments)
+    run(*arguments, malformed="reject")
+    rejects = spark.read.parquet(f"{root}/rejects/{'events' if run is run_lake else 'staging_events'}")
+    assert sorted(r["reject_reason"] for r in rejects.collect()) == ["length: malformed", "record: malformed; ts: null"]
