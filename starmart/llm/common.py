@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -44,8 +45,10 @@ def release(spark: SparkSession) -> None:
     Spark removes them once the driver has collected the frames; behind a written table nothing reads them any more,
     and waiting for the next collection would keep them beside those of the following steps.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # first the frames, then the shuffles that only they held
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def mix64(h: np.ndarray) -> np.ndarray:

@@ -219,8 +219,6 @@ TABLES, KEY_BYTES = 64, 3
 MOST_BITS = 52
 #: Members of a posting list that one spanning tree joins.
 TREE_ROWS = 256
-#: Neighbours of each member that are verified with it.
-NEAREST = 8
 #: Words of a feature of the wide fingerprint: an edit changes fewer pairs than longer shingles, so fewer bits.
 FEATURE_WORDS = 2
 
@@ -263,24 +261,14 @@ def run_pairs(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of a posting list to verify, in number linear in its members.
 
     First each member with the one nearest to the majority of all: a text that others were copied from. Then, in the
-    order of that distance and within every ``TREE_ROWS`` consecutive ones, a least spanning tree, and each member
-    with its ``NEAREST`` nearest.
+    order of that distance, a least spanning tree over every ``TREE_ROWS`` consecutive ones.
     """
     bits = np.unpackbits(words.view(np.uint8).reshape(len(words), -1), axis=1)
     middle = np.packbits(2 * bits.sum(0, dtype=np.int64) > len(words)).view(np.uint64)
     order = np.argsort(np.bitwise_count(words ^ middle).sum(1), kind="stable")
     star = np.stack([np.full(len(order) - 1, order[0]), order[1:]], 1)
-    rest = []
-    for i in range(0, len(order), TREE_ROWS):
-        part = order[i : i + TREE_ROWS]
-        if len(part) < 2:
-            continue
-        w = words[part]
-        rest.append(part[np.array(list(spanning_edges(w)))])
-        away = np.bitwise_count(w[:, None, :] ^ w[None, :, :]).sum(2)
-        k = min(NEAREST + 1, len(part))
-        near = np.argpartition(away, k - 1, axis=1)[:, :k]
-        rest.append(np.stack([np.repeat(part, k), part[near.ravel()]], 1))
+    trees = [order[i : i + TREE_ROWS] for i in range(0, len(order), TREE_ROWS)]
+    rest = [part[np.array(list(spanning_edges(words[part])))] for part in trees if len(part) > 1]
     return star, np.concatenate(rest)
 
 
@@ -356,16 +344,16 @@ def _candidate_pairs(uniq: DataFrame) -> DataFrame:
 
 
 def _shingle_sets(docs: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
-    """The shingle sets of the texts in pairs, of equal texts one, staged: ``at, shingles``."""
+    """The shingle sets of the texts in pairs, as 32-bit hashes, of equal texts one, staged: ``at, shingles``."""
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [np.unique(shingle_hashes(raw, shingle)).view(np.int64) for raw in _binary(batch.column(0))]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(own, pa.list_(pa.int64()))], names=["at", "shingles"])
+            own = [np.unique(shingle_hashes(raw, shingle).astype(np.uint32)).view(np.int32) for raw in _binary(batch.column(0))]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(own, pa.list_(pa.int32()))], names=["at", "shingles"])
 
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("th")).distinct()
     texts = docs.select("text", _text_hash().alias("th")).join(wanted, "th", "left_semi").select("text", "th")
-    held = texts.mapInArrow(sets, "at long, shingles array<long>")
+    held = texts.mapInArrow(sets, "at long, shingles array<int>")
     return stage(held.groupBy("at").agg(F.first("shingles").alias("shingles")), "shingles")
 
 
@@ -390,6 +378,7 @@ def _similar(docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
     release(spark)
     # pairs with the centres of their lists first; of the others only those that would join two groups
     first = _verified(pairs.filter("star"), held, similarity)
+    release(spark)
     group = components(first)
     open_ = pairs.filter("NOT star").join(group.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(
         group.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left"
