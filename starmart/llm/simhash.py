@@ -11,7 +11,8 @@ given. A list is searched as it streams through a task: what is found is a link
 reachable in its list, not the pairs. Links of all lists are joined into components by star contraction in Spark.
 
 ``similar_groups`` is the same index for similarity of word-shingle sets: 256 bits, posted under sets of three
-byte positions, and candidates verified by the exact Jaccard similarity of their sets.
+byte positions, and candidates verified by the Jaccard similarity of their sets. What the index misses, by chance or
+in a long list, a prefix filter on the sets themselves finds, which loses no pair (``_crossing_pairs``).
 """
 
 from __future__ import annotations
@@ -221,6 +222,10 @@ MOST_BITS = 52
 TREE_ROWS = 256
 #: Words of a feature of the wide fingerprint: an edit changes fewer pairs than longer shingles, so fewer bits.
 FEATURE_WORDS = 2
+#: One text in so many tells which shingles are common, so many of which are told apart. Both only order shingles.
+COMMON_SAMPLE, COMMON_SHINGLES = 16, 200_000
+#: Posting lists of a prefix shingle longer than this are compared by blocks of rows, not by row offsets.
+SHORT_LIST, BLOCK_CELLS = 32, 1 << 22
 
 
 def wide(h: np.ndarray) -> list[int]:
@@ -367,6 +372,117 @@ def _verified(pairs: DataFrame, held: DataFrame, similarity: float) -> DataFrame
     return stage(alike.select("a", "b"), "alike")
 
 
+def common_shingles(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes, sorted, and counts of shingles that several texts of a sample share, the most common ones."""
+
+    def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [np.unique(shingle_hashes(raw, shingle)).view(np.int64) for raw in _binary(batch.column(0))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own) if own else np.zeros(0, np.int64))], names=["h"])
+
+    sample = docs.select("text", _text_hash().alias("th")).filter(F.pmod("th", F.lit(COMMON_SAMPLE)) == 0).dropDuplicates(["th"])
+    found = sample.select("text").mapInArrow(sets, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 2")
+    rows = found.orderBy(F.desc("n"), "h").limit(COMMON_SHINGLES).toPandas()
+    h, n = rows["h"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(np.int64)
+    order = np.argsort(h)
+    return h[order], n[order]
+
+
+def prefix(h: np.ndarray, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Of a set's hashes, rarest first, as many as any set of that similarity must share one of; 0 for an empty set."""
+    if not len(h):
+        return np.zeros(1, np.uint64)
+    weight = np.zeros(len(h), np.int64)
+    if len(common[0]):
+        at = np.minimum(np.searchsorted(common[0], h), len(common[0]) - 1)
+        weight = np.where(common[0][at] == h, common[1][at], 0)
+    keep = len(h) - int(np.ceil(similarity * len(h) - 1e-9)) + 1
+    return h[np.lexsort((h, weight))[:keep]]
+
+
+def _crossing(similarity: float):
+    """Of lists sorted by key, the pairs of different groups that lengths and places in the prefixes do not rule out."""
+
+    def near(x, y, root, size, place):
+        least = np.ceil(similarity / (1 + similarity) * (size[x] + size[y]) - 1e-9)
+        return (root[x] != root[y]) & (np.minimum(size[x] - place[x], size[y] - place[y]) >= least)
+
+    def pairs(at, x, y):
+        a, b = at[x], at[y]
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    def emit(key, at, root, size, place):
+        edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
+        length = np.diff(edges)
+        ends = np.repeat(edges[1:], length)
+        short = np.repeat(length <= SHORT_LIST, length)
+        for step in range(1, min(SHORT_LIST, int(length.max()))):
+            x = np.flatnonzero(short[: len(key) - step] & (ends[: len(key) - step] > np.arange(len(key) - step) + step))
+            if not len(x):
+                break
+            x = x[near(x, x + step, root, size, place)]
+            if len(x):
+                yield pairs(at, x, x + step)
+        for i in np.flatnonzero(length > SHORT_LIST):
+            first, last = int(edges[i]), int(edges[i + 1])
+            if (root[first:last] == root[first]).all():
+                continue
+            rows = max(1, BLOCK_CELLS // (last - first))
+            for lo in range(first, last, rows):
+                x, y = np.arange(lo, min(lo + rows, last))[:, None], np.arange(lo + 1, last)[None, :]
+                u, v = np.nonzero(near(x, y, root, size, place) & (x < y))
+                if len(u):
+                    yield pairs(at, u + lo, v + lo + 1)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            got = [c.to_numpy() for c in batch.columns]
+            if held and got[0][-1] == held[0][0][-1]:  # still in the list that the held rows end with
+                held.append(got)
+                continue
+            rows = [np.concatenate(c) for c in zip(*held, got)]
+            last = int(np.searchsorted(rows[0], rows[0][-1]))
+            if last:
+                yield from emit(*(c[:last] for c in rows))
+            held = [[c[last:] for c in rows]]
+        if held:
+            yield from emit(*(np.concatenate(c) for c in zip(*held)))
+
+    return run
+
+
+def _crossing_pairs(docs: DataFrame, grouped: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """Every pair of texts of different groups that may be alike, staged: ``a, b``.
+
+    The exact way. With the shingles in one order for all texts, two sets of that similarity share one of the first
+    ``n - ceil(similarity * n) + 1`` of each. Each text is posted under those of its own, rare ones first, and a list
+    gives all its pairs across groups (``grouped``: ``at``, ``least``, ``root``), however long it is. Which shingles
+    are common is only estimated: the order decides how long the lists are, not what they find.
+    """
+    spark = docs.sparkSession
+    common = spark.sparkContext.broadcast(common_shingles(docs, shingle))
+
+    def prefixes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(raw, shingle)) for raw in _binary(batch.column(0))]
+            own = [prefix(h, similarity, common.value).view(np.int64) for h in sets]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(1), batch.column(2), pa.array([len(h) for h in sets], pa.int64()), pa.array(own, pa.list_(pa.int64()))],
+                names=["doc_id", "at", "size", "prefix"],
+            )
+
+    texts = docs.select("text", F.col("doc_id").cast("long"), _text_hash().alias("at"))
+    held = texts.mapInArrow(prefixes, "doc_id long, at long, size long, prefix array<long>")
+    held = held.join(grouped, "at").filter(F.col("doc_id").eqNullSafe(F.col("least")))
+    posted = held.select("at", "root", "size", F.posexplode("prefix").alias("place", "key"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lists = posted.select("key", "at", "root", "size", F.col("place").cast("long")).repartition(n, "key").sortWithinPartitions("key")
+    return stage(lists.mapInArrow(_crossing(similarity), "a long, b long").distinct(), "crossing")
+
+
 def _similar(docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """One row per distinct text: ``th`` (its hash), ``component_id``, ``root`` (its group), ``least`` (its smallest
     doc_id), ``copies`` (rows with that text and id) and ``stays``."""
@@ -383,7 +499,16 @@ def _similar(docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
     open_ = pairs.filter("NOT star").join(group.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(
         group.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left"
     ).filter(F.coalesce("ra", "a") != F.coalesce("rb", "b"))
-    found = components(first.unionByName(_verified(open_, held, similarity)))
+    links_ = first.unionByName(_verified(open_, held, similarity))
+    group = components(links_)
+    del held, open_, first
+    release(spark)
+    # whatever else is alike across two groups
+    grouped = uniq.join(group, uniq["at"] == group["node"], "left").select("at", "least", F.coalesce("root", "at").alias("root"))
+    crossing = _crossing_pairs(docs, grouped, shingle, similarity)
+    release(spark)
+    more = _verified(crossing, _shingle_sets(docs, crossing, shingle), similarity)
+    found = components(links_.unionByName(more)) if more.limit(1).count() else group
     rooted = uniq.join(found, uniq["at"] == found["node"], "left").select(
         F.col("at").alias("th"), "least", "copies", F.coalesce("root", "at").alias("root")
     )
@@ -398,7 +523,8 @@ def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -
 
     Texts link if the Jaccard similarity of their sets of ``shingle`` words (A-Z lower-cased) is ``similarity`` or
     more. Candidates share three bytes of a 256-bit SimHash at one of 64 sets of positions; candidate pairs join
-    the members of a posting list (``run_pairs``) and are verified on the exact sets. Equal texts are one before the index.
+    the members of a posting list (``run_pairs``) and are verified on the sets. Then every other pair across two groups
+    that a prefix filter cannot rule out is verified too, so that no link is lost. Equal texts are one before the index.
     Null and empty texts are alike. Every input row comes back once; a component without any doc_id has a null one; a
     column named ``component_id`` is replaced. No rows in, no rows out.
     """

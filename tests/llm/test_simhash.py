@@ -114,3 +114,20 @@ def test_one_of_each_edges(frame, edge):
     assert S.similar_groups(frame([])).count() == 0
     nobody = S.one_of_each(frame([(None, "a b c", None, None, None), (None, "A b  c", None, None, None)]))
     assert nobody.count() == 1
+
+
+def test_pairs_of_block_edits_are_all_found(frame):
+    r, rows = random.Random(8), []
+    for i in range(240):
+        words = prose(5000 + i, 400).split()
+        block, at = prose(9000 + i, r.randrange(30, 110)).split(), r.randrange(300)
+        edited = [words + block, words[:at] + block + words[at:], words[:at] + block[:45] + words[at + 45 :], words[: -len(block)]][i % 4]
+        rows += [(2 * i, " ".join(words), None, None, None), (2 * i + 1, " ".join(edited), None, None, None)]
+    got = {x["doc_id"]: x["component_id"] for x in S.similar_groups(frame(rows)).collect()}
+    near = 0
+    for i in range(0, len(rows), 2):
+        a, b = shingles(rows[i][1]), shingles(rows[i + 1][1])
+        alike = len(a & b) >= 0.8 * len(a | b)
+        near += alike and len(a & b) < 0.87 * len(a | b)
+        assert got[i + 1] == (i if alike else i + 1)
+    assert near > 50
