@@ -122,29 +122,43 @@ def _values(docs: DataFrame) -> DataFrame:
     return docs.withColumns({f"_{m}": text(m) for m in MARGINALS})
 
 
-def _rake_table(cells: DataFrame, power: float, keep: float, sweeps: int = 12) -> DataFrame:
-    """``rake`` and ``calibrated`` for more cells than the driver should hold: the same steps as joins of the cells
-    with their marginal sums, written to the shared folder after each sweep."""
-    names = [f"_{m}" for m in MARGINALS]
+def _rake_table(
+    cells: DataFrame, power: float, keep: float, targets: dict[str, dict] | None = None, sweeps: int = SWEEPS, tolerance: float = TOLERANCE
+) -> DataFrame:
+    """``rake`` and ``calibrated`` for more cells than the driver should hold: the same steps, sweeps and stopping
+    rule as joins of the cells with their marginal sums, written to the shared folder after each sweep."""
+    spark = cells.sparkSession
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
-    wanted = []
-    for m in names:
-        sums = cells.groupBy(m).agg(F.sum("tokens").alias("t")).filter("t > 0").select(m, F.pow(F.col("t") / total, F.lit(power)).alias("w"))
-        norm = float(sums.agg(F.sum("w")).first()[0] or 1)
-        wanted.append(stage(sums.select(m, (F.col("w") / norm * total).alias("want")), "targets"))
+    wanted = {}
+    for m in targets or MARGINALS:
+        sums = cells.groupBy(f"_{m}").agg(F.sum("tokens").alias("t")).filter("t > 0")
+        if targets:
+            given = spark.createDataFrame([(str(v), float(x)) for v, x in targets[m].items()], f"_{m} string, share double")
+            sums = sums.join(given, f"_{m}", "left").select(f"_{m}", F.coalesce("share", F.lit(0.0)).alias("w"))
+        else:
+            sums = sums.select(f"_{m}", F.pow(F.col("t") / total, F.lit(power)).alias("w"))
+        norm = max(float(sums.agg(F.sum("w")).first()[0] or 0), 1e-300)
+        wanted[f"_{m}"] = stage(sums.select(f"_{m}", (F.col("w") / norm * total).alias("want")), "targets")
     now = cells.withColumn("raked", F.col("tokens").cast("double"))
     for _ in range(sweeps):
-        for m, want in zip(names, wanted):
-            factor = now.groupBy(m).agg(F.sum("raked").alias("have")).join(want, m).select(m, F.when(F.col("have") > 0, F.col("want") / F.col("have")).otherwise(1.0).alias("factor"))
-            now = now.join(factor, m, "left").withColumn("raked", F.col("raked") * F.coalesce("factor", F.lit(1.0))).drop("factor")
+        now = now.withColumn("off", F.lit(0.0))
+        for m, want in wanted.items():
+            have = now.groupBy(m).agg(F.sum("raked").alias("have"))
+            factor = have.filter("have > 0").join(want, m).select(m, (F.col("want") / F.col("have")).alias("factor"))
+            now = now.join(factor, m, "left").withColumns({
+                "raked": F.col("raked") * F.coalesce("factor", F.lit(1.0)), "off": F.greatest("off", F.abs(F.col("factor") - 1)),
+            }).drop("factor")
         now = stage(now, "raked")
+        if float(now.agg(F.max("off")).first()[0] or 0) <= tolerance:
+            break
     now = now.withColumn("weight", F.when(F.col("tokens") > 0, F.col("raked") / F.col("tokens")).otherwise(0.0))
-    scale, certain = keep, -1.0
-    for _ in range(100):
+    mass = float(now.agg(F.sum("raked")).first()[0] or 0)
+    scale, certain = (keep * total / mass if mass > 0 else 0.0), 0
+    while True:  # the certain cells only grow
         over = F.col("weight") * F.lit(scale) > 1
         s = now.agg(F.sum(F.when(over, F.col("tokens"))).alias("sure"), F.sum(F.when(~over, F.col("raked"))).alias("open")).first()
-        sure, open_ = float(s["sure"] or 0), float(s["open"] or 0)
-        if sure == certain:
+        sure, open_ = s["sure"] or 0, float(s["open"] or 0)
+        if sure <= certain:
             break
         certain, scale = sure, (keep * total - sure) / open_ if open_ > 0 else scale
     return now.withColumn("probability", F.least(F.lit(1.0), F.col("weight") * F.lit(scale)))
@@ -156,9 +170,7 @@ def weights(profiled_docs: DataFrame, keep: float = KEEP, power: float = TEMPER,
     names = [f"_{m}" for m in MARGINALS]
     cells = stage(_values(profiled_docs).groupBy(*names).agg(F.sum("n_tokens").alias("tokens")), "cells")
     if cells.count() > max_cells:
-        if targets:
-            raise ValueError("given targets are for up to max_cells cells")
-        return _rake_table(cells, power, keep).select(*names, "weight", "probability"), False
+        return _rake_table(cells, power, keep, targets).select(*names, "weight", "probability"), False
     local = cells.toPandas().rename(columns={f"_{m}": m for m in MARGINALS}).sort_values(list(MARGINALS)).reset_index(drop=True)
     if local.empty:
         return spark.createDataFrame([], "_source string, _lang string, _topic string, weight double, probability double"), True

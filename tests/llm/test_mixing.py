@@ -68,3 +68,20 @@ def test_edges(frame, edge):
     assert len({r["kept"] for r in rows if r["doc_id"] == 4}) == 1
     assert M.mix(frame([])).count() == 0
     assert M.profile(b"") == (0, 0) and M.profile(b"a b c") == (3, 0)
+
+
+def test_both_forms_agree_on_sparse_cells_that_need_many_sweeps(spark):
+    r, rows = np.random.default_rng(11), []
+    for i in range(120):
+        home = int(r.integers(4))
+        for _ in range(3):
+            lang = home if r.random() < 0.9 else int(r.integers(4))
+            rows.append((f"s{i}", f"l{lang}", int(r.integers(8)), int(r.pareto(0.7) * 10) + 1))
+    docs = spark.createDataFrame(rows, "source string, lang string, topic int, n_tokens long")
+    given = {"source": {f"s{i}": 1 / 110 for i in range(110)}, "lang": {f"l{i}": 0.25 for i in range(4)}}
+    for targets in (None, given):
+        a, b = (M.weights(docs, targets=targets, max_cells=m)[0].toPandas() for m in (10_000, 1))
+        both = a.merge(b, on=["_source", "_lang", "_topic"], suffixes=("", "_t"))
+        assert len(both) == len(a) == len(b)
+        assert np.allclose(both.probability, both.probability_t, atol=1e-6)
+        assert np.allclose(both.weight, both.weight_t, rtol=1e-6, atol=1e-9)
