@@ -263,7 +263,8 @@ def spanning_edges(words: np.ndarray) -> Iterator[tuple[int, int]]:
 
 
 def run_pairs(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a posting list to verify, in number linear in its members.
+    """Pairs of a posting list to verify first, in number linear in its members; they are to make most of each group.
+    What they leave apart, by a chunk's end or an edge that fails, ``_crossing_pairs`` compares.
 
     First each member with the one nearest to the majority of all: a text that others were copied from. Then, in the
     order of that distance, a least spanning tree over every ``TREE_ROWS`` consecutive ones.

@@ -131,3 +131,35 @@ def test_pairs_of_block_edits_are_all_found(frame):
         near += alike and len(a & b) < 0.87 * len(a | b)
         assert got[i + 1] == (i if alike else i + 1)
     assert near > 50
+
+
+def test_long_list_gives_all_pairs_across_groups(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(S, "BLOCK_CELLS", 1000)
+    lengths = [700, 1, 2, 5, 40, 3]
+    key = np.repeat(np.arange(len(lengths)) - 3, lengths)
+    at = np.arange(len(key))
+    root = np.where(at % 3 == 0, -1, at % 50)
+    size, place = 50 + at % 17, at % 7
+    columns = [pa.array(c.astype(np.int64)) for c in (key, at, root, size, place)]
+    table = pa.table(columns, names=["key", "at", "root", "size", "place"])
+    got = [(a, b) for x in S._crossing(0.8)(table.to_batches(max_chunksize=64)) for a, b in zip(x.column(0).to_pylist(), x.column(1).to_pylist())]
+    least = lambda i, j: -(-4 * (size[i] + size[j]) // 9)
+    want = {
+        (i, j) for i in range(len(key)) for j in range(i + 1, len(key))
+        if key[i] == key[j] and root[i] != root[j] and min(size[i] - place[i], size[j] - place[j]) >= least(i, j)
+    }
+    assert len(got) == len(set(got)) and set(got) == want and len(want) > 50_000
+
+
+def test_texts_in_other_chunks_than_their_like_are_joined(frame, monkeypatch):
+    monkeypatch.setattr(S, "run_pairs", lambda words: (np.zeros((0, 2), np.int64), np.zeros((0, 2), np.int64)))
+    shared, rows = prose(1, 200).split(), []
+    for i in range(60):
+        own = prose(100 + i, 70).split()
+        rows += [(2 * i, " ".join(shared + own), None, None, None), (2 * i + 1, " ".join(shared + own[:50] + prose(500 + i, 20).split()), None, None, None)]
+    got = {x["doc_id"]: x["component_id"] for x in S.similar_groups(frame(rows)).collect()}
+    sets = [shingles(x[1]) for x in rows]
+    assert all(len(sets[i] & sets[i + 1]) >= 0.8 * len(sets[i] | sets[i + 1]) for i in range(0, 120, 2))
+    assert all(got[i] == i - i % 2 for i in range(120))
