@@ -350,16 +350,16 @@ def _candidate_pairs(uniq: DataFrame) -> DataFrame:
 
 
 def _shingle_sets(docs: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
-    """The shingle sets of the texts in pairs, as 32-bit hashes, of equal texts one, staged: ``at, shingles``."""
+    """The shingle sets of the texts in pairs, as 64-bit hashes, of equal texts one, staged: ``at, shingles``."""
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = [np.unique(shingle_hashes(raw, shingle).astype(np.uint32)).view(np.int32) for raw in _binary(batch.column(0))]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(own, pa.list_(pa.int32()))], names=["at", "shingles"])
+            own = [np.unique(shingle_hashes(raw, shingle)).view(np.int64) for raw in _binary(batch.column(0))]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(own, pa.list_(pa.int64()))], names=["at", "shingles"])
 
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("th")).distinct()
     texts = docs.select("text", _text_hash().alias("th")).join(wanted, "th", "left_semi").select("text", "th")
-    held = texts.mapInArrow(sets, "at long, shingles array<int>")
+    held = texts.mapInArrow(sets, "at long, shingles array<long>")
     return stage(held.groupBy("at").agg(F.first("shingles").alias("shingles")), "shingles")
 
 

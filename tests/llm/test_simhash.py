@@ -163,3 +163,17 @@ def test_texts_in_other_chunks_than_their_like_are_joined(frame, monkeypatch):
     sets = [shingles(x[1]) for x in rows]
     assert all(len(sets[i] & sets[i + 1]) >= 0.8 * len(sets[i] | sets[i + 1]) for i in range(0, 120, 2))
     assert all(got[i] == i - i % 2 for i in range(120))
+
+
+def test_shingles_that_agree_in_32_bits_are_not_equal(frame):
+    seen, pair = {}, None
+    for i in range(1_000_000):
+        low = xxhash.xxh64_intdigest(b"t%d" % i, S.SEED) & 0xFFFFFFFF
+        if low in seen:
+            pair = f"t{seen[low]}", f"t{i}"
+            break
+        seen[low] = i
+    docs = frame([(i, t, None, None, None) for i, t in enumerate(pair)])
+    a, b = (r["at"] for r in docs.select(S._text_hash().alias("at")).collect())
+    pairs = docs.sparkSession.createDataFrame([(a, b)], "a long, b long")
+    assert S._verified(pairs, S._shingle_sets(docs, pairs, 5), 0.8).count() == 0
