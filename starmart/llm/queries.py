@@ -8,7 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from starmart.llm import decontam, langid, licenses, mixing, quality, sharding, simhash, suffix_dedup, syncmers, warc
+from starmart.llm import (
+    decontam,
+    langid,
+    licenses,
+    mixing,
+    phrases,
+    quality,
+    sharding,
+    simhash,
+    suffix_dedup,
+    syncmers,
+    warc,
+    whitening,
+)
 from starmart.llm.common import LOWER, UPPER, held_out, read
 from starmart.llm.quality import THRESHOLD
 
@@ -80,6 +93,16 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(read(spark, sf_dir, "documents")).select("doc_id", "slot", "shard_no", "shard")
 
 
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 
 _PAIRS = ", ".join(
@@ -151,3 +174,42 @@ d AS (
 )
 SELECT doc_id, slot, cells[slot + 1] AS shard_no, 'shard-' || lpad(cells[slot + 1]::VARCHAR, 3, '0') AS shard FROM d, t
 """
+
+_GRAMS = " UNION ALL ".join(
+    f"SELECT lang, {k} AS k, list_slice(w, i, i + {k - 1}) AS p FROM (SELECT lang, w, unnest(range(1, len(w) - {k - 2})) AS i FROM pieces) x"
+    for k in range(1, phrases.LONGEST + 1)
+)
+
+ORACLES["op13_phrases"] = rf"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^.,;:!?
+-]+')) AS piece FROM documents) x
+),
+f AS (SELECT lang, k, p, count(*) AS f FROM ({_GRAMS}) x GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+cand AS (SELECT lang, k, p, f AS a FROM f WHERE k > 1 AND f >= {phrases.LEAST}),
+inner_ AS (
+  SELECT lang, list_slice(p, i, i + m - 1) AS p, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM cand) x) y GROUP BY ALL
+),
+cuts AS (
+  SELECT c.lang, c.p, c.a, c.cut, l.f AS l, r.f AS r, n,
+    ((1000::HUGEINT * c.a * n) // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM (
+    SELECT cand.*, unnest(range(1, k)) AS cut FROM cand LEFT JOIN inner_ USING (lang, p)
+    WHERE longer IS NULL OR 100 * longer < 100 * a
+  ) c
+  JOIN f l ON l.lang = c.lang AND l.p = list_slice(c.p, 1, c.cut)
+  JOIN f r ON r.lang = c.lang AND r.p = list_slice(c.p, c.cut + 1, c.k)
+  JOIN totals t ON t.lang = c.lang
+),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank,
+    array_to_string(p, ' ') AS phrase, a, l, r, n, score
+  FROM best
+)
+SELECT * FROM ranked WHERE rank <= {phrases.FIRST_ROWS}
+"""
