@@ -24,14 +24,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from starmart.llm.bitmaps import Bitmap, bitmap
 from starmart.llm.common import mix64
 from starmart.session import stage
 
 #: A phrase has two to this many words.
 LONGEST = 5
 LEAST, FIRST_ROWS = 100, 2_000
-#: A bitmap has 16 bits an entry, but 32 MB at most.
-BITS_EACH, MOST_BITS = 16, 1 << 28
 #: Words of a task's text that one local graph holds.
 GRAPH_WORDS = 1 << 21
 _PIECES, _WORDS = re.compile(rb"[^.,;:!?\x0A-\x0D]+"), re.compile(rb"[^\x20\x09]+")
@@ -84,48 +83,8 @@ def word_counts(docs: DataFrame, seed: int = 0) -> DataFrame:
 
 
 def lang_hash(lang: str) -> np.uint64:
-    return np.uint64(xxhash.xxh64_intdigest(lang.encode()))
-
-
-class Bitmap:
-    """A set of 64-bit hashes with false positives: two bits each of a power of two of bits; one for all languages, whose
-    hashes are mixed in."""
-
-    def __init__(self, words: np.ndarray):
-        self.words = words
-
-    @staticmethod
-    def places(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-        m = mix64(h.view(np.uint64))
-        return m & np.uint64(bits - 1), (m >> np.uint64(32)) & np.uint64(bits - 1)
-
-    def has(self, lang: str, h: np.ndarray) -> np.ndarray:
-        out = np.ones(len(h), bool)
-        for at in self.places(h.view(np.uint64) ^ lang_hash(lang), len(self.words) * 64):
-            out &= (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
-        return out
-
-
-def bitmap(hashes: DataFrame) -> Bitmap:
-    """The bitmap of a frame's ``lang, h``: built by the executors, ``MOST_BITS`` at most reach the driver."""
-    bits = min(MOST_BITS, 1 << max(10, (BITS_EACH * max(hashes.count(), 1) - 1).bit_length()))
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            names, code = _lang_codes(batch.column(0).to_pylist())
-            mixed = batch.column(1).to_numpy().view(np.uint64) ^ np.array([lang_hash(x) for x in names], np.uint64)[code]
-            at = np.concatenate(Bitmap.places(mixed, bits))
-            cell, bit = (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63))
-            order = np.argsort(cell, kind="stable")
-            cell, first = np.unique(cell[order], return_index=True)
-            if len(cell):
-                ored = np.bitwise_or.reduceat(bit[order], first)
-                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(ored.view(np.int64))], names=["cell", "bits"])
-
-    cells = hashes.select("lang", "h").mapInArrow(run, "cell long, bits long").groupBy("cell").agg(F.bit_or("bits").alias("bits")).toPandas()
-    words = np.zeros(bits // 64, np.uint64)
-    words[cells["cell"].to_numpy(np.int64)] = cells["bits"].to_numpy(np.int64).view(np.uint64)
-    return Bitmap(words)
+    """What Spark's ``xxhash64`` gives for it."""
+    return np.uint64(xxhash.xxh64_intdigest(lang.encode(), 42))
 
 
 def gram_hash(words: np.ndarray, upto: int) -> np.ndarray:
@@ -227,7 +186,7 @@ def graph(docs: DataFrame, frequent: Bitmap, seed: int = 0) -> DataFrame:
         def flush():
             for lang, parts in held.items():
                 stream = np.concatenate(parts)
-                stream = np.where(shared.value.has(lang, stream) & (stream != 0), stream, 0)
+                stream = np.where(shared.value.has(stream.view(np.uint64) ^ lang_hash(lang)) & (stream != 0), stream, 0)
                 paths, weights, ends = local_graph(stream[(stream != 0) | (np.append(0, stream[:-1]) != 0)])
                 for i in range(0, len(paths), 20_000):
                     some = paths[i : i + 20_000]
@@ -302,7 +261,7 @@ def _lang_codes(langs: list[str]) -> tuple[list[str], np.ndarray]:
 
 
 def frequent_pairs(paths: DataFrame, least: int) -> DataFrame:
-    """``lang, h``: hashes of the pairs of consecutive words met ``least`` times or more."""
+    """``h``: hashes, with that of the language, of the pairs of consecutive words met ``least`` times or more."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -319,10 +278,10 @@ def frequent_pairs(paths: DataFrame, least: int) -> DataFrame:
 
     def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            h = gram_hash(np.stack([batch.column(i).to_numpy() for i in (1, 2)], 1), 2)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(h.view(np.int64))], names=["lang", "h"])
+            h = gram_hash(np.stack([batch.column(i).to_numpy() for i in (1, 2)], 1), 2) ^ batch.column(0).to_numpy().view(np.uint64)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["h"])
 
-    return found.filter(F.col("f") >= least).mapInArrow(hashed, "lang string, h long")
+    return found.filter(F.col("f") >= least).select(F.xxhash64("lang").alias("lang"), "w1", "w2").mapInArrow(hashed, "h long")
 
 
 def starts(paths: DataFrame, pairs: Bitmap) -> DataFrame:
@@ -342,7 +301,7 @@ def starts(paths: DataFrame, pairs: Bitmap) -> DataFrame:
             goes_on = (two != 0).all(1)
             for i, name in enumerate(names):
                 own = np.flatnonzero(goes_on[: len(stream)] & (code[row] == i))
-                goes_on[own] = shared.value.has(name, gram_hash(two[own], 2))
+                goes_on[own] = shared.value.has(gram_hash(two[own], 2) ^ lang_hash(name))
             at = np.flatnonzero(counted & goes_on[: len(stream)])
             if not len(at):
                 continue
@@ -464,7 +423,7 @@ def collocations(docs: DataFrame, least: int = LEAST, limit: int = FIRST_ROWS) -
         seed += 1  # two words of a language met in one hash
     common = words.filter(F.col("f") >= least)
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    paths = stage(graph(docs, bitmap(common), seed), "graph")
+    paths = stage(graph(docs, bitmap(common.select(F.col("h").bitwiseXOR(F.xxhash64("lang")).alias("h"))), seed), "graph")
     longest = starts(paths, bitmap(stage(frequent_pairs(paths, least), "pairs")))
     frequent = flows(longest, least)
     rows = _spelled(scored(maximal(frequent), frequent, common, totals), common)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from starmart.llm import (
     decontam,
+    hyperminhash,
     langid,
     licenses,
     mixing,
@@ -98,6 +99,11 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(read(spark, sf_dir, "embeddings"))
 
 
+@query
+def op12_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.linked(read(spark, sf_dir, "documents"))
+
+
 @query
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(read(spark, sf_dir, "documents"))
@@ -175,6 +181,27 @@ d AS (
 SELECT doc_id, slot, cells[slot + 1] AS shard_no, 'shard-' || lpad(cells[slot + 1]::VARCHAR, 3, '0') AS shard FROM d, t
 """
 
+ORACLES["op12_hyperminhash"] = rf"""
+WITH RECURSIVE words AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+shingles AS (
+  SELECT DISTINCT r, array_to_string(list_slice(w, i, i + 3), ' ') AS s
+  FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM words WHERE len(w) > 0) x
+),
+sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
+pairs AS (SELECT a.r AS a, b.r AS b, count(*) AS shared FROM shingles a JOIN shingles b ON a.s = b.s AND a.r <> b.r GROUP BY ALL),
+edges AS (
+  SELECT a, b FROM pairs JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b WHERE 100 * shared >= 80 * (x.n + y.n - shared)
+),
+reach(a, b) AS (SELECT a, b FROM edges UNION SELECT reach.a, edges.b FROM reach JOIN edges ON reach.b = edges.a),
+least AS (SELECT a AS r, min(doc_id) AS least FROM reach JOIN words ON words.r = reach.b GROUP BY a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, least) AS component_id, doc_id = least(doc_id, least) AS kept
+FROM words LEFT JOIN sizes USING (r) LEFT JOIN least USING (r)
+"""
+
 _GRAMS = " UNION ALL ".join(
     f"SELECT lang, {k} AS k, list_slice(w, i, i + {k - 1}) AS p FROM (SELECT lang, w, unnest(range(1, len(w) - {k - 2})) AS i FROM pieces) x"
     for k in range(1, phrases.LONGEST + 1)
@@ -185,7 +212,8 @@ WITH pieces AS (
   SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w
   FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_extract_all(
     translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^.,;:!?
--]+')) AS piece FROM documents) x
+-
+]+')) AS piece FROM documents) x
 ),
 f AS (SELECT lang, k, p, count(*) AS f FROM ({_GRAMS}) x GROUP BY ALL),
 totals AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from tests_llm_data import EDGE
 
-from starmart.llm import phrases
+from starmart.llm import bitmaps, phrases
 from starmart.llm.common import ASCII_LOWER
 
 SPLIT, WORD = re.compile(r"[.,;:!?\x0A-\x0D]"), re.compile(r"[^\x20\x09]+")
@@ -64,7 +64,7 @@ def test_against_brute_force(spark, frame, monkeypatch, least, graph_words):
 def test_full_bitmaps_change_nothing(spark, frame, monkeypatch):
     rows = corpus(9, 200)
     df = frame([(i, t, lang, "s", 0) for i, (t, lang) in enumerate(rows)])
-    monkeypatch.setattr(phrases, "MOST_BITS", 64)
+    monkeypatch.setattr(bitmaps, "MOST_BITS", 64)
     assert sorted(map(tuple, phrases.collocations(df, 4, 1000).collect())) == sorted(brute(rows, 4, 1000))
 
 
