@@ -2,9 +2,32 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 from starmart.session import range_partitions
+from starmart.sinks.commits import delete, exists, move
+
+
+def _swap_in(spark: SparkSession, path: str, beside: str) -> None:
+    """Put a finished folder in the place of the one readers know, which is kept until the new one stands."""
+    old = f"{beside}-old"
+    if exists(spark, path):
+        move(spark, path, old)
+    move(spark, beside, path)
+    if exists(spark, old):
+        delete(spark, old)
+
+
+def _replace(writer: DataFrameWriter, fmt: str, spark: SparkSession, path: str) -> None:
+    """Write a folder beside ``path`` and swap it in: a write that fails leaves the last good one, and the frame may
+    read the folder it replaces."""
+    path = path.rstrip("/")
+    folder, _, name = path.rpartition("/")
+    beside = f"{folder}/.{name}-{uuid.uuid4().hex}"
+    writer.mode("errorifexists").format(fmt).save(beside)
+    _swap_in(spark, path, beside)
 
 
 def write_parquet(
@@ -14,21 +37,23 @@ def write_parquet(
     sort_by: list[str] | None = None,
     replace_only_written: bool = False,
 ) -> None:
-    """Overwrite a Parquet dataset, optionally partitioned.
+    """Replace a Parquet dataset, optionally partitioned. It is written beside and swapped in when it is whole.
 
     Rows are gathered by partition value before the write, so a value does not leave one
     small file per task. The gathering is a rebalance: a value holding a large share of
     the rows is cut over several tasks at run time, and small ones share a task.
-    ``replace_only_written`` overwrites only the partition values present in ``df``.
+    ``replace_only_written`` overwrites only the partition values present in ``df``, each when all are written.
     """
     partition_by = partition_by or []
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     if sort_by:
         df = df.sortWithinPartitions(*partition_by, *sort_by)
-    mode = "dynamic" if replace_only_written else "static"
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", mode)
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    if replace_only_written:
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    else:
+        _replace(writer, "parquet", df.sparkSession, path)
 
 
 def write_songs(songs: DataFrame, path: str, folder_per_artist: bool = False) -> None:
@@ -41,7 +66,8 @@ def write_songs(songs: DataFrame, path: str, folder_per_artist: bool = False) ->
 
 def write_quoted_csv(df: DataFrame, path: str) -> None:
     """Headered CSV with every value quoted, as a folder of part files."""
-    df.write.mode("overwrite").option("header", True).option("quoteAll", True).option("escape", '"').csv(path)
+    writer = df.write.option("header", True).option("quoteAll", True).option("escape", '"')
+    _replace(writer, "csv", df.sparkSession, path)
 
 
 def write_clustered(
@@ -55,4 +81,4 @@ def write_clustered(
     """
     columns = [*key, *(cluster or [])]
     ranged = df.repartitionByRange(partitions or range_partitions(df), *columns)
-    ranged.sortWithinPartitions(*columns).write.mode("overwrite").parquet(path)
+    _replace(ranged.sortWithinPartitions(*columns).write, "parquet", df.sparkSession, path)
