@@ -376,5 +376,18 @@ CITY_FILE_COLUMNS = [
     "Number of Veterans", "Foreign-born", "Average Household Size", "State Code", "Race", "Count",
 ]
 
+CITY_INPUT = TableContract(
+    "city_input",
+    {
+        "city_name": "string",
+        "state_code": "string",
+        "race": "string",
+        "male_population": "int",
+        "female_population": "int",
+        "total_population": "int",
+        "foreign_born": "int",
+    },
+)
+
 LABEL_SECTIONS = {"country": "i94cntyl", "port": "i94prtl", "mode": "i94model", "state": "i94addrl"}
 VISA_CLASSES = {"1": "Business", "2": "Pleasure", "3": "Student"}

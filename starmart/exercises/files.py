@@ -389,6 +389,21 @@ def snk_append_new_twice(spark, sf):
     return read_current(spark, root)
 
 
+@exercise(
+    "snk_append_new_months",
+    "SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month FROM orders",
+)
+def snk_append_new_months(spark, sf):
+    """A table by month; each load compares its batch with the months it touches only."""
+    root = scratch_dir(spark, "appendmonths")
+    o = table(spark, sf, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"))
+    key = ["o_orderkey", "year", "month"]
+    append_new(o.filter("o_orderkey % 3 <> 0"), root, key, partition_by=["year", "month"])
+    append_new(o.filter("year = 1997"), root, key)
+    append_new(o, root, key)
+    return read_current(spark, root)
+
+
 @exercise("snk_truncate_insert", "SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal > 0")
 def snk_truncate_insert(spark, sf):
     """The second load reads the table it replaces."""
@@ -444,7 +459,7 @@ def snk_upsert(spark, sf):
     )
     for half in (0, 1):
         batch = o.filter(F.col("o_orderkey") % 2 == half)
-        upsert(batch, root, ["o_custkey"], ["last_priority"], ["o_orderdate", "o_orderkey"])
+        upsert(batch, root, ["o_custkey"], ["last_priority"], ["o_orderdate", "o_orderkey"], buckets=8)
     return read_current(spark, root)
 
 
@@ -458,7 +473,7 @@ def snk_last_wins(spark, sf):
     e = table(spark, sf, "events")
     for half in (0, 1):
         batch = e.filter(F.col("event_id") % 2 == half)
-        write_last_wins(batch, root, ["user_id", "event_type"], ["ts"], ["user_id", "event_type", "value"])
+        write_last_wins(batch, root, ["user_id", "event_type"], ["ts"], ["user_id", "event_type", "value"], buckets=8)
     return read_current(spark, root)
 
 

@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from starmart.contracts import (
     CITY_COLUMNS,
+    CITY_INPUT,
     LABEL_SECTIONS,
     TEMPERATURE_INPUT,
     VISA_CLASSES,
+    clean,
+    split_rows,
 )
 from starmart.functions.times import calendar, sas_days_to_date
 from starmart.operators.filters import present, since_year
@@ -82,6 +85,13 @@ def city_records(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     return clean_cities(read_csv_files(spark, paths, list(CITY_COLUMNS), sep=";", rename=CITY_COLUMNS))
 
 
+def city_rows(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """``(cities, rejects)`` of files parsed once: a row whose count is given and not a whole number is set aside."""
+    raw = clean(read_csv_files(spark, paths, list(CITY_COLUMNS), sep=";", rename=CITY_COLUMNS), CITY_INPUT)
+    good, rejects = split_rows(stage(raw, "parsed"), CITY_INPUT)
+    return clean_cities(good), rejects
+
+
 def clean_cities(raw: DataFrame) -> DataFrame:
     return raw.select(
         F.upper("city_name").alias("city_name"),
@@ -107,6 +117,13 @@ def temperature_records(spark: SparkSession, paths: str | list[str]) -> DataFram
     return clean_temperatures(read_csv_files(spark, paths, TEMPERATURE_INPUT.schema))
 
 
+def temperature_rows(spark: SparkSession, paths: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """``(readings, rejects)`` of files parsed once: a reading whose date or number does not parse is set aside."""
+    text = clean(read_csv_files(spark, paths, list(TEMPERATURE_INPUT.columns)), TEMPERATURE_INPUT)
+    good, rejects = split_rows(stage(text, "parsed"), TEMPERATURE_INPUT.typed("dt", "date"))
+    return clean_temperatures(good.withColumn("dt", F.col("dt").cast("string"))), rejects
+
+
 def clean_temperatures(raw: DataFrame) -> DataFrame:
     """Renamed, dated, names upper case; rows without a temperature dropped."""
     named = raw.select(

@@ -22,8 +22,11 @@ from starmart.sinks.files import write_parquet, write_quoted_csv, write_songs
 from starmart.sinks.loads import (
     insert_first_wins,
     insert_numbered,
+    ledger,
     read_current,
+    read_run,
     replace_by_key,
+    replace_run,
     truncate_insert,
     upsert,
 )
@@ -47,10 +50,12 @@ def stage_music(
     root: str,
     run: dict | None = None,
     malformed: str = "fail",
+    by_run: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Raw JSON to staged Parquet, replaced on every run; paths may be templates filled from ``run``.
 
-    ``malformed="reject"`` sets lines and values that do not parse aside, under ``rejects``.
+    ``malformed="reject"`` sets lines and values that do not parse aside, under ``rejects``. ``by_run`` keeps the staged
+    events of each run, replaces those of this one and returns those.
     """
 
     def paths(given: str | list[str]) -> list[str]:
@@ -59,9 +64,20 @@ def stage_music(
 
     events = _parsed(partial(read_json_paths, spark, paths(event_paths), EVENT_PATHS, STAGED_EVENTS), malformed, "staging_events", root)
     songs = _parsed(partial(read_json_auto, spark, paths(song_paths), STAGED_SONGS), malformed, "staging_songs", root)
-    truncate_insert(events, f"{root}/staging_events")
     truncate_insert(songs, f"{root}/staging_songs")
-    return read_current(spark, f"{root}/staging_events"), read_current(spark, f"{root}/staging_songs")
+    staged_songs = read_current(spark, f"{root}/staging_songs")
+    if by_run:
+        replace_run(events, f"{root}/staging_events", run_name(run))
+        return read_run(spark, f"{root}/staging_events", run_name(run)), staged_songs
+    truncate_insert(events, f"{root}/staging_events")
+    return read_current(spark, f"{root}/staging_events"), staged_songs
+
+
+def run_name(run: dict | None) -> str:
+    """A run's name in the ledger, from the values that fill its paths."""
+    if not run:
+        raise ValueError("a run that is kept apart needs the values that name it")
+    return ",".join(f"{k}={run[k]}" for k in sorted(run))
 
 
 def run_scheduled(
@@ -73,16 +89,28 @@ def run_scheduled(
     checks: list[TableCheck] | None = None,
     action: str = "NextSong",
     malformed: str = "fail",
+    by_run: bool = False,
+    buckets: int | None = None,
 ) -> DataFrame:
     """One scheduled run: stage both inputs, load the fact, then the four dimensions, then the checks.
 
     Plays are identified by user, session, time and item; a repeated run replaces the plays of its
     events, so song records that arrived meanwhile count. Dimensions are replaced. The time dimension is read off the loaded fact.
+    ``buckets`` lays a new fact out by its key, so that a repeated run rewrites only what it meets.
+
+    ``by_run`` keeps what each run loaded apart, under the values of ``run``: a repeated run replaces exactly its own
+    plays and staged events, without reading those of others, and users are those of all runs. An event belongs to
+    the run whose files hold it. A table is loaded in one of the two ways.
     Returns the check report, and raises when a check fails.
     """
-    events, songs = stage_music(spark, event_paths, song_paths, root, run, malformed)
+    events, songs = stage_music(spark, event_paths, song_paths, root, run, malformed, by_run)
     plays = music.plays_of(events, action)
-    replace_by_key(music.songplays_rounded(plays, songs, key="wide"), f"{root}/songplays", ["songplay_id"])
+    rows = music.songplays_rounded(plays, songs, key="wide")
+    if by_run:
+        replace_run(rows, f"{root}/songplays", run_name(run))
+        plays = music.plays_of(read_current(spark, f"{root}/staging_events"), action)
+    else:
+        replace_by_key(rows, f"{root}/songplays", ["songplay_id"], buckets)
     fact = read_current(spark, f"{root}/songplays")
     truncate_insert(music.users_distinct(plays), f"{root}/users")
     truncate_insert(music.songs_distinct(songs), f"{root}/songs")
@@ -94,6 +122,23 @@ def run_scheduled(
     return report
 
 
+def backfill(
+    spark: SparkSession,
+    event_paths: str | list[str],
+    song_paths: str | list[str],
+    root: str,
+    runs: list[dict],
+    checks: list[TableCheck] | None = None,
+    action: str = "NextSong",
+    malformed: str = "fail",
+) -> DataFrame:
+    """Load some runs again, in any order, each in place of what it loaded before; returns the ledger of the fact:
+    which run's rows stand in it, from which load and since when."""
+    for run in runs:
+        run_scheduled(spark, event_paths, song_paths, root, run, checks, action, malformed, by_run=True)
+    return ledger(spark, f"{root}/songplays")
+
+
 def run_relational(
     spark: SparkSession,
     event_paths: str | list[str],
@@ -102,10 +147,12 @@ def run_relational(
     order: list[str],
     action: str = "NextSong",
     malformed: str = "fail",
+    buckets: int | None = None,
 ) -> None:
     """One load into keyed tables: songs and artists before the plays that look them up.
 
-    ``order`` are the staged event columns that put one user's events in sequence.
+    ``order`` are the staged event columns that put one user's events in sequence. ``buckets`` lays new users out by
+    their key, so that a later load rewrites only those it meets.
     """
     events, songs = stage_music(spark, event_paths, song_paths, root, malformed=malformed)
     plays = music.plays_of(events, action)
@@ -113,7 +160,7 @@ def run_relational(
     insert_first_wins(music.artists_first(songs, ["song_id"]), f"{root}/artists", ["artist_id"], [])
     insert_first_wins(music.time_of_plays(plays), f"{root}/time", ["start_time"], [])
     known = plays.select(*dict.fromkeys([*music.USER_COLUMNS, *order]))
-    upsert(known, f"{root}/users", ["user_id"], ["level"], order)
+    upsert(known, f"{root}/users", ["user_id"], ["level"], order, buckets)
     stored_songs, stored_artists = read_current(spark, f"{root}/songs"), read_current(spark, f"{root}/artists")
     insert_numbered(music.songplays_lookup(plays, stored_songs, stored_artists), f"{root}/songplays", "songplay_id")
 
@@ -167,13 +214,14 @@ def run_query_tables(
 ) -> None:
     """Event CSV files to the cleaned file and the three query tables, each with its rejected rows beside it."""
     order = order or []
-    items = stage(session_items.clean_items(spark, event_paths, order), "items")
+    parsed, broken = session_items.parsed_items(spark, event_paths, order)
+    items = stage(parsed, "items")
     write_quoted_csv(items.select(*SESSION_ITEMS.columns), f"{root}/cleaned")
     for name, table in session_items.TABLES.items():
         rows, rejects = session_items.query_table(items, table, order)
         session_items.write_query_table(rows, table, f"{root}/{name}")
         write_parquet(rejects, f"{root}/rejects/{name}")
-    write_parquet(session_items.rejected_items(spark, event_paths), f"{root}/rejects/records")
+    write_parquet(broken, f"{root}/rejects/records")
 
 
 def write_lake_mart(mart: dict[str, DataFrame], root: str) -> None:
@@ -207,14 +255,25 @@ def run_immigration(
     catalogue_path: str,
     root: str,
     fmt: str = "parquet",
+    malformed: str = "fail",
 ) -> DataFrame:
-    """Load, clean, build and write the immigration tables, then check that none is empty."""
-    mart = immigration.immigration_mart(
-        read_immigration(spark, record_paths, fmt),
-        immigration.temperature_records(spark, temperature_path),
-        immigration.city_records(spark, city_path),
-        read_catalogue(spark, catalogue_path),
-    )
+    """Load, clean, build and write the immigration tables, then check that none is empty.
+
+    ``malformed="reject"`` sets immigration records, city rows and temperature readings with a number or date that does
+    not parse aside, under ``rejects``. By default such a record or reading fails the run, while a city's
+    unparsable count is null and not summed.
+    """
+    if malformed == "reject":
+        records, bad_records = read_immigration(spark, record_paths, fmt, malformed="reject")
+        cities, bad_cities = immigration.city_rows(spark, city_path)
+        temperatures, bad_temperatures = immigration.temperature_rows(spark, temperature_path)
+        for name, rows in (("records", bad_records), ("cities", bad_cities), ("temperatures", bad_temperatures)):
+            write_parquet(rows, f"{root}/rejects/{name}")
+    else:
+        records = read_immigration(spark, record_paths, fmt)
+        cities = immigration.city_records(spark, city_path)
+        temperatures = immigration.temperature_records(spark, temperature_path)
+    mart = immigration.immigration_mart(records, temperatures, cities, read_catalogue(spark, catalogue_path))
     write_immigration_mart(mart, root)
     report = run_checks({t: _written(mart, t, root) for t in mart}, [TableCheck(t) for t in mart])
     enforce(report)

@@ -44,20 +44,26 @@ BY_SONG = {
 TABLES = {"by_session_item": BY_SESSION_ITEM, "by_user_session": BY_USER_SESSION, "by_song": BY_SONG}
 
 
-def clean_items(spark: SparkSession, paths: str | list[str], order: list[str] | None = None) -> DataFrame:
-    """The cleaned 11-column event file, as text: events without an artist are left out.
+def parsed_items(spark: SparkSession, paths: str | list[str], order: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(items, rejects)`` of event files that are parsed once: the cleaned 11-column file, as text, without events that
+    have no artist, and the records that do not have the files' number of fields, as text.
 
-    ``order`` adds further file columns, as numbers, to put the writes of one key in sequence. Records with a wrong
-    number of fields are left out, too: ``rejected_items`` has them.
+    ``order`` adds further file columns, as numbers, to put the writes of one key in sequence.
     """
-    raw = nonempty(read_csv_by_position(spark, paths, EVENT_CSV_COLUMNS)[0], "artist")
+    rows, rejects = read_csv_by_position(spark, paths, EVENT_CSV_COLUMNS)
     extra = [c for c in order or [] if c not in SESSION_ITEMS.columns]
-    return raw.select(*SESSION_ITEMS.columns, *[F.col(c).try_cast("double").alias(c) for c in extra])
+    numbers = [F.col(c).try_cast("double").alias(c) for c in extra]
+    return nonempty(rows, "artist").select(*SESSION_ITEMS.columns, *numbers), rejects
+
+
+def clean_items(spark: SparkSession, paths: str | list[str], order: list[str] | None = None) -> DataFrame:
+    """The items of ``parsed_items``."""
+    return parsed_items(spark, paths, order)[0]
 
 
 def rejected_items(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Records of the event files that do not have the files' number of fields, as text."""
-    return read_csv_by_position(spark, paths, EVENT_CSV_COLUMNS)[1]
+    """The rejects of ``parsed_items``."""
+    return parsed_items(spark, paths)[1]
 
 
 def _table_contract(table: dict, order_types: dict[str, str]) -> TableContract:

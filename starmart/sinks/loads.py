@@ -214,6 +214,14 @@ def replace_run(df: DataFrame, root: str, run: str) -> str:
     return _publish_rows(df, root, [p for p in commit.parts if p.run != run], [], [], None, run)
 
 
+def read_run(spark: SparkSession, root: str, run: str) -> DataFrame:
+    """The rows that stand in the table from one run."""
+    commit = newest(spark, root)
+    if commit is None:
+        raise FileNotFoundError(f"no finished version under {root}")
+    return read_parts(spark, root, commit, [p for p in commit.parts if p.run == run])
+
+
 def ledger(spark: SparkSession, root: str) -> DataFrame:
     """Which run's rows stand in the table: ``run, load, path, written`` (UTC), from the records."""
     commit, rows = newest(spark, root), []

@@ -88,7 +88,7 @@ def read_csv_by_position(
     return df.filter(~bad).select(*columns), df.filter(bad).select(F.col(CORRUPT).alias("record"), reason)
 
 
-def _text_schema(paths: list[str]) -> StructType:
+def text_schema(paths: list[str]) -> StructType:
     """The JSON schema that holds exactly the given paths, every leaf as text."""
     tree: dict = {}
     for path in paths:
@@ -109,7 +109,7 @@ def _text_schema(paths: list[str]) -> StructType:
 
 def _json_as_text(spark: SparkSession, files: str | list[str], paths: list[str], malformed: str) -> DataFrame:
     """The given JSON paths as text. A line that is not JSON fails the scan, or is kept aside to be rejected."""
-    schema = _text_schema(paths)
+    schema = text_schema(paths)
     if malformed == "fail":
         return spark.read.schema(schema).option("mode", "FAILFAST").json(files)
     if malformed == "reject":
@@ -132,7 +132,8 @@ def _loaded(
         return in_order(df.withColumns(times) if times else df, contract)
 
     if malformed == "reject":
-        good, rejects = split_rows(cleaned, counted, record=CORRUPT)
+        # parsed once, for good and rejected rows
+        good, rejects = split_rows(stage(cleaned, "parsed"), counted, record=CORRUPT)
         return timed(good), rejects
     return timed(in_order(cleaned, counted))
 
@@ -187,16 +188,32 @@ def expand_paths(template: str, contexts: list[dict] | dict) -> list[str]:
 
 
 def read_immigration(
-    spark: SparkSession, paths: list[str], fmt: str = "parquet", visa: int = 2, mode: int = 1
-) -> DataFrame:
+    spark: SparkSession, paths: list[str], fmt: str = "parquet", visa: int = 2, mode: int = 1, malformed: str = "fail"
+) -> DataFrame | tuple[DataFrame, DataFrame]:
     """Immigration records of one travel purpose and mode, typed, over all files in one scan.
 
-    The filter is a range on the stored doubles, before the casts, so Parquet can skip row
-    groups. Country codes become whole-number text (582.0 gives 582).
+    Of Parquet files the filter is a range on the stored doubles, before the casts, so row groups can be skipped.
+    CSV files are read by their own headers: columns in any order, others beside; a name that is missing raises, and a
+    blank is null. A CSV number that does not parse fails the scan, or, with ``malformed="reject"``, the result is
+    ``(records, rejects)``, the files being parsed once. Country codes become whole-number text (582.0 gives 582).
     """
-    reader = spark.read.schema(IMMIGRATION_INPUT.schema)
-    raw = reader.option("header", True).csv(paths) if fmt == "csv" else reader.format(fmt).load(paths)
-    return immigration_records(raw, visa, mode)
+    if malformed not in ("fail", "reject"):
+        raise ValueError(f"unknown treatment {malformed}")
+    if fmt != "csv":
+        raw = spark.read.schema(IMMIGRATION_INPUT.schema).format(fmt).load(paths)
+        return _with_rejects(raw, raw.limit(0), visa, mode, malformed)
+    text = clean(read_csv_files(spark, paths, list(IMMIGRATION_INPUT.columns)), IMMIGRATION_INPUT)
+    if malformed == "fail":
+        return immigration_records(in_order(text, IMMIGRATION_INPUT), visa, mode)
+    good, rejects = split_rows(stage(text, "parsed"), IMMIGRATION_INPUT)
+    return _with_rejects(good, rejects, visa, mode, malformed)
+
+
+def _with_rejects(raw: DataFrame, rejects: DataFrame, visa: int, mode: int, malformed: str):
+    records = immigration_records(raw, visa, mode)
+    if malformed == "fail":
+        return records
+    return records, rejects if "reject_reason" in rejects.columns else rejects.withColumn("reject_reason", F.lit(""))
 
 
 def immigration_records(raw: DataFrame, visa: int = 2, mode: int = 1) -> DataFrame:

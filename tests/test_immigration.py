@@ -74,6 +74,39 @@ def test_csv_records(spark, files):
     assert read_immigration(spark, [str(files / "csv")], "csv").count() == 3
 
 
+def test_csv_records_by_header(spark, files):
+    """Columns in another order, others beside; blank cells are null; what does not parse fails or is set aside."""
+    names = [*reversed(IMMIGRATION_INPUT.columns), "dtaddto", "entdepa"]
+    values = dict(zip(IMMIGRATION_INPUT.columns, RECORDS[0])) | {"dtaddto": "x", "entdepa": ""}
+    line = lambda **v: ",".join("" if x is None else str(x) for x in ((values | v)[n] for n in names))
+    (files / "a.csv").write_text("\n".join([",".join(names), line(), line(cicid="9.0", i94bir="  ")]))
+    got = read_immigration(spark, [str(files / "a.csv")], "csv").collect()
+    assert sorted((r["cicid"], r["i94bir"], r["i94cit"]) for r in got) == [(1, 30, "582"), (9, None, "582")]
+    (files / "b.csv").write_text("\n".join([",".join(names), line(), line(arrdate="soon"), line(i94visa="two")]))
+    with pytest.raises(Exception):
+        read_immigration(spark, [str(files / "b.csv")], "csv").collect()
+    good, rejects = read_immigration(spark, [str(files / "a.csv"), str(files / "b.csv")], "csv", malformed="reject")
+    assert good.count() == 3
+    assert sorted(r["reject_reason"] for r in rejects.collect()) == ["arrdate: malformed", "i94visa: malformed"]
+    (files / "c.csv").write_text("cicid,arrdate\n1.0,2.0")
+    with pytest.raises(ValueError, match="no column i94cit"):
+        read_immigration(spark, [str(files / "c.csv")], "csv")
+
+
+def test_run_sets_unparsable_rows_aside(spark, files, rows):
+    with open(files / "cities.csv", "a") as f:
+        f.write("\n" + ";".join({"City": "New York", "State Code": "NY", "Male Population": "4o"}.get(c, "1") for c in CITY_FILE_COLUMNS))
+    with open(files / "temps.csv", "a") as f:
+        f.write("\n1900-01-01,warm,0.1,Paris,France,48N,2E\n")
+    root = str(files / "out")
+    arguments = ([str(files / "jan"), str(files / "feb")], str(files / "temps.csv"), str(files / "cities.csv"), str(files / "labels"), root)
+    run_immigration(spark, *arguments, malformed="reject")
+    assert [r["reject_reason"] for r in spark.read.parquet(f"{root}/rejects/cities").collect()] == ["male_population: malformed"]
+    assert [r["reject_reason"] for r in spark.read.parquet(f"{root}/rejects/temperatures").collect()] == ["AverageTemperature: malformed"]
+    assert spark.read.parquet(f"{root}/rejects/records").count() == 0
+    assert rows(spark.read.parquet(f"{root}/temperature_dim").select("average_temperature")) == [(3.0,)]
+
+
 def test_whole_run(spark, files, rows):
     root = str(files / "out")
     report = run_immigration(

@@ -6,7 +6,7 @@ from starmart.__main__ import main, parser
 from starmart.contracts import EVENT_CSV_COLUMNS
 from starmart.operators.checks import QualityError, TableCheck
 from starmart.plans import music
-from starmart.plans.runs import run_lake, run_relational, run_scheduled, run_warehouse, stage_music
+from starmart.plans.runs import backfill, run_lake, run_relational, run_scheduled, run_warehouse, stage_music
 from starmart.sinks import read_current
 from starmart.streaming.incremental import load_new_events
 
@@ -192,3 +192,50 @@ def test_malformed_lines_are_set_aside(spark, files, run):
     run(*arguments, malformed="reject")
     rejects = spark.read.parquet(f"{root}/rejects/{'events' if run is run_lake else 'staging_events'}")
     assert sorted(r["reject_reason"] for r in rejects.collect()) == ["length: malformed", "record: malformed; ts: null"]
+
+
+def test_backfill_replaces_one_run(spark, files, rows):
+    root, template = str(files / "out"), str(files / "log" / "{year}" / "{month:02d}")
+    months = [{"year": 2018, "month": m} for m in (11, 12)]
+    checks = [TableCheck("songplays")]
+    backfill(spark, template, str(files / "songs"), root, months, checks)
+    put(files / "log" / "2018" / "11" / "12.json", event(DAY1 + 7, user="11", item=3))  # the file of the first run was wrong
+    found = backfill(spark, template, str(files / "songs"), root, months[:1], checks)
+    assert rows(found.select("run", "load")) == [("month=11,year=2018", 3), ("month=12,year=2018", 2)]
+    plays = read_current(spark, f"{root}/songplays")
+    assert sorted(r["user_id"] for r in plays.collect()) == [10, 10, 11]
+    assert sorted(r["user_id"] for r in read_current(spark, f"{root}/users").collect()) == [10, 11]  # of all runs
+    with pytest.raises(ValueError, match="name it"):
+        run_scheduled(spark, str(files / "log" / "*" / "*"), str(files / "songs"), root, None, checks, by_run=True)
+
+
+def test_stream_sets_bad_lines_aside_and_drops_replays(spark, files):
+    root, checkpoint, folder = str(files / "out"), str(files / "checkpoint"), files / "arrived"
+    songs = spark.createDataFrame([("S1", "A1", "A", "T", 152.92)], "song_id string, artist_id string, artist_name string, title string, duration double")
+    good = json.dumps(event(DAY1))
+    bad = [good[: len(good) // 2], json.dumps(event("soon", item=1)), json.dumps(event(DAY1, item=2) | {"userId": "x"}), json.dumps(event(DAY1, item=3, length="  "))]
+
+    def run(name, lines):
+        folder.mkdir(exist_ok=True)
+        (folder / name).write_text("\n".join(lines))
+        query = load_new_events(spark, str(folder), songs, root, checkpoint)
+        query.awaitTermination()
+        return sum(s["customMetrics"]["numDroppedDuplicateRows"] for p in query.recentProgress for s in p["stateOperators"])
+
+    assert run("a.json", [good, *bad]) == 0
+    plays = read_current(spark, f"{root}/songplays").collect()
+    assert len(plays) == 2 and all(r["start_time"] for r in plays)  # a blank length is null, as in the batch load
+    assert run("b.json", [good, *bad, json.dumps(event(DAY1 - 10**10, item=9))]) == 5  # and a new event, long past
+    assert read_current(spark, f"{root}/songplays").count() == 3
+    reasons = [r["reject_reason"] for r in read_current(spark, f"{root}/rejects/stream").collect()]
+    assert sorted(reasons) == ["record: malformed; ts: null", "ts: malformed", "user_id: malformed"]
+
+
+def test_rejects_and_good_rows_come_of_one_parse(spark, files, plan):
+    """Without what is staged by them the two results scan the staged lines, not the JSON."""
+    from starmart.contracts import STAGED_SONGS
+    from starmart.sources import read_json_auto
+
+    good, rejects = read_json_auto(spark, str(files / "songs"), STAGED_SONGS, malformed="reject")
+    for df in (good, rejects):
+        assert "FileScan parquet" in plan(df) and "FileScan json" not in plan(df)
