@@ -37,8 +37,10 @@ def query(fn):
 
 @query
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With the removed spans and the text that is left (null where a cut through a character left no UTF-8)."""
     return suffix_dedup.without_repeats(read(spark, sf_dir, "documents")).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"),
+        F.try_validate_utf8(F.col("kept").cast("string")).alias("kept_text"), "spans",
     )
 
 
