@@ -9,10 +9,6 @@ the least count. Verification then compares the bits.
 Equal fingerprints are one before the index, and a list holds at most 2^24 of them, since 40 of their bits are
 given. A list is searched as it streams through a task: what is found is a link of each member to the smallest one
 reachable in its list, not the pairs. Links of all lists are joined into components by star contraction in Spark.
-
-``similar_groups`` is the same index for similarity of word-shingle sets: 256 bits, posted under sets of three
-byte positions, and candidates verified by the Jaccard similarity of their sets. What the index misses, by chance or
-in a long list, a prefix filter on the sets themselves finds, which loses no pair (``_crossing_pairs``).
 """
 
 from __future__ import annotations
@@ -23,10 +19,9 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import mix64, release
 from starmart.session import stage
 
 SEED = 42
@@ -157,10 +152,11 @@ def links(distinct_fps: DataFrame, max_bits: int = 3) -> DataFrame:
     """``a, b``: links that connect the fingerprints (a column ``fp`` of distinct values) as all pairs at ``max_bits``
     or fewer differing bits would."""
     masks = byte_masks(8 - max_bits)
-    posted = distinct_fps.select(
+    n = int(distinct_fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # each row becomes one for every list: dealt anew, for the planner puts small partitions together
+    posted = distinct_fps.repartition(n, "fp").select(
         "fp", F.explode(F.array(*[F.xxhash64(F.lit(i), F.col("fp").bitwiseAND(F.lit(m))) for i, m in enumerate(masks)])).alias("key")
     ).select("key", "fp")
-    n = int(distinct_fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     lists = posted.repartition(n, "key").sortWithinPartitions("key", "fp")
     return lists.mapInArrow(_links(max_bits), "a long, b long").distinct()
 
@@ -211,339 +207,43 @@ def linked(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
     return out.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-# ---------------------------------------------------------------------------
-# Similarity of shingle sets.
-
-WORDS = 4  # 64-bit words of a wide fingerprint
-TABLES, KEY_BYTES = 64, 3
-#: Wide fingerprints further apart than this cannot be of sets as alike as 0.8, but for one pair in thousands.
-MOST_BITS = 52
-#: Members of a posting list that one spanning tree joins.
-TREE_ROWS = 256
-#: Words of a feature of the wide fingerprint: an edit changes fewer pairs than longer shingles, so fewer bits.
-FEATURE_WORDS = 2
-#: One text in so many tells which shingles are common, so many of which are told apart. Both only order shingles.
-COMMON_SAMPLE, COMMON_SHINGLES = 16, 200_000
-#: Posting lists of a prefix shingle longer than this are compared by blocks of rows, not by row offsets.
-SHORT_LIST, BLOCK_CELLS = 32, 1 << 22
-
-
-def wide(h: np.ndarray) -> list[int]:
-    """A 256-bit SimHash of a set of hashes, as four signed words."""
-    h = np.unique(h)
-    salted = [h] + [mix64(h + np.uint64(0x9E3779B97F4A7C15 * i % 2**64)) for i in range(1, WORDS)]
-    return [int(np.uint64(majority_bits(x)).astype(np.int64)) for x in salted]
-
-
-def position_sets(tables: int = TABLES, size: int = KEY_BYTES, width: int = 8 * WORDS, seed: int = 5) -> list[list[int]]:
-    """Distinct sets of byte positions, each position used about equally often."""
-    rng, out = np.random.default_rng(seed), []
-    while len(out) < tables:
-        turn = rng.permutation(width)
-        for i in range(0, width - size + 1, size):
-            c = sorted(turn[i : i + size].tolist())
-            if c not in out and len(out) < tables:
-                out.append(c)
-    return out
-
-
-def spanning_edges(words: np.ndarray) -> Iterator[tuple[int, int]]:
-    """The edges of a least spanning tree over the bit distances of some rows: it joins whatever links at any distance
-    join, by as many edges as there are rows, less one."""
-    left = np.arange(1, len(words))
-    away, nearest = np.bitwise_count(words[left] ^ words[0]).sum(1), np.zeros(len(left), np.int64)
-    while len(left):
-        k = int(away.argmin())
-        new = left[k]
-        yield int(nearest[k]), int(new)
-        left, away, nearest = np.delete(left, k), np.delete(away, k), np.delete(nearest, k)
-        other = np.bitwise_count(words[left] ^ words[new]).sum(1)
-        closer = other < away
-        away, nearest = np.where(closer, other, away), np.where(closer, new, nearest)
-
-
-def run_pairs(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a posting list to verify first, in number linear in its members; they are to make most of each group.
-    What they leave apart, by a chunk's end or an edge that fails, ``_crossing_pairs`` compares.
-
-    First each member with the one nearest to the majority of all: a text that others were copied from. Then, in the
-    order of that distance, a least spanning tree over every ``TREE_ROWS`` consecutive ones.
-    """
-    bits = np.unpackbits(words.view(np.uint8).reshape(len(words), -1), axis=1)
-    middle = np.packbits(2 * bits.sum(0, dtype=np.int64) > len(words)).view(np.uint64)
-    order = np.argsort(np.bitwise_count(words ^ middle).sum(1), kind="stable")
-    star = np.stack([np.full(len(order) - 1, order[0]), order[1:]], 1)
-    trees = [order[i : i + TREE_ROWS] for i in range(0, len(order), TREE_ROWS)]
-    rest = [part[np.array(list(spanning_edges(words[part])))] for part in trees if len(part) > 1]
-    return star, np.concatenate(rest)
-
-
-def _candidates(most_bits: int):
-    def emit(key, at, words):
-        edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
-        length = np.diff(edges)
-        two = edges[:-1][length == 2]
-        pairs, stars = [np.stack([two, two + 1], 1)], [np.ones(len(two), bool)]
-        for i in np.flatnonzero(length > 2):
-            star, rest = run_pairs(np.ascontiguousarray(words[edges[i] : edges[i + 1]]))
-            pairs += [star + edges[i], rest + edges[i]]
-            stars += [np.ones(len(star), bool), np.zeros(len(rest), bool)]
-        x, y = np.concatenate(pairs).T
-        star = np.concatenate(stars)
-        near = (np.bitwise_count(words[x] ^ words[y]).sum(1) <= most_bits) & (x != y)
-        a, b = at[x[near]], at[y[near]]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(star[near])], names=["a", "b", "star"]
-        )
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, at, words = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, WORDS), np.uint64)
-        for batch in batches:
-            got = [c.to_numpy() for c in batch.columns]
-            key, at = np.concatenate([key, got[0]]), np.concatenate([at, got[1]])
-            words = np.concatenate([words, np.stack(got[2:], 1).view(np.uint64)])
-            last = int(np.searchsorted(key, key[-1])) if len(key) else 0
-            if last:
-                yield emit(key[:last], at[:last], words[:last])
-                key, at, words = key[last:], at[last:], words[last:]
-        if len(key):
-            yield emit(key, at, words)
-
-    return run
-
-
-def _text_hash() -> Column:
-    return F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
-
-
-_WIDE = [f"w{i}" for i in range(WORDS)]
-
-
-def _distinct_texts(docs: DataFrame) -> DataFrame:
-    """One row per distinct text, staged: ``at`` (its hash), ``least``, ``copies`` and its wide fingerprint."""
-
-    def prints(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = np.array([wide(shingle_hashes(raw, FEATURE_WORDS)) for raw in _binary(batch.column(1))], np.int64).reshape(-1, WORDS)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), *(pa.array(rows[:, i]) for i in range(WORDS))], names=["doc_id", "at", *_WIDE]
-            )
-
-    fps = docs.select(F.col("doc_id").cast("long"), "text", _text_hash().alias("at")).mapInArrow(
-        prints, "doc_id long, at long, " + ", ".join(f"{w} long" for w in _WIDE)
-    )
-    first = [F.min(x).alias(x) for x in _WIDE]
-    rows = fps.groupBy("at", "doc_id").agg(F.count(F.lit(1)).alias("copies"), *first)
-    copies = F.coalesce(F.min_by("copies", "doc_id"), F.max("copies")).alias("copies")
-    return stage(rows.groupBy("at").agg(F.min("doc_id").alias("least"), copies, *first), "fingerprints")
-
-
-def _candidate_pairs(uniq: DataFrame) -> DataFrame:
-    """Pairs of texts to verify, staged: ``a, b, star``."""
-    byte = lambda p: F.shiftrightunsigned(_WIDE[p // 8], 8 * (p % 8)).bitwiseAND(F.lit(255))
-    keys = F.array(*[F.xxhash64(F.lit(i), *[byte(p) for p in c]) for i, c in enumerate(position_sets())])
-    posted = uniq.select(F.explode(keys).alias("key"), "at", *_WIDE)
-    n = int(uniq.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    lists = posted.repartition(n, "key").sortWithinPartitions("key", "at")
-    pairs = lists.mapInArrow(_candidates(MOST_BITS), "a long, b long, star boolean")
-    return stage(pairs.groupBy("a", "b").agg(F.max("star").alias("star")), "candidates")
-
-
-def _shingle_sets(docs: DataFrame, pairs: DataFrame, shingle: int) -> DataFrame:
-    """The shingle sets of the texts in pairs, as 64-bit hashes, of equal texts one, staged: ``at, shingles``."""
-
-    def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = [np.unique(shingle_hashes(raw, shingle)).view(np.int64) for raw in _binary(batch.column(0))]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(own, pa.list_(pa.int64()))], names=["at", "shingles"])
-
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("th")).distinct()
-    texts = docs.select("text", _text_hash().alias("th")).join(wanted, "th", "left_semi").select("text", "th")
-    held = texts.mapInArrow(sets, "at long, shingles array<long>")
-    return stage(held.groupBy("at").agg(F.first("shingles").alias("shingles")), "shingles")
-
-
-def _verified(pairs: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose sets are alike, staged."""
-    joined = pairs.select("a", "b").join(held.select(F.col("at").alias("a"), F.col("shingles").alias("sa")), "a").join(
-        held.select(F.col("at").alias("b"), F.col("shingles").alias("sb")), "b"
-    )
-    shared = F.size(F.array_intersect("sa", "sb"))
-    alike = joined.filter(shared >= F.lit(similarity) * (F.size("sa") + F.size("sb") - shared))
-    return stage(alike.select("a", "b"), "alike")
-
-
-def common_shingles(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes, sorted, and counts of shingles that several texts of a sample share, the most common ones."""
-
-    def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own = [np.unique(shingle_hashes(raw, shingle)).view(np.int64) for raw in _binary(batch.column(0))]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(own) if own else np.zeros(0, np.int64))], names=["h"])
-
-    sample = docs.select("text", _text_hash().alias("th")).filter(F.pmod("th", F.lit(COMMON_SAMPLE)) == 0).dropDuplicates(["th"])
-    found = sample.select("text").mapInArrow(sets, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 2")
-    rows = found.orderBy(F.desc("n"), "h").limit(COMMON_SHINGLES).toPandas()
-    h, n = rows["h"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(np.int64)
-    order = np.argsort(h)
-    return h[order], n[order]
-
-
-def prefix(h: np.ndarray, similarity: float, common: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """Of a set's hashes, rarest first, as many as any set of that similarity must share one of; 0 for an empty set."""
-    if not len(h):
-        return np.zeros(1, np.uint64)
-    weight = np.zeros(len(h), np.int64)
-    if len(common[0]):
-        at = np.minimum(np.searchsorted(common[0], h), len(common[0]) - 1)
-        weight = np.where(common[0][at] == h, common[1][at], 0)
-    keep = len(h) - int(np.ceil(similarity * len(h) - 1e-9)) + 1
-    return h[np.lexsort((h, weight))[:keep]]
-
-
-def _crossing(similarity: float):
-    """Of lists sorted by key, the pairs of different groups that lengths and places in the prefixes do not rule out."""
-
-    def near(x, y, root, size, place):
-        least = np.ceil(similarity / (1 + similarity) * (size[x] + size[y]) - 1e-9)
-        return (root[x] != root[y]) & (np.minimum(size[x] - place[x], size[y] - place[y]) >= least)
-
-    def pairs(at, x, y):
-        a, b = at[x], at[y]
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-
-    def emit(key, at, root, size, place):
-        edges = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
-        length = np.diff(edges)
-        ends = np.repeat(edges[1:], length)
-        short = np.repeat(length <= SHORT_LIST, length)
-        for step in range(1, min(SHORT_LIST, int(length.max()))):
-            x = np.flatnonzero(short[: len(key) - step] & (ends[: len(key) - step] > np.arange(len(key) - step) + step))
-            if not len(x):
-                break
-            x = x[near(x, x + step, root, size, place)]
-            if len(x):
-                yield pairs(at, x, x + step)
-        for i in np.flatnonzero(length > SHORT_LIST):
-            first, last = int(edges[i]), int(edges[i + 1])
-            if (root[first:last] == root[first]).all():
-                continue
-            rows = max(1, BLOCK_CELLS // (last - first))
-            for lo in range(first, last, rows):
-                x, y = np.arange(lo, min(lo + rows, last))[:, None], np.arange(lo + 1, last)[None, :]
-                u, v = np.nonzero(near(x, y, root, size, place) & (x < y))
-                if len(u):
-                    yield pairs(at, u + lo, v + lo + 1)
-
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            got = [c.to_numpy() for c in batch.columns]
-            if held and got[0][-1] == held[0][0][-1]:  # still in the list that the held rows end with
-                held.append(got)
-                continue
-            rows = [np.concatenate(c) for c in zip(*held, got)]
-            last = int(np.searchsorted(rows[0], rows[0][-1]))
-            if last:
-                yield from emit(*(c[:last] for c in rows))
-            held = [[c[last:] for c in rows]]
-        if held:
-            yield from emit(*(np.concatenate(c) for c in zip(*held)))
-
-    return run
-
+def one_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
+    """The input without near copies: of each group of ``linked`` rows the one with the smallest doc_id stays.
 
-def _crossing_pairs(docs: DataFrame, grouped: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """Every pair of texts of different groups that may be alike, staged: ``a, b``.
-
-    The exact way. With the shingles in one order for all texts, two sets of that similarity share one of the first
-    ``n - ceil(similarity * n) + 1`` of each. Each text is posted under those of its own, rare ones first, and a list
-    gives all its pairs across groups (``grouped``: ``at``, ``least``, ``root``), however long it is. Which shingles
-    are common is only estimated: the order decides how long the lists are, not what they find.
+    Rows without an id stay only if their group has no id; of several rows that would stay for one group (repeated ones, or
+    all without an id) the one with the smallest text does. All columns are kept, whatever their names. No rows in, no
+    rows out.
     """
-    spark = docs.sparkSession
-    common = spark.sparkContext.broadcast(common_shingles(docs, shingle))
+    names = {c.lower() for c in docs.columns}
+    fp, root = ("_" * (max((len(n) for n in names), default=0) + 1) + n for n in ("fp", "root"))
+    fps = stage(fingerprints(docs, shingle), "fingerprints")
+    uniq = fps.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    found = components(links(uniq.select("fp"), max_bits))
+    rooted = uniq.join(found, uniq["fp"] == found["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    ids = rooted.groupBy("root").agg(F.min("least").alias("stays"))
+    # fingerprints whose group keeps a row of theirs, by that row's id
+    keep = rooted.join(ids, "root").filter(F.col("least").eqNullSafe(F.col("stays"))).select("fp", "root", "stays")
+    rows = stage(fps.join(keep, "fp").filter(F.col("doc_id").eqNullSafe(F.col("stays"))).select("doc_id", "root"), "stays")
+    several = rows.groupBy("root").count().filter("count > 1").limit(1).count() or rows.groupBy("doc_id").count().filter("count > 1").limit(1).count()
+    same_id = docs["doc_id"].cast("long").eqNullSafe(F.col("_stays"))
+    if not several:
+        return docs.join(rows.select(F.col("doc_id").alias("_stays")), same_id, "left_semi")
+    # several rows may stand for a group: fingerprint those that could stay once more, and take one
+    few = docs.join(rows.select(F.col("doc_id").alias("_stays")).distinct(), same_id, "left_semi")
+    marked = _beside(few, fp, shingle).join(keep.select(F.col("fp").alias(fp), F.col("root").alias(root), F.col("stays").alias("_stays")), fp)
+    marked = marked.filter(F.col("doc_id").cast("long").eqNullSafe(F.col("_stays"))).drop("_stays")
+    first = marked.groupBy(root).agg(F.min_by(F.struct(*docs.columns), F.struct(F.coalesce("text", F.lit("")), F.xxhash64(*docs.columns))).alias("r"))
+    return first.select("r.*")
+
+
+def _beside(docs: DataFrame, name: str, shingle: int) -> DataFrame:
+    """The rows with their fingerprint in a further column."""
 
-    def prefixes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.unique(shingle_hashes(raw, shingle)) for raw in _binary(batch.column(0))]
-            own = [prefix(h, similarity, common.value).view(np.int64) for h in sets]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(1), batch.column(2), pa.array([len(h) for h in sets], pa.int64()), pa.array(own, pa.list_(pa.int64()))],
-                names=["doc_id", "at", "size", "prefix"],
-            )
-
-    texts = docs.select("text", F.col("doc_id").cast("long"), _text_hash().alias("at"))
-    held = texts.mapInArrow(prefixes, "doc_id long, at long, size long, prefix array<long>")
-    held = held.join(grouped, "at").filter(F.col("doc_id").eqNullSafe(F.col("least")))
-    posted = held.select("at", "root", "size", F.posexplode("prefix").alias("place", "key"))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    lists = posted.select("key", "at", "root", "size", F.col("place").cast("long")).repartition(n, "key").sortWithinPartitions("key")
-    return stage(lists.mapInArrow(_crossing(similarity), "a long, b long").distinct(), "crossing")
-
-
-def _similar(docs: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """One row per distinct text: ``th`` (its hash), ``component_id``, ``root`` (its group), ``least`` (its smallest
-    doc_id), ``copies`` (rows with that text and id) and ``stays``."""
-    spark = docs.sparkSession
-    uniq = _distinct_texts(docs)
-    pairs = _candidate_pairs(uniq)
-    release(spark)
-    held = _shingle_sets(docs, pairs, shingle)
-    release(spark)
-    # pairs with the centres of their lists first; of the others only those that would join two groups
-    first = _verified(pairs.filter("star"), held, similarity)
-    release(spark)
-    group = components(first)
-    open_ = pairs.filter("NOT star").join(group.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left").join(
-        group.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left"
-    ).filter(F.coalesce("ra", "a") != F.coalesce("rb", "b"))
-    links_ = first.unionByName(_verified(open_, held, similarity))
-    group = components(links_)
-    del held, open_, first
-    release(spark)
-    # whatever else is alike across two groups
-    grouped = uniq.join(group, uniq["at"] == group["node"], "left").select("at", "least", F.coalesce("root", "at").alias("root"))
-    crossing = _crossing_pairs(docs, grouped, shingle, similarity)
-    release(spark)
-    more = _verified(crossing, _shingle_sets(docs, crossing, shingle), similarity)
-    found = components(links_.unionByName(more)) if more.limit(1).count() else group
-    rooted = uniq.join(found, uniq["at"] == found["node"], "left").select(
-        F.col("at").alias("th"), "least", "copies", F.coalesce("root", "at").alias("root")
-    )
-    ids = rooted.groupBy("root").agg(
-        F.min("least").alias("component_id"), F.coalesce(F.min_by("th", "least"), F.min("th")).alias("_stays")
-    )
-    return rooted.join(ids, "root").withColumn("stays", F.col("th") == F.col("_stays")).drop("_stays")
-
-
-def similar_groups(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The input and ``component_id``: the smallest doc_id of the row's group of texts that are alike.
-
-    Texts link if the Jaccard similarity of their sets of ``shingle`` words (A-Z lower-cased) is ``similarity`` or
-    more. Candidates share three bytes of a 256-bit SimHash at one of 64 sets of positions; candidate pairs join
-    the members of a posting list (``run_pairs``) and are verified on the sets. Then every other pair across two groups
-    that a prefix filter cannot rule out is verified too, so that no link is lost. Equal texts are one before the index.
-    Null and empty texts are alike. Every input row comes back once; a component without any doc_id has a null one; a
-    column named ``component_id`` is replaced. No rows in, no rows out.
-    """
-    docs = docs.drop("component_id")
-    ids = _similar(docs, shingle, similarity).select(F.col("th").alias("_th"), "component_id")
-    return docs.withColumn("_th", _text_hash()).join(ids, "_th").drop("_th")
-
+            at = batch.schema.get_field_index("text")
+            fps = np.array([fingerprint(raw, shingle) for raw in _binary(batch.column(at))], np.uint64)
+            yield batch.append_column(name, pa.array(fps.view(np.int64)))
 
-def one_of_each(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
-    """The input without near copies: of each group of ``similar_groups`` the row with the smallest doc_id stays.
-
-    Rows without an id stay only if their group has no id, then one of them; of rows repeated with one
-    id and text one stays. All columns are kept.
-    """
-    ids = _similar(docs, shingle, similarity).filter("stays")
-    ids = stage(ids.select(F.col("th").alias("_th"), F.col("least").alias("_least"), F.col("copies").alias("_copies")), "stays")
-    release(docs.sparkSession)
-    kept = docs.withColumn("_th", _text_hash()).join(ids, "_th").filter(F.col("doc_id").eqNullSafe(F.col("_least")))
-    if ids.filter("_copies > 1").limit(1).count():
-        kept = kept.dropDuplicates(["_th"])
-    return kept.drop("_th", "_least", "_copies")
+    schema = docs.schema
+    return docs.mapInArrow(run, type(schema)(list(schema.fields)).add(name, "long"))

@@ -51,7 +51,7 @@ def test_pipeline_stages(spark):
             assert docs.exceptAll(before).count() == 0
             assert sizes[-1] == quality.score(before, model).filter("score >= 0.3").count()
         if name == "simhash near-dedup":
-            groups = simhash.similar_groups(before).toPandas()
+            groups = simhash.linked(before).toPandas()
             assert {r["doc_id"] for r in docs.collect()} == set(groups.component_id)
         if name == "benchmark decontamination":
             hit = decontam.matches(before, read(spark, SF, "benchmark")).toPandas()

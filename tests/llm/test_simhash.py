@@ -72,37 +72,23 @@ def test_components_of_chains_and_stars(spark):
     assert got == {**{i: 1 for i in range(1, 41)}, **{i: 100 for i in range(100, 140)}}
 
 
-def shingles(text, k=5):
-    w = (text or "").lower().split()
-    return {tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1))} if w else set()
-
-
-def test_similar_groups_against_brute_force(frame, edge):
-    r, rows = random.Random(5), []
-    for i in range(60):
-        words = prose(1000 + i % 6, 200 + 40 * (i % 6)).split()
-        for _ in range(r.randrange(9)):
-            words[r.randrange(len(words))] = f"new{r.random()}"
-        rows.append((i, " ".join(words), None, None, None))
-    sets = [shingles(t[1]) for t in rows]
-
-    def groups(at_least):
-        root = list(range(len(rows)))
-        for _ in rows:
-            for i, a in enumerate(sets):
-                for j, b in enumerate(sets):
-                    if len(a & b) >= at_least * len(a | b):
-                        root[i] = root[j] = min(root[i], root[j])
-        return root
-
-    got = {x["doc_id"]: x["component_id"] for x in S.similar_groups(frame(rows)).collect()}
-    # nothing is joined that the links at 0.8 do not join, and everything that those at 0.85 join; between, nearly all
-    all_, sure = groups(0.8), groups(0.85)
-    assert all(all_[got[i]] == all_[i] for i in range(60))
-    assert all(got[i] == got[sure[i]] for i in range(60))
-    assert sum(got[i] == all_[i] for i in range(60)) >= 57
-    kept = S.one_of_each(frame(rows)).collect()
-    assert sorted(x["doc_id"] for x in kept) == sorted(set(got.values()))
+def test_one_of_each_against_brute_force(frame, edge):
+    texts, r = list(EDGE), random.Random(4)
+    for i in range(40):
+        words = prose(i % 4, 300).split()
+        for _ in range(r.randrange(4)):
+            words[r.randrange(300)] = "changed"
+        texts.append((100 + i, " ".join(words), "en", "s", None))
+    groups = brute_components([t[0] for t in texts], [brute_fp(t[1]) for t in texts])
+    for extra in ([], texts[-1:]):  # also with a row that is repeated
+        kept = S.one_of_each(frame(texts + extra, ["fp", "root", "_stays_", "r"]))
+        got = kept.collect()
+        assert kept.columns == [*frame([]).columns, "fp", "root", "_stays_", "r"]
+        assert sorted((x["doc_id"] for x in got), key=str) == sorted(set(groups), key=str)
+        assert all((x["doc_id"], x["text"], x["lang"], x["source"], x["n_chars"]) in texts for x in got)
+    unique = [t for t in texts if t[0] is not None and t[0] != 4]
+    want = set(brute_components([t[0] for t in unique], [brute_fp(t[1]) for t in unique]))
+    assert {x["doc_id"] for x in S.one_of_each(frame(unique)).collect()} == want
 
 
 def test_one_of_each_edges(frame, edge):
@@ -111,69 +97,8 @@ def test_one_of_each_edges(frame, edge):
     ids = [x["doc_id"] for x in kept.collect()]
     assert sorted(map(str, ids)) == sorted(map(str, [1, None, 4, 5, 6, 7]))  # null, empty and blank texts are alike
     assert S.one_of_each(frame([])).count() == 0
-    assert S.similar_groups(frame([])).count() == 0
     nobody = S.one_of_each(frame([(None, "a b c", None, None, None), (None, "A b  c", None, None, None)]))
     assert nobody.count() == 1
-
-
-def test_pairs_of_block_edits_are_all_found(frame):
-    r, rows = random.Random(8), []
-    for i in range(240):
-        words = prose(5000 + i, 400).split()
-        block, at = prose(9000 + i, r.randrange(30, 110)).split(), r.randrange(300)
-        edited = [words + block, words[:at] + block + words[at:], words[:at] + block[:45] + words[at + 45 :], words[: -len(block)]][i % 4]
-        rows += [(2 * i, " ".join(words), None, None, None), (2 * i + 1, " ".join(edited), None, None, None)]
-    got = {x["doc_id"]: x["component_id"] for x in S.similar_groups(frame(rows)).collect()}
-    near = 0
-    for i in range(0, len(rows), 2):
-        a, b = shingles(rows[i][1]), shingles(rows[i + 1][1])
-        alike = len(a & b) >= 0.8 * len(a | b)
-        near += alike and len(a & b) < 0.87 * len(a | b)
-        assert got[i + 1] == (i if alike else i + 1)
-    assert near > 50
-
-
-def test_long_list_gives_all_pairs_across_groups(monkeypatch):
-    import pyarrow as pa
-
-    monkeypatch.setattr(S, "BLOCK_CELLS", 1000)
-    lengths = [700, 1, 2, 5, 40, 3]
-    key = np.repeat(np.arange(len(lengths)) - 3, lengths)
-    at = np.arange(len(key))
-    root = np.where(at % 3 == 0, -1, at % 50)
-    size, place = 50 + at % 17, at % 7
-    columns = [pa.array(c.astype(np.int64)) for c in (key, at, root, size, place)]
-    table = pa.table(columns, names=["key", "at", "root", "size", "place"])
-    got = [(a, b) for x in S._crossing(0.8)(table.to_batches(max_chunksize=64)) for a, b in zip(x.column(0).to_pylist(), x.column(1).to_pylist())]
-    least = lambda i, j: -(-4 * (size[i] + size[j]) // 9)
-    want = {
-        (i, j) for i in range(len(key)) for j in range(i + 1, len(key))
-        if key[i] == key[j] and root[i] != root[j] and min(size[i] - place[i], size[j] - place[j]) >= least(i, j)
-    }
-    assert len(got) == len(set(got)) and set(got) == want and len(want) > 50_000
-
-
-def test_texts_in_other_chunks_than_their_like_are_joined(frame, monkeypatch):
-    monkeypatch.setattr(S, "run_pairs", lambda words: (np.zeros((0, 2), np.int64), np.zeros((0, 2), np.int64)))
-    shared, rows = prose(1, 200).split(), []
-    for i in range(60):
-        own = prose(100 + i, 70).split()
-        rows += [(2 * i, " ".join(shared + own), None, None, None), (2 * i + 1, " ".join(shared + own[:50] + prose(500 + i, 20).split()), None, None, None)]
-    got = {x["doc_id"]: x["component_id"] for x in S.similar_groups(frame(rows)).collect()}
-    sets = [shingles(x[1]) for x in rows]
-    assert all(len(sets[i] & sets[i + 1]) >= 0.8 * len(sets[i] | sets[i + 1]) for i in range(0, 120, 2))
-    assert all(got[i] == i - i % 2 for i in range(120))
-
-
-def test_shingles_that_agree_in_32_bits_are_not_equal(frame):
-    seen, pair = {}, None
-    for i in range(1_000_000):
-        low = xxhash.xxh64_intdigest(b"t%d" % i, S.SEED) & 0xFFFFFFFF
-        if low in seen:
-            pair = f"t{seen[low]}", f"t{i}"
-            break
-        seen[low] = i
-    docs = frame([(i, t, None, None, None) for i, t in enumerate(pair)])
-    a, b = (r["at"] for r in docs.select(S._text_hash().alias("at")).collect())
-    pairs = docs.sparkSession.createDataFrame([(a, b)], "a long, b long")
-    assert S._verified(pairs, S._shingle_sets(docs, pairs, 5), 0.8).count() == 0
+    # one id on two texts of different groups: both groups keep their row
+    two = S.one_of_each(frame([(3, prose(1, 50), None, None, None), (3, prose(2, 50), None, None, None), (4, prose(2, 50), None, None, None)]))
+    assert sorted(x["text"] for x in two.collect()) == sorted([prose(1, 50), prose(2, 50)])
