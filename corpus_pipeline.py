@@ -15,14 +15,14 @@ from starmart.session import stage
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the quality classifier does not reject."""
+    """Documents the quality classifier does not reject; a row without text is scored like an empty one."""
     model = quality.fit(docs, read(spark, sf_dir, "labels"))
     return quality.score(docs, model).filter("predicted = 1").select(*DOC_COLUMNS)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose sets of five words are alike by 0.8 or more."""
-    return simhash.one_of_each(docs).select(*DOC_COLUMNS)
+    """One document, with the smallest id, of each group whose fingerprints of three words link at three bits."""
+    return simhash.one_of_each(docs, shingle=3, max_bits=3).select(*DOC_COLUMNS)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
