@@ -2,11 +2,15 @@
 
 Every word pair of a text is joined to the word pairs of the templates. A hit at text position p and template
 position q votes for the diagonal p - q: a whole template leaves all its votes on one diagonal, an edited one on a
-few neighbouring diagonals, chance hits are scattered. Votes are summed by diagonal, neighbouring diagonals are
-merged into spans, and spans are verified by how much of the template they hold.
+few neighbouring diagonals, chance hits are scattered. Votes are gathered by diagonal and stretch of text, neighbouring
+diagonals are merged into runs, and runs too short to be more than chance go.
+
+The runs that are left in a window of bounded length are verified together: the longest chain of hits that goes on in the
+text and in the template tells how many of the template's pairs stand there in order. A pair hit again and again counts
+once, and two parts of a notice with words put in between add up.
 
 Only DataFrame functions are used. The words of a text are exploded once, beside the word that follows; one
-aggregate counts the votes inside each task before any row is shuffled, and carries the document's own row along,
+aggregate gathers the votes inside each task before any row is shuffled, and carries the document's own row along,
 so that texts are never joined back.
 """
 
@@ -19,10 +23,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from starmart.llm.common import LOWER, UPPER
+from starmart.session import stage
 
 #: Everything that is not part of a word, once A-Z are lower case.
 BETWEEN_WORDS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
+#: A window of text is so many times as long as the template; windows begin at each multiple of its length.
+WINDOW = 3
+#: Template pairs that a run of neighbouring diagonals must hold to be more than chance.
+LEAST_RUN = 3
+
 # The phrases that count as they stand, with their labels.
 BASE = {
     "gnu general public license": "gpl",
@@ -75,6 +85,40 @@ def words_of(text: Column) -> Column:
     return F.filter(split, lambda w: w != "")
 
 
+def chain_length(hits: Column, n_pairs: Column) -> Column:
+    """The most hits ``(p, q)`` of an array that can follow each other with rising p and rising q."""
+    in_order = F.array_sort(hits, lambda x, y: F.when(x["p"] != y["p"], F.signum(x["p"] - y["p"])).otherwise(F.signum(y["q"] - x["q"])).cast("int"))
+    # ends[j]: the longest chain so far whose last hit has q = j
+    longest = lambda ends, h: F.coalesce(F.array_max(F.slice(ends, F.lit(1), h["q"])), F.lit(0)) + 1
+    put = lambda ends, h: F.transform(ends, lambda v, j: F.when(j == h["q"], F.greatest(v, longest(ends, h))).otherwise(v))
+    return F.array_max(F.aggregate(in_order, F.array_repeat(F.lit(0), n_pairs), put))
+
+
+def _verified(votes: DataFrame, min_share: float, max_shift: int) -> DataFrame:
+    """The notices that stand in each text: ``doc_id, _text, label, first, last, share``."""
+    doc = ["doc_id", "_text", "template", "label", "n_pairs"]
+    inside = votes.filter("NOT is_base").withColumn(
+        "w", F.explode(F.filter(F.sequence(F.col("stretch") - (WINDOW - 1), F.col("stretch")), lambda w: w >= 0))
+    )
+    inside = inside.groupBy(*doc, "w", "diagonal").agg(F.flatten(F.collect_list("qs")).alias("qs"))
+    along = Window.partitionBy(*doc, "w").orderBy("diagonal")
+    apart = F.col("diagonal") - F.lag("diagonal").over(along)
+    inside = inside.withColumn("run", F.sum(F.when(apart <= max_shift, 0).otherwise(1)).over(along))
+    hits = F.transform("qs", lambda q: F.struct((F.col("diagonal") + q).alias("p"), q.alias("q")))
+    runs = inside.groupBy(*doc, "w", "run").agg(F.flatten(F.collect_list(hits)).alias("hits"))  # as many as a window has places
+    positions = lambda: F.size(F.array_distinct(F.transform("hits", lambda h: h["q"])))
+    windows = runs.filter(positions() >= LEAST_RUN).groupBy(*doc, "w").agg(F.flatten(F.collect_list("hits")).alias("hits"))
+    windows = windows.filter(positions() >= min_share * F.col("n_pairs"))
+    windows = windows.withColumn("chain", chain_length(F.col("hits"), F.col("n_pairs")))
+    windows = windows.withColumn("share", F.col("chain") / F.col("n_pairs")).filter(F.col("share") >= min_share)
+    # one place is seen by several windows: the best of those that overlap stays, the first among equals
+    rank = F.col("chain").cast("long") * (1 << 40) - F.col("w")
+    near = Window.partitionBy(*doc).orderBy("w").rangeBetween(1 - WINDOW, WINDOW - 1)
+    windows = windows.withColumn("rank", rank).withColumn("best", F.max("rank").over(near)).filter("rank = best")
+    places = F.transform("hits", lambda h: h["p"])
+    return windows.select("doc_id", "_text", "label", F.array_min(places).alias("first"), (F.array_max(places) + 2).alias("last"), "share")
+
+
 def scan(
     docs: DataFrame,
     base: dict[str, str] | None = None,
@@ -86,9 +130,11 @@ def scan(
     n_spans, spans``.
 
     A base phrase counts wherever its words stand consecutively: all its pairs vote for one diagonal (a pair holds
-    both words, so full votes are the phrase itself). A notice counts if the diagonals up to ``max_shift`` apart
-    together hold ``min_share`` of its pairs, each template position once. ``score`` is 1 with a base phrase,
-    else the largest share of a notice that counts, else 0. Spans are structs ``(label, first, last, share)``.
+    both words, so full votes are the phrase itself). A notice counts if in a window of ``WINDOW`` times its length
+    ``min_share`` of its pairs stand in order, each once, in runs of diagonals up to ``max_shift`` apart that hold
+    ``LEAST_RUN`` pairs or more. ``score`` is 1 with a base phrase, else the largest share of a notice that counts, else 0.
+    Spans are structs ``(label, first, last, share)``, words from 0, ``last`` excluded; a notice's span runs over all
+    hits of its window.
 
     One row per input row: rows equal in ``doc_id`` and text are scanned together and given back as often as they
     came. Null or empty texts have no words and no labels; a null ``doc_id`` stays null. Only ``doc_id`` and
@@ -110,43 +156,40 @@ def scan(
     hits = words.join(
         F.broadcast(pairs), (words.gram == pairs.gram) & (words.w0 == pairs.t0) & (words.w1 == pairs.t1), "left"
     ).drop(pairs.gram)
+    stretch = F.when(F.col("is_base"), 0).otherwise(F.expr("p div n_pairs")).cast("int")
     votes = hits.groupBy(
-        "doc_id", "_text", "template", "is_base", "label", "n_pairs", (F.col("p") - F.col("q")).alias("diagonal")
+        "doc_id", "_text", "template", "is_base", "label", "n_pairs", (F.col("p") - F.col("q")).alias("diagonal"), stretch.alias("stretch")
     ).agg(
-        F.count(F.lit(1)).alias("votes"),
-        F.min("q").alias("q0"), F.max("q").alias("q1"),
+        F.collect_set("q").alias("qs"),
         F.sum(F.when(F.col("w0").isNull(), 1).otherwise(0)).alias("copies"),
         F.max(F.when(F.col("w0").isNull(), F.col("p"))).alias("n_words"),
     )
-    # equal rows vote together: the document's row (no template) says how many there are, for every group of it
-    doc = Window.partitionBy("doc_id", "_text")
-    votes = votes.withColumn("_copies", F.sum("copies").over(doc)).withColumn("votes", F.col("votes") / F.col("_copies"))
-    along = Window.partitionBy("doc_id", "_text", "template").orderBy("diagonal")
-    apart = F.col("diagonal") - F.lag("diagonal").over(along)
-    run = F.sum(F.when(apart <= max_shift, 0).otherwise(1)).over(along)
-    spans = votes.withColumn("run", F.when(F.col("is_base"), F.col("diagonal")).otherwise(run)).groupBy(
-        "doc_id", "_text", "template", "is_base", "label", "n_pairs", "run"
-    ).agg(
-        F.sum("votes").alias("votes"),
-        F.min(F.col("diagonal") + F.col("q0")).alias("first"), (F.max(F.col("diagonal") + F.col("q1")) + 1).alias("last"),
-        # a template position is counted once: the span cannot hold more pairs than it is long
-        F.max("copies").alias("copies"), F.max("n_words").alias("n_words"),
+    votes = stage(votes, "votes")  # the texts are read once
+    # hits of equal rows are one; the document's row (no template) says how many rows there are
+    own = votes.filter("template IS NULL").select(
+        "doc_id", "_text", "copies", "n_words", *[F.lit(None).cast(t).alias(c) for c, t in _FOUND.items()]
     )
-    share = F.least(F.lit(1.0), F.least(F.col("votes"), F.col("last") - F.col("first")) / F.col("n_pairs"))
-    spans = spans.withColumn("share", share)
-    exact = F.col("is_base") & (F.col("votes") >= F.col("n_pairs"))
-    loose = ~F.col("is_base") & (F.col("share") >= min_share)
-    found = F.coalesce(exact | loose, F.lit(False))
+    nothing = [F.lit(None).cast("long").alias("copies"), F.lit(None).cast("int").alias("n_words")]
+    exact = votes.filter(F.col("is_base") & (F.size("qs") == F.col("n_pairs"))).select(
+        "doc_id", "_text", *nothing, F.lit(True).alias("exact"), "label", F.col("diagonal").alias("first"),
+        (F.col("diagonal") + F.col("n_pairs") + 1).alias("last"), F.lit(1.0).alias("share"),
+    )
+    loose = _verified(votes, min_share, max_shift).select("doc_id", "_text", *nothing, F.lit(False).alias("exact"), "label", "first", "last", "share")
+    spans = own.unionByName(exact).unionByName(loose)
     labels = lambda which: F.array_join(F.array_sort(F.collect_set(F.when(which, F.col("label")))), ",")
+    found, is_exact = F.col("label").isNotNull(), F.coalesce(F.col("exact"), F.lit(False))
     out = spans.groupBy("doc_id", "_text").agg(
         F.max("n_words").cast("long").alias("n_words"),
-        F.sum(F.when(exact, 1).otherwise(0)).cast("long").alias("n_base"),
-        F.min(F.when(exact, F.col("first"))).cast("long").alias("first_word"),
-        F.max(F.when(exact, F.col("first"))).cast("long").alias("last_word"),
-        labels(exact).alias("base_labels"), labels(found).alias("labels"),
-        F.coalesce(F.max(F.when(exact, 1.0).when(loose, F.col("share"))), F.lit(0.0)).alias("score"),
+        F.sum(F.when(is_exact, 1).otherwise(0)).cast("long").alias("n_base"),
+        F.min(F.when(is_exact, F.col("first"))).cast("long").alias("first_word"),
+        F.max(F.when(is_exact, F.col("first"))).cast("long").alias("last_word"),
+        labels(is_exact).alias("base_labels"), labels(found).alias("labels"),
+        F.coalesce(F.max("share"), F.lit(0.0)).alias("score"),
         F.sum(F.when(found, 1).otherwise(0)).cast("long").alias("n_spans"),
         F.array_sort(F.collect_list(F.when(found, F.struct("label", "first", "last", "share")))).alias("spans"),
         F.max("copies").alias("copies"),
     )
     return out.withColumn("_again", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("_again", "_text", "copies")
+
+
+_FOUND = {"exact": "boolean", "label": "string", "first": "int", "last": "int", "share": "double"}

@@ -122,40 +122,57 @@ _PAIRS = ", ".join(
 )
 
 ORACLES["op3_licenses"] = rf"""
-WITH pairs(template, is_base, label, n_pairs, q, t0, t1) AS (VALUES {_PAIRS}),
+WITH RECURSIVE pairs(template, is_base, label, n_pairs, q, t0, t1) AS (VALUES {_PAIRS}),
 docs AS (
   SELECT row_number() OVER () AS r, doc_id,
     regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
   FROM documents
 ),
-places AS (SELECT r, unnest(range(1, len(w))) AS i, w FROM docs WHERE len(w) > 1),
 hits AS (
-  SELECT r, template, is_base, label, n_pairs, q, i - 1 - q AS diagonal
-  FROM (SELECT r, i, w[i] AS w0, w[i + 1] AS w1 FROM places) x JOIN pairs ON w0 = t0 AND w1 = t1
+  SELECT r, template, is_base, label, n_pairs, q, i - 1 AS p
+  FROM (SELECT r, i, w[i] AS w0, w[i + 1] AS w1 FROM (SELECT r, w, unnest(range(1, len(w))) AS i FROM docs WHERE len(w) > 1) y) x
+  JOIN pairs ON w0 = t0 AND w1 = t1
 ),
-votes AS (
-  SELECT r, template, is_base, label, n_pairs, diagonal, count(*) AS votes, min(q) AS q0, max(q) AS q1 FROM hits GROUP BY ALL
+exact AS (
+  SELECT r, label, p - q AS first, 1.0::DOUBLE AS share, true AS exact
+  FROM hits WHERE is_base GROUP BY r, template, label, n_pairs, p - q HAVING count(*) = n_pairs
+),
+inside AS (
+  SELECT * FROM (SELECT *, unnest([p // n_pairs - 2, p // n_pairs - 1, p // n_pairs]) AS win FROM hits WHERE NOT is_base) x WHERE win >= 0
 ),
 runs AS (
-  SELECT *, sum(CASE WHEN gap <= 3 THEN 0 ELSE 1 END) OVER (PARTITION BY r, template ORDER BY diagonal) AS run
-  FROM (SELECT *, diagonal - lag(diagonal) OVER (PARTITION BY r, template ORDER BY diagonal) AS gap FROM votes) x
+  SELECT r, template, win, diagonal, sum(CASE WHEN gap <= 3 THEN 0 ELSE 1 END) OVER (PARTITION BY r, template, win ORDER BY diagonal) AS run
+  FROM (SELECT r, template, win, d AS diagonal, d - lag(d) OVER (PARTITION BY r, template, win ORDER BY d) AS gap
+        FROM (SELECT DISTINCT r, template, win, p - q AS d FROM inside) y) x
 ),
-spans AS (
-  SELECT r, template, is_base, label, n_pairs, CASE WHEN is_base THEN diagonal ELSE run END AS part, sum(votes) AS votes,
-    min(diagonal + q0) AS first, max(diagonal + q1) + 1 AS last
-  FROM runs GROUP BY ALL
+numbered AS (SELECT i.*, run FROM inside i JOIN runs USING (r, template, win) WHERE runs.diagonal = i.p - i.q),
+solid AS (SELECT * FROM numbered SEMI JOIN (
+  SELECT r, template, win, run FROM numbered GROUP BY ALL HAVING count(DISTINCT q) >= 3) k USING (r, template, win, run)),
+likely AS (SELECT * FROM solid SEMI JOIN (
+  SELECT r, template, win FROM solid GROUP BY r, template, win, n_pairs HAVING count(DISTINCT q) >= 0.6 * n_pairs) k USING (r, template, win)),
+chain(r, template, win, p, q, n) AS (
+  SELECT r, template, win, p, q, 1 FROM likely
+  UNION
+  SELECT c.r, c.template, c.win, h.p, h.q, c.n + 1 FROM chain c
+  JOIN likely h ON h.r = c.r AND h.template = c.template AND h.win = c.win AND h.p > c.p AND h.q > c.q
 ),
-judged AS (
-  SELECT *, is_base AND votes >= n_pairs AS exact, NOT is_base AND share >= 0.6 AS loose
-  FROM (SELECT *, least(1.0, least(votes, last - first)::DOUBLE / n_pairs) AS share FROM spans) x
-)
+windows AS (
+  SELECT r, template, label, win, n, n / n_pairs::DOUBLE AS share
+  FROM (SELECT r, template, win, max(n) AS n FROM chain GROUP BY ALL) x JOIN (SELECT DISTINCT template, label, n_pairs FROM pairs) y USING (template)
+  WHERE n >= 0.6 * n_pairs
+),
+loose AS (
+  SELECT r, label, NULL AS first, share, false AS exact FROM windows a WHERE NOT EXISTS (
+    SELECT 1 FROM windows b WHERE a.r = b.r AND a.template = b.template AND a.win <> b.win AND abs(a.win - b.win) <= 2
+      AND (b.n > a.n OR (b.n = a.n AND b.win < a.win)))
+),
+found AS (SELECT * FROM exact UNION ALL SELECT * FROM loose)
 SELECT doc_id, len(w)::BIGINT AS n_words, count(*) FILTER (exact) AS n_base,
   (min(first) FILTER (exact))::BIGINT AS first_word, (max(first) FILTER (exact))::BIGINT AS last_word,
   coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (exact), '') AS base_labels,
-  coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (exact OR loose), '') AS labels,
-  coalesce(max(CASE WHEN exact THEN 1.0::DOUBLE WHEN loose THEN share END), 0.0::DOUBLE) AS score,
-  count(*) FILTER (exact OR loose) AS n_spans
-FROM docs LEFT JOIN judged USING (r) GROUP BY r, doc_id, w
+  coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (label IS NOT NULL), '') AS labels,
+  coalesce(max(share), 0.0::DOUBLE) AS score, count(*) FILTER (label IS NOT NULL) AS n_spans
+FROM docs LEFT JOIN found USING (r) GROUP BY r, doc_id, w
 """
 
 # base32 of a SHA-1 in hexadecimal: five digits are four letters
