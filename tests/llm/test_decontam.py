@@ -51,7 +51,8 @@ def test_matches(frame, edge, tests_items):
     assert set(got) == {(10, 1), (11, 1), (14, 2), (None, 3)}
     assert got[10, 1]["score"] == 1 and (got[10, 1]["first_word"], got[10, 1]["last_word"]) == (200, 240)
     assert 0.5 <= got[11, 1]["score"] < 1
-    kept = D.clean(frame(docs, ["key", "score"]), tests_items)
+    kept = D.clean(frame(docs, ["key", "_key", "score"]), tests_items)
+    assert kept.columns[-3:] == ["key", "_key", "score"]
     assert sorted(r["doc_id"] for r in kept.collect()) == [12, 13, 15] and "score" in kept.columns
     assert D.clean(edge, tests_items).count() == edge.count()
 
@@ -67,6 +68,70 @@ def test_item_in_most_documents_keeps_its_seeds(frame, tests_items):
     assert D.matches(docs, tests_items).count() == 200
 
 
+def brute_matches(docs, items, n=D.N, min_score=D.MIN_SCORE):
+    """Matches by the definition: sets of n-grams, whole-table alignment of every chosen passage."""
+    split = lambda t: [int(x) for x in D.word_hashes(t)]
+    texts, words = {i: split(t) for i, t in docs}, {i: split(t) for i, t in items}
+    grams = lambda w, k: [tuple(w[j : j + k]) for j in range(len(w) - k + 1)]
+    size = {i: min(n, len(w)) for i, w in words.items()}
+    df = {}
+    for k in set(size.values()):
+        for w in texts.values():
+            for g in set(grams(w, k)):
+                df[g] = df.get(g, 0) + 1
+    out = {}
+    for i, item in words.items():
+        own = set(grams(item, size[i]))
+        usual = float(np.median([df.get(g, 0) for g in own]))
+        seeds = {g for g in own if df.get(g, 0) <= max(D.FEW, D.RARE * usual)}
+        for d, w in texts.items():
+            at = [(j, g) for j, g in enumerate(grams(w, size[i])) if g in own]
+            clusters = []
+            for j, g in at:
+                if clusters and j - clusters[-1][-1][0] <= len(item):
+                    clusters[-1].append((j, g))
+                else:
+                    clusters.append([(j, g)])
+            for c in clusters:
+                held = {g for _, g in c}
+                if held & seeds or len(held) >= D.ENOUGH * len(own):
+                    a, b = max(0, c[0][0] - len(item)), min(len(w), c[-1][0] + 2 * len(item))
+                    score = brute_align(item, w[a:b]) / (D.MATCH * len(item))
+                    if score >= min_score:
+                        out[d, i] = max(out.get((d, i), 0), score)
+    return out
+
+
+def test_matches_against_brute_force(spark, frame):
+    r = random.Random(11)
+    stock = prose(1, 9)
+    items = [(i, " ".join([prose(200 + i, r.randrange(3, 40), 60 if i % 3 else 4000), stock if i % 2 else ""])) for i in range(24)]
+    docs = []
+    for d in range(90):
+        parts = [prose(900 + d, r.randrange(0, 60), 60)]
+        for _ in range(r.randrange(0, 3)):
+            w = r.choice(items)[1].split()
+            for _ in range(r.randrange(0, 8)):
+                w[r.randrange(len(w))] = f"n{r.randrange(99)}"
+            parts += [" ".join(w[r.randrange(0, 6) :]), prose(2000 + d, r.randrange(0, 50))]
+        docs.append((d, " ".join([*parts, stock])))
+    got = D.matches(frame([(d, t, None, None, None) for d, t in docs]).repartition(4), spark.createDataFrame(items, "item_id long, text string"))
+    got = {(x["doc_id"], x["item_id"]): x["score"] for x in got.collect()}
+    want = brute_matches(docs, items)
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-12 for k in want) and len(want) > 40
+
+
+def test_stock_phrase_makes_no_passages(spark, frame, monkeypatch):
+    """A phrase that all texts and items share costs no passage, although each text meets each item in it."""
+    stock = prose(5, 8)
+    items = spark.createDataFrame([(i, prose(3000 + i, 60) + " " + stock) for i in range(100)], "item_id long, text string")
+    docs = frame([(i, prose(6000 + i, 60) + " " + stock, None, None, None) for i in range(99)] + [(99, prose(3007, 60), None, None, None)])
+    made = []
+    monkeypatch.setattr(D, "_passages", lambda *a, f=D._passages: made.append(f(*a).cache()) or made[-1])
+    assert [(x["doc_id"], x["item_id"]) for x in D.matches(docs, items).collect()] == [(99, 7)]
+    assert made[0].count() < 5  # but for a word before the phrase that is the same by chance
+
+
 def test_nothing_in_nothing_out(frame, edge, tests_items):
     assert D.matches(frame([]), tests_items).count() == 0
     assert D.matches(edge, tests_items.limit(0)).count() == 0
