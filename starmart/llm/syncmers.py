@@ -1,9 +1,10 @@
 """Document fingerprints from closed syncmers.
 
 A k-mer is an anchor if its smallest inner s-mer lies at one of its edges. That depends on the k-mer alone, so an
-edit changes the anchors it touches and no others. The fingerprint keeps, for each of its registers, the smallest
-anchor hash that falls to the register and where the anchor stands; two fingerprints are compared register by
-register, and only matches at one common shift count.
+edit changes the anchors it touches and no others. The fingerprint keeps every anchor whose hash is under a bound, at each
+of its places: one in ``SHARE`` anchors, so their number grows with the text, or under a higher bound that lets
+``FEWEST`` different ones in; a text with no more has all of them. Two fingerprints are compared under the lower of their
+bounds, below which both are whole, and matches count at one common shift of the places.
 """
 
 from __future__ import annotations
@@ -19,11 +20,12 @@ from pyspark.sql import functions as F
 from starmart.llm.common import code_points, mix64, partitions
 from starmart.session import scratch_dir
 
-K, S, REGISTERS = 12, 5, 64
+K, S = 12, 5
+#: Hashes are cut to so many bits; the bound lets one anchor in so many in, and this number of different ones at least.
+HASH_BITS, SHARE, FEWEST = 24, 16, 64
 #: Matches count up to this many code points from the common shift.
 SLACK = 64
 BASE = np.uint64(0x9E3779B97F4A7C15)
-EMPTY = "-"
 
 
 def anchors(points: np.ndarray, k: int = K, s: int = S) -> tuple[np.ndarray, np.ndarray]:
@@ -55,46 +57,60 @@ def anchors(points: np.ndarray, k: int = K, s: int = S) -> tuple[np.ndarray, np.
     return np.zeros(1, np.int64), mix64(np.array([whole], np.uint64))
 
 
-def registers(points: np.ndarray, count: int = REGISTERS) -> tuple[np.ndarray, np.ndarray]:
-    """For each register the top 16 bits of its smallest anchor hash (-1: none) and the anchor's first position."""
+Print = tuple[int, np.ndarray, np.ndarray]
+
+
+def sketch(points: np.ndarray) -> Print:
+    """The bound, and the hashes and places of the anchors up to it, in order of place."""
     at, code = anchors(points)
-    value, place = np.full(count, -1, np.int64), np.zeros(count, np.int64)
-    if len(at):
-        order = np.argsort(code, kind="stable")
-        slot = (code[order] % np.uint64(count)).astype(np.int64)
-        found, first = np.unique(slot, return_index=True)
-        best = order[first]
-        value[found] = ((code[best] >> np.uint64(7)) & np.uint64(0xFFFF)).astype(np.int64)
-        place[found] = at[best]
-    return value, place
+    h = (code >> np.uint64(64 - HASH_BITS)).astype(np.int64)
+    different = np.unique(h)
+    top = (1 << HASH_BITS) - 1
+    bound = top if len(different) <= FEWEST else max(top // SHARE, int(different[FEWEST - 1]))
+    keep = h <= bound
+    return bound, h[keep], at[keep]
 
 
-def encode(value: np.ndarray, place: np.ndarray) -> str:
-    return ".".join(EMPTY if v < 0 else f"{v:04x}{p:x}" for v, p in zip(value.tolist(), place.tolist()))
+def encode(found: Print) -> str:
+    """Hex digits: the bound, then for each anchor its hash and how far it is from the one before."""
+    bound, h, at = found
+    width = HASH_BITS // 4
+    return ".".join([f"{bound:0{width}x}", *[f"{v:0{width}x}{d:x}" for v, d in zip(h.tolist(), np.diff(at, prepend=0).tolist())]])
 
 
-def decode(fingerprint: str) -> tuple[np.ndarray, np.ndarray]:
-    cells = fingerprint.split(".")
-    value = np.array([-1 if c == EMPTY else int(c[:4], 16) for c in cells], np.int64)
-    return value, np.array([0 if c == EMPTY else int(c[4:], 16) for c in cells], np.int64)
+def decode(fingerprint: str) -> Print:
+    bound, *cells = fingerprint.split(".")
+    width = HASH_BITS // 4
+    h, steps = ([int(c[part], 16) for c in cells] for part in (slice(0, width), slice(width, None)))
+    return int(bound, 16), np.array(h, np.int64), np.cumsum(np.array(steps, np.int64))
 
 
-def likeness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """The estimated share of the two texts' anchors that match at one common shift (0 to 1).
+def likeness(a: Print, b: Print) -> float:
+    """The share of the anchors of both that match at one common shift (0 to 1).
 
-    With j the share of filled registers that match, 2j / (1 + j): the share of a text that both have. Fingerprints
-    of empty texts are alike (1), an empty and another text are not (0).
+    The shift is the median over the anchors that both have, at their first places. Fingerprints of empty texts are alike
+    (1), an empty and another text are not (0).
     """
-    filled = (a[0] >= 0) | (b[0] >= 0)
-    if not filled.any():
-        return 1.0
-    same = (a[0] == b[0]) & (a[0] >= 0)
-    if not same.any():
+    bound = min(a[0], b[0])
+    (ha, pa_), (hb, pb) = ((h[h <= bound], p[h <= bound]) for _, h, p in (a, b))
+    if not len(ha) + len(hb):
+        return 1.0 if len(a[1]) == len(b[1]) == 0 else 0.0
+    (one, i), (two, j) = np.unique(ha, return_index=True), np.unique(hb, return_index=True)
+    _, x, y = np.intersect1d(one, two, assume_unique=True, return_indices=True)
+    if not len(x):
         return 0.0
-    shift = (a[1] - b[1])[same]
-    votes = (np.abs(shift - np.sort(shift)[len(shift) // 2]) <= SLACK).sum()
-    j = float(votes) / float(filled.sum())
-    return 2 * j / (1 + j)
+    shifts = np.sort(pa_[i[x]] - pb[j[y]])
+    shift = int(shifts[len(shifts) // 2])
+    matched = _near(ha, pa_ - shift, hb, pb) + _near(hb, pb, ha, pa_ - shift)
+    return matched / (len(ha) + len(hb))
+
+
+def _near(h: np.ndarray, place: np.ndarray, other: np.ndarray, places: np.ndarray) -> int:
+    """How many anchors have an equal one within ``SLACK`` of their place."""
+    wide = np.int64(1) << 38  # places and shifts are far less
+    known = np.sort(other * wide + places)
+    low = np.searchsorted(known, h * wide + place - SLACK)
+    return int((known[np.minimum(low, len(known) - 1)] - (h * wide + place) <= SLACK)[low < len(known)].sum())
 
 
 def edited(text: str, follower: str) -> str:
@@ -118,9 +134,9 @@ def _row(kind: str, part: int, doc_id, text: str, own, follower: str | None, fol
     if follower is None:
         return (kind, part, doc_id, None, None, None, None, None, None, text)
     changed = edited(text, follower)
-    other = own if changed == text else registers(code_points(changed))
+    other = own if changed == text else sketch(code_points(changed))
     sha = hashlib.sha256(changed.encode("utf-8", "surrogatepass")).hexdigest()
-    return (kind, part, doc_id, len(text), sha, encode(*own), encode(*other), likeness(own, other), likeness(own, follows), None)
+    return (kind, part, doc_id, len(text), sha, encode(own), encode(other), likeness(own, other), likeness(own, follows), None)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -135,7 +151,7 @@ def _consecutive(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     part, rows, held = TaskContext.get().partitionId(), [], None
     for batch in batches:
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            own = registers(code_points(text))
+            own = sketch(code_points(text))
             if held is None:
                 rows.append(_row("first", part, doc_id, text, own, None, None))
             else:
@@ -154,7 +170,7 @@ def _seams(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         rows = []
         for doc_id, text, follower in zip(*(c.to_pylist() for c in batch.columns)):
-            rows.append(_row("done", 0, doc_id, text, registers(code_points(text)), follower, registers(code_points(follower))))
+            rows.append(_row("done", 0, doc_id, text, sketch(code_points(text)), follower, sketch(code_points(follower))))
         if rows:
             yield _batch(rows)
 
