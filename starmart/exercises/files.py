@@ -8,6 +8,7 @@ from starmart.contracts import EVENT_CSV_COLUMNS, EVENT_PATHS, EVENT_RECORDS, ST
 from starmart.exercises import inputs
 from starmart.exercises.registry import exercise, table
 from starmart.plans.immigration import city_records, temperature_records, with_visa_names
+from starmart.operators.joins import lookup_join
 from starmart.plans.session_items import clean_items
 from starmart.session import scratch_dir
 from starmart.sinks import (
@@ -311,6 +312,20 @@ def snk_overwrite(spark, sf):
     return read_table(spark, path)
 
 
+@exercise(
+    "lookup_by_bloom_filter",
+    """SELECT md5(CAST(event_id AS VARCHAR)) AS key, event_id, user_id, event_type FROM events
+       WHERE md5(CAST(event_id AS VARCHAR)) IN (SELECT md5(CAST(event_id AS VARCHAR)) FROM events WHERE event_id % 1000 = 7)""",
+)
+def lookup_by_bloom_filter(spark, sf):
+    """Events under content keys in random order, looked up by some keys: row groups without one of them are skipped."""
+    path = scratch_dir(spark, "bloom")
+    e = table(spark, sf, "events").select(F.md5(F.col("event_id").cast("string")).alias("key"), "event_id", "user_id", "event_type")
+    write_parquet(e, path, bloom=["key"])
+    wanted = table(spark, sf, "events").filter("event_id % 1000 = 7").select(F.md5(F.col("event_id").cast("string")).alias("key"))
+    return lookup_join(spark.read.schema(e.schema).parquet(path), wanted, ["key"], "inner", right_unique=True).select(*e.columns)
+
+
 @exercise("snk_songs_by_year", f"WITH {inputs.SONGS_SQL} SELECT song_id, title, artist_id, duration, year FROM song_records")
 def snk_songs_by_year(spark, sf):
     path = scratch_dir(spark, "songs")

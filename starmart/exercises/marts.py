@@ -13,6 +13,7 @@ from starmart.plans.runs import (
     backfill,
     run_immigration,
     run_lake,
+    run_lake_increment,
     run_query_tables,
     run_relational,
     run_scheduled,
@@ -296,6 +297,18 @@ def run_lake_reload(spark, sf):
     return spark.read.parquet(f"{root}/out/songplays").drop("songplay_id")
 
 
+@exercise(
+    "run_lake_two_months",
+    f"""{_LAKE_ROWS.replace('SELECT epoch_ms', 'SELECT row_number() OVER (ORDER BY day(epoch_ms(p.ts)) > 9, p.ts, p.session_id, p.item_in_session, p.user_agent, s.song_id NULLS FIRST, s.artist_id) AS songplay_id, epoch_ms', 1)}""",
+)
+def run_lake_two_months(spark, sf):
+    """Two loads into tables that keep their rows: the second numbers its plays on from the first, without a gap."""
+    root = _music_files(spark, sf, "lakemonths")
+    for days in ("dir=?", "dir=??"):
+        run_lake_increment(spark, f"{root}/in/log/{days}", f"{root}/in/songs", f"{root}/out", _LAKE_ORDER)
+    return read_current(spark, f"{root}/out/songplays")
+
+
 @exercise("stream_new_files", _FACT_ROWS)
 def stream_new_files(spark, sf):
     """Two incremental runs, the second after new files arrived: each takes only the files that are new."""
@@ -557,6 +570,29 @@ def immigration_fact(spark, sf):
     return immigration.immigration_fact(_records(spark, sf))
 
 
+@exercise("immigration_fact_incremental", _FACT_SQL)
+def immigration_fact_incremental(spark, sf):
+    """The fact kept up to date by three batches of records, each reduced to counts and merged into the buckets it meets."""
+    root, records = scratch_dir(spark, "factincremental"), stage(_records(spark, sf), "records")
+    for part in range(3):
+        immigration.add_to_fact(records.filter(F.col("cicid") % 3 == part), root, buckets=8)
+    return immigration.fact_of(read_current(spark, root))
+
+
+@exercise(
+    "temperature_dim_incremental",
+    f"""WITH {inputs.TEMPERATURE_SQL} SELECT country_name AS country, date, avg(average_temperature) AS average_temperature
+        FROM temperatures WHERE year(date) >= 1900 GROUP BY 1, 2""",
+)
+def temperature_dim_incremental(spark, sf):
+    """Mean temperatures from the sums and counts of two batches."""
+    root = scratch_dir(spark, "temperatureincremental")
+    readings = stage(immigration.clean_temperatures(inputs.temperature_file(spark, sf)), "readings")
+    for part in range(2):
+        immigration.add_temperatures(readings.filter(F.crc32("city_name") % 2 == part), root, buckets=8)
+    return immigration.temperatures_of(read_current(spark, root))
+
+
 @exercise(
     "immigration_named",
     f"""{_KNOWN} SELECT cicid, arrival_date, departure_date, i94cit, i94res, 'COUNTRY ' || i94res AS residency_country,

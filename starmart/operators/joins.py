@@ -2,7 +2,8 @@
 
 A side is broadcast only when the optimizer's size estimate is inside the session's
 own broadcast threshold. Beyond it the join shuffles, with every key that outweighs an
-average shuffle partition split over several of them, on either side.
+average shuffle partition split over several of them, on either side. Rows of a left join that cannot match may stay out
+of the shuffle.
 """
 
 from __future__ import annotations
@@ -17,6 +18,10 @@ from starmart.session import stage
 
 FINENESS = 4  # left pieces per average partition, so that pieces meeting in one partition even out
 MAX_TRACKED = 1_000_000  # Spark's own limit on the counters of a sketch
+MAX_KEPT = 64  # results of sketches that are kept for further joins of the same frame
+FILTER_BITS = 1 << 23  # of the key bitmap that tells which rows may match: one megabyte
+
+_sketched: dict[tuple, dict[int, int]] = {}
 
 
 def broadcast_limit(df: DataFrame) -> int:
@@ -46,16 +51,23 @@ def lookup_join(
     built_from: list[DataFrame] | None = None,
     right_unique: bool = False,
     heavy_from: DataFrame | None = None,
+    skip_unmatched: bool = False,
 ) -> DataFrame:
     """Join a large frame to a lookup: broadcast when its size is checked, else a balanced shuffle join.
 
     ``built_from`` names the inputs of a lookup that holds at most one row per row of its
     first input (a join on a unique key, a per-key reduction); their sizes stand for it,
     since the optimizer multiplies sizes over a join. ``right_unique`` and ``heavy_from``
-    are those of ``balanced_join``.
+    are those of ``balanced_join``. ``skip_unmatched`` is for a left join that most left rows find no match in:
+    those whose key is not in the lookup are not shuffled (see ``split_by_keys``).
     """
     if fits_broadcast(*(built_from or [right])):
         return left.join(F.broadcast(right), on, how)
+    if skip_unmatched and how == "left" and all(_sketchable(left.schema[name].dataType) for name in on):
+        may, cannot = split_by_keys(left, right, on)
+        joined = balanced_join(may, right, on, how, right_unique=right_unique, heavy_from=heavy_from)
+        types = {f.name: f.dataType for f in right.schema.fields if f.name not in on}
+        return joined.unionByName(cannot.withColumns({c: F.lit(None).cast(t) for c, t in types.items()}).select(*joined.columns))
     return balanced_join(left, right, on, how, right_unique=right_unique, heavy_from=heavy_from)
 
 
@@ -81,6 +93,39 @@ def _key_hash(df: DataFrame, on: list[str]) -> Column:
     return F.xxhash64(*parts)
 
 
+def _places(h: Column, bits: int) -> list[Column]:
+    """Two bits of a bitmap for a hash."""
+    return [h.bitwiseAND(F.lit(bits - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(bits - 1))]
+
+
+def key_bitmap(df: DataFrame, on: list[str], bits: int = FILTER_BITS) -> DataFrame:
+    """One row with one array: the bits of the keys of a frame, 64 to an element. Built by the executors; its size is fixed,
+    and a frame with more keys than it can tell apart only lets more rows through."""
+    placed = df.dropna(subset=on).select(F.explode(F.array(*_places(_key_hash(df, on), bits))).alias("at"))
+    cells = placed.groupBy(F.shiftright("at", 6).alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("word"))
+    every = df.sparkSession.range(bits // 64).select(F.col("id").alias("cell"), F.lit(0).cast("long").alias("word"))
+    words = cells.unionByName(every).groupBy("cell").agg(F.bit_or("word").alias("word"))
+    ordered = F.array_sort(F.collect_list(F.struct("cell", "word")))
+    return words.agg(F.transform(ordered, lambda x: x["word"]).alias("words"))
+
+
+def split_by_keys(left: DataFrame, right: DataFrame, on: list[str], bits: int = FILTER_BITS) -> tuple[DataFrame, DataFrame]:
+    """Left rows whose key the right side may hold, and those whose key it does not hold (a null key among them).
+
+    The bitmap of the right keys is staged and reaches the scan of the left side as a scalar subquery. The left side is
+    read twice, once for each result.
+    """
+    words = stage(key_bitmap(right, on, bits), "keybits").scalar()
+    hits = [
+        F.get(words, F.shiftright(at, 6).cast("int")).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))) != 0
+        for at in _places(_key_hash(left, on), bits)
+    ]
+    known = F.coalesce(hits[0] & hits[1], F.lit(False))
+    for name in on:
+        known = known & F.col(name).isNotNull()
+    return left.filter(known), left.filter(~known)
+
+
 def heavy_keys(df: DataFrame, on: list[str], partitions: int) -> dict[int, int]:
     """Hashes of the keys that hold more rows than an average shuffle partition, with the pieces to cut them in.
 
@@ -92,14 +137,18 @@ def heavy_keys(df: DataFrame, on: list[str], partitions: int) -> dict[int, int]:
     if not all(_sketchable(schema[name].dataType) for name in on):
         return {}
     keyed = df.select(*on).dropna(subset=on)
+    same = (df.sparkSession.sparkContext.applicationId, keyed.semanticHash(), partitions)
+    if same in _sketched:  # the same columns of the same source, for another join
+        return _sketched[same]
+    while len(_sketched) >= MAX_KEPT:
+        _sketched.pop(next(iter(_sketched)))
     most = min(partitions, MAX_TRACKED)
     tracked = min(MAX_TRACKED, max(10_000, 10 * most))
     top = F.call_function("approx_top_k", _key_hash(keyed, on), F.lit(most), F.lit(tracked))
     row = keyed.agg(F.count(F.lit(1)).alias("n"), top.alias("top")).first()
-    if not row["n"]:
-        return {}
     share = row["n"] / partitions
-    return {r["item"]: math.ceil(r["count"] / share) for r in row["top"] if r["count"] > share}
+    _sketched[same] = {r["item"]: math.ceil(r["count"] / share) for r in row["top"] or [] if r["count"] > share}
+    return _sketched[same]
 
 
 def _pieces(df: DataFrame, on: list[str], heavy: dict[int, int], name: str) -> DataFrame:
@@ -120,8 +169,9 @@ def balanced_join(
 ) -> DataFrame:
     """Inner or left equi-join with heavy keys cut into pieces on both sides.
 
-    A right side with unique keys (``right_unique``) has no heavy ones and is not examined.
-    ``heavy_from`` is a frame to read the left side's heavy keys from, such as the table the
+    A right side with unique keys (``right_unique``) has no heavy ones and is not examined; the left side's heavy keys
+    are then left to the adaptive planner, which cuts a partition of the left and reads that of the right again, so the
+    frame is built without a job. ``heavy_from`` is a frame to read the left side's heavy keys from, such as the table the
     key comes from when ``left`` is itself a join; it steers the balance only.
 
     Rows of a heavy key are dealt into the key's pieces, and the other side's rows of that
@@ -142,7 +192,8 @@ def balanced_join(
     if spark.conf.get("spark.sql.shuffle.orderIndependentChecksum.enabled", "false").lower() != "true":
         raise ValueError("call session.configure first: dealing by row position needs the shuffle checksums")
     source = left if heavy_from is None else heavy_from
-    left_heavy = {k: n * FINENESS for k, n in heavy_keys(source, on, partitions).items()}
+    adaptive = all(spark.conf.get(f"spark.sql.adaptive.{x}", "true").lower() == "true" for x in ("enabled", "skewJoin.enabled"))
+    left_heavy = {} if right_unique and adaptive else {k: n * FINENESS for k, n in heavy_keys(source, on, partitions).items()}
     right_heavy = {} if right_unique else heavy_keys(right, on, partitions)
 
     deal, null_pieces = F.monotonically_increasing_id(), partitions * FINENESS

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from starmart.session import range_partitions, stage
 
 
-def dense_id(df: DataFrame, order: list[str], name: str, partitions: int | None = None) -> DataFrame:
-    """Add ``name`` = position of the row in ``order``, from 1.
+def dense_id(df: DataFrame, order: list[str], name: str, partitions: int | None = None, after: int = 0) -> DataFrame:
+    """Add ``name`` = position of the row in ``order``, from 1, or from the number that follows ``after``.
 
     Rows are range-partitioned by all order columns (so a value held by a third of the
     rows is still split by the next order column), sorted per partition, and numbered by
@@ -28,7 +28,7 @@ def dense_id(df: DataFrame, order: list[str], name: str, partitions: int | None
     # monotonically_increasing_id = partition number in the upper 31 bits, place in the lower 33
     part, place = F.shiftright("_row", 33).cast("int"), F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))
     sizes = {r["p"]: r["n"] for r in placed.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    offsets, total = [], 0
+    offsets, total = [], after
     for p in sorted(sizes):
         offsets.append((p, total))
         total += sizes[p]

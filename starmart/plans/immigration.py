@@ -15,6 +15,7 @@ from starmart.contracts import (
     split_rows,
 )
 from starmart.functions.times import calendar, sas_days_to_date
+from starmart.operators.aggregates import Measure, add_batch, finished
 from starmart.operators.filters import present, since_year
 from starmart.operators.joins import lookup_join, two_role_lookup
 from starmart.session import stage
@@ -73,6 +74,30 @@ def immigration_fact(records: DataFrame) -> DataFrame:
     return named.groupBy(*FACT_COLUMNS.values()).agg(F.count(F.lit(1)).alias("count"))
 
 
+_COUNT = [Measure("count", "count")]
+_MEAN = [Measure("average_temperature", "avg", "average_temperature")]
+
+
+def add_to_fact(records: DataFrame, root: str, buckets: int | None = None) -> str:
+    """Merge the counts of new records into the stored fact under ``root``."""
+    named = records.select(*[F.col(c).alias(n) for c, n in FACT_COLUMNS.items()])
+    return add_batch(named, root, list(FACT_COLUMNS.values()), _COUNT, buckets)
+
+
+def fact_of(stored: DataFrame) -> DataFrame:
+    return finished(stored, list(FACT_COLUMNS.values()), _COUNT)
+
+
+def add_temperatures(temperatures: DataFrame, root: str, since: int = 1900, buckets: int | None = None) -> str:
+    """Merge the sums and counts of new readings into the stored ones under ``root``."""
+    kept = temperatures.filter(since_year("date", since)).withColumnRenamed("country_name", "country")
+    return add_batch(kept, root, ["country", "date"], _MEAN, buckets)
+
+
+def temperatures_of(stored: DataFrame) -> DataFrame:
+    return finished(stored, ["country", "date"], _MEAN)
+
+
 def arrival_dates(records: DataFrame, ordered: bool = False) -> DataFrame:
     """Distinct arrival dates with year, month, day; newest first when ``ordered``."""
     dates = records.select(F.col("arrival_date").alias("date")).distinct()

@@ -136,20 +136,22 @@ def _match_frame(songs: DataFrame, keys: dict[str, str]) -> DataFrame:
     )
 
 
-def songplays_by_title(plays: DataFrame, songs: DataFrame, order: list[str], key: str = "songplay_id") -> DataFrame:
-    """Left join on artist name and title, with dense ids in play order.
+def songplays_by_title(
+    plays: DataFrame, songs: DataFrame, order: list[str], key: str = "songplay_id", after: int = 0
+) -> DataFrame:
+    """Left join on artist name and title, with dense ids in play order, from the number that follows ``after``.
 
     A play whose title has several song records yields one row for each. ``order`` is
     ``ts`` and whatever makes a play unique; song and artist id complete it.
     """
-    joined = lookup_join(plays, _match_frame(songs, {}), ["song", "artist"], "left")
+    joined = lookup_join(plays, _match_frame(songs, {}), ["song", "artist"], "left", skip_unmatched=True)
     timed = joined.withColumn("start_time", start_time("millis"))
     fact = timed.select(
         *FACT_COLUMNS,
         *calendar("start_time", ["month", "year"]),
         *[F.col(c).alias(f"_o_{c}") for c in order],
     )
-    numbered = dense_id(fact, [*[f"_o_{c}" for c in order], "song_id", "artist_id"], key)
+    numbered = dense_id(fact, [*[f"_o_{c}" for c in order], "song_id", "artist_id"], key, after=after)
     return numbered.select(key, *[c for c in fact.columns if not c.startswith("_o_")])
 
 
@@ -163,7 +165,7 @@ def songplays_rounded(plays: DataFrame, songs: DataFrame, key: str = "session_se
     rounded = "decimal(18,0)"
     sides = plays.withColumn("length", F.col("length").cast(rounded))
     lookup = _match_frame(songs.withColumn("duration", F.col("duration").cast(rounded)), {"length": "duration"})
-    joined = lookup_join(sides, lookup, ["song", "artist", "length"], "left").withColumn(
+    joined = lookup_join(sides, lookup, ["song", "artist", "length"], "left", skip_unmatched=True).withColumn(
         "start_time", start_time("seconds")
     )
     ids = {
@@ -209,15 +211,17 @@ def warehouse_mart(events: DataFrame, songs: DataFrame, action: str = "NextSong"
     }
 
 
-def lake_mart(events: DataFrame, songs: DataFrame, order: list[str], action: str = "NextSong") -> dict[str, DataFrame]:
-    """Distinct rows and a fact numbered in play order, for partitioned Parquet."""
+def lake_mart(
+    events: DataFrame, songs: DataFrame, order: list[str], action: str = "NextSong", after: int = 0
+) -> dict[str, DataFrame]:
+    """Distinct rows and a fact numbered in play order, above ``after``, for partitioned Parquet."""
     plays = plays_of(events, action)
     return {
         "songs": songs_distinct(songs),
         "artists": artists_distinct(songs),
         "users": users_distinct(plays),
         "time": time_with_epoch(plays),
-        "songplays": songplays_by_title(plays, songs, order),
+        "songplays": songplays_by_title(plays, songs, order, after=after),
     }
 
 

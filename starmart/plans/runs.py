@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starmart.contracts import (
     EVENT_PATHS,
@@ -19,7 +20,10 @@ from starmart.operators.checks import TableCheck, enforce, run_checks
 from starmart.plans import immigration, music, session_items
 from starmart.session import stage
 from starmart.sinks.files import write_parquet, write_quoted_csv, write_songs
+from starmart.sinks.commits import newest, read_parts
 from starmart.sinks.loads import (
+    append,
+    append_new,
     insert_first_wins,
     insert_numbered,
     ledger,
@@ -209,6 +213,36 @@ def run_lake(
     write_lake_mart(music.lake_mart(plays, songs, order, action), root)
 
 
+def run_lake_increment(
+    spark: SparkSession,
+    event_paths: str | list[str],
+    song_paths: str | list[str],
+    root: str,
+    order: list[str],
+    action: str = "NextSong",
+    malformed: str = "fail",
+) -> None:
+    """Add the plays of further files to data-lake tables that keep their rows (committed loads under ``root``).
+
+    Plays are numbered on from the highest stored number, without a gap. Of the dimensions only rows that are not there
+    yet are added. The fact is published last, so a load that breaks off before can be run again.
+    """
+    events = _parsed(partial(read_json_paths, spark, event_paths, EVENT_PATHS, STAGED_EVENTS), malformed, "events", root)
+    needed = [*music.USER_COLUMNS, "page", "ts", "song", "artist", "session_id", "location", "user_agent", *order]
+    plays = stage(music.plays_of(events, action).select(*dict.fromkeys(needed)), "plays")
+    songs = stage(_parsed(partial(read_json_auto, spark, song_paths, STAGED_SONGS), malformed, "songs", root), "songs")
+    fact = f"{root}/songplays"
+    stored = newest(spark, fact)
+    high = read_parts(spark, fact, stored).agg(F.coalesce(F.max("songplay_id"), F.lit(0))).first()[0] if stored else 0
+    mart = music.lake_mart(plays, songs, order, action, after=high)
+    for name, partition_by in (("songs", ["year"]), ("artists", []), ("users", []), ("time", ["year", "month"])):
+        append_new(mart[name], f"{root}/{name}", mart[name].columns, partition_by=partition_by)
+    if stored:
+        append(mart["songplays"], fact)
+    else:
+        truncate_insert(mart["songplays"], fact, ["year", "month"])
+
+
 def run_query_tables(
     spark: SparkSession, event_paths: str | list[str], root: str, order: list[str] | None = None
 ) -> None:

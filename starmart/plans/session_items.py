@@ -92,7 +92,8 @@ def query_table(items: DataFrame, table: dict, order: list[str]) -> tuple[DataFr
 
 
 def write_query_table(rows: DataFrame, table: dict, path: str, partitions: int | None = None) -> None:
-    write_clustered(rows, path, table["key"], table["cluster"], partitions)
+    """Files by key range; the last key column has Bloom filters, for lookups that do not give the first."""
+    write_clustered(rows, path, table["key"], table["cluster"], partitions, bloom=table["key"][-1:])
 
 
 def lookup(rows: DataFrame, table: dict, **key: object) -> DataFrame:

@@ -182,6 +182,17 @@ def _rewrite(
     return _publish_rows(rows, root, others, [], commit.key, commit.buckets)
 
 
+def merge_into(
+    batch: DataFrame, root: str, key: list[str], merge: Callable[[DataFrame, DataFrame], DataFrame], buckets: int | None = None
+) -> str:
+    """Publish ``merge(stored rows, batch)``, where rows of other keys than the (staged) batch's stay as they are; the batch
+    itself makes a new table. ``buckets`` as in ``upsert``."""
+    commit = newest(batch.sparkSession, root)
+    if commit is None:
+        return truncate_insert(batch, root, buckets=buckets, key=key)
+    return _rewrite(batch, root, commit, key, merge)
+
+
 def replace_by_key(df: DataFrame, root: str, key: list[str], buckets: int | None = None) -> str:
     """Insert a batch whose keys may have several rows each, in place of the stored rows of those keys.
 

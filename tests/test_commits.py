@@ -128,3 +128,24 @@ def test_tables_without_rows_keep_their_columns(spark, tmp_path):
     assert read_current(spark, root).columns == ["id", "year"] and read_current(spark, root).count() == 0
     truncate_insert(spark.range(0), root, buckets=4, key=["id"])
     assert read_current(spark, root).columns == ["id"]
+
+
+def scanned_rows(df):
+    """Rows that the file scan of a plan gave out, from its metric."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    plan = leaves.apply(0)
+    plan = plan.executedPlan().collectLeaves().apply(0) if plan.getClass().getSimpleName().startswith("Adaptive") else plan
+    return plan.metrics().apply("numOutputRows").value()
+
+
+def test_lookups_skip_row_groups_by_bloom_filter(spark, tmp_path):
+    df = spark.range(40_000).select(F.md5(F.col("id").cast("string")).alias("key"), "id").repartition(8)
+    paths = {bloom: str(tmp_path / f"t{bloom}") for bloom in (False, True)}
+    for bloom, path in paths.items():
+        write_parquet(df, path, bloom=["key"] if bloom else None)
+    keys = [df.first()["key"], "7" * 32]  # one that is there and one that is not, both inside every file's range
+    found = {b: [scanned_rows(spark.read.parquet(p).filter(F.col("key") == k)) for k in keys] for b, p in paths.items()}
+    assert found[False] == [40_000, 40_000]
+    assert found[True][0] <= 10_000 and found[True][1] == 0
+    assert spark.read.parquet(paths[True]).filter(F.col("key") == keys[0]).count() == 1

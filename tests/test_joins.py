@@ -4,7 +4,8 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from starmart.operators.joins import balanced_join, heavy_keys, lookup_first, lookup_join, one_per_key, two_role_lookup
+from starmart.operators import joins
+from starmart.operators.joins import balanced_join, heavy_keys, lookup_first, lookup_join, one_per_key, split_by_keys, two_role_lookup
 from starmart.plans.music import songplays_lookup
 
 SONGS = [("S1", "T", "A", 152.92), ("S2", "T", "A", 152.92), ("S3", "T", "A", 153.40)]
@@ -201,3 +202,63 @@ def test_every_play_once(spark):
     fact = songplays_lookup(plays, records, artists)
     assert fact.count() == 3
     assert sorted(str(r["song_id"]) for r in fact.collect()) == ["None", "None", "S1"]
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 23])
+@pytest.mark.parametrize("seed", range(3))
+def test_rows_that_cannot_match_are_added_back(spark, no_broadcast, monkeypatch, bits, seed, plan):
+    rng = random.Random(seed)
+    left = [(rng.choice([None, *range(40)]), rng.choice([None, "a", "b"]), i) for i in range(400)]
+    right = [(rng.choice([None, *range(30, 60)]), rng.choice([None, "a", "c"]), i) for i in range(80)]
+    monkeypatch.setattr(joins.split_by_keys, "__defaults__", (bits,))
+    a = spark.createDataFrame(left, "k int, t string, v int").repartition(3)
+    b = spark.createDataFrame(right, "k int, t string, w int")
+    df = lookup_join(a, b, ["k", "t"], "left", skip_unmatched=True)
+    got = Counter(map(tuple, df.select("k", "t", "v", "w").collect()))
+    assert got == Counter(map(tuple, a.join(b, ["k", "t"], "left").select("k", "t", "v", "w").collect()))
+    may, cannot = split_by_keys(a, b, ["k", "t"], bits)
+    keys = {(k, t) for k, t, _ in right if k is not None and t is not None}
+    met = {tuple(r)[:2] for r in may.collect()}
+    assert may.count() + cannot.count() == 400 and not {tuple(r)[:2] for r in cannot.collect()} & keys
+    if bits > 64:
+        assert met <= keys and "Subquery" in plan(may) and "Exchange" in plan(df)
+
+
+def jobs_before_the_action(spark, build):
+    spark.sparkContext.setJobGroup("built", "jobs of building a frame")
+    try:
+        build()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup("built"))
+    finally:
+        spark.sparkContext.setJobGroup("other", "")
+
+
+def test_frames_are_built_with_one_job_a_source(spark, no_broadcast, tmp_path):
+    for name in ("plays", "songs"):
+        spark.range(3000).selectExpr("id % 7 AS k", "id AS v").write.parquet(str(tmp_path / name))
+    a, b = (spark.read.parquet(str(tmp_path / n)) for n in ("plays", "songs"))
+    unique = b.groupBy("k").agg(F.min("v").alias("w"))
+    assert jobs_before_the_action(spark, lambda: balanced_join(a, unique, ["k"], right_unique=True)) == 0
+    joins._sketched.clear()
+    balanced_join(a, b.withColumnRenamed("v", "w"), ["k"])  # sketches either side, and stages the pieces
+    kept = dict(joins._sketched)
+    assert len(kept) == 2
+    balanced_join(a, b.withColumnRenamed("v", "x"), ["k"])  # the same keys of the same sources
+    assert joins._sketched == kept
+
+
+def test_hot_left_key_of_a_unique_lookup_is_split_by_the_planner(spark, no_broadcast):
+    from conftest import plan_of
+
+    sizes = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10kb", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10kb", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    for k, v in sizes.items():
+        spark.conf.set(k, v)
+    try:
+        left = spark.range(60_000).repartition(6).select(F.when(F.col("id") % 2 == 0, 7).otherwise(F.col("id") % 500).alias("k"), "id")
+        df = balanced_join(left, spark.range(500).select(F.col("id").alias("k"), F.col("id").alias("w")), ["k"], right_unique=True)
+        assert df.count() == 60_000
+        df.collect()
+        assert "skew=true" in plan_of(df)
+    finally:
+        for k in sizes:
+            spark.conf.unset(k)
