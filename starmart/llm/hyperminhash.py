@@ -1,16 +1,21 @@
 """Near duplicates by HyperMinHash.
 
-A set of word shingles is hashed into buckets, and each bucket keeps of its smallest hash the number of leading zeros
-and the first mantissa bits, in 16 bits together. Two sets have equal registers where the smallest hash is shared, and
-by chance where two different ones look alike; the estimate of their similarity takes the expected collisions off.
-
-Bands of registers are keys of posting lists. The members of a list are compared with the one that shares lists with
-most others, pairs whose estimate is not too low are verified on the whole sets, and what links is joined. Then all
-pairs of a list that lie in different components are tried as well, in blocks of bounded size: members of one component
-are never paired again, and no link between two components is left out.
-
-The only chance left is in the registers: two sets at 0.8 share no band of four in 32 with a chance of 5e-8 (of five
-shingles, one of them different, 1e-6), and estimate six deviations too low with one of 1e-8; more alike sets with less.
+A set of word shingles is hashed into 512 buckets, and each bucket keeps of its smallest hash the number of leading zeros
+and the first mantissa bits. Two sets have equal registers where the smallest hash is shared, and by chance where two
+different ones look alike.
+
+For the index registers have ten mantissa bits, four neighbouring buckets give the smallest of theirs, and bands of four
+of these are keys of posting lists. For the estimate they are compressed to eight bits, three of the mantissa, and the
+expected collisions are taken off.
+
+The members of a list are compared with the one that shares lists with most others, pairs whose estimate is not too low
+are verified on the whole sets, and what links is joined. Then all other pairs of a list that lie in different components
+are tried as well, in blocks of bounded size: members of one component are never paired again, and no link between two
+components is left out.
+
+A pair is ruled out for certain if more registers differ than hashes can at that similarity. The only chance is in the
+rest: two sets at 0.8 share no band of four in 32 with a chance of 5e-8 (of five shingles, one of them different, 1e-6),
+and estimate six deviations too low with one of 1e-8; more alike sets with less.
 """
 
 from __future__ import annotations
@@ -29,11 +34,11 @@ from starmart.llm.simhash import components, shingle_hashes
 from starmart.session import stage
 
 SHINGLE, PERCENT = 4, 80
-#: Buckets are the first seven bits of a hash; a register is a count of zeros over ten mantissa bits, 0 if empty.
-BUCKET_BITS, MANTISSA_BITS = 7, 10
-BUCKETS = 1 << BUCKET_BITS
-ROWS = 4
-BANDS = BUCKETS // ROWS
+#: Buckets are the first nine bits of a hash. A register is 0 for an empty bucket, else one more than the count of zeros
+#: over the mantissa's complement, so that the register of a smaller hash is larger: 6 and 10 bits, compressed 5 and 3.
+BUCKET_BITS, MANTISSA_BITS, SHORT_MANTISSA, MOST_ZEROS = 9, 10, 3, 30
+BUCKETS, FOLD, ROWS = 1 << BUCKET_BITS, 4, 4
+BANDS = BUCKETS // FOLD // ROWS
 #: Standard deviations that an estimate may fall short.
 SLACK = 6.0
 #: Members of a posting list that are compared in one block, and cells of a block looked at at once.
@@ -46,17 +51,21 @@ def registers(h: np.ndarray) -> np.ndarray:
     if not len(h):
         return out
     bucket = (h >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
-    filled, first = np.unique(bucket, return_index=True)  # the first of a bucket is its smallest
+    first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))  # the first of a bucket is its smallest
     low = h[first] << np.uint64(BUCKET_BITS)
-    zeros = np.full(len(low), 64 - BUCKET_BITS, np.int64)
-    some = low != 0
-    zeros[some] = 53 - np.frexp((low[some] >> np.uint64(11)).astype(np.float64))[1]
-    zeros = np.minimum(zeros, 64 - BUCKET_BITS)
-    after = np.where(some, low << (zeros + 1).astype(np.uint64), np.uint64(0))
-    out[filled] = ((zeros + 1) << MANTISSA_BITS).astype(np.uint16) | (after >> np.uint64(64 - MANTISSA_BITS)).astype(np.uint16)
+    zeros = np.minimum(53 - np.frexp((low >> np.uint64(11)).astype(np.float64))[1], 64 - BUCKET_BITS)
+    after = low << np.minimum(zeros + 1, 63).astype(np.uint64)
+    mantissa = (after >> np.uint64(64 - MANTISSA_BITS)).astype(np.int64)
+    out[bucket[first]] = ((zeros + 1) << MANTISSA_BITS) | (mantissa ^ ((1 << MANTISSA_BITS) - 1))
     return out
 
 
+def compressed(regs: np.ndarray) -> np.ndarray:
+    """Registers of eight bits."""
+    zeros, mantissa = np.minimum(regs >> MANTISSA_BITS, MOST_ZEROS + 1), regs & ((1 << MANTISSA_BITS) - 1)
+    return np.where(regs == 0, 0, (zeros << SHORT_MANTISSA) | (mantissa >> (MANTISSA_BITS - SHORT_MANTISSA))).astype(np.uint8)
+
+
 def collision_rate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """The chance that two independent buckets of sets of ``a`` and ``b`` shingles, both filled, have equal registers.
 
@@ -66,8 +75,8 @@ def collision_rate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """
     m, n = np.asarray(a, np.float64) / BUCKETS, np.asarray(b, np.float64) / BUCKETS
     s, total = m + n, np.zeros(np.shape(m))
-    for z in range(64 - BUCKET_BITS):
-        low, width = 2.0 ** -(z + 1), 2.0 ** -(z + 1 + MANTISSA_BITS)
+    for z in range(MOST_ZEROS):
+        low, width = 2.0 ** -(z + 1), 2.0 ** -(z + 1 + SHORT_MANTISSA)
         total = total + width * m * n / np.maximum(s, 1e-300) * (np.exp(-s * low) - np.exp(-2 * s * low))
     filled = -np.expm1(-m) * -np.expm1(-n)
     return np.clip(total / np.maximum(filled, 1e-300), 0.0, 1.0)
@@ -80,26 +89,33 @@ def estimate(equal: np.ndarray, used: np.ndarray, a: np.ndarray, b: np.ndarray)
 
 
 def plausible(x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
-    """Which rows of two register tables may be of sets as alike as that."""
+    """Which rows of two tables of compressed registers may be of sets as alike as that.
+
+    For certain not, if more registers differ than the sets have hashes of their own at that similarity: a bucket in
+    which both have the same hashes has the same register. Else by the estimate.
+    """
     used = ((x | y) != 0).sum(1)
-    equal = ((x == y) & (x != 0)).sum(1)
+    different = (x != y).sum(1)
+    own = (a + b) * (100 - percent) / (100 + percent)
     p = percent / 100
-    return estimate(equal, used, a, b) >= p - SLACK * np.sqrt(p * (1 - p) / np.maximum(used, 1))
+    close = estimate(used - different, used, a, b) >= p - SLACK * np.sqrt(p * (1 - p) / np.maximum(used, 1))
+    return close & (different <= own + 1e-9)
 
 
 def sizes_fit(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return 100 * np.minimum(a, b) >= percent * np.maximum(a, b)
 
 
-def band_keys(table: np.ndarray) -> np.ndarray:
-    """A key for each band of each row; 0 for a band without any shingle."""
-    bands = np.ascontiguousarray(table).view(np.uint64).reshape(len(table), BANDS)
+def band_keys(regs: np.ndarray) -> np.ndarray:
+    """A key for each band of each row of registers; 0 for a band without any shingle."""
+    folded = np.ascontiguousarray(regs.reshape(-1, BUCKETS // FOLD, FOLD).max(2))
+    bands = folded.view(np.uint64).reshape(-1, BANDS)
     keys = mix64(bands + np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
     return np.where(bands != 0, np.where(keys == 0, np.uint64(1), keys), np.uint64(0))
 
 
-def _table(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, BUCKETS)
+def _table(column: pa.Array, kind: type = np.uint8, width: int = BUCKETS) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(-1, width)
 
 
 def _set(raw: bytes | None, shingle: int) -> np.ndarray:
@@ -119,20 +135,23 @@ def _row_hash(doc_id: np.ndarray) -> np.ndarray:
     return mix64(doc_id.view(np.uint64) + np.uint64(0x51ED270B))
 
 
-_PRINT = "doc_id long, n long, s1 long, s2 long, regs binary"
+_PRINT = "doc_id long, n long, s1 long, s2 long, keys binary, regs binary"
 
 
 def prints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``doc_id, n, s1, s2, regs`` of every row: the size of its set, the set's name and its registers."""
+    """``doc_id, n, s1, s2, keys, regs`` of every row: the size of its set, the set's name, its band keys and compressed
+    registers."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [_set(raw, shingle) for raw in batch.column(1).to_pylist()]
             names = np.array([_set_name(h) for h in sets], np.int64).reshape(-1, 2)
-            regs = pa.array([registers(h).tobytes() for h in sets], pa.binary())
+            full = np.array([registers(h) for h in sets], np.uint16).reshape(-1, BUCKETS)
+            keys = pa.array([k.tobytes() for k in band_keys(full)], pa.binary())
+            regs = pa.array([r.tobytes() for r in compressed(full)], pa.binary())
             size = pa.array([len(h) for h in sets], pa.int64())
-            cells = [batch.column(0), size, pa.array(names[:, 0]), pa.array(names[:, 1]), regs]
-            yield pa.RecordBatch.from_arrays(cells, names=["doc_id", "n", "s1", "s2", "regs"])
+            cells = [batch.column(0), size, pa.array(names[:, 0]), pa.array(names[:, 1]), keys, regs]
+            yield pa.RecordBatch.from_arrays(cells, names=["doc_id", "n", "s1", "s2", "keys", "regs"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary")).mapInArrow(run, _PRINT)
 
@@ -142,13 +161,13 @@ def _posted(classes: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = band_keys(_table(batch.column(1)))
+            keys = _table(batch.column(1), np.uint64, BANDS)
             row, band = np.nonzero(keys)
             node = batch.column(0).to_numpy()[row]
             cells = [pa.array(keys[row, band].view(np.int64)), pa.array(node), pa.array(band.astype(np.int32))]
             yield pa.RecordBatch.from_arrays(cells, names=["key", "node", "band"])
 
-    return classes.select("node", "regs").mapInArrow(run, "key long, node long, band int")
+    return classes.select("node", "keys").mapInArrow(run, "key long, node long, band int")
 
 
 def _lists(classes: DataFrame) -> DataFrame:
@@ -217,17 +236,19 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, shingle: in
 
 
 def _blocks(lists: DataFrame, roots: DataFrame) -> DataFrame:
-    """The members of lists with two components or more, dealt to blocks: ``key, i, j, side, band, node, root``.
+    """The members of lists that may hold untried pairs of two components, dealt to blocks: ``key, i, j, side, band, node,
+    root``.
 
-    The centre's component (*the* component) is not compared with itself: its members only meet the blocks of the
-    others. A short list is one block; of a long one every two blocks that may hold a pair meet in one.
+    Pairs with the centre have been tried, so it is left out. Its component (*main*) is not compared with itself: those
+    members only meet the blocks of the others. A short list is one block; of a long one every two blocks that may hold a
+    pair meet in one.
     """
     of = lambda side, name: roots.select(F.col("node").alias(side), F.col("root").alias(name))
-    held = lists.join(of("node", "root"), "node", "left").join(of("centre", "main"), "centre", "left")
+    held = lists.filter("size > 2 AND node <> centre").join(of("node", "root"), "node", "left").join(of("centre", "main"), "centre", "left")
     held = held.withColumn("root", F.coalesce("root", "node")).withColumn("main", F.coalesce("main", "centre"))
     other = F.sum((F.col("root") != F.col("main")).cast("long"))
-    mixed = held.groupBy("key").agg(other.alias("others")).filter("others > 0")
-    held = held.join(mixed, "key").withColumn("is_other", F.col("root") != F.col("main"))
+    mixed = held.groupBy("key").agg(other.alias("others"), F.min("root").alias("r0"), F.max("root").alias("r1"))
+    held = held.join(mixed.filter("r0 <> r1").select("key", "others"), "key").withColumn("is_other", F.col("root") != F.col("main"))
     short = F.col("size") <= BLOCK
     n_other, n_main = F.ceil(F.col("others") / BLOCK), F.ceil((F.col("size") - F.col("others")) / BLOCK)
     held = held.withColumn("n_other", F.when(short, 1).otherwise(n_other)).withColumn("n_all", F.when(short, 1).otherwise(n_other + n_main))
@@ -248,9 +269,8 @@ def _cross(percent: int):
     """Of blocks sorted by key, i and j, the plausible pairs of different components; a pair that meets in several bands
     comes from the first of them."""
 
-    def of_block(i, j, side, band, node, root, n, table) -> Iterator[pa.RecordBatch]:
+    def of_block(i, j, side, band, node, root, n, bands, table) -> Iterator[pa.RecordBatch]:
         length = len(node)
-        bands = np.ascontiguousarray(table).view(np.uint64).reshape(length, BANDS)
         rows = max(1, CELLS // length)
         for lo in range(0, length - 1, rows):
             x, y = np.arange(lo, min(lo + rows, length))[:, None], np.arange(length)[None, :]
@@ -272,15 +292,15 @@ def _cross(percent: int):
         new = (key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
         edges = np.flatnonzero(np.concatenate([[True], new, [True]]))
         for lo, hi in zip(edges[:-1], edges[1:]):
-            side, band, node, root, n, table = (c[lo:hi] for c in cells[3:])
-            yield from of_block(i[lo], j[lo], side, band[0], node, root, n, table)
+            side, band, *rest = (c[lo:hi] for c in cells[3:])
+            yield from of_block(i[lo], j[lo], side, band[0], *rest)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            got = [c.to_numpy() for c in batch.columns[:8]] + [_table(batch.column(8))]
+            got = [c.to_numpy() for c in batch.columns[:8]] + [_table(batch.column(8), np.uint64, BANDS), _table(batch.column(9))]
             if held and all(c[-1] == h[0] for c, h in zip(got[:3], held[0])):  # still in the block the held rows are of
                 held.append(got)
                 continue
@@ -297,13 +317,27 @@ def _cross(percent: int):
     return run
 
 
-def _crossing(lists: DataFrame, roots: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Every plausible pair of a list between two components, staged: ``x, y``."""
-    blocks = _blocks(lists, roots).join(classes.select("node", "n", "regs"), "node")
+def _crossing(lists: DataFrame, roots: DataFrame, classes: DataFrame, tried: DataFrame, percent: int) -> DataFrame:
+    """Every plausible pair of a list between two components that was not tried before, staged: ``x, y``."""
+    blocks = _blocks(lists, roots).join(classes.select("node", "n", "keys", "regs"), "node")
     n = int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     order = ["key", "i", "j"]
-    held = blocks.select(*order, "side", "band", "node", "root", "n", "regs").repartition(n, *order).sortWithinPartitions(*order)
-    return stage(held.mapInArrow(_cross(percent), "x long, y long"), "crossing")
+    held = blocks.select(*order, "side", "band", "node", "root", "n", "keys", "regs").repartition(n, *order).sortWithinPartitions(*order)
+    found = held.mapInArrow(_cross(percent), "x long, y long")
+    both = tried.unionByName(tried.select(F.col("y").alias("x"), F.col("x").alias("y")))
+    return stage(found.join(both, ["x", "y"], "left_anti"), "crossing")
+
+
+def _joined(roots: DataFrame, more: DataFrame) -> DataFrame:
+    """The roots after further links: components of the components that those connect."""
+    of = lambda side: roots.select(F.col("node").alias(side), F.col("root").alias(f"r{side}"))
+    between = more.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    between = stage(between.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).distinct(), "between")
+    met = stage(components(between), "met").withColumnsRenamed({"node": "old", "root": "new"})
+    known = roots.join(met, roots["root"] == met["old"], "left").select("node", F.coalesce("new", "root").alias("root"))
+    # sets that were alone until now
+    alone = met.join(roots, met["old"] == roots["node"], "left_anti").select(F.col("old").alias("node"), F.col("new").alias("root"))
+    return stage(known.unionByName(alone), "roots")
 
 
 def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -317,16 +351,20 @@ def linked(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> D
     repeated. Only ``doc_id`` and ``text`` are read; no rows in, no rows out.
     """
     held = stage(prints(docs, shingle), "prints")
-    grouped = held.filter("n > 0").groupBy("s1", "s2").agg(F.min("doc_id").alias("least"), F.max("n").alias("n"), F.first("regs").alias("regs"))
+    grouped = held.filter("n > 0").groupBy("s1", "s2").agg(
+        F.min("doc_id").alias("least"), F.max("n").alias("n"), F.first("keys").alias("keys"), F.first("regs").alias("regs")
+    )
     classes = stage(grouped.withColumn("node", F.monotonically_increasing_id()), "classes")
     lists = _lists(classes)
     stars = lists.filter("node <> centre").select(F.col("node").alias("x"), F.col("centre").alias("y")).distinct()
-    links = _verified(docs, classes, _with_registers(stars, classes, percent), shingle, percent)
+    tried = _with_registers(stars, classes, percent)
+    links = _verified(docs, classes, tried, shingle, percent)
     roots = components(links)
-    crossing = _crossing(lists, roots, classes, percent)
+    crossing = _crossing(lists, roots, classes, tried, percent)
     if crossing.limit(1).count():
         more = _verified(docs, classes, crossing, shingle, percent)
-        roots = components(links.unionByName(more))
+        if more.limit(1).count():
+            roots = _joined(roots, more)
     rooted = classes.select("s1", "s2", "node", "least").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(ids, "root").select("s1", "s2", "component_id")

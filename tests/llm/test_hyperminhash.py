@@ -9,7 +9,7 @@ from tests_llm_data import EDGE, prose
 
 from starmart.llm import hyperminhash
 from starmart.llm.common import ASCII_LOWER, mix64
-from starmart.llm.hyperminhash import band_keys, collision_rate, estimate, linked, one_of_each, registers
+from starmart.llm.hyperminhash import band_keys, collision_rate, compressed, estimate, linked, one_of_each, plausible, registers
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -95,7 +95,7 @@ def test_hot_group_is_not_paired_with_itself(spark, frame):
     df = frame([(i, t, "en", "s", 0) for i, t in rows])
     assert len({c for *_, c, _ in result(linked(df))}) == 1
     classes = hyperminhash.stage(
-        hyperminhash.prints(df).groupBy("s1", "s2").agg({"regs": "first", "n": "max"}).toDF("s1", "s2", "regs", "n")
+        hyperminhash.prints(df).groupBy("s1", "s2").agg({"keys": "first", "n": "max"}).toDF("s1", "s2", "keys", "n")
         .selectExpr("*", "monotonically_increasing_id() AS node")
     )
     lists = hyperminhash._lists(classes)
@@ -117,34 +117,46 @@ def sets(n, share, seed):
 def test_estimate(n, share):
     found = []
     for seed in range(60):
-        a, b = (registers(x)[None, :] for x in sets(n, share, seed))
+        a, b = (compressed(registers(x))[None, :] for x in sets(n, share, seed))
         used, equal = ((a | b) != 0).sum(1), ((a == b) & (a != 0)).sum(1)
         found.append(float(estimate(equal, used, np.array([n]), np.array([n]))[0]))
     assert abs(np.mean(found) - share) < 0.02
 
 
 def test_collision_rate_is_what_is_met():
-    """With few mantissa bits chance meetings are common enough to count."""
-    assert abs(float(collision_rate(np.array([10**5]), np.array([10**5]))[0]) - 1.7e-4 * 1.0) < 2e-4
-    old = hyperminhash.MANTISSA_BITS
-    try:
-        hyperminhash.MANTISSA_BITS = 2
+    for n in (1500, 40_000):
         met = []
         for seed in range(40):
-            a, b = (registers(x) for x in sets(40_000, 0.0, seed))
-            met.append((a == b).mean())
-        assert abs(np.mean(met) - float(collision_rate(np.array([40_000]), np.array([40_000]))[0])) < 0.01
-    finally:
-        hyperminhash.MANTISSA_BITS = old
+            a, b = (compressed(registers(x)) for x in sets(n, 0.0, seed))
+            met.append(((a == b) & (a != 0)).sum() / ((a != 0) & (b != 0)).sum())
+        assert abs(np.mean(met) - float(collision_rate(np.array([n]), np.array([n]))[0])) < 0.005
+
+
+@pytest.mark.parametrize("n", [5, 9, 40, 170, 600, 5000, 60_000])
+def test_no_pair_at_the_bound_is_ruled_out(n):
+    for seed in range(150):
+        a, b = sets(n, 0.8, seed)
+        x, y = registers(a), registers(b)
+        both = len(np.intersect1d(a, b))
+        if 100 * both >= 80 * (len(a) + len(b) - both):
+            assert plausible(compressed(x)[None, :], compressed(y)[None, :], np.array([len(a)]), np.array([len(b)]), 80).all()
+            k, m = band_keys(np.stack([x, y]))
+            assert ((k == m) & (k != 0)).any()
+    a, b = sets(n, 0.55, 1)
+    assert n < 40 or not plausible(compressed(registers(a))[None, :], compressed(registers(b))[None, :], np.array([n]), np.array([n]), 80).any()
 
 
 def test_registers_keep_the_smallest_of_a_bucket():
     h = np.sort(mix64(np.arange(1, 5000, dtype=np.uint64)))
-    got = registers(h)
-    for b in (0, 5, 127):
-        low = min(int(x) for x in h if int(x) >> 57 == b) << 7 & (1 << 64) - 1
+    got, short = registers(h), compressed(registers(h))
+    for b in (0, 5, 511):
+        low = min(int(x) for x in h if int(x) >> 55 == b) << 9 & (1 << 64) - 1
         bits = f"{low:064b}"
         zeros = len(bits) - len(bits.lstrip("0"))
-        assert int(got[b]) == (zeros + 1) << 10 | int(bits[zeros + 1 : zeros + 11].ljust(10, "0"), 2)
+        mantissa = int(bits[zeros + 1 : zeros + 11].ljust(10, "0"), 2)
+        assert int(got[b]) == (zeros + 1) << 10 | 1023 - mantissa
+        assert int(short[b]) == (zeros + 1) << 3 | (1023 - mantissa) >> 7
     assert not registers(np.zeros(0, np.uint64)).any() and registers(np.zeros(1, np.uint64))[0] > 0
     assert (band_keys(registers(h[:3])[None, :]) != 0).sum() <= 3
+    top = registers(h).reshape(128, 4).max(1)
+    assert top[7] == max(registers(h[(h >> np.uint64(57)) == 7]))
