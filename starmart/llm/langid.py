@@ -21,8 +21,8 @@ from starmart.llm.common import code_points, held_out, mix64
 from starmart.llm.learning import bounded_sample, softmax
 
 BUCKETS, WIDTH, GRAMS = 4096, 16, (1, 2, 3, 4)
-#: Bound of the training sample: rows of each language.
-PER_LANGUAGE = 400
+#: Bounds of the training sample: rows of each language, and rows in all (with many languages each has fewer).
+PER_LANGUAGE, MOST_ROWS = 400, 20_000
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -57,11 +57,31 @@ class Model:
     reject_below: float
 
     def scores(self, x: np.ndarray) -> np.ndarray:
-        return softmax((np.tanh(x @ self.embeddings) @ self.weights + self.bias) / self.temperature)
+        return softmax((x @ self.embeddings @ self.weights + self.bias) / self.temperature)
 
 
-def train(x: np.ndarray, y: np.ndarray, languages: list[str], epochs: int = 30, rate: float = 2.0, seed: int = 7, accept: float = 0.99) -> Model:
-    """Embeddings and softmax by stochastic gradient descent; each fifth row calibrates.
+@dataclass(frozen=True)
+class Rows:
+    """Vectors with few entries: of row i the places and shares between ``edges[i]`` and ``edges[i + 1]``."""
+
+    edges: np.ndarray
+    at: np.ndarray
+    share: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.edges) - 1
+
+    def some(self, which: np.ndarray) -> np.ndarray:
+        """Some rows in full."""
+        out = np.zeros((len(which), BUCKETS), np.float32)
+        for i, row in enumerate(which):
+            part = slice(self.edges[row], self.edges[row + 1])
+            out[i, self.at[part]] = self.share[part]
+        return out
+
+
+def train(x: Rows, y: np.ndarray, languages: list[str], epochs: int = 30, rate: float = 1.0, seed: int = 7, accept: float = 0.99) -> Model:
+    """Embeddings and softmax by stochastic gradient descent, 16 rows a step; each fifth row calibrates.
 
     The temperature is the one of least log loss on those rows. ``reject_below`` is the smallest probability above
     which at least ``accept`` of their predictions are right.
@@ -71,42 +91,45 @@ def train(x: np.ndarray, y: np.ndarray, languages: list[str], epochs: int = 30,
     e = rng.normal(0, 1.0, (BUCKETS, WIDTH)).astype(np.float32)
     w, b = rng.normal(0, 0.1, (WIDTH, n_lang)).astype(np.float32), np.zeros(n_lang, np.float32)
     rest = np.arange(len(y)) % 5 == 0 if len(y) >= 50 else np.zeros(len(y), bool)
-    # shares are small numbers: centre nothing, but scale them so that frequent n-grams move the average
-    scale = np.float32(10.0)
-    xs, ys = x[~rest] * scale, y[~rest]
+    # shares are small numbers: scale them so that frequent n-grams move the average
+    scale, learn = np.float32(10.0), np.flatnonzero(~rest)
     for epoch in range(epochs):
         step = np.float32(rate / (1 + 0.1 * epoch))
-        for part in np.array_split(rng.permutation(len(ys)), max(1, len(ys) // 16)):
-            xb = xs[part]
-            hidden = np.tanh(xb @ e)
+        for part in np.array_split(rng.permutation(learn), max(1, len(learn) // 16)):
+            xb = x.some(part) * scale
+            hidden = xb @ e
             g = softmax(hidden @ w + b)
-            g[np.arange(len(part)), ys[part]] -= 1
+            g[np.arange(len(part)), y[part]] -= 1
             g /= len(part)
-            gh = (g @ w.T) * (1 - hidden**2)
+            gh = g @ w.T
             w -= step * 0.2 * (hidden.T @ g)
             b -= step * 0.2 * g.sum(0)
             e -= step * (xb.T @ gh)
     made = Model(languages, e * scale, w, b, 1.0, 0.0)
     if not rest.any():
         return made
-    z = np.tanh(x[rest] @ made.embeddings) @ w + b
-    losses = {t: -np.log(softmax(z / t)[np.arange(rest.sum()), y[rest]] + 1e-12).mean() for t in (0.25, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0, 5.0)}
+    held, want = np.flatnonzero(rest), y[rest]
+    z = np.concatenate([x.some(part) @ made.embeddings @ w + b for part in np.array_split(held, max(1, len(held) // 256))])
+    losses = {t: -np.log(softmax(z / t)[np.arange(len(held)), want] + 1e-12).mean() for t in (0.25, 0.5, 0.75, 1.0, 1.5, 2.0, 3.0, 5.0)}
     t = min(losses, key=losses.get)
     p = softmax(z / t)
-    top, right = p.max(1), p.argmax(1) == y[rest]
+    top, right = p.max(1), p.argmax(1) == want
     order = np.argsort(-top)
     good = np.cumsum(right[order]) / np.arange(1, len(order) + 1) >= accept
     cut = float(top[order][np.flatnonzero(good)[-1]]) if good.any() else 1.0
     return Model(languages, e * scale, w, b, t, cut)
 
 
-def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
+def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, most_rows: int = MOST_ROWS) -> Model:
     """Learn from ``text`` and non-null ``lang`` of the rows that ``held_out`` leaves.
 
-    ``per_language`` bounds the sample. Texts without a letter teach nothing. Without any usable row
+    About ``per_language`` rows of each language are used, and ``most_rows`` in all. Only their entries reach the driver, and
+    no more than a step's rows are laid out in full. Texts without a letter teach nothing. Without any usable row
     the model knows no language, and every text is ``und``.
     """
     rows = docs.select("doc_id", "text", "lang").filter(~held_out())
+    known = rows.filter("lang IS NOT NULL").select("lang").distinct().count()
+    per_language = max(1, min(per_language, most_rows // max(known, 1)))
 
     def vectors(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -127,10 +150,11 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     sample = bounded_sample(rows, "lang", per_language).select("lang", "text", F.xxhash64("doc_id", "text").alias("k"))
     found = sorted(sample.mapInArrow(vectors, "lang string, at binary, share binary, k long").collect(), key=lambda r: (r["k"], r["lang"]))
     languages = sorted({r["lang"] for r in found})
-    x = np.zeros((len(found), BUCKETS), np.float32)
-    for i, r in enumerate(found):
-        x[i, np.frombuffer(r["at"], np.int16)] = np.frombuffer(r["share"], np.float32)
-    y = np.array([languages.index(r["lang"]) for r in found], np.int64)
+    number = {lang: i for i, lang in enumerate(languages)}
+    y = np.array([number[r["lang"]] for r in found], np.int64)
+    at = np.concatenate([np.zeros(0, np.int16), *(np.frombuffer(r["at"], np.int16) for r in found)])
+    share = np.concatenate([np.zeros(0, np.float32), *(np.frombuffer(r["share"], np.float32) for r in found)])
+    x = Rows(np.cumsum([0, *(len(r["at"]) // 2 for r in found)]), at, share)
     if not languages:
         return Model([], np.zeros((BUCKETS, WIDTH), np.float32), np.zeros((WIDTH, 0), np.float32), np.zeros(0, np.float32), 1.0, 0.0)
     return train(x, y, languages)

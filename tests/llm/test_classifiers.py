@@ -3,7 +3,7 @@ import zlib
 import numpy as np
 import pyarrow.parquet as pq
 import pytest
-from tests_llm_data import EDGE
+from tests_llm_data import EDGE, prose
 
 from starmart.llm import langid as L
 from starmart.llm import quality as Q
@@ -68,6 +68,38 @@ def test_language_on_held_out_rows(spark):
     assert len(sure) > 0.8 * len(held) and sum(got[d]["lang_pred"] == x for d, x in sure) >= 0.98 * len(sure)
 
 
+def test_language_predictions_against_brute_force(frame):
+    """The model's own numbers, n-gram by n-gram."""
+    r = np.random.default_rng(5)
+    model = L.Model(["aa", "bb", "cc"], r.normal(size=(L.BUCKETS, L.WIDTH)) * 9, r.normal(size=(L.WIDTH, 3)), r.normal(size=3), 0.5, 0.7)
+    texts = ["Ab  c!", "äöü 12 straße", "x", "The quick brown fox\njumps"]
+    for got in L.predict(frame([(i, t, None, None, None) for i, t in enumerate(texts)]), model).collect():
+        low = "".join(c if ord(c) > 127 or "a" <= c <= "z" else " " for c in texts[got["doc_id"]].lower())
+        c = [x for i, x in enumerate(low) if x != " " or i == 0 or low[i - 1] != " "]
+        total, n = np.zeros(L.WIDTH), 0
+        for k in L.GRAMS:
+            for i in range(len(c) - k + 1):
+                h = 0
+                for x in c[i : i + k]:
+                    h = (h * int(L.BASE) + ord(x)) % 2**64
+                total, n = total + model.embeddings[int(L.mix64(np.array([(h + k) % 2**64], np.uint64))[0]) >> 52], n + 1
+        z = (total / n @ model.weights + model.bias) / model.temperature
+        p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
+        assert got["lang_pred"] == model.languages[int(p.argmax())] and got["score"] == pytest.approx(float(p.max()), abs=1e-4)
+        assert got["accepted"] == (p.max() >= 0.7)
+
+
+def test_sample_of_many_languages_is_bounded(frame, monkeypatch):
+    seen = []
+    monkeypatch.setattr(L, "train", lambda x, y, languages: seen.append((x, y, languages)))
+    docs = frame([(i, prose(i, 12), f"l{i % 300}", "s", 1) for i in range(6000)])
+    L.fit(docs, most_rows=900)
+    x, y, languages = seen[0]
+    assert len(languages) > 250 and 600 < len(y) == len(x) < 1300
+    assert x.at.nbytes + x.share.nbytes < len(y) * 6 * 1000 and x.some(np.arange(5)).shape == (5, L.BUCKETS)
+    assert np.allclose(x.some(np.arange(5)).sum(1), 1, atol=1e-4)
+
+
 def test_language_edges(edge, frame):
     model = L.fit(edge)
     rows = L.predict(edge, model).collect()
