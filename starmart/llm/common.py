@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import gc
-import time
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,18 +36,6 @@ def partitions(df: DataFrame, bytes_each: int = 16 << 20) -> int:
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-known // bytes_each))
 
 
-def release(spark: SparkSession) -> None:
-    """Let go of the shuffle files of frames that are no longer referenced.
-
-    Spark removes them once the driver has collected the frames; behind a written table nothing reads them any more,
-    and waiting for the next collection would keep them beside those of the following steps.
-    """
-    for _ in range(2):  # first the frames, then the shuffles that only they held
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.3)
-
-
 def mix64(h: np.ndarray) -> np.ndarray:
     """A 64-bit finalizer over an array: every input bit reaches every output bit."""
     h = h ^ (h >> np.uint64(31))

@@ -188,11 +188,15 @@ def mix(docs: DataFrame, keep: float = KEEP, power: float = TEMPER, targets: dic
     Targets are given as shares by marginal, or else are the corpus's own shares tempered by ``power``. A null
     source or language is a value of its own. Texts without words have no tokens: in a cell with others they share
     its probability, in one without tokens their weight and probability are 0. The draw hashes ``doc_id`` and text,
-    so equal rows are kept or dropped together. Columns of the added names are replaced. No rows in, no rows out.
+    so equal rows are kept or dropped together. Columns of the added names are replaced, all others kept. No rows in, no
+    rows out.
     """
-    base = profiled(docs.drop("weight", "probability", "kept"))
+    # input columns with the names of the cells' columns step aside
+    aside = {c: f"{c}{'_' * max(map(len, docs.columns))}" for c in docs.columns if c.lower() in {f"_{m}" for m in MARGINALS}}
+    base = profiled(docs.drop("weight", "probability", "kept").withColumnsRenamed(aside))
     cells, small = weights(base, keep, power, targets, max_cells)
     names = [f"_{m}" for m in MARGINALS]
     out = _values(base).join(F.broadcast(cells) if small else cells, names)
     draw = F.pmod(F.xxhash64("doc_id", "text", F.lit("mix")), F.lit(1 << 40)) / float(1 << 40)
-    return out.withColumn("kept", draw < F.col("probability")).drop(*names)
+    out = out.withColumn("kept", draw < F.col("probability")).drop(*names)
+    return out.withColumnsRenamed({there: here for here, there in aside.items()})

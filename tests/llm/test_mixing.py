@@ -1,6 +1,10 @@
+import random
+import zlib
+
 import numpy as np
 import pandas as pd
 import pytest
+import xxhash
 from tests_llm_data import EDGE, prose
 
 from starmart.llm import mixing as M
@@ -53,6 +57,66 @@ def test_sample_has_the_target_shares(frame):
     assert (got.n_tokens * got.kept).sum() == pytest.approx(0.4 * got.n_tokens.sum(), rel=0.1)
 
 
+def brute_mix(rows, keep, power):
+    """Tokens, topic, probability and draw of each row by plain loops; sweeps until nothing changes."""
+    made = []
+    for doc_id, text, lang, source in rows:
+        words = (text or "").encode().split()
+        votes = [0] * M.TOPICS
+        for w in words:
+            if len(w) >= M.TOPIC_WORD:
+                votes[zlib.crc32(w) % M.TOPICS] += 1
+        made.append((source or M.NONE, lang or M.NONE, str(votes.index(max(votes))), len(words)))
+    tokens = {}
+    for *cell, n in made:
+        tokens[tuple(cell)] = tokens.get(tuple(cell), 0) + n
+    total, raked = sum(tokens.values()), {c: float(n) for c, n in tokens.items()}
+    wanted = []
+    for i in range(3):
+        have = {}
+        for c, n in tokens.items():
+            have[c[i]] = have.get(c[i], 0) + n
+        want = {v: (n / total) ** power for v, n in have.items() if n}
+        wanted.append({v: x / sum(want.values()) * total for v, x in want.items()})
+    for _ in range(M.SWEEPS):
+        for i, want in enumerate(wanted):
+            have = {v: sum(x for c, x in raked.items() if c[i] == v) for v in want}
+            raked = {c: x * (want[c[i]] / have[c[i]] if have.get(c[i]) else 1) for c, x in raked.items()}
+    weight = {c: raked[c] / n if n else 0.0 for c, n in tokens.items()}
+    sure = set()
+    while True:
+        mass = sum(raked[c] for c in tokens if c not in sure and weight[c])
+        scale = (keep * total - sum(tokens[c] for c in sure)) / mass if mass else 0.0
+        over = {c for c in tokens if c not in sure and weight[c] * scale > 1}
+        if not over:
+            break
+        sure |= over
+    out = []
+    for (doc_id, text, *_), (s, l, t, n) in zip(rows, made):
+        p = 1.0 if (s, l, t) in sure else weight[s, l, t] * scale
+        h = 42
+        for part in ([] if doc_id is None else [doc_id.to_bytes(8, "little", signed=True)]) + ([] if text is None else [text.encode()]) + [b"mix"]:
+            h = xxhash.xxh64_intdigest(part, h)
+        h -= (1 << 64) * (h >> 63)
+        out.append((doc_id, n, int(t), p, (h % (1 << 40)) / (1 << 40) < p))
+    return sorted(out, key=str)
+
+
+def test_mix_against_brute_force(frame):
+    r = random.Random(2)
+    rows = [(i, prose(i, r.randrange(0, 60)) + f" longword{r.randrange(9)}" * r.randrange(4), r.choice(["x", "y", "y", None]), r.choice(["a", "a", "b", None])) for i in range(400)]
+    rows += [(None, "no id", "x", "a"), (7, None, "x", "b"), rows[3]]
+    df = frame([(*row, 1) for row in rows], ["_source", "_topic", "kept"])
+    got = M.mix(df, 0.6, 0.7)
+    assert {"_source", "_topic", "kept"} <= set(got.columns) and {x["_source"] for x in got.collect()} == {"x"}
+    got = sorted(((x["doc_id"], x["n_tokens"], x["topic"], x["probability"], x["kept"]) for x in got.collect()), key=str)
+    want = brute_mix(rows, 0.6, 0.7)
+    key = lambda t: (str(t[0]), t[1], t[2])
+    for g, w in zip(sorted(got, key=key), sorted(want, key=key)):
+        assert g[:3] == w[:3] and g[3] == pytest.approx(w[3], abs=1e-7) and g[4] == w[4]
+    assert 0.2 < sum(x[4] for x in got) / len(got) < 0.9
+
+
 def test_many_cells_as_a_table_give_the_same(frame):
     docs = docs_of(frame)
     a, b = (M.mix(docs, max_cells=m).toPandas().sort_values("doc_id") for m in (1000, 1))
