@@ -32,23 +32,34 @@ from starmart.session import stage
 LONGEST = 5
 LEAST, FIRST_ROWS = 100, 2_000
 #: Words of a task's text that one local graph holds.
-GRAPH_WORDS = 1 << 21
-_PIECES, _WORDS = re.compile(rb"[^.,;:!?\x0A-\x0D]+"), re.compile(rb"[^\x20\x09]+")
+GRAPH_WORDS = 1 << 19
+#: Different words that a task holds to count them, or whose hashes it remembers.
+HELD_WORDS = 1 << 18
+#: Words of paths in one stored row, and words of stored rows that are looked at together.
+ROW_WORDS, SLICE_WORDS = 1 << 13, 1 << 19
+#: Distinct grams that a task holds to add up before they are shuffled.
+HELD_GRAMS = 1 << 18
+#: A word, or a character that ends a piece.
+_TOKENS, _WORDS = re.compile(rb"[^.,;:!?\x0A-\x0D\x20\x09]+|[.,;:!?\x0A-\x0D]"), re.compile(rb"[^.,;:!?\x0A-\x0D\x20\x09]+")
+_ENDS = b".,;:!?\n\x0b\x0c\r"
 _W = [f"w{i}" for i in range(1, LONGEST + 1)]
 
 
-def pieces(raw: bytes) -> Iterator[list[bytes]]:
-    """The words of each piece of a text, A-Z lower-cased."""
-    for piece in _PIECES.findall(raw.lower()):
-        words = _WORDS.findall(piece)
-        if words:
-            yield words
-
-
 def word_hash(word: bytes, seed: int) -> int:
     return xxhash.xxh64_intdigest(word, seed) or 1  # 0 ends a piece
 
 
+class _Hashes(dict):
+    """The hash of each token met; 0 for one that ends a piece."""
+
+    def __init__(self, seed: int):
+        self.seed = seed
+
+    def __missing__(self, token: bytes) -> int:
+        self[token] = out = 0 if token in _ENDS else word_hash(token, self.seed)
+        return out
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).cast("binary").alias("text"))
 
@@ -72,9 +83,8 @@ def word_counts(docs: DataFrame, seed: int = 0) -> DataFrame:
         counts: dict[str, Counter] = defaultdict(Counter)
         for batch in batches:
             for lang, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for words in pieces(raw):
-                    counts[lang].update(words)
-            if sum(map(len, counts.values())) > GRAPH_WORDS // 4:
+                counts[lang].update(_WORDS.findall(raw.lower()))
+            if sum(map(len, counts.values())) > HELD_WORDS:
                 yield from flush()
         yield from flush()
 
@@ -104,61 +114,33 @@ def grouped(grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out[0], out[1].reshape(-1), out[2]
 
 
-def local_graph(run: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """The compact graph of a stream of word hashes in which 0 ends a piece.
+def local_graph(run: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, bool]]:
+    """The compact graph of a stream of word hashes in which 0 ends a piece (also the last one).
+
+    Two rows of ``words, weights, is_end``, ``words`` holding paths that a 0 closes, ``weights`` one number a path. First
+    the paths of edges (m + 4 words are a path of m edges). Then the ends of pieces, four words each or the whole piece,
+    with the number of pieces that end so.
 
-    Paths as arrays of words (``m + 4`` words are a path of m edges), their weights, and for each path whether it is
-    the end of a piece: then it has four words or fewer, and its weight is the number of pieces of the stream that end
-    with it (and have no more words, if it has fewer than four).
+    A path goes on from an edge to the next where each follows or precedes no other: both have one weight, and all of
+    it passes from one to the other. The first occurrences of a path's edges therefore stand one after another in the
+    stream, and the path is read off there.
     """
-    n, node = len(run), LONGEST - 1
+    n, node, out = len(run), LONGEST - 1, []
     ext = np.concatenate([run, np.zeros(LONGEST, np.int64)])
     grams = np.lib.stride_tricks.sliding_window_view(ext, LONGEST)[:n]
-    edge = (grams != 0).all(1)
-    at = np.flatnonzero(edge)
-    paths, weights, ends = [], [], []
+    at = np.flatnonzero((grams != 0).all(1))
     if len(at):
-        codes = np.ascontiguousarray(grams[at])
-        first, of, weight = grouped(codes)
-        # flow through the node behind each edge: unary if its only way in and its only way on are as heavy as itself
-        behind = at + 1
-        nodes = np.lib.stride_tricks.sliding_window_view(ext, node)[:n]
-        whole = (nodes != 0).all(1)
-        _, node_of, flow = grouped(np.ascontiguousarray(nodes[whole]))
-        passing = np.zeros(n + 1, np.int64)
-        passing[:n][whole] = flow[node_of]
-        goes_on = np.append(edge, False)[behind]
-        number = np.full(n + 1, -1, np.int64)
-        number[at] = of
-        follows = np.where(goes_on, number[behind], -1)[first]
-        unary = (follows >= 0) & (passing[behind][first] == weight) & (np.append(weight, 0)[follows] == weight)
-        is_tail = np.zeros(len(weight), bool)
-        is_tail[follows[unary]] = True
-        following = np.where(unary, follows, -1)
-        heads, done = np.flatnonzero(~is_tail).tolist(), np.zeros(len(weight), bool)
-        step, place = following.tolist(), at[first].tolist()
-        chains = []
-        for head in heads:
-            chain, e = [], head
-            while e >= 0:
-                chain.append(e)
-                e = step[e]
-            done[chain] = True
-            chains.append(chain)
-        for e in np.flatnonzero(~done).tolist():  # rings: every node unary; cut anywhere
-            if not done[e]:
-                chain = []
-                while not done[e]:
-                    done[e] = True
-                    chain.append(e)
-                    e = step[e]
-                chains.append(chain)
-        for chain in chains:
-            starts = [place[e] for e in chain]
-            paths.append(np.concatenate([ext[starts], ext[starts[-1] + 1 : starts[-1] + LONGEST]]))
-            weights.append(int(weight[chain[0]]))
-            ends.append(False)
-    # ends of pieces: their last four words, or all
+        first, of, weight = grouped(np.ascontiguousarray(grams[at]))
+        next_to = np.append(np.diff(at) == 1, False)  # the next edge of the stream overlaps this one
+        follows = np.where(next_to, np.append(of[1:], -1), -1)
+        passes = np.bincount(of, follows == follows[first][of], len(weight)).astype(np.int64)
+        then = follows[first]
+        unary = (then >= 0) & (passes == weight) & (weight[then] == weight)
+        starts = np.sort(first)
+        joined = unary[of[starts]]
+        begins = starts[np.append(True, ~joined[:-1])]
+        edges = np.diff(np.append(np.flatnonzero(np.append(True, ~joined[:-1])), len(starts)))
+        out.append((*_laid_out(ext, at[begins], edges + node), weight[of[begins]], False))
     stop = np.flatnonzero((run != 0) & (ext[1 : n + 1] == 0))
     if len(stop):
         before = np.concatenate([np.zeros(node, np.int64), run])
@@ -166,14 +148,21 @@ def local_graph(run: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarr
         for i in range(node - 2, -1, -1):  # nothing from before a 0 belongs to the piece
             last[:, i] *= last[:, i + 1] != 0
         first, _, count = grouped(last)
-        for row, c in zip(last[first], count.tolist()):
-            paths.append(row[row != 0])
-            weights.append(c)
-            ends.append(True)
-    return paths, np.array(weights, np.int64), np.array(ends, bool)
+        length = (last[first] != 0).sum(1)
+        out.append((*_laid_out(ext, stop[first] + 1 - length, length), count, True))
+    return out
+
+
+def _laid_out(ext: np.ndarray, begin: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of a stream one after another, each closed by a 0, and where each ends."""
+    ends = np.cumsum(length + 1)
+    place = np.repeat(begin - (ends - length - 1), length + 1) + np.arange(int(ends[-1]))
+    words = ext[np.minimum(place, len(ext) - 1)]
+    words[ends - 1] = 0
+    return words, ends
 
 
-_GRAPH = "lang string, words array<long>, weight long, is_end boolean"
+_GRAPH = "lang string, words array<long>, weights array<long>, is_end boolean"
 
 
 def graph(docs: DataFrame, frequent: Bitmap, seed: int = 0) -> DataFrame:
@@ -181,71 +170,83 @@ def graph(docs: DataFrame, frequent: Bitmap, seed: int = 0) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, known = defaultdict(list), 0, {}
+        held, size, known = defaultdict(list), 0, _Hashes(seed)
 
         def flush():
             for lang, parts in held.items():
                 stream = np.concatenate(parts)
                 stream = np.where(shared.value.has(stream.view(np.uint64) ^ lang_hash(lang)) & (stream != 0), stream, 0)
-                paths, weights, ends = local_graph(stream[(stream != 0) | (np.append(0, stream[:-1]) != 0)])
-                for i in range(0, len(paths), 20_000):
-                    some = paths[i : i + 20_000]
-                    offsets = np.concatenate([[0], np.cumsum([len(p) for p in some])]).astype(np.int32)
+                stream = stream[(stream != 0) | (np.append(0, stream[:-1]) != 0)]
+                for words, ends, weights, is_end in local_graph(stream):
+                    row = np.append(0, np.flatnonzero(np.diff((ends - 1) // ROW_WORDS)) + 1)  # paths that begin a row
+                    offsets = np.append(np.append(0, ends)[row], len(words)).astype(np.int32)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.array([lang] * len(some), pa.string()),
-                            pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(some))),
-                            pa.array(weights[i : i + 20_000]), pa.array(ends[i : i + 20_000]),
+                            pa.array([lang] * len(row), pa.string()),
+                            pa.ListArray.from_arrays(pa.array(offsets), pa.array(words)),
+                            pa.ListArray.from_arrays(pa.array(np.append(row, len(weights)).astype(np.int32)), pa.array(weights)),
+                            pa.array([is_end] * len(row)),
                         ],
-                        names=["lang", "words", "weight", "is_end"],
+                        names=["lang", "words", "weights", "is_end"],
                     )
             held.clear()
 
         for batch in batches:
             for lang, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                own: list[int] = []
-                for words in pieces(raw):
-                    for w in words:
-                        h = known.get(w)
-                        if h is None:
-                            h = known[w] = word_hash(w, seed)
-                        own.append(h)
-                    own.append(0)
-                if own:
-                    held[lang].append(np.array(own, np.uint64).view(np.int64))
-                    size += len(own)
+                tokens = _TOKENS.findall(raw.lower())
+                if tokens:
+                    held[lang].append(np.fromiter(map(known.__getitem__, tokens), np.uint64, len(tokens)).view(np.int64))
+                    held[lang].append(np.zeros(1, np.int64))
+                    size += len(tokens)
                 if size > GRAPH_WORDS:
                     yield from flush()
                     size = 0
-                if len(known) > GRAPH_WORDS // 4:
+                if len(known) > HELD_WORDS:
                     known.clear()
         yield from flush()
 
     return _texts(docs).mapInArrow(run, _GRAPH)
 
 
-def _walk(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, list, np.ndarray, np.ndarray]:
-    """Of a batch of graph rows: all words with a closing 0 a row, the row of each, languages, weights, and whether an
-    occurrence that begins there is counted (in a path the last four words belong to whatever follows)."""
-    words = batch.column(1)
-    offsets, flat = words.offsets.to_numpy(), words.values.to_numpy()
-    length = np.diff(offsets)
-    row = np.repeat(np.arange(len(length)), length + 1)
-    at = np.arange(int(length.sum())) + np.repeat(np.arange(len(length)), length)
-    stream = np.zeros(int(length.sum()) + len(length), np.int64)
-    stream[at] = flat[offsets[0] : offsets[-1]]
-    left = (np.cumsum(length + 1) - 1)[row] - np.arange(len(stream))  # words from here to the row's end
-    is_end = batch.column(3).to_numpy(zero_copy_only=False)
-    counted = (stream != 0) & (is_end[row] | (left >= LONGEST))
-    return stream, row, batch.column(0).to_pylist(), batch.column(2).to_numpy(), counted
-
-
-def _sums(langs: np.ndarray, grams: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Equal grams of a batch as one row."""
-    first, of, _ = grouped(np.column_stack([langs, grams]))
-    total = np.zeros(len(first), np.int64)
-    np.add.at(total, of, weight)
-    return langs[first], grams[first], total
+def _walk(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, list[str], np.ndarray, np.ndarray]]:
+    """Stored rows, some at a time: all their words, at each word the language's number, the languages, the weight, and
+    whether an occurrence that begins there is counted (in a path the last four words belong to whatever follows)."""
+    size = np.cumsum(batch.column(1).value_lengths().to_numpy())
+    cuts = np.append(0, np.flatnonzero(np.diff((size - 1) // SLICE_WORDS)) + 1)
+    for lo, hi in zip(cuts, np.append(cuts[1:], batch.num_rows)):
+        part = batch.slice(lo, hi - lo)
+        stream, weights = (part.column(i).flatten().to_numpy() for i in (1, 2))
+        zeros = np.flatnonzero(stream == 0)
+        length = np.diff(np.append(-1, zeros))  # of each path with its 0
+        left = np.repeat(zeros, length) - np.arange(len(stream))
+        row = np.repeat(np.arange(part.num_rows), part.column(1).value_lengths().to_numpy())
+        names, code = _lang_codes(part.column(0).to_pylist())
+        is_end = part.column(3).to_numpy(zero_copy_only=False)
+        counted = (left > 0) & (is_end[row] | (left >= LONGEST))
+        yield stream, code[row], names, np.repeat(weights, length), counted
+
+
+def _added_up(parts: Iterable[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows with numbers, equal rows as one with their sum, over as many as a task may hold."""
+
+    def summed(rows: list[np.ndarray], numbers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        every, number = np.concatenate(rows), np.concatenate(numbers)
+        first, of, _ = grouped(every)
+        total = np.zeros(len(first), np.int64)
+        np.add.at(total, of, number)
+        return every[first], total
+
+    rows, numbers, size = [], [], 0
+    for row, number in parts:
+        rows, numbers, size = [*rows, row], [*numbers, number], size + len(row)
+        if size > HELD_GRAMS:
+            row, number = summed(rows, numbers)
+            if len(row) > HELD_GRAMS // 2:
+                yield row, number
+                row, number = row[:0], number[:0]
+            rows, numbers, size = [row], [number], len(row)
+    if size:
+        yield summed(rows, numbers)
 
 
 def _batch_of_grams(names: list[str], langs: np.ndarray, grams: np.ndarray, weight: np.ndarray) -> pa.RecordBatch:
@@ -261,27 +262,25 @@ def _lang_codes(langs: list[str]) -> tuple[list[str], np.ndarray]:
 
 
 def frequent_pairs(paths: DataFrame, least: int) -> DataFrame:
-    """``h``: hashes, with that of the language, of the pairs of consecutive words met ``least`` times or more."""
+    """``h``: hashes, with that of the language, of the pairs of consecutive words met ``least`` times or more.
+
+    Pairs are counted by their hash: should two meet, they count together and one too many is taken for frequent.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            stream, row, langs, weight, counted = _walk(batch)
-            at = np.flatnonzero(counted[:-1] & (stream[1:] != 0))
-            names, code = _lang_codes(langs)
-            grams = np.stack([stream[at], stream[at + 1]], 1)
-            if len(at):
-                yield _batch_of_grams(names, *_sums(code[row[at]], grams, weight[row[at]]))
-
-    found = paths.mapInArrow(run, "lang string, w1 long, w2 long, f long").groupBy("lang", "w1", "w2").agg(F.sum("f").alias("f"))
-
-    def hashed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h = gram_hash(np.stack([batch.column(i).to_numpy() for i in (1, 2)], 1), 2) ^ batch.column(0).to_numpy().view(np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["h"])
+        def found() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for batch in batches:
+                for stream, lang, names, weight, counted in _walk(batch) if batch.num_rows else ():
+                    at = np.flatnonzero(counted[:-1] & (stream[1:] != 0))
+                    mixed = np.array([lang_hash(x) for x in names], np.uint64)[lang[at]]
+                    h = gram_hash(np.stack([stream[at], stream[at + 1]], 1), 2) ^ mixed
+                    yield h.view(np.int64)[:, None], weight[at]
 
-    return found.filter(F.col("f") >= least).select(F.xxhash64("lang").alias("lang"), "w1", "w2").mapInArrow(hashed, "h long")
+        for h, f in _added_up(found()):
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(h[:, 0])), pa.array(f)], names=["h", "f"])
+
+    found = paths.mapInArrow(run, "h long, f long").groupBy("h").agg(F.sum("f").alias("f"))
+    return found.filter(F.col("f") >= least).select("h")
 
 
 def starts(paths: DataFrame, pairs: Bitmap) -> DataFrame:
@@ -291,26 +290,26 @@ def starts(paths: DataFrame, pairs: Bitmap) -> DataFrame:
     shared = paths.sparkSession.sparkContext.broadcast(pairs)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            stream, row, langs, weight, counted = _walk(batch)
-            names, code = _lang_codes(langs)
-            ext = np.concatenate([stream, np.zeros(LONGEST, np.int64)])
-            two = np.stack([ext[:-1], ext[1:]], 1)
-            goes_on = (two != 0).all(1)
-            for i, name in enumerate(names):
-                own = np.flatnonzero(goes_on[: len(stream)] & (code[row] == i))
-                goes_on[own] = shared.value.has(gram_hash(two[own], 2) ^ lang_hash(name))
-            at = np.flatnonzero(counted & goes_on[: len(stream)])
-            if not len(at):
-                continue
-            grams = np.zeros((len(at), LONGEST), np.int64)
-            open_ = np.ones(len(at), bool)
-            for i in range(LONGEST):
-                grams[:, i] = np.where(open_, ext[at + i], 0)
-                open_ &= np.append(goes_on, False)[at + i]
-            yield _batch_of_grams(names, *_sums(code[row[at]], grams, weight[row[at]]))
+        known: dict[str, int] = {}
+
+        def found() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+            for batch in batches:
+                for stream, lang, names, weight, counted in _walk(batch) if batch.num_rows else ():
+                    ext = np.append(stream, np.zeros(LONGEST, np.int64))
+                    at = np.flatnonzero((stream != 0) & (ext[1 : len(stream) + 1] != 0))
+                    mixed = np.array([lang_hash(x) for x in names], np.uint64)[lang[at]]
+                    goes_on = np.zeros(len(ext), bool)
+                    goes_on[at] = shared.value.has(gram_hash(np.stack([ext[at], ext[at + 1]], 1), 2) ^ mixed)
+                    at = np.flatnonzero(counted & goes_on[: len(stream)])
+                    rows, open_ = np.zeros((len(at), LONGEST + 1), np.int64), np.ones(len(at), bool)
+                    rows[:, 0] = np.array([known.setdefault(x, len(known)) for x in names], np.int64)[lang[at]]
+                    for i in range(LONGEST):
+                        rows[:, i + 1] = np.where(open_, ext[at + i], 0)
+                        open_ &= goes_on[at + i]
+                    yield rows, weight[at]
+
+        for rows, f in _added_up(found()):
+            yield _batch_of_grams(list(known), rows[:, 0], rows[:, 1:], f)
 
     found = paths.mapInArrow(run, "lang string, " + ", ".join(f"{w} long" for w in _W) + ", f long")
     return found.groupBy("lang", *_W).agg(F.sum("f").alias("f"))

@@ -54,6 +54,9 @@ def corpus(seed, docs):
 @pytest.mark.parametrize("least,graph_words", [(4, 1 << 21), (4, 300), (25, 1 << 21)])
 def test_against_brute_force(spark, frame, monkeypatch, least, graph_words):
     monkeypatch.setattr(phrases, "GRAPH_WORDS", graph_words)
+    monkeypatch.setattr(phrases, "ROW_WORDS", 1 << 13 if graph_words > 300 else 20)
+    monkeypatch.setattr(phrases, "SLICE_WORDS", 1 << 19 if graph_words > 300 else 64)
+    monkeypatch.setattr(phrases, "HELD_GRAMS", 1 << 19 if graph_words > 300 else 100)
     rows = corpus(least, 400) + [("a A a a a a a", "xx"), ("b c b c b c b c b c", "xx")] * 3
     df = frame([(i, t, lang, "s", 0) for i, (t, lang) in enumerate(rows)], ["word", "h", "f", "size", "w1"]).repartition(5)
     got = phrases.collocations(df, least, 50).collect()
@@ -75,30 +78,37 @@ def test_edge_cases(spark, frame, edge):
         assert sorted(map(tuple, phrases.collocations(edge, least, limit).collect())) == sorted(want)
 
 
+def unpacked(stream):
+    """Edges, ends of pieces and path lengths of a stream's compact graph."""
+    edges, tails, lengths = Counter(), Counter(), []
+    for words, ends, weights, is_end in phrases.local_graph(stream):
+        assert words[-1] == 0 and len(ends) == len(weights)
+        for path, w in zip(np.split(words, ends[:-1]), weights.tolist()):
+            path = tuple(path[:-1])
+            assert all(path)
+            if is_end:
+                tails[path] += w
+            else:
+                lengths.append(len(path))
+                edges.update({path[i : i + 5]: 0 for i in range(len(path) - 4)})
+                for i in range(len(path) - 4):
+                    edges[path[i : i + 5]] += w
+    return edges, tails, lengths
+
+
 def test_local_graph_compacts_chains_and_keeps_all_counts():
     r = np.random.default_rng(3)
-    stock = [r.integers(1, 9, r.integers(1, 30)) for _ in range(6)]
-    stream = np.concatenate([np.append(stock[i], 0) for i in r.integers(0, 6, 200)]).astype(np.int64)
-    paths, weight, ends = phrases.local_graph(stream)
-    edges, want = Counter(), Counter()
-    for p, w, e in zip(paths, weight, ends):
-        if not e:
-            for i in range(len(p) - 4):
-                edges[tuple(p[i : i + 5])] += w
-    pieces = [tuple(x[x != 0]) for x in np.split(stream, np.flatnonzero(stream == 0))]
-    for p in pieces:
-        want.update(p[i : i + 5] for i in range(len(p) - 4))
-    assert edges == want and len(paths) < len(want) + 20
-    tails = Counter({tuple(p): int(w) for p, w, e in zip(paths, weight, ends) if e})
-    assert tails == Counter(p[-4:] for p in pieces if p)
-    lone = np.append(np.arange(1, 51), 0).astype(np.int64)  # one chain: one path
-    assert [len(p) for p, e in zip(*phrases.local_graph(lone)[::2]) if not e] == [50]
+    for alphabet in (9, 3, 200):
+        stock = [r.integers(1, alphabet, r.integers(1, 30)) for _ in range(6)]
+        stream = np.concatenate([np.append(stock[i], 0) for i in r.integers(0, 6, 200)]).astype(np.int64)
+        edges, tails, lengths = unpacked(stream)
+        pieces = [tuple(x[x != 0]) for x in np.split(stream, np.flatnonzero(stream == 0))]
+        want = Counter(p[i : i + 5] for p in pieces for i in range(len(p) - 4))
+        assert edges == want and len(lengths) <= len(want)
+        assert tails == Counter(p[-4:] for p in pieces if p)
+    assert unpacked(np.append(np.tile(np.append(np.arange(1, 51), 0), 7), 0))[2] == [50]  # one chain, seven times
     ring = np.array([1, 2, 3, 4, 5, 6] * 9 + [1, 2, 3, 4, 0], np.int64)
-    got = Counter()
-    for p, w, e in zip(*phrases.local_graph(ring)):
-        if not e:
-            got.update({tuple(p[i : i + 5]): int(w) for i in range(len(p) - 4)})
-    assert got == Counter(tuple(ring[i : i + 5]) for i in range(len(ring) - 5))
+    assert unpacked(ring)[0] == Counter(tuple(ring[i : i + 5]) for i in range(len(ring) - 5))
 
 
 def test_products_beyond_64_bits(spark):
