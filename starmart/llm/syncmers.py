@@ -22,7 +22,7 @@ from starmart.session import scratch_dir
 
 K, S = 12, 5
 #: Hashes are cut to so many bits; the bound lets one anchor in so many in, and this number of different ones at least.
-HASH_BITS, SHARE, FEWEST = 24, 16, 64
+HASH_BITS, SHARE, FEWEST = 24, 16, 48
 #: Matches count up to this many code points from the common shift.
 SLACK = 64
 BASE = np.uint64(0x9E3779B97F4A7C15)

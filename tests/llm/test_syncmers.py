@@ -35,7 +35,7 @@ def slow_print(text):
     at, code = S.anchors(code_points(text))
     found = [(int(c) >> 40, int(p)) for p, c in zip(at, code)]
     different = sorted({h for h, _ in found})
-    bound = 0xFFFFFF if len(different) <= 64 else max(0xFFFFFF // 16, different[63])
+    bound = 0xFFFFFF if len(different) <= S.FEWEST else max(0xFFFFFF // 16, different[S.FEWEST - 1])
     return bound, [(h, p) for h, p in found if h <= bound]
 
 
@@ -87,7 +87,7 @@ def test_prints_grow_with_the_text_and_errors_fall(monkeypatch):
             whole = [S.likeness(of(x), of(y)) for x, y in pairs]
         sizes.append(len(of(a)[1]))
         errors.append(max(abs(x - y) for x, y in zip(got, whole)))
-    assert sizes[0] >= 64 and sizes[2] > 10 * sizes[0] and errors[2] < 0.03 and max(errors) < 0.15
+    assert sizes[0] >= S.FEWEST and sizes[2] > 10 * sizes[0] and errors[2] < 0.03 and max(errors) < 0.15
     assert got[1] > 0.005  # a passage of two per cent still shows
 
 
