@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.bitmaps import bitmap
-from starmart.llm.common import ASCII_LOWER, mix64
+from starmart.llm.common import mix64
 from starmart.session import stage
 
 N = 4
@@ -58,7 +58,8 @@ _known = _Words()
 
 def word_hashes(text: str | None) -> np.ndarray:
     """A hash of each word (letters and digits, A-Z lower-cased); none for an empty or null text."""
-    words = WORD.findall((text or "").translate(ASCII_LOWER))
+    # bytes are lower-cased A-Z only
+    words = WORD.findall((text or "").encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))
     return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
 
 
@@ -133,6 +134,12 @@ class Index:
             self.by_size[k] = pairs[:, 0].copy(), pairs[:, 1].astype(np.int64), np.ones(len(pairs), bool)
         owners = np.concatenate([np.zeros(0, np.int64), *(o for _, o, _ in self.by_size.values())])
         self.n_grams = np.bincount(owners, minlength=len(words))
+        # by size which low bits of a hash the grams have: most hashes of a text need no search
+        self.low_bits = {}
+        for k, (gram, *_) in self.by_size.items():
+            marked = np.zeros(min(1 << 24, 1 << max(16, (16 * len(gram)).bit_length())), bool)
+            marked[gram & np.uint64(len(marked) - 1)] = True
+            self.low_bits[k] = marked
 
     def seed(self, gram: np.ndarray, df: np.ndarray) -> None:
         """Mark the seeds by the document frequencies of the grams that texts hold."""
@@ -148,13 +155,17 @@ class Index:
         for (k, (g, owner, _)), n in zip(list(self.by_size.items()), counted):
             self.by_size[k] = g, owner, n <= np.maximum(FEW, RARE * usual[owner])
 
+    def found(self, words: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where a text holds grams of that size, and which."""
+        h, (gram, *_), marked = gram_hashes(words, k), self.by_size[k], self.low_bits[k]
+        place = np.flatnonzero(marked[h & np.uint64(len(marked) - 1)])
+        h = h[place]
+        known = gram[np.minimum(np.searchsorted(gram, h), len(gram) - 1)] == h
+        return place[known], h[known]
+
     def held(self, words: np.ndarray) -> list[np.ndarray]:
         """The grams of the index that a text holds, by size."""
-        out = []
-        for k, (gram, *_) in self.by_size.items():
-            h = np.unique(gram_hashes(words, k))
-            out.append(h[gram[np.minimum(np.searchsorted(gram, h), len(gram) - 1)] == h])
-        return out
+        return [np.unique(self.found(words, k)[1]) for k in self.by_size]
 
     def _pairs(self, gram: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For hashes in an index the place of each of their entries, and which hash it is of."""
@@ -176,9 +187,8 @@ class Index:
         """Where a text holds grams of the wanted items: place, item, gram, and whether it is a seed of the item."""
         out = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, bool)]]
         for k, (gram, owner, seed) in self.by_size.items():
-            h = gram_hashes(words, k)
-            place = np.flatnonzero(gram[np.minimum(np.searchsorted(gram, h), len(gram) - 1)] == h)
-            at, which = self._pairs(gram, h[place])
+            place, h = self.found(words, k)
+            at, which = self._pairs(gram, h)
             mine = np.isin(owner[at], wanted)
             for part, values in zip(out, (place[which[mine]], owner[at[mine]], gram[at[mine]], seed[at[mine]])):
                 part.append(values)
