@@ -24,9 +24,13 @@ def _replace(writer: DataFrameWriter, fmt: str, spark: SparkSession, path: str)
     """Write a folder beside ``path`` and swap it in: a write that fails leaves the last good one, and the frame may
     read the folder it replaces."""
     path = path.rstrip("/")
-    folder, _, name = path.rpartition("/")
-    beside = f"{folder}/.{name}-{uuid.uuid4().hex}"
-    writer.mode("errorifexists").format(fmt).save(beside)
+    folder, slash, name = path.rpartition("/")
+    beside = f"{folder}{slash}.{name}-{uuid.uuid4().hex}"
+    try:
+        writer.mode("errorifexists").format(fmt).save(beside)
+    except Exception:
+        delete(spark, beside)
+        raise
     _swap_in(spark, path, beside)
 
 
