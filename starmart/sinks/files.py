@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
@@ -44,6 +46,18 @@ def bloom_options(columns: list[str]) -> dict[str, str]:
     return {**on, "parquet.bloom.filter.adaptive.enabled": "true"} if on else {}
 
 
+@contextmanager
+def _small_partitions_kept(spark: SparkSession) -> Iterator[None]:
+    """While it lasts the adaptive planner merges no small partitions; large ones are still cut."""
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def write_parquet(
     df: DataFrame,
     path: str,
@@ -51,6 +65,7 @@ def write_parquet(
     sort_by: list[str] | None = None,
     replace_only_written: bool = False,
     bloom: list[str] | None = None,
+    many_folders: bool = False,
 ) -> None:
     """Replace a Parquet dataset, optionally partitioned. It is written beside and swapped in when it is whole.
 
@@ -59,7 +74,12 @@ def write_parquet(
     the rows is cut over several tasks at run time, and small ones share a task.
     ``replace_only_written`` overwrites only the partition values present in ``df``, each when all are written.
     ``bloom`` names lookup columns that get filters (``bloom_options``).
+    ``many_folders`` says that a folder holds few rows, so that the work is in making folders and not in bytes: small
+    partitions are left apart, and all cores write.
     """
+    if many_folders:
+        with _small_partitions_kept(df.sparkSession):
+            return write_parquet(df, path, partition_by, sort_by, replace_only_written, bloom)
     partition_by = partition_by or []
     if partition_by:
         df = df.hint("rebalance", *partition_by)
@@ -76,7 +96,7 @@ def write_parquet(
 def write_songs(songs: DataFrame, path: str, folder_per_artist: bool = False) -> None:
     """Songs by year, sorted by artist so that row groups can be skipped; one folder per (year, artist) on request."""
     if folder_per_artist:
-        write_parquet(songs, path, ["year", "artist_id"])
+        write_parquet(songs, path, ["year", "artist_id"], many_folders=True)
     else:
         write_parquet(songs, path, ["year"], sort_by=["artist_id"])
 

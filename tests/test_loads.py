@@ -116,6 +116,17 @@ def test_songs_layouts(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "ya").glob("year=*/*")) == ["artist_id=A1", "artist_id=A2"]
 
 
+def test_folders_per_artist_are_written_by_several_tasks(spark, tmp_path):
+    songs = spark.range(40).selectExpr("id AS song_id", "'t' AS title", "concat('A', id % 20) AS artist_id", "int(2000 + id % 4) AS year")
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    write_songs(songs, str(tmp_path / "ya"), folder_per_artist=True)
+    files = list((tmp_path / "ya").glob("year=*/artist_id=*/*.parquet"))
+    assert len(files) == 20 and len({f.name.split("-")[1] for f in files}) > 1
+    assert spark.conf.get(setting) == before
+    assert spark.read.parquet(str(tmp_path / "ya")).count() == 40
+
+
 def test_clustered_files_cover_disjoint_ranges(spark, tmp_path):
     path = str(tmp_path / "c")
     # one key holds most rows
