@@ -10,6 +10,11 @@ from tests_llm_data import EDGE  # noqa: E402
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
+def plan_of(df) -> str:
+    """As in the conftest above: in a run over both folders ``from conftest import`` finds this one."""
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.fixture
 def frame(spark):
     """A documents frame; ``extra`` adds columns whose names operators use themselves."""
