@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.llm.bitmaps import Bitmap, bitmap
-from starmart.llm.common import mix64
+from starmart.llm.common import BATCH_ROWS, mix64
 from starmart.session import stage
 
 #: A phrase has two to this many words.
@@ -35,8 +35,9 @@ LEAST, FIRST_ROWS = 100, 2_000
 GRAPH_WORDS = 1 << 19
 #: Different words that a task holds to count them, or whose hashes it remembers.
 HELD_WORDS = 1 << 18
-#: Words of paths in one stored row, and words of stored rows that are looked at together.
-ROW_WORDS, SLICE_WORDS = 1 << 13, 1 << 19
+#: Edges of a path, words of paths in one stored row (and one path more), and words of stored rows that are looked at
+#: together. An Arrow batch holds ``BATCH_ROWS`` rows, by which a row's size sets what JVM and worker hold of it.
+ROW_WORDS, SLICE_WORDS = 1 << 9, 1 << 19
 #: Distinct grams that a task holds to add up before they are shuffled.
 HELD_GRAMS = 1 << 18
 #: A word, or a character that ends a piece.
@@ -123,7 +124,7 @@ def local_graph(run: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, bool]]:
 
     A path goes on from an edge to the next where each follows or precedes no other: both have one weight, and all of
     it passes from one to the other. The first occurrences of a path's edges therefore stand one after another in the
-    stream, and the path is read off there.
+    stream, and the path is read off there. One of more than ``ROW_WORDS`` edges is laid out as several.
     """
     n, node, out = len(run), LONGEST - 1, []
     ext = np.concatenate([run, np.zeros(LONGEST, np.int64)])
@@ -137,9 +138,9 @@ def local_graph(run: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, bool]]:
         then = follows[first]
         unary = (then >= 0) & (passes == weight) & (weight[then] == weight)
         starts = np.sort(first)
-        joined = unary[of[starts]]
-        begins = starts[np.append(True, ~joined[:-1])]
-        edges = np.diff(np.append(np.flatnonzero(np.append(True, ~joined[:-1])), len(starts)))
+        heads, place = np.append(True, ~unary[of[starts]][:-1]), np.arange(len(starts))
+        heads |= (place - np.maximum.accumulate(np.where(heads, place, 0))) % ROW_WORDS == 0
+        begins, edges = starts[heads], np.diff(np.append(np.flatnonzero(heads), len(starts)))
         out.append((*_laid_out(ext, at[begins], edges + node), weight[of[begins]], False))
     stop = np.flatnonzero((run != 0) & (ext[1 : n + 1] == 0))
     if len(stop):
@@ -180,7 +181,7 @@ def graph(docs: DataFrame, frequent: Bitmap, seed: int = 0) -> DataFrame:
                 for words, ends, weights, is_end in local_graph(stream):
                     row = np.append(0, np.flatnonzero(np.diff((ends - 1) // ROW_WORDS)) + 1)  # paths that begin a row
                     offsets = np.append(np.append(0, ends)[row], len(words)).astype(np.int32)
-                    yield pa.RecordBatch.from_arrays(
+                    rows = pa.RecordBatch.from_arrays(
                         [
                             pa.array([lang] * len(row), pa.string()),
                             pa.ListArray.from_arrays(pa.array(offsets), pa.array(words)),
@@ -189,6 +190,8 @@ def graph(docs: DataFrame, frequent: Bitmap, seed: int = 0) -> DataFrame:
                         ],
                         names=["lang", "words", "weights", "is_end"],
                     )
+                    for first in range(0, len(row), BATCH_ROWS):
+                        yield rows.slice(first, BATCH_ROWS)
             held.clear()
 
         for batch in batches:

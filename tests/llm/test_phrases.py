@@ -9,7 +9,7 @@ import pytest
 from tests_llm_data import EDGE
 
 from starmart.llm import bitmaps, phrases
-from starmart.llm.common import ASCII_LOWER
+from starmart.llm.common import ASCII_LOWER, BATCH_ROWS
 
 SPLIT, WORD = re.compile(r"[.,;:!?\x0A-\x0D]"), re.compile(r"[^\x20\x09]+")
 
@@ -111,6 +111,23 @@ def test_local_graph_compacts_chains_and_keeps_all_counts():
     assert unpacked(ring)[0] == Counter(tuple(ring[i : i + 5]) for i in range(len(ring) - 5))
 
 
+def test_rows_of_the_graph_are_small_however_long_a_path_is(spark, frame):
+    words = [f"w{i}" for i in range(30_000)]
+    docs = frame([(i, " ".join(words[i:]), "en", "s", 0) for i in range(3)]).coalesce(1)
+    rows = phrases.graph(docs, bitmaps.Bitmap(np.full(1, -1, np.int64).view(np.uint64))).collect()
+    # what an Arrow batch of such rows may take, in the JVM and in its Python worker
+    assert max(8 * (len(r["words"]) + len(r["weights"])) for r in rows) * BATCH_ROWS <= 16 << 20
+    edges = Counter()
+    for r in rows:
+        if not r["is_end"]:
+            for end, weight in zip([i for i, w in enumerate(r["words"]) if w == 0], r["weights"], strict=True):
+                begin = max((i + 1 for i in range(end) if r["words"][i] == 0), default=0)
+                for i in range(begin, end - 4):
+                    edges[tuple(r["words"][i : i + 5])] += weight
+    h = [int(np.uint64(phrases.word_hash(w.encode(), 0)).view(np.int64)) for w in words]
+    assert edges == Counter(tuple(h[i : i + 5]) for k in range(3) for i in range(k, len(h) - 4))
+
+
 def test_products_beyond_64_bits(spark):
     zeros = "cast(0 as long) w3, cast(0 as long) w4, cast(0 as long) w5"
     a, n, l, r = 4_000_000_007, 9_000_000_000_001, 5_000_000_000, 7_000_000_011
