@@ -38,7 +38,7 @@ HELD_WORDS = 1 << 18
 #: Edges of a path, words of paths in one stored row (and one path more), and words of stored rows that are looked at
 #: together. An Arrow batch holds ``BATCH_ROWS`` rows, by which a row's size sets what JVM and worker hold of it.
 ROW_WORDS, SLICE_WORDS = 1 << 9, 1 << 19
-#: Distinct grams that a task holds to add up before they are shuffled.
+#: Distinct pairs that a task holds to add up before they are shuffled.
 HELD_GRAMS = 1 << 18
 #: A word, or a character that ends a piece.
 _TOKENS, _WORDS = re.compile(rb"[^.,;:!?\x0A-\x0D\x20\x09]+|[.,;:!?\x0A-\x0D]"), re.compile(rb"[^.,;:!?\x0A-\x0D\x20\x09]+")
@@ -229,33 +229,32 @@ def _walk(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, list[
         yield stream, code[row], names, np.repeat(weights, length), counted
 
 
-def _added_up(parts: Iterable[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+class _Sums:
     """Rows with numbers, equal rows as one with their sum, over as many as a task may hold."""
 
-    def summed(rows: list[np.ndarray], numbers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        every, number = np.concatenate(rows), np.concatenate(numbers)
-        first, of, _ = grouped(every)
-        total = np.zeros(len(first), np.int64)
-        np.add.at(total, of, number)
-        return every[first], total
+    def __init__(self):
+        self.rows, self.numbers, self.size = [], [], 0
 
-    rows, numbers, size = [], [], 0
-    for row, number in parts:
-        rows, numbers, size = [*rows, row], [*numbers, number], size + len(row)
-        if size > HELD_GRAMS:
-            row, number = summed(rows, numbers)
+    def add(self, row: np.ndarray, number: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """What has to leave for the new rows."""
+        self.rows, self.numbers, self.size = [*self.rows, row], [*self.numbers, number], self.size + len(row)
+        if self.size > HELD_GRAMS:
+            row, number = self._summed()
             if len(row) > HELD_GRAMS // 2:
                 yield row, number
                 row, number = row[:0], number[:0]
-            rows, numbers, size = [row], [number], len(row)
-    if size:
-        yield summed(rows, numbers)
+            self.rows, self.numbers, self.size = [row], [number], len(row)
 
+    def rest(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if self.size:
+            yield self._summed()
 
-def _batch_of_grams(names: list[str], langs: np.ndarray, grams: np.ndarray, weight: np.ndarray) -> pa.RecordBatch:
-    lang = pa.DictionaryArray.from_arrays(pa.array(langs.astype(np.int32)), pa.array(names, pa.string())).cast(pa.string())
-    columns = [lang, *(pa.array(np.ascontiguousarray(grams[:, i])) for i in range(grams.shape[1])), pa.array(weight)]
-    return pa.RecordBatch.from_arrays(columns, names=["lang", *_W[: grams.shape[1]], "f"])
+    def _summed(self) -> tuple[np.ndarray, np.ndarray]:
+        every, number = np.concatenate(self.rows), np.concatenate(self.numbers)
+        first, of, _ = grouped(every)
+        total = np.zeros(len(first), np.int64)
+        np.add.at(total, of, number)
+        return every[first], total
 
 
 def _lang_codes(langs: list[str]) -> tuple[list[str], np.ndarray]:
@@ -271,51 +270,77 @@ def frequent_pairs(paths: DataFrame, least: int) -> DataFrame:
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def found() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-            for batch in batches:
-                for stream, lang, names, weight, counted in _walk(batch) if batch.num_rows else ():
-                    at = np.flatnonzero(counted[:-1] & (stream[1:] != 0))
-                    mixed = np.array([lang_hash(x) for x in names], np.uint64)[lang[at]]
-                    h = gram_hash(np.stack([stream[at], stream[at + 1]], 1), 2) ^ mixed
-                    yield h.view(np.int64)[:, None], weight[at]
+        def rows(h: np.ndarray, f: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(h[:, 0])), pa.array(f)], names=["h", "f"])
 
-        for h, f in _added_up(found()):
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(h[:, 0])), pa.array(f)], names=["h", "f"])
+        sums = _Sums()
+        for batch in batches:
+            for stream, lang, names, weight, counted in _walk(batch) if batch.num_rows else ():
+                at = np.flatnonzero(counted[:-1] & (stream[1:] != 0))
+                mixed = np.array([lang_hash(x) for x in names], np.uint64)[lang[at]]
+                h = gram_hash(np.stack([stream[at], stream[at + 1]], 1), 2) ^ mixed
+                for full in sums.add(h.view(np.int64)[:, None], weight[at]):
+                    yield rows(*full)
+        for full in sums.rest():
+            yield rows(*full)
 
     found = paths.mapInArrow(run, "h long, f long").groupBy("h").agg(F.sum("f").alias("f"))
     return found.filter(F.col("f") >= least).select("h")
 
 
-def starts(paths: DataFrame, pairs: Bitmap) -> DataFrame:
-    """``lang, w1..w5, f``: for every place of the text the longest gram of up to five words that begins there, by
-    count: an edge, or, where the piece ends or a pair is not frequent, a shorter gram filled up with zeros. Grams of
-    one word are left out (``word_counts`` has them)."""
+def runs(paths: DataFrame, pairs: Bitmap) -> DataFrame:
+    """``lang, words array<long>, begins int, f long``: the parts of paths, and of the ends of pieces, whose consecutive
+    words are frequent pairs; places are counted from the first ``begins`` words on.
+
+    A part is one row, whatever its length. Most are a pair and no more: equal ones of a task are added up.
+    """
     shared = paths.sparkSession.sparkContext.broadcast(pairs)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows(langs: np.ndarray, words: np.ndarray, ends: np.ndarray, begins: np.ndarray, f: np.ndarray) -> pa.RecordBatch:
+            lang = pa.DictionaryArray.from_arrays(pa.array(langs.astype(np.int32)), pa.array(list(known), pa.string()))
+            held = pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(words))
+            columns = [lang.cast(pa.string()), held, pa.array(begins.astype(np.int32)), pa.array(f)]
+            return pa.RecordBatch.from_arrays(columns, names=["lang", "words", "begins", "f"])
+
+        def alone(two: np.ndarray, f: np.ndarray) -> pa.RecordBatch:
+            return rows(two[:, 0], two[:, 1:].ravel(), np.arange(2, 2 * len(two) + 1, 2), np.ones(len(two)), f)
+
         known: dict[str, int] = {}
+        sums = _Sums()
+        for batch in batches:
+            for stream, lang, names, weight, counted in _walk(batch) if batch.num_rows else ():
+                at = np.flatnonzero((stream[:-1] != 0) & (stream[1:] != 0))
+                mixed = np.array([lang_hash(x) for x in names], np.uint64)[lang[at]]
+                goes_on = np.zeros(len(stream), bool)
+                goes_on[at] = shared.value.has(gram_hash(np.stack([stream[at], stream[at + 1]], 1), 2) ^ mixed)
+                edge = np.diff(np.concatenate([[0], goes_on, [0]]))
+                first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)  # a part's last word goes on no further
+                so_far = np.append(0, np.cumsum(counted))
+                begins = so_far[last] - so_far[first]  # a path's places that are not counted are its last
+                first, last, begins = (x[begins > 0] for x in (first, last, begins))
+                code = np.array([known.setdefault(x, len(known)) for x in names], np.int64)[lang[first]]
+                length = np.minimum(last - first + 1, begins + LONGEST - 1)
+                pair = length == 2
+                for full in sums.add(np.stack([code, stream[first], stream[first + 1]], 1)[pair], weight[first][pair]):
+                    yield alone(*full)
+                code, first, length, begins = (x[~pair] for x in (code, first, length, begins))
+                ends = np.cumsum(length)
+                place = np.repeat(first - (ends - length), length) + np.arange(length.sum())
+                yield rows(code, stream[place], ends, begins, weight[first])
+        for full in sums.rest():
+            yield alone(*full)
+
+    return paths.mapInArrow(run, "lang string, words array<long>, begins int, f long")
 
-        def found() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-            for batch in batches:
-                for stream, lang, names, weight, counted in _walk(batch) if batch.num_rows else ():
-                    ext = np.append(stream, np.zeros(LONGEST, np.int64))
-                    at = np.flatnonzero((stream != 0) & (ext[1 : len(stream) + 1] != 0))
-                    mixed = np.array([lang_hash(x) for x in names], np.uint64)[lang[at]]
-                    goes_on = np.zeros(len(ext), bool)
-                    goes_on[at] = shared.value.has(gram_hash(np.stack([ext[at], ext[at + 1]], 1), 2) ^ mixed)
-                    at = np.flatnonzero(counted & goes_on[: len(stream)])
-                    rows, open_ = np.zeros((len(at), LONGEST + 1), np.int64), np.ones(len(at), bool)
-                    rows[:, 0] = np.array([known.setdefault(x, len(known)) for x in names], np.int64)[lang[at]]
-                    for i in range(LONGEST):
-                        rows[:, i + 1] = np.where(open_, ext[at + i], 0)
-                        open_ &= goes_on[at + i]
-                    yield rows, weight[at]
-
-        for rows, f in _added_up(found()):
-            yield _batch_of_grams(list(known), rows[:, 0], rows[:, 1:], f)
-
-    found = paths.mapInArrow(run, "lang string, " + ", ".join(f"{w} long" for w in _W) + ", f long")
-    return found.groupBy("lang", *_W).agg(F.sum("f").alias("f"))
+
+def starts(paths: DataFrame, pairs: Bitmap) -> DataFrame:
+    """``lang, w1..w5, f``: for every place of the text the longest gram of up to five words that begins there, by
+    count: an edge, or, where the piece ends or a pair is not frequent, a shorter gram filled up with zeros. Grams of
+    one word are left out (``word_counts`` has them)."""
+    each = runs(paths, pairs).select("lang", "words", "f", F.explode(F.sequence(F.lit(0), F.col("begins") - 1)).alias("at"))
+    grams = [F.coalesce(F.get("words", F.col("at") + i), F.lit(0)).alias(w) for i, w in enumerate(_W)]
+    return each.select("lang", *grams, "f").groupBy("lang", *_W).agg(F.sum("f").alias("f"))
 
 
 def flows(longest: DataFrame, least: int) -> DataFrame:

@@ -128,6 +128,44 @@ def test_rows_of_the_graph_are_small_however_long_a_path_is(spark, frame):
     assert edges == Counter(tuple(h[i : i + 5]) for k in range(3) for i in range(k, len(h) - 4))
 
 
+def rows_from_python(df):
+    """Rows that came out of Python while the frame was collected."""
+    df.collect()
+    todo, out = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        if "AdaptiveSparkPlan" in node.nodeName():
+            todo.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+        else:
+            out += node.metrics().apply("pythonNumRowsReceived").value() if node.nodeName() == "MapInArrow" else 0
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    return out
+
+
+def test_longest_grams_leave_python_as_parts_not_as_places(spark, frame):
+    every = bitmaps.Bitmap(np.full(1, -1, np.int64).view(np.uint64))
+    h = lambda w: int(np.uint64(phrases.word_hash(w.encode(), 0)).view(np.int64))
+    found = lambda df: {tuple(r[w] for w in phrases._W): r["f"] for r in df.collect()}
+
+    # all pairs are frequent: a row for a path, not one for each of its places
+    words = [f"w{i}" for i in range(4_000)]
+    docs = frame([(i, " ".join(words[i:]), "en", "s", 0) for i in range(3)]).coalesce(1)
+    longest = phrases.starts(phrases.graph(docs, every), every)
+    hashes = [h(w) for w in words] + [0] * 5
+    assert found(longest) == {tuple(hashes[i : i + 5]): min(i + 1, 3) for i in range(len(words) - 1)}
+    assert rows_from_python(longest) < 50
+
+    # one pair is frequent: wherever it stands, a row a task
+    pair = phrases.gram_hash(np.array([[h("a"), h("b")]]), 2) ^ phrases.lang_hash("en")
+    only = bitmaps.bitmap(spark.createDataFrame([(int(pair.view(np.int64)[0]),)], "h long"))
+    docs = frame([(i, f"x{i} y{i} a b z{i} a b", "en", "s", 0) for i in range(300)]).coalesce(1)
+    longest = phrases.starts(phrases.graph(docs, every), only)
+    assert found(longest)[h("a"), h("b"), 0, 0, 0] == 600
+    assert rows_from_python(longest) < 50
+
+
 def test_products_beyond_64_bits(spark):
     zeros = "cast(0 as long) w3, cast(0 as long) w4, cast(0 as long) w5"
     a, n, l, r = 4_000_000_007, 9_000_000_000_001, 5_000_000_000, 7_000_000_011
