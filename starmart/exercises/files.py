@@ -17,6 +17,7 @@ from starmart.sinks import (
     insert_first_wins,
     insert_numbered,
     read_current,
+    read_folders,
     truncate_insert,
     upsert,
     write_last_wins,
@@ -339,7 +340,7 @@ def snk_songs_year_artist(spark, sf):
     path = scratch_dir(spark, "songsartist")
     songs = inputs.songs(spark, sf).select("song_id", "title", "artist_id", "year", "duration")
     write_songs(songs, path, folder_per_artist=True)
-    return spark.read.schema(songs.schema).parquet(path)
+    return read_folders(spark, path, songs.schema, ["year", "artist_id"])
 
 
 @exercise(

@@ -12,6 +12,7 @@ from starmart.sinks.loads import (
     write_last_wins,
 )
 from starmart.sinks.files import write_clustered, write_parquet, write_quoted_csv, write_songs
+from starmart.sinks.folders import read_folders
 
 __all__ = [
     "append",
@@ -20,6 +21,7 @@ __all__ = [
     "insert_first_wins",
     "insert_numbered",
     "read_current",
+    "read_folders",
     "truncate_insert",
     "upsert",
     "write_clustered",

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 from starmart.session import range_partitions
 from starmart.sinks.commits import delete, exists, move
+from starmart.sinks.folders import can_write, write_folders
 
 
 def _swap_in(spark: SparkSession, path: str, beside: str) -> None:
@@ -22,20 +23,24 @@ def _swap_in(spark: SparkSession, path: str, beside: str) -> None:
         delete(spark, old)
 
 
-def _replace(writer: DataFrameWriter, fmt: str, spark: SparkSession, path: str) -> None:
+def _replace_by(write: Callable[[str], None], spark: SparkSession, path: str) -> None:
     """Write a folder beside ``path`` and swap it in: a write that fails leaves the last good one, and the frame may
     read the folder it replaces."""
     path = path.rstrip("/")
     folder, slash, name = path.rpartition("/")
     beside = f"{folder}{slash}.{name}-{uuid.uuid4().hex}"
     try:
-        writer.mode("errorifexists").format(fmt).save(beside)
+        write(beside)
     except Exception:
         delete(spark, beside)
         raise
     _swap_in(spark, path, beside)
 
 
+def _replace(writer: DataFrameWriter, fmt: str, spark: SparkSession, path: str) -> None:
+    _replace_by(writer.mode("errorifexists").format(fmt).save, spark, path)
+
+
 def bloom_options(columns: list[str]) -> dict[str, str]:
     """Writer options that give each row group a Bloom filter on some columns, sized by its distinct values.
 
@@ -75,12 +80,16 @@ def write_parquet(
     ``replace_only_written`` overwrites only the partition values present in ``df``, each when all are written.
     ``bloom`` names lookup columns that get filters (``bloom_options``).
     ``many_folders`` says that a folder holds few rows, so that the work is in making folders and not in bytes: small
-    partitions are left apart, and all cores write.
+    partitions are left apart, and all cores write, without Hadoop's file system where the path is a mounted one
+    (``write_folders``; ``read_folders`` reads it so).
     """
+    partition_by = partition_by or []
     if many_folders:
         with _small_partitions_kept(df.sparkSession):
-            return write_parquet(df, path, partition_by, sort_by, replace_only_written, bloom)
-    partition_by = partition_by or []
+            if replace_only_written or bloom or not can_write(df, path, partition_by):
+                return write_parquet(df, path, partition_by, sort_by, replace_only_written, bloom)
+            gathered = df.hint("rebalance", *partition_by)
+            return _replace_by(lambda beside: write_folders(gathered, beside, partition_by, sort_by), df.sparkSession, path)
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     if sort_by:
